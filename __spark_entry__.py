@@ -28,6 +28,7 @@ from snapgrid.operators import (
     profile,
     quality,
     rows,
+    slices,
     state,
     studies,
 )
@@ -491,6 +492,18 @@ def _port_states(spark, sf_dir):
     return finished(found)
 
 
+@query(
+    "as_of_attributes",
+    """WITH bought AS (SELECT user_id, ts, value, event_id FROM events WHERE event_type = 'purchase')
+SELECT e.user_id, e.ts, b.value, b.event_id FROM events e
+ASOF LEFT JOIN bought b ON b.user_id = e.user_id AND e.ts >= b.ts""",
+)
+def _as_of_attributes(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    bought = events.filter("event_type = 'purchase'")
+    return naive(slices.as_of(events.select("user_id", "ts"), bought, ["user_id"], "ts", ["value", "event_id"]))
+
+
 @query(
     "port_totals",
     f"""WITH {LOG} SELECT port_station_id, count(DISTINCT port_id) FILTER (port_status IS NOT NULL) AS total_ports

@@ -59,10 +59,3 @@ def describe(df: DataFrame, value: str, weight: str | None = None, percentiles:
     ]
     return stats.select("count", "mean", std.alias("std"), "min", *between, "max")
 
-
-def exact_ranks(counted: DataFrame, ranks: list[int]) -> list:
-    """The values at zero-based ranks of a (value, weight) table; one row reaches the driver."""
-    table = counted.select("value", F.col("weight").alias("n")).withColumn(SLICE, magnitude_slice(F.col("value")))
-    ranked = running_sums(table, [], "value", ["n"])
-    picks = [F.min(F.when(F.col("n_run") > F.lit(r), F.col("value"))).alias(f"r{i}") for i, r in enumerate(ranks)]
-    return list(ranked.agg(*picks).first())

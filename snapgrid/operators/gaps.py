@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 from snapgrid.functions.time import HOUR_US, MINUTE_US
 from snapgrid.operators.describe import describe
 from snapgrid.operators.rows import require_columns
-from snapgrid.operators.slices import BEFORE, SLICE, SLICE_MINUTES
+from snapgrid.operators.slices import BEFORE, SLICE, SLICE_MINUTES, SO_FAR, placed, time_slice
 
 
 def _instants(df: DataFrame, key: str, ts: str, slice_minutes: int) -> DataFrame:
     """Distinct instants per key with their number of rows; copies collapse on the map side."""
-    width = slice_minutes * MINUTE_US
-    rows = df.filter(F.col(key).isNotNull())
-    us = F.unix_micros(ts)
-    return rows.groupBy(F.col(key).alias("key"), us.alias("us")).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        SLICE, F.floor(F.col("us") / F.lit(width)).cast("long")
-    )
+    counted = df.groupBy(F.col(key).alias("key"), F.unix_micros(ts).alias("us")).agg(F.count(F.lit(1)).alias("n"))
+    return placed(counted.withColumn(SLICE, time_slice(F.col("us"), slice_minutes)), ["key"])
 
 
 def instant_gaps(
@@ -30,36 +26,38 @@ def instant_gaps(
 
     A segment goes on while the gap is at most ``max_gap_hours``.
     """
-    limit = F.lit(max_gap_hours * HOUR_US)
+    limit = F.lit(int(max_gap_hours * HOUR_US))
     place = ["key", SLICE]
+    rows = _instants(df, key, ts, slice_minutes)
     inside = Window.partitionBy(*place).orderBy("us")
-    local = _instants(df, key, ts, slice_minutes).withColumn("_gap", F.col("us") - F.lag("us").over(inside))
+    gapped = rows.withColumn("_gap", F.col("us") - F.lag("us").over(inside))
+    broken = F.coalesce((F.col("_gap") > limit).cast("long"), F.lit(0))
+    local = gapped.withColumn("_breaks", F.sum(broken).over(inside.rowsBetween(*SO_FAR)))
     edges = local.groupBy(*place).agg(
-        F.min("us").alias("_first"),
-        F.max("us").alias("_last"),
-        F.sum((F.col("_gap") > limit).cast("long")).alias("_breaks"),
+        F.min("us").alias("_first"), F.max("us").alias("_last"), F.max("_breaks").alias("_breaks"), F.sum("n").alias("_n")
     )
+    # Every slice has rows; asking for it keeps both readers of the instants on the same columns.
     along = Window.partitionBy("key").orderBy(SLICE)
-    linked = edges.withColumn("_gap_in", F.col("_first") - F.lag("_last").over(along))
+    linked = edges.filter("_n > 0").withColumn("_gap_in", F.col("_first") - F.lag("_last").over(along))
     opens = F.coalesce((F.col("_gap_in") > limit).cast("long"), F.lit(1))
-    breaks = opens + F.coalesce("_breaks", F.lit(0))
-    carry = linked.select(
-        *place, "_gap_in", F.coalesce(F.sum(breaks).over(along.rowsBetween(*BEFORE)), F.lit(0)).alias("_before")
+    opened = linked.withColumn("_opens", opens).withColumn("_all", F.col("_opens") + F.col("_breaks"))
+    before = F.coalesce(F.sum("_all").over(along.rowsBetween(*BEFORE)), F.lit(0))
+    carry = opened.select(*place, "_gap_in", (before + F.col("_opens")).alias("_number"))
+    return local.join(carry, place).select(
+        "key",
+        "us",
+        "n",
+        F.coalesce("_gap", "_gap_in").alias("gap_us"),
+        (F.col("_number") + F.col("_breaks")).alias("segment_id"),
     )
-    gap = F.coalesce("_gap", "_gap_in")
-    new = F.coalesce((gap > limit).cast("long"), F.lit(1))
-    rows = local.join(carry, place).select(*place, "us", "n", gap.alias("gap_us"), "_before", new.alias("_new"))
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return rows.select("key", "us", "n", "gap_us", (F.col("_before") + F.sum("_new").over(so_far)).alias("segment_id"))
 
 
 def row_gaps(gaps: DataFrame) -> DataFrame:
     """Gaps in hours with the number of rows that have them: rows at one instant follow with gap 0."""
-    zero = gaps.filter("n > 1").select(F.lit(0.0).alias("gap_hours"), (F.col("n") - 1).alias("n"))
-    step = gaps.filter("gap_us is not null").select(
-        (F.col("gap_us") / F.lit(float(HOUR_US))).alias("gap_hours"), F.lit(1).cast("long").alias("n")
-    )
-    return zero.unionByName(step)
+    step = F.struct((F.col("gap_us") / F.lit(float(HOUR_US))).alias("gap_hours"), F.lit(1).cast("long").alias("n"))
+    zero = F.struct(F.lit(0.0).alias("gap_hours"), (F.col("n") - 1).alias("n"))
+    held = F.filter(F.array(step, zero), lambda g: g["gap_hours"].isNotNull() & (g["n"] > 0))
+    return gaps.select(F.explode(held).alias("_g")).select("_g.*")
 
 
 def segment_lengths(gaps: DataFrame) -> DataFrame:
@@ -123,23 +121,25 @@ def label_coverage(
     key: str = "st_id",
     travel_minutes: tuple[int, ...] = (5, 10, 15, 30, 60),
     tolerance_minutes: int = 2,
-    slice_minutes: int = SLICE_MINUTES,
+    slice_minutes: int | None = None,
 ) -> DataFrame:
     """Share of rows with another observation of the key near ``t + travel`` (ends included).
 
     No self-join: the latest instant up to the end of the tolerance window is a frame that only grows,
     and there is a match if it is not before the window's start. Rows just after a slice are repeated
-    into the slices that look ahead to them, at most ``reach / slice + 2`` times.
+    into the slices that look ahead to them, at most ``reach / slice + 2`` times;
+    by default slices are six times the reach, so about one row in six is repeated.
     """
     require_columns(df, [key, ts])
     if any(t + tolerance_minutes < 0 for t in travel_minutes):
         raise ValueError("travel times must not point into the past")
     names = sorted(set(travel_minutes))
-    reach = (max(names, default=0) + tolerance_minutes) * MINUTE_US
-    width = slice_minutes * MINUTE_US
+    reach_minutes = max(names, default=0) + tolerance_minutes
+    slice_minutes = slice_minutes or max(SLICE_MINUTES, 6 * reach_minutes)
     rows = _instants(df, key, ts, slice_minutes)
-    first = F.floor((F.col("us") - F.lit(reach)) / F.lit(width)).cast("long")
-    seen = rows.withColumn("_view", F.explode(F.sequence(first, F.col(SLICE))))
+    first = time_slice(F.col("us") - F.lit(reach_minutes * MINUTE_US), slice_minutes)
+    views = F.sequence(first, F.col(SLICE), F.lit(slice_minutes * MINUTE_US))
+    seen = rows.withColumn("_view", F.explode(views))
     view = Window.partitionBy("key", "_view").orderBy("us")
     found = []
     for t in names:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import MINUTE_US, grid_steps
-from snapgrid.operators.describe import exact_ranks
+from snapgrid.operators.slices import SLICE, magnitude_slice, running_sums
 from snapgrid.schema import GRID_MINUTES, STALE_CAP_MINUTES
 
 
@@ -35,33 +35,44 @@ def horizon_labels(
     return eligible.withColumn("target", (F.col(f"{state}_at_label") == 0).cast("byte")), effective
 
 
-def split_instant(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share: float = 0.8) -> int:
-    """The split point in microseconds: rows before it train, the others validate.
+def split_point(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share: float = 0.8) -> DataFrame:
+    """One row: ``cut_us`` in microseconds (rows before it train) and ``distinct_ts``.
 
-    ``timestamps`` cuts the sorted distinct instants, ``rows`` cuts at the row-weighted quantile.
-    Rows are first counted per instant; one small row of ranks comes back to the driver.
+    ``timestamps`` cuts the sorted distinct instants, ``rows`` cuts at the row-weighted quantile with
+    linear interpolation. Rows are counted per instant first; ranks come from sliced running sums.
     """
     if mode not in ("timestamps", "rows"):
         raise ValueError(f"unknown split mode: {mode}")
+    rows_there = F.count(F.lit(1)) if mode == "rows" else F.lit(1).cast("long")
     instants = (
         df.filter(F.col(ts).isNotNull())
-        .groupBy(F.unix_micros(ts).alias("value"))
-        .agg(F.count(F.lit(1)).alias("weight"))
+        .groupBy(F.unix_micros(ts).alias("us"))
+        .agg(rows_there.alias("n"))
+        .withColumn(SLICE, magnitude_slice(F.col("us")))
     )
+    ranked = running_sums(instants, [], "us", ["n"])
+    n, run = F.col("n_total"), F.col("n_run")
     if mode == "timestamps":
-        instants = instants.select("value", F.lit(1).cast("long").alias("weight"))
-        n = instants.count()
-        if n < 2:
-            raise ValueError("a temporal split needs at least two distinct timestamps")
-        rank = max(1, min(int(n * share), n - 1))
-        return int(exact_ranks(instants, [rank])[0])
-    n = instants.agg(F.sum("weight")).first()[0] or 0
-    if n == 0:
-        raise ValueError("a temporal split needs rows")
-    position = (n - 1) * share
-    low = int(position)
-    below, above = exact_ranks(instants, [low, min(low + 1, n - 1)])
-    return int(below + (above - below) * (position - low))
+        rank = F.greatest(F.lit(1), F.least(F.floor(n * F.lit(share)), n - 1))
+        return ranked.agg(F.min(F.when(run > rank, F.col("us"))).alias("cut_us"), F.count(F.lit(1)).alias("distinct_ts"))
+    position = (n - 1) * F.lit(share)
+    low = F.floor(position)
+    ends = ranked.agg(
+        F.min(F.when(run > low, F.col("us"))).alias("lo"),
+        F.min(F.when(run > F.least(low + 1, n - 1), F.col("us"))).alias("hi"),
+        F.max(position - low).alias("part"),
+        F.count(F.lit(1)).alias("distinct_ts"),
+    )
+    cut = F.floor(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part"))
+    return ends.select(cut.alias("cut_us"), "distinct_ts")
+
+
+def split_instant(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share: float = 0.8) -> int:
+    """The split point as a number; one row reaches the driver. Too few instants are an error."""
+    point = split_point(df, ts, mode, share).first()
+    if point["distinct_ts"] < 2:
+        raise ValueError("a temporal split needs at least two distinct timestamps")
+    return point["cut_us"]
 
 
 def split_train_valid(

@@ -3,8 +3,11 @@
 A window over one key puts all rows of that key into one task. Here the order axis is cut into
 slices: the heavy window runs per (key, slice), a small table with one row per (key, slice) carries
 the running state from slice to slice, and is joined back on (key, slice). The heavy rows are
-shuffled once, on (key, slice); a key with a third of all rows spreads over as many tasks as it has
-slices. The carry table is bounded: per key it has at most span / slice width rows.
+shuffled and sorted once for window and join together; a key with a third of all rows spreads over as
+many tasks as it has slices. The carry table is bounded: per key it has at most span / width rows.
+
+The rows feed both the window and the carry table. Both readers are built on the same columns and
+filters, so that Spark writes the shuffle below them once and reads it twice (ReusedExchange).
 """
 
 from __future__ import annotations
@@ -16,14 +19,16 @@ from snapgrid.functions.time import MINUTE_US
 
 SLICE = "_slice"
 BEFORE = (Window.unboundedPreceding, -1)
+SO_FAR = (Window.unboundedPreceding, 0)
 
-#: An hour of one entity's distinct instants is what one task sorts; the carry table has 8,760 rows
-#: per entity and year.
+#: An hour of one entity's distinct instants is what one task sorts; the carry table has at most 8,760
+#: rows per entity and year.
 SLICE_MINUTES = 60
 
 
-def time_slice(ts: Column, minutes: int = SLICE_MINUTES) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(minutes * MINUTE_US)).cast("long")
+def time_slice(us: Column, minutes: int = SLICE_MINUTES) -> Column:
+    """The start of the slice an instant (in microseconds) falls into."""
+    return us - F.pmod(us, F.lit(minutes * MINUTE_US))
 
 
 def magnitude_slice(value: Column) -> Column:
@@ -41,6 +46,13 @@ def unit_slice(score: Column, slices: int = 65536) -> Column:
     return F.floor(score.cast("double") * F.lit(float(slices))).cast("long")
 
 
+def placed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that have a key and a slice. Stated before a frame is read twice, so both readers agree."""
+    for c in keys + [SLICE]:
+        df = df.filter(F.col(c).isNotNull())
+    return df
+
+
 def running_sums(
     df: DataFrame, keys: list[str], order: str, columns: list[str], attach: DataFrame | None = None
 ) -> DataFrame:
@@ -50,7 +62,8 @@ def running_sums(
     joined (inner) to the carry table, so its columns reach the heavy rows without a join of their own.
     """
     place = keys + [SLICE]
-    edges = df.groupBy(*place).agg(*[F.sum(c).alias(c) for c in columns])
+    rows = placed(df, keys)
+    edges = rows.groupBy(*place).agg(*[F.sum(c).alias(c) for c in columns])
     along = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(*BEFORE)
     whole = Window.partitionBy(*keys)
     carry = edges.select(
@@ -62,10 +75,43 @@ def running_sums(
     if attach is not None:
         added = [c for c in attach.columns if c not in keys]
         carry = carry.join(attach, keys)
-    inside = Window.partitionBy(*place).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.join(carry, place).select(
+    inside = Window.partitionBy(*place).orderBy(order).rowsBetween(*SO_FAR)
+    local = rows.select("*", *[F.sum(c).over(inside).alias(f"_{c}_in") for c in columns])
+    return local.join(carry, place).select(
         *df.columns,
-        *[(F.col(f"_{c}_before") + F.sum(c).over(inside)).alias(f"{c}_run") for c in columns],
+        *[(F.col(f"_{c}_before") + F.col(f"_{c}_in")).alias(f"{c}_run") for c in columns],
         *[f"{c}_total" for c in columns],
         *added,
     )
+
+
+def as_of(
+    instants: DataFrame, events: DataFrame, keys: list[str], ts: str, columns: list[str], minutes: int = SLICE_MINUTES
+) -> DataFrame:
+    """For each distinct (key, instant), the last event row at or before it, its nulls included.
+
+    Events and instants travel together: one shuffle, no pair of rows is ever formed. Of several
+    events at one instant the greatest row counts.
+    """
+    us = F.unix_micros(ts)
+    rows = events.select(*keys, us.alias("_us"), F.struct(*columns).alias("_row"), F.lit(0).alias("_ask"))
+    nothing = F.lit(None).cast(rows.schema["_row"].dataType)
+    marks = instants.select(*keys, us.alias("_us"), nothing.alias("_row"), F.lit(1).alias("_ask"))
+    merged = (
+        marks.unionByName(rows)
+        .groupBy(*keys, "_us")
+        .agg(F.max("_row").alias("_row"), F.max("_ask").alias("_ask"))
+        .withColumn(SLICE, time_slice(F.col("_us"), minutes))
+    )
+    place = keys + [SLICE]
+    both = placed(merged, keys)
+    edges = both.groupBy(*place).agg(
+        F.max_by("_row", F.when(F.col("_row").isNotNull(), F.col("_us"))).alias("_row"), F.max("_ask").alias("_ask")
+    )
+    along = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(*BEFORE)
+    carry = edges.filter("_ask is not null").select(*place, F.last("_row", ignorenulls=True).over(along).alias("_before"))
+    inside = Window.partitionBy(*place).orderBy("_us").rowsBetween(*SO_FAR)
+    local = both.withColumn("_in", F.last("_row", ignorenulls=True).over(inside))
+    found = local.filter("_ask = 1").join(carry, place)
+    row = F.coalesce("_in", "_before")
+    return found.select(*keys, F.timestamp_micros("_us").alias(ts), *[row[c].alias(c) for c in columns])

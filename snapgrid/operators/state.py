@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from snapgrid.functions.ports import AVAILABLE, port_flags
 from snapgrid.functions.values import safe_rate
 from snapgrid.operators.clean import clean_locations, clean_ports
-from snapgrid.operators.rows import first_per_key
-from snapgrid.operators.slices import BEFORE, SLICE, SLICE_MINUTES, running_sums, time_slice
+from snapgrid.operators.rows import first_per_key, salted_join
+from snapgrid.operators.slices import BEFORE, SLICE, SLICE_MINUTES, SO_FAR, placed, running_sums, time_slice
 
 FLAGS = ["dc", "ccs", "chademo", "type2", "wall"]
 COUNTS = ["seen", "avail", "avail_dc", *FLAGS]
@@ -53,7 +53,7 @@ def _port_events(
         "station",
         "port",
         "ts",
-        time_slice(F.col("ts"), slice_minutes).alias(SLICE),
+        time_slice(F.unix_micros("ts"), slice_minutes).alias(SLICE),
         F.when(has_status, (F.col("code").bitwiseAND(free) > 0).cast("int")).alias("free"),
         F.col("code").bitwiseAND(F.lit((1 << len(FLAGS)) - 1)).alias("bits"),
     )
@@ -89,8 +89,8 @@ def port_states(
     A missing status keeps the last known one (``free``), while attributes hold whatever the row says,
     nulls included (``bits``).
     """
-    events = _port_events(ports, station, port, ts, status, attributes, slice_minutes)
     place = ["station", "port", SLICE]
+    events = placed(_port_events(ports, station, port, ts, status, attributes, slice_minutes), place[:2])
     edges = events.groupBy(*place).agg(
         F.max_by("free", F.when(F.col("free").isNotNull(), F.col("ts"))).alias("free"),
         F.max_by("bits", "ts").alias("bits"),
@@ -102,15 +102,22 @@ def port_states(
         F.lag("bits").over(along).alias("_bits_in"),
     )
     inside = Window.partitionBy(*place).orderBy("ts")
-    so_far = F.last("free", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    earlier = F.last("free", ignorenulls=True).over(inside.rowsBetween(*BEFORE))
-    return events.join(carry, place).select(
+    known = F.last("free", ignorenulls=True)
+    local = events.select(
         *place,
         "ts",
-        F.coalesce(so_far, "_free_in").alias("free"),
         "bits",
-        F.coalesce(earlier, "_free_in").alias("free_before"),
-        F.coalesce(F.lag("bits").over(inside), "_bits_in").alias("bits_before"),
+        known.over(inside.rowsBetween(*SO_FAR)).alias("_free"),
+        known.over(inside.rowsBetween(*BEFORE)).alias("_free_before"),
+        F.lag("bits").over(inside).alias("_bits_before"),
+    )
+    return local.join(carry, place).select(
+        *place,
+        "ts",
+        F.coalesce("_free", "_free_in").alias("free"),
+        "bits",
+        F.coalesce("_free_before", "_free_in").alias("free_before"),
+        F.coalesce("_bits_before", "_bits_in").alias("bits_before"),
     )
 
 
@@ -140,7 +147,8 @@ def station_states(
     )
     lookup = attach.withColumnRenamed(station, "station") if attach is not None else None
     run = running_sums(changes, ["station"], "ts", COUNTS, lookup)
-    total, avail = F.col("seen_total"), F.col("avail_run")
+    # The total is seen_total; naming seen_run too keeps both readers of the changes on the same columns.
+    total, avail = F.greatest("seen_total", "seen_run"), F.col("avail_run")
     out = {
         "total_ports": total,
         "available_ports": avail,
@@ -185,10 +193,10 @@ def statuses_over_time(
 
     The column list is the caller's, so the width is fixed before the job runs.
     """
-    rows = ports.filter(F.col(station).isNotNull() & F.col(ts).isNotNull()).withColumn(SLICE, time_slice(F.col(ts)))
+    rows = ports.withColumn(SLICE, time_slice(F.unix_micros(ts)))
     place = [station, SLICE]
     names = [f"port_{p}" for p in port_ids]
-    wide = rows.groupBy(*place, F.col(ts).alias("snapshot_ts")).agg(
+    wide = placed(rows, [station]).groupBy(*place, F.col(ts).alias("snapshot_ts")).agg(
         *[F.max(F.when(F.col(port) == p, F.col(status))).alias(n) for p, n in zip(port_ids, names)]
     )
     edges = wide.groupBy(*place).agg(
@@ -196,9 +204,10 @@ def statuses_over_time(
     )
     along = Window.partitionBy(station).orderBy(SLICE).rowsBetween(*BEFORE)
     carry = edges.select(*place, *[F.last(n, ignorenulls=True).over(along).alias(f"_{n}") for n in names])
-    inside = Window.partitionBy(*place).orderBy("snapshot_ts").rowsBetween(Window.unboundedPreceding, 0)
-    filled = [F.coalesce(F.last(n, ignorenulls=True).over(inside), F.col(f"_{n}")).alias(n) for n in names]
-    return wide.join(carry, place).select(station, "snapshot_ts", *filled)
+    inside = Window.partitionBy(*place).orderBy("snapshot_ts").rowsBetween(*SO_FAR)
+    local = wide.select(*place, "snapshot_ts", *[F.last(n, ignorenulls=True).over(inside).alias(n) for n in names])
+    filled = [F.coalesce(n, f"_{n}").alias(n) for n in names]
+    return local.join(carry, place).select(station, "snapshot_ts", *filled)
 
 
 def station_lookup(locations: DataFrame, stations: DataFrame) -> DataFrame:
@@ -212,10 +221,8 @@ def station_lookup(locations: DataFrame, stations: DataFrame) -> DataFrame:
     drop = [c for c in LEFT_OUT if c in first_location.columns]
     place = first_location.drop(*drop).withColumnRenamed("loc_id", "_loc_id")
     own = [c for c in first_station.columns if c not in LEFT_OUT and c not in place.columns]
-    joined = first_station.join(place, first_station["st_location_id"] == place["_loc_id"], "left")
-    return joined.select(
-        *[first_station[c] for c in own], *[place[c] for c in place.columns if c != "_loc_id"]
-    )
+    stations_of = first_station.select(*own, F.col("st_location_id").alias("_loc_id"))
+    return salted_join(stations_of, place, ["_loc_id"]).drop("_loc_id")
 
 
 def station_timeseries(
