@@ -8,9 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def number(value: Column, kind: str = "double") -> Column:
-    """Numeric coercion: text that is no number becomes null. NaN counts as null."""
+# Fixed value: what counts as a number in text.
+NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
+
+
+def number(value: Column, kind: str = "double", text: bool = False) -> Column:
+    """Numeric coercion: what is no number becomes null, NaN too.
+
+    ``text`` checks the shape before the cast, which is far cheaper than a failing cast per row.
+    """
     parsed = value.try_cast(kind)
+    if text:
+        parsed = F.when(value.rlike(NUMBER_TEXT), parsed)
     return F.when(~F.isnan(parsed), parsed) if kind in ("double", "float") else parsed
 
 

@@ -85,7 +85,10 @@ def variance_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, nulls after numeric coercion, population variance, range), in one aggregation."""
     exprs = []
     for i, c in enumerate(columns):
-        n = number(F.col(f"`{c}`"))
+        kind = df.schema[c].dataType
+        n = F.lit(None).cast("double")  # times and nested values are not numeric
+        if isinstance(kind, (T.NumericType, T.BooleanType, T.StringType)):
+            n = number(F.col(f"`{c}`"), text=isinstance(kind, T.StringType))
         exprs += [
             F.count_if(n.isNull()).alias(f"n{i}"),
             F.var_pop(n).alias(f"v{i}"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,15 +43,18 @@ def instants(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, one machine) a local folder stands in.
+    Only a local session without the setting gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    fallback = os.path.join(tempfile.gettempdir(), "snapgrid-shared")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+    fallback = tempfile.mkdtemp(prefix="snapgrid-")
     spark.conf.set("spark.checkpoint.dir", fallback)
+    spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 
 
