@@ -363,17 +363,19 @@ def _gap_stats(spark, sf_dir):
 
 @query("gap_hours_describe", _describe_sql("g", "gap_hours"))
 def _gap_hours_describe(spark, sf_dir):
-    return finished(gaps.gap_tables(snap(spark, sf_dir), group=None).gap_hours)
+    found = gaps.instant_gaps(snap(spark, sf_dir), "st_id", "snapshot_ts")
+    return finished(describe.describe(gaps.row_gaps(found), "gap_hours", "n"))
 
 
 @query("segment_length_describe", _describe_sql("len", "segment_length"))
 def _segment_length_describe(spark, sf_dir):
-    return finished(gaps.gap_tables(snap(spark, sf_dir), group=None).segment_length)
+    found = gaps.instant_gaps(snap(spark, sf_dir), "st_id", "snapshot_ts")
+    return finished(describe.describe(gaps.segment_lengths(found), "segment_length"))
 
 
 @query("rows_per_key_describe", _describe_sql("per", '"rows"'))
 def _rows_per_key_describe(spark, sf_dir):
-    return finished(gaps.gap_tables(snap(spark, sf_dir), group=None).rows_per_key)
+    return finished(describe.describe(gaps.rows_per_key(snap(spark, sf_dir), "st_id"), "rows"))
 
 
 @query("segments", f"{GAPS} SELECT st_id, CAST(segment_id AS BIGINT) AS segment_id, segment_length FROM len")
@@ -983,6 +985,20 @@ def _null_counts(spark, sf_dir):
     )
 
 
+@query(
+    "column_profile",
+    """SELECT CAST(0 AS BIGINT) AS position, 's_suppkey' AS "column", 'bigint' AS type,
+       count(*) FILTER (s_suppkey IS NULL) AS nulls FROM supplier
+UNION ALL SELECT 1, 's_name', 'string', count(*) FILTER (s_name IS NULL) FROM supplier
+UNION ALL SELECT 2, 's_nationkey', 'int', count(*) FILTER (s_nationkey IS NULL) FROM supplier
+UNION ALL SELECT 3, 's_acctbal', 'double', count(*) FILTER (s_acctbal < 0) FROM supplier""",
+)
+def _column_profile(spark, sf_dir):
+    known = F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal"))
+    suppliers = table(spark, sf_dir, "supplier").withColumn("s_acctbal", known)
+    return bigints(profile.column_inventory(suppliers).join(profile.null_counts(suppliers), "column"))
+
+
 @query("table_shape", "SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns FROM part")
 def _table_shape(spark, sf_dir):
     return profile.table_shape(table(spark, sf_dir, "part"))

@@ -11,9 +11,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapgrid.operators.labels import horizon_labels, label_split, split_instant
+from snapgrid.functions.time import grid_steps
+from snapgrid.operators.labels import eligible_rows, label_split, split_instant, with_labels
 from snapgrid.operators.metrics import binary_metrics, exact_auc, split_counts
-from snapgrid.schema import FEATURE_COLUMNS
+from snapgrid.schema import FEATURE_COLUMNS, GRID_MINUTES, distinct_names
 from snapgrid.session import materialize
 
 SENTINEL = -1.0
@@ -73,6 +74,23 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", vector_to_array("probability")[1])
 
 
+def training_table(
+    grid: DataFrame,
+    horizons: list[int],
+    settings: TrainSettings = TrainSettings(),
+    key: str = "st_id",
+    state: str = "available_ports",
+) -> DataFrame:
+    """Features as floats and the labels of all horizons, written once to the shared folder.
+
+    Text features are numbers in text (postal codes); what is no number counts as missing.
+    """
+    labelled = with_labels(grid, horizons, key, state)
+    floats = {c: F.col(c).try_cast("float") for c in settings.features}
+    kept = distinct_names([key, "ts", "age_minutes", state], settings.features, [f"{state}_in_{h}" for h in horizons])
+    return materialize(labelled.select(*kept).withColumns(floats), "labelled")
+
+
 def train_horizon(
     grid: DataFrame,
     horizon_minutes: int,
@@ -80,17 +98,23 @@ def train_horizon(
     key: str = "st_id",
     state: str = "available_ports",
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Label, split, fit and score one horizon: the model, scored validation rows and a metrics row.
+    """One horizon straight from the dense grid."""
+    return train_labelled(training_table(grid, [horizon_minutes], settings, key, state), horizon_minutes, settings, key, state)
 
-    The labelled rows are written once to the shared folder; all counts come from one aggregation and
-    all metrics from two, so no label or score is collected.
+
+def train_labelled(
+    labelled: DataFrame,
+    horizon_minutes: int,
+    settings: TrainSettings = TrainSettings(),
+    key: str = "st_id",
+    state: str = "available_ports",
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Split, fit and score one horizon: the model, scored validation rows and a metrics row.
+
+    All counts come from one aggregation and all metrics from two; no label or score is collected.
     """
-    labelled, effective = horizon_labels(grid, horizon_minutes, key, state)
-    needed = [key, "ts", "target", *settings.features]
-    table = materialize(
-        labelled.select(*[F.col(c).try_cast("float").alias(c) if c in settings.features else F.col(c) for c in needed]),
-        f"horizon-{horizon_minutes}",
-    )
+    effective = grid_steps(horizon_minutes, GRID_MINUTES)[1]
+    table = eligible_rows(labelled, horizon_minutes, state)
     if table.isEmpty():
         raise ValueError(f"no eligible rows for horizon {horizon_minutes} min")
     sided = label_split(table, split_instant(table, mode=settings.split_mode))

@@ -47,6 +47,10 @@ def grid_rows(
     steps at the source, for consumers that would drop them anyway. ``attach`` (one row per key) joins
     before the expansion, on rows the window has already partitioned and sorted by key.
     """
+    # A fixed number of partitions: sizes before the expansion say nothing about the work after it,
+    # so they must not be merged by size.
+    parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets.repartition(parts, key)
     along = Window.partitionBy(key).orderBy("ts")
     filled = along.rowsBetween(Window.unboundedPreceding, 0)
     step = F.make_interval(mins=F.lit(minutes))
@@ -65,7 +69,7 @@ def grid_rows(
         added = [c for c in attach.columns if c != key]
         origin = origin.join(attach, key, "left")
     # Two levels: days, then steps within a day, so a gap of years never becomes one huge array.
-    day = F.make_interval(days=F.lit(1))
+    day = F.make_interval(hours=F.lit(24))
     days = origin.withColumn("_from", F.explode(F.sequence("_origin", "_until", day)))
     steps = F.sequence("_from", F.least(F.col("_until"), F.col("_from") + day - step), step)
     if 1440 % minutes:
@@ -106,6 +110,8 @@ def dense_grid(
     of the validation period; by default they come from the whole history.
     """
     require_columns(buckets, [key, "ts", *state, *static])
+    # Stated before the buckets are read twice, so that both readers share one shuffle.
+    buckets = buckets.filter(F.col(key).isNotNull())
     statics = None
     if static:
         known = buckets if static_until is None else buckets.filter(F.col("ts") < F.lit(static_until))

@@ -10,6 +10,35 @@ from snapgrid.operators.slices import SLICE, magnitude_slice, running_sums
 from snapgrid.schema import GRID_MINUTES, STALE_CAP_MINUTES
 
 
+def with_labels(
+    grid: DataFrame,
+    horizons: list[int],
+    key: str = "st_id",
+    state: str = "available_ports",
+    minutes: int = GRID_MINUTES,
+) -> DataFrame:
+    """Rows that have a state, with the state at each horizon as ``<state>_in_<horizon>``.
+
+    Labels are looked up by instant, not by row offset, so rows without a state (stale ones) are left
+    out before the shuffle, at the scan if the grid is a table. All horizons share one window, which is
+    per key and bounded: a key has at most one row per grid step.
+    """
+    along = Window.partitionBy(key).orderBy(F.unix_micros("ts"))
+    ahead = {h: grid_steps(h, minutes)[1] * MINUTE_US for h in horizons}
+    found = [F.first(state).over(along.rangeBetween(us, us)).alias(f"{state}_in_{h}") for h, us in ahead.items()]
+    return grid.filter(F.col(state).isNotNull()).select("*", *found)
+
+
+def eligible_rows(
+    labelled: DataFrame, horizon_minutes: int, state: str = "available_ports", stale_after: int = STALE_CAP_MINUTES
+) -> DataFrame:
+    """Rows fit to learn from: state fresh enough, label known. ``target`` = the labelled state is zero."""
+    label = F.col(f"{state}_in_{horizon_minutes}")
+    fit = labelled.filter((F.col("age_minutes") <= stale_after) & F.col(state).isNotNull() & label.isNotNull())
+    others = [c for c in labelled.columns if c.startswith(f"{state}_in_")]
+    return fit.select("*", label.alias(f"{state}_at_label"), (label == 0).cast("byte").alias("target")).drop(*others)
+
+
 def horizon_labels(
     grid: DataFrame,
     horizon_minutes: int,
@@ -18,21 +47,9 @@ def horizon_labels(
     minutes: int = GRID_MINUTES,
     stale_after: int = STALE_CAP_MINUTES,
 ) -> tuple[DataFrame, int]:
-    """Eligible rows with the state one horizon ahead and ``target`` = that state is zero.
-
-    The label is looked up by instant, not by row offset, so the grid may leave out stale steps. The
-    window is per key and bounded: a key has at most one row per grid step.
-    """
-    _, effective = grid_steps(horizon_minutes, minutes)
-    ahead = effective * MINUTE_US
-    at_label = Window.partitionBy(key).orderBy(F.unix_micros("ts")).rangeBetween(ahead, ahead)
-    labelled = grid.withColumn(f"{state}_at_label", F.first(state).over(at_label))
-    eligible = labelled.filter(
-        (F.col("age_minutes") <= stale_after)
-        & F.col(state).isNotNull()
-        & F.col(f"{state}_at_label").isNotNull()
-    )
-    return eligible.withColumn("target", (F.col(f"{state}_at_label") == 0).cast("byte")), effective
+    """The eligible rows of one horizon with label and target, and the horizon in whole grid steps."""
+    labelled = with_labels(grid, [horizon_minutes], key, state, minutes)
+    return eligible_rows(labelled, horizon_minutes, state, stale_after), grid_steps(horizon_minutes, minutes)[1]
 
 
 def split_point(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share: float = 0.8) -> DataFrame:

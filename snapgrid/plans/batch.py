@@ -52,9 +52,10 @@ def dense(spark: SparkSession, paths: StagePaths) -> tuple[int, int]:
 def train(spark: SparkSession, paths: StagePaths, settings: classify.TrainSettings = classify.TrainSettings()) -> DataFrame:
     """One model and one metrics record per horizon; returns all metrics records."""
     columns = required_horizon_columns(settings.features)
-    table = read_stage(spark, paths.path("dense"), columns=columns, ts="ts")
+    grid_table = read_stage(spark, paths.path("dense"), columns=columns, ts="ts")
+    table = classify.training_table(grid_table, HORIZON_MINUTES, settings)
     for horizon in HORIZON_MINUTES:
-        model, _, metrics = classify.train_horizon(table, horizon, settings)
+        model, _, metrics = classify.train_labelled(table, horizon, settings)
         save_model(model, f"{paths.path('models')}/horizon_{horizon}m")
         write_metrics(metrics, f"{paths.path('metrics')}/horizon={horizon}")
     return spark.read.json(paths.path("metrics"))

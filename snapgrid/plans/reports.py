@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from snapgrid.functions.time import int_list
 from snapgrid.functions.values import file_tag
 from snapgrid.operators import gaps, profile, rows, studies
+from snapgrid.schema import StagePaths
 from snapgrid.sources.sinks import write_csv
 from snapgrid.sources.tables import read_stage
 
@@ -62,6 +63,18 @@ def table_profile(df: DataFrame, exclude: tuple[str, ...] = ()) -> dict[str, Dat
     }
 
 
+# Nested columns that a profile of a stage table leaves out.
+NOT_PROFILED = {"locations": ("loc_stations",), "stations": ("st_ports",)}
+
+
+def stage_profile(spark: SparkSession, paths: StagePaths, entity: str = "stations") -> dict[str, DataFrame]:
+    """Profile of a named stage table: locations, stations, ports or the selected time series."""
+    stage = {"timeseries": "selected"}.get(entity, entity)
+    if stage not in ("locations", "stations", "ports", "selected"):
+        raise ValueError(f"unknown stage table: {entity}")
+    return table_profile(read_stage(spark, paths.path(stage)), NOT_PROFILED.get(entity, ()))
+
+
 def raw_profile(raw: DataFrame) -> dict[str, DataFrame]:
     """Shape and nulls per raw file: one scan grouped by file instead of a loop over files."""
     tagged = raw.select("*", file_tag(F.col("_metadata.file_name")).alias("file"))

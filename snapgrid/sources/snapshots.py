@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.schema import LOCATION_RECORD
+from snapgrid.session import use_utc
 
 BROKEN = "_broken"
 
@@ -25,7 +26,7 @@ def read_snapshots(
         [T.StructField(envelope, T.ArrayType(T.StructType(fields))), *fields, T.StructField(BROKEN, T.StringType())]
     )
     raw = (
-        spark.read.schema(document)
+        use_utc(spark).read.schema(document)
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BROKEN)

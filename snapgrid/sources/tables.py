@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from snapgrid.functions.time import parse_instant
 from snapgrid.operators.grid import strict_instants
 from snapgrid.operators.rows import require_columns
+from snapgrid.session import use_utc
 
 #: JSON cells hold commas, quotes and line breaks.
 CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
@@ -90,6 +91,7 @@ def read_stage(
 
     Only ``columns`` are read. Unparseable values of ``ts`` drop their row or fail the job.
     """
+    use_utc(spark)
     try:
         df = spark.read.parquet(path)
     except AnalysisException:

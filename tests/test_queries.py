@@ -36,7 +36,7 @@ def executed_plan(df):
 
 
 @pytest.mark.parametrize(
-    "name, scans", [("station_state", 1), ("segments", 1), ("label_coverage", 1), ("dense_grid", None), ("auc_exact", 1), ("split_rows", 1)]
+    "name, scans", [("station_state", 1), ("segments", 1), ("label_coverage", 1), ("dense_grid", 1), ("auc_exact", 1), ("split_rows", 1)]
 )
 def test_plans(spark, name, scans):
     """No cross or nested-loop join, no Python, and no input read twice, with broadcasts off as at scale."""

@@ -118,6 +118,9 @@ def test_whole_chain(spark, tmp_path):
     tables = reports.gap_report(spark, paths.path("selected"), output_csv=str(tmp_path / "coverage"))
     assert {"gap_hours", "label_coverage", "occupied_rate"} <= set(tables)
     assert tables["gap_hours"].first()["p50"] == pytest.approx(1 / 3)
+    profile = reports.stage_profile(spark, paths)
+    assert profile["shape"].first()["n_rows"] == 6 * 3 * 72
+    assert "st_ports" not in {r["column"] for r in profile["values"].select("column").distinct().collect()}
     assert reports.daily_coverage(spark, paths.path("selected")).count() == 3
     assert spark.read.option("header", True).csv(str(tmp_path / "coverage")).count() == 5
 
