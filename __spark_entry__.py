@@ -900,8 +900,8 @@ def _varying_totals(spark, sf_dir):
     f"""WITH {LOG},
 k AS (SELECT port_id FROM (SELECT DISTINCT port_id, port_connector_type, port_charging_mechanism FROM log)
       GROUP BY ALL HAVING count(*) > 1)
-SELECT port_id, port_connector_type, port_charging_mechanism, ts, port_status FROM log
-WHERE port_id IN (SELECT port_id FROM k)""",
+SELECT port_id, port_connector_type, port_charging_mechanism, ts, port_status, count(*) AS copies FROM log
+WHERE port_id IN (SELECT port_id FROM k) GROUP BY ALL""",
 )
 def _change_history(spark, sf_dir):
     log = port_log(spark, sf_dir).withColumnRenamed("port_last_updated_parsed", "ts")

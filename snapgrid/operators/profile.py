@@ -80,11 +80,12 @@ def one_hot_correlation(df: DataFrame, columns: list[str], values: dict[str, lis
     """
     values = values or categories(df, columns)
     tuples = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    # The empty name is held by every row: its joint counts are the single counts and the total.
     held = F.filter(
-        F.array(*[F.concat(F.lit(f"{c}_"), F.col(c).cast("string")) for c in columns]), lambda x: x.isNotNull()
+        F.array(F.lit(""), *[F.concat(F.lit(f"{c}_"), F.col(c).cast("string")) for c in columns]),
+        lambda x: x.isNotNull(),
     )
     names = [f"{c}_{v}" for c in columns for v in values[c]]
-    total = tuples.agg(F.sum("_n").cast("double").alias("N"))
     joint = (
         tuples.select("_n", held.alias("_h"))
         .select("_n", F.explode("_h").alias("a"), "_h")
@@ -92,14 +93,15 @@ def one_hot_correlation(df: DataFrame, columns: list[str], values: dict[str, lis
         .groupBy("a", "b")
         .agg(F.sum("_n").cast("double").alias("nab"))
     )
-    single = joint.filter("a = b")
+    total = joint.filter("a = '' and b = ''").select(F.col("nab").alias("N"))
+    single = joint.filter("b = ''").select("a", F.col("nab").alias("na"))
     # The result has one row per pair of names by definition; it is spelled out from the fixed names.
     every = F.array(*[F.lit(n) for n in names])
     spine = total.select("N", F.explode(every).alias("a")).select("N", "a", F.explode(every).alias("b"))
     rows = (
         spine.join(joint, ["a", "b"], "left")
-        .join(single.select("a", F.col("nab").alias("na")), "a")
-        .join(single.select(F.col("a").alias("b"), F.col("nab").alias("nb")), "b")
+        .join(single, "a")
+        .join(single.select(F.col("a").alias("b"), F.col("na").alias("nb")), "b")
     )
     pa, pb = F.col("na") / F.col("N"), F.col("nb") / F.col("N")
     cov = F.coalesce("nab", F.lit(0.0)) / F.col("N") - pa * pb

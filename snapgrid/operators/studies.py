@@ -47,12 +47,14 @@ def multi_combo_groups(df: DataFrame, columns: list[str], entity: str, group: st
 
 
 def change_history(df: DataFrame, entity: str, columns: list[str], shown: list[str]) -> DataFrame:
-    """All rows of the entities whose combination changed (null counts as a value).
+    """All entries of the entities whose combination changed (null counts as a value).
 
-    The timeline stays long, one row per entry, instead of one list per entity: a third of all rows
-    may belong to one entity. Sort by entity and time to read it.
+    The timeline stays long, one row per distinct entry with its number of ``copies``, instead of one
+    list per entity: a third of all rows may belong to one entity, or be copies of one entry. Sort by
+    entity and time to read it.
     """
     known = df.filter(F.col(entity).isNotNull())
     combos = known.select(entity, *columns).distinct()
     changed = combos.groupBy(entity).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(entity)
-    return salted_join(known.select(entity, *columns, *shown), changed, [entity], "left_semi")
+    entries = known.groupBy(entity, *columns, *shown).agg(F.count(F.lit(1)).alias("copies"))
+    return salted_join(entries, changed, [entity], "left_semi")

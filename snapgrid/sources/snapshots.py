@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,33 +12,45 @@ from pyspark.sql import types as T
 from snapgrid.schema import LOCATION_RECORD
 from snapgrid.session import use_utc
 
-BROKEN = "_broken"
+
+def infer_record(spark: SparkSession, folder: str, envelope: str = "locations") -> T.StructType:
+    """The record schema found in a folder of documents; one more pass over them."""
+    found = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").json(folder).schema
+    if envelope in found.fieldNames() and isinstance(found[envelope].dataType, T.ArrayType):
+        inner = found[envelope].dataType.elementType
+        if isinstance(inner, T.StructType):
+            return inner
+    return T.StructType([f for f in found.fields if f.name != envelope])
 
 
 def read_snapshots(
-    spark: SparkSession, folder: str, record: T.StructType = LOCATION_RECORD, envelope: str = "locations"
+    spark: SparkSession, folder: str, record: T.StructType | None = LOCATION_RECORD, envelope: str = "locations"
 ) -> DataFrame:
     """All records of a folder of JSON documents, one row each, with the source file name.
 
     A document is an object that holds the records in ``envelope``, a list of records, or one record.
-    Text that is no JSON, and an envelope that is no list of records, fail the job. Files are read in
-    parallel; the only unit that has to fit a task is one document.
+    A document in which none of these is found (broken text, an envelope that is no list) fails the
+    job; a single field of another type is null. Files are read in parallel; the only unit that has to
+    fit a task is one document. Without a ``record`` schema it is inferred first.
     """
+    record = record or infer_record(spark, folder, envelope)
     fields = [f for f in record.fields if f.name != envelope]
-    document = T.StructType(
-        [T.StructField(envelope, T.ArrayType(T.StructType(fields))), *fields, T.StructField(BROKEN, T.StringType())]
-    )
+    rows = T.ArrayType(T.StructType(fields))
     raw = (
-        use_utc(spark).read.schema(document)
+        use_utc(spark)
+        .read.schema(T.StructType([T.StructField(envelope, rows), *fields]))
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BROKEN)
         .option("pathGlobFilter", "*.json")
         .json(folder)
     )
-    name = F.col("_metadata.file_name").alias("source_file")
     own = F.struct(*[F.col(f"`{f.name}`") for f in fields])
+    known = reduce(or_, [F.col(f"`{f.name}`").isNotNull() for f in fields])
     message = F.concat(F.lit("unexpected JSON structure in "), F.col("source_file"))
-    broken = F.raise_error(message).cast(T.ArrayType(T.StructType(fields)))
-    records = F.when(F.col(BROKEN).isNotNull(), broken).otherwise(F.coalesce(F.col(envelope), F.array(own)))
-    return raw.select("*", name).select("source_file", F.explode(records).alias("_r")).select("source_file", "_r.*")
+    records = (
+        F.when(F.col(envelope).isNotNull(), F.col(envelope))
+        .when(known, F.array(own))
+        .otherwise(F.raise_error(message).cast(rows))
+    )
+    named = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
+    return named.select("source_file", F.explode(records).alias("_r")).select("source_file", "_r.*")

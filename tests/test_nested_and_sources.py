@@ -45,6 +45,27 @@ def test_envelope_that_is_no_list_fails(spark, tmp_path):
         read_snapshots(spark, str(tmp_path / "bad"), RECORD).collect()
 
 
+@pytest.mark.parametrize("document", ["{broken", '{"locations": null}', '{"locations": {"id": 1}}', '{"other": 1}'])
+def test_documents_without_records_fail(spark, tmp_path, document):
+    write(tmp_path / "bad", "x.json", document)
+    with pytest.raises(Exception, match="unexpected JSON structure"):
+        read_snapshots(spark, str(tmp_path / "bad"), RECORD).collect()
+
+
+def test_field_of_another_type_is_null(spark, tmp_path):
+    write(tmp_path / "odd", "x.json", {"locations": [{"id": "x1", "tags": ["a"]}, {"id": 2, "address": {"code": 5}}]})
+    got = read_snapshots(spark, str(tmp_path / "odd"), RECORD).collect()
+    assert [(r["id"], r["tags"]) for r in got] == [(None, ["a"]), (2, None)]
+    assert got[1]["address"]["code"] == "5"
+
+
+def test_inferred_record(spark, tmp_path):
+    write(tmp_path / "any", "a.json", {"locations": [{"id": 1, "x": {"y": [1, 2]}}], "version": 3})
+    write(tmp_path / "any", "b.json", [{"id": 2}])
+    got = nested.flatten(read_snapshots(spark, str(tmp_path / "any"), None))
+    assert set(map(tuple, got.collect())) == {("a.json", 1, "[1,2]"), ("b.json", 2, None)}
+
+
 def test_flatten_order_and_types(spark):
     df = spark.sql("select named_struct('b', 1, 'c', named_struct('d', 'x')) as a, array(1, 2) as l, 5 as z")
     flat = nested.flatten(df)

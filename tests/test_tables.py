@@ -111,6 +111,9 @@ def test_port_study(spark):
     assert as_set(found["multi_combo_stations"]) == {(1, "TYPE_2", 11.0, "SOCKET", 1, 2), (1, "TYPE_2", 22.0, "SOCKET", 1, 2)}
     changed = found["changed_ports"].collect()
     assert {r["port_id"] for r in changed} == {1, 4} and len(changed) == 4
+    assert {r["copies"] for r in changed} == {1}
+    twice = reports.port_study(ports(spark).union(ports(spark)))["changed_ports"]
+    assert twice.count() == 4 and twice.agg(F.sum("copies")).first()[0] == 8
     assert tuple(found["duplicates"].first()) == (6, 4, 0) and found["duplicate_rows"].count() == 0
 
 
