@@ -296,8 +296,7 @@ FROM h, cut GROUP BY ALL"""
 def _split(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     rows_20 = labelled(spark, sf_dir, 20)
     sided = labels.label_split(rows_20, labels.split_instant(rows_20, mode=mode))
-    ends = sided.groupBy("split").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    return finished(metrics.split_counts(sided).join(ends, "split"))
+    return finished(metrics.split_counts(sided))
 
 
 @query(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import grid_steps
-from snapgrid.operators.labels import eligible_rows, label_split, split_instant, with_labels
+from snapgrid.operators.labels import eligible_rows, label_split, split_point, with_labels
 from snapgrid.operators.metrics import binary_metrics, exact_auc, split_counts
 from snapgrid.schema import FEATURE_COLUMNS, GRID_MINUTES, distinct_names
 from snapgrid.session import materialize
@@ -45,11 +45,6 @@ def impute_features(df: DataFrame, features: list[str], nullable: list[str]) ->
     return df.withColumns(flags).withColumns(filled), features + list(flags)
 
 
-def nullable_features(df: DataFrame, features: list[str]) -> list[str]:
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features]).first()
-    return [c for c in features if counts[c]]
-
-
 def classifier(settings: TrainSettings, features: list[str]) -> Pipeline:
     assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     boost = GBTClassifier(
@@ -112,21 +107,25 @@ def train_labelled(
     """Split, fit and score one horizon: the model, scored validation rows and a metrics row.
 
     All counts come from one aggregation and all metrics from two; no label or score is collected.
+    A feature without nulls in either part stays as it is, the others are imputed.
     """
     effective = grid_steps(horizon_minutes, GRID_MINUTES)[1]
     table = eligible_rows(labelled, horizon_minutes, state)
-    if table.isEmpty():
+    point = split_point(table, mode=settings.split_mode).first()
+    if not point["distinct_ts"]:
         raise ValueError(f"no eligible rows for horizon {horizon_minutes} min")
-    sided = label_split(table, split_instant(table, mode=settings.split_mode))
-    counts = {r["split"]: r for r in split_counts(sided, key).collect()}
+    sided = label_split(table, point["cut_us"])
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in settings.features]
+    counts = {r["split"]: r for r in split_counts(sided, key, "target", "split", "ts", *nulls).collect()}
     if len(counts) < 2:
         raise ValueError("the temporal split left one side empty")
+    nullable = [c for c in settings.features if any(r[f"null_{c}"] for r in counts.values())]
     positive = counts["train"]["positive"]
     negative = counts["train"]["rows"] - positive
     if not positive or not negative:
         raise ValueError(f"training data has only one class for horizon {horizon_minutes} min ({positive}, {negative})")
     weight = negative / positive if settings.balance_classes else 1.0
-    filled, features = impute_features(sided, settings.features, nullable_features(table, settings.features))
+    filled, features = impute_features(sided, settings.features, nullable)
     ready = filled.select(
         key,
         "ts",

@@ -70,12 +70,17 @@ def binary_metrics(
     )
 
 
-def split_counts(df: DataFrame, key: str = "st_id", label: str = "target", split: str = "split") -> DataFrame:
-    """Rows, positives, positive rate and distinct keys per side of a split."""
+def split_counts(
+    df: DataFrame, key: str = "st_id", label: str = "target", split: str = "split", ts: str = "ts", *extra: Column
+) -> DataFrame:
+    """Rows, positives, positive rate, distinct keys and time span per side of a split."""
     y = F.col(label).cast("long")
     return df.groupBy(split).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(y).alias("positive"),
         F.avg(y.cast("double")).alias("positive_rate"),
         F.countDistinct(key).alias("n_stations"),
+        F.min(ts).alias("first_ts"),
+        F.max(ts).alias("last_ts"),
+        *extra,
     )

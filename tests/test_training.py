@@ -55,7 +55,6 @@ def test_training_learns_the_clock(spark):
 
 def test_impute(spark):
     df = spark.createDataFrame([(1.0, None), (None, 2.0)], "a double, b double")
-    assert classify.nullable_features(df, ["a", "b"]) == ["a", "b"]
     got, names = classify.impute_features(df, ["a", "b"], ["a"])
     assert names == ["a", "b", "a_missing"]
     assert [(r["a"], r["a_missing"]) for r in got.collect()] == [(1.0, 0), (-1.0, 1)]
