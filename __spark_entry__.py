@@ -800,7 +800,7 @@ def _json_unnest(spark, sf_dir):
     address = T.StructType([T.StructField("k", T.LongType())])
     child = T.StructType([f for f in CHILD.fields if f.name != "address"] + [T.StructField("address", address)])
     found = nested.unnest(
-        packed(spark, sf_dir), "children", child, ["user_id"], {"status": ("port_status", "status")}, separator="_"
+        packed(spark, sf_dir), "children", child, ["user_id"], {"status": ("port_status", "status", "string")}, separator="_"
     )
     return found.select("id", "kind", "address_k", "status", "user_id")
 

@@ -41,16 +41,10 @@ def _json_path(*names: str) -> str:
     return "$" + "".join(f"['{n}']" for n in names)
 
 
-def first_object_field(item: Column, field: str, name: str, kind: str) -> Column:
-    """``name`` of the first object in ``field``, be it a list, a lone object or either as text."""
-    inner = F.try_variant_get(item, _json_path(field), "string")
-    text = F.try_parse_json(inner)
-    first, own = f"$[0]['{name}']", _json_path(name)
+def first_object_field(value: Column, name: str, kind: str) -> Column:
+    """``name`` of the first object in a variant: of a list's first element or of a lone object."""
     return F.coalesce(
-        F.try_variant_get(item, f"{_json_path(field)}[0]['{name}']", kind),
-        F.try_variant_get(item, _json_path(field, name), kind),
-        F.try_variant_get(text, first, kind),
-        F.try_variant_get(text, own, kind),
+        F.try_variant_get(value, f"$[0]['{name}']", kind), F.try_variant_get(value, _json_path(name), kind)
     )
 
 
@@ -59,7 +53,7 @@ def unnest(
     column: str,
     child: T.StructType,
     parents: list[str],
-    lift: dict[str, tuple[str, str]] | None = None,
+    lift: dict[str, tuple[str, str, str]] | None = None,
     drop: tuple[str, ...] = ("coordinates",),
     separator: str = ".",
 ) -> DataFrame:
@@ -67,19 +61,22 @@ def unnest(
 
     ``column`` is JSON text or an already typed array of structs, whose inner lists stay typed. Items that are no objects, and cells
     that are no lists, give no row. ``lift`` moves a field of the first element of an inner list up,
-    as ``new name: (list, field)``; the list itself is dropped. A parent key wins over a child field.
+    as ``new name: (list, field, type)``; the list itself, or the JSON text of it, is dropped. A parent key wins over a child field.
     """
     lift = lift or {}
-    gone = set(drop) | {source for source, _ in lift.values()}
-    kinds = {f.name: f.dataType for f in child.fields}
+    gone = set(drop) | {source for source, _, _ in lift.values()}
     leaves = [(p, k) for p, k in _leaves(child) if p[0] not in gone and separator.join(p) not in parents]
     typed = isinstance(df.schema[column].dataType, T.ArrayType)
     if typed:
         rows = df.select(*parents, F.explode(column).alias("_item")).filter("_item is not null")
         values = [_field(("_item",) + p) for p, _ in leaves]
-        lifted = {
-            name: F.get(F.col(f"_item.{source}"), F.lit(0))[field] for name, (source, field) in lift.items()
-        }
+        lifted = {}
+        for name, (source, field, kind) in lift.items():
+            inner = F.col(f"_item.{source}")
+            if isinstance(df.schema[column].dataType.elementType[source].dataType, T.StringType):
+                lifted[name] = first_object_field(parse_json(inner), field, kind)
+            else:
+                lifted[name] = F.get(inner, F.lit(0))[field].try_cast(kind)
     else:
         items = F.try_variant_get(parse_json(F.col(column)), "$", "array<variant>")
         rows = df.select(*parents, F.explode(items).alias("_item"))
@@ -92,9 +89,10 @@ def unnest(
             for p, k in leaves
         ]
         lifted = {}
-        for name, (source, field) in lift.items():
-            inner = kinds[source].elementType if isinstance(kinds[source], T.ArrayType) else kinds[source]
-            lifted[name] = first_object_field(item, source, field, inner[field].dataType.simpleString())
+        for name, (source, field, kind) in lift.items():
+            inner = F.try_variant_get(item, _json_path(source), "variant")
+            text = parse_json(F.try_variant_get(item, _json_path(source), "string"))
+            lifted[name] = F.coalesce(first_object_field(inner, field, kind), first_object_field(text, field, kind))
     return rows.select(
         *[v.alias(separator.join(p)) for v, (p, _) in zip(values, leaves)],
         *[v.alias(n) for n, v in lifted.items() if n not in parents],
@@ -116,10 +114,7 @@ def opening_hours(df: DataFrame, column: str = "opening_hours") -> DataFrame:
         parts = {f: first[f] for f in fields}
     else:
         value = parse_json(F.col(column))
-        parts = {
-            f: F.coalesce(F.try_variant_get(value, f"$[0]['{f}']", k), F.try_variant_get(value, _json_path(f), k))
-            for f, k in fields.items()
-        }
+        parts = {f: first_object_field(value, f, k) for f, k in fields.items()}
     return df.select("*", *[v.alias(f"{column}_{f}") for f, v in parts.items()]).drop(column)
 
 

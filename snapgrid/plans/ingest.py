@@ -13,9 +13,9 @@ from snapgrid.sources.snapshots import read_snapshots
 from snapgrid.sources.tables import header_columns, list_files, read_checked, read_csv, union_checked
 
 PORT_LIFT = {
-    "status": ("port_status", "status"),
-    "authentication_id": ("authentications", "authentication_id"),
-    "payment_required": ("authentications", "payment_required"),
+    "status": ("port_status", "status", "string"),
+    "authentication_id": ("authentications", "authentication_id", "string"),
+    "payment_required": ("authentications", "payment_required", "boolean"),
 }
 
 

@@ -23,6 +23,15 @@ def infer_record(spark: SparkSession, folder: str, envelope: str = "locations")
     return T.StructType([f for f in found.fields if f.name != envelope])
 
 
+def as_text(kind: T.DataType) -> T.DataType:
+    """The same nesting with text leaves."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(as_text(kind.elementType))
+    return T.StringType()
+
+
 def read_snapshots(
     spark: SparkSession, folder: str, record: T.StructType | None = LOCATION_RECORD, envelope: str = "locations"
 ) -> DataFrame:
@@ -30,15 +39,18 @@ def read_snapshots(
 
     A document is an object that holds the records in ``envelope``, a list of records, or one record.
     A document in which none of these is found (broken text, an envelope that is no list) fails the
-    job; a single field of another type is null. Files are read in parallel; the only unit that has to
-    fit a task is one document. Without a ``record`` schema it is inferred first.
+    job. Values are read as text and then cast, so a number in quotes is a number and a value that does
+    not fit is null; a field declared as text keeps nested JSON as it is. Files are read in parallel; the
+    only unit that has to fit a task is one document. Without a ``record`` schema it is inferred first.
     """
     record = record or infer_record(spark, folder, envelope)
     fields = [f for f in record.fields if f.name != envelope]
-    rows = T.ArrayType(T.StructType(fields))
+    wanted = T.StructType(fields)
+    loose = as_text(wanted)
+    rows = T.ArrayType(loose)
     raw = (
         use_utc(spark)
-        .read.schema(T.StructType([T.StructField(envelope, rows), *fields]))
+        .read.schema(T.StructType([T.StructField(envelope, rows), *loose.fields]))
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("pathGlobFilter", "*.json")
@@ -53,4 +65,5 @@ def read_snapshots(
         .otherwise(F.raise_error(message).cast(rows))
     )
     named = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
-    return named.select("source_file", F.explode(records).alias("_r")).select("source_file", "_r.*")
+    found = named.select("source_file", F.explode(records).alias("_r"))
+    return found.select("source_file", F.col("_r").try_cast(wanted).alias("_r")).select("source_file", "_r.*")

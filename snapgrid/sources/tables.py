@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -16,11 +17,17 @@ from snapgrid.session import use_utc
 
 #: JSON cells hold commas, quotes and line breaks.
 CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
+HEADER_READERS = 16
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header: typed by ``schema``, all text without one (types are not guessed)."""
-    reader = spark.read.options(**CSV_OPTIONS)
+def read_csv(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None, line_breaks: bool = True
+) -> DataFrame:
+    """CSV with a header: typed by ``schema``, all text without one (types are not guessed).
+
+    Where no cell holds a line break, ``line_breaks=False`` lets Spark split large files.
+    """
+    reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": line_breaks})
     return (reader.schema(schema) if schema else reader).csv(paths)
 
 
@@ -70,9 +77,10 @@ def read_checked(spark: SparkSession, paths: list[str], reference: list[str] | N
     Files with the same header order share one scan, so the plan has one leaf per order, not per file.
     """
     reference = reference or header_columns(spark, paths[0])
+    with ThreadPoolExecutor(HEADER_READERS) as readers:
+        headers = list(readers.map(lambda path: header_columns(spark, path), paths))
     by_order: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        columns = header_columns(spark, path)
+    for path, columns in zip(paths, headers):
         check_columns(columns, reference, path)
         by_order.setdefault(tuple(columns), []).append(path)
     schemas = {order: T.StructType([T.StructField(c, T.StringType()) for c in order]) for order in by_order}

@@ -59,6 +59,20 @@ def test_field_of_another_type_is_null(spark, tmp_path):
     assert got[1]["address"]["code"] == "5"
 
 
+def test_lone_objects_and_quoted_numbers(spark, tmp_path):
+    port = {"id": "5", "power_kw": "7.4", "port_status": {"status": "A"}, "authentications": [{"payment_required": True}]}
+    station = {"id": 3, "ports": [port, {"id": 6, "port_status": [{"status": "B"}, {"status": "C"}]}]}
+    location = {"id": 1, "last_updated": "2024-01-01T00:00:00Z", "opening_hours": {"hour_begin": "8:00"}, "stations": [station]}
+    write(tmp_path / "json", "a.json", {"locations": [location]})
+    locations = ingest.locations_from_snapshots(spark, str(tmp_path / "json"))
+    assert locations.first()["loc_opening_hours_hour_begin"] == "8:00"
+    got = ingest.extract_ports(ingest.extract_stations(locations)).orderBy("port_id").collect()
+    assert [(r["port_id"], r["port_power_kw"], r["port_status"], r["port_payment_required"]) for r in got] == [
+        (5, 7.4, "A", True),
+        (6, None, "B", None),
+    ]
+
+
 def test_inferred_record(spark, tmp_path):
     write(tmp_path / "any", "a.json", {"locations": [{"id": 1, "x": {"y": [1, 2]}}], "version": 3})
     write(tmp_path / "any", "b.json", [{"id": 2}])
