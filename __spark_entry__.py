@@ -514,18 +514,23 @@ def _port_totals(spark, sf_dir):
     return state.port_totals(port_log(spark, sf_dir))
 
 
+SLOTS = list(range(10))
+
+
 @query(
     "status_wide",
     f"""WITH {LOG},
 wide AS (SELECT port_station_id, ts,
-                max(port_status) FILTER (port_id = 1) AS p1, max(port_status) FILTER (port_id = 12) AS p2
+                {", ".join(f"max(port_status) FILTER (port_id % 10 = {i}) AS p{i}" for i in SLOTS)}
          FROM log GROUP BY ALL)
-SELECT port_station_id, ts AS snapshot_ts, last_value(p1 IGNORE NULLS) OVER w AS port_1,
-       last_value(p2 IGNORE NULLS) OVER w AS port_12
+SELECT port_station_id, ts AS snapshot_ts,
+       {", ".join(f"last_value(p{i} IGNORE NULLS) OVER w AS port_{i}" for i in SLOTS)}
 FROM wide WINDOW w AS (PARTITION BY port_station_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def _status_wide(spark, sf_dir):
-    return finished(state.statuses_over_time(port_log(spark, sf_dir), [1, 12]))
+    """All ports: a station has ten, one column per place in the station."""
+    log = port_log(spark, sf_dir)
+    return finished(state.statuses_over_time(log.withColumn("port_id", F.col("port_id") % 10), SLOTS))
 
 
 @query("dc_flag", f"WITH {LOG} SELECT port_id, ts, CAST({DC} AS BIGINT) AS is_dc FROM log")

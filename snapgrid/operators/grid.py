@@ -55,7 +55,7 @@ def grid_rows(
     filled = along.rowsBetween(Window.unboundedPreceding, 0)
     step = F.make_interval(mins=F.lit(minutes))
     following = F.lead("ts").over(along)
-    last_step = F.coalesce(following - step, F.col("ts"))
+    last_step = F.greatest(F.coalesce(following - step, F.col("ts")), F.col("ts"))
     if fresh_only:
         last_step = F.least(last_step, F.col("ts") + F.make_interval(mins=F.lit(stale_after // minutes * minutes)))
     origin = buckets.select(

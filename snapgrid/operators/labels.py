@@ -53,7 +53,7 @@ def horizon_labels(
 
 
 def split_point(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share: float = 0.8) -> DataFrame:
-    """One row: ``cut_us`` in microseconds (rows before it train) and ``distinct_ts``.
+    """One row: ``cut_us`` in microseconds (rows before it train), ``first_us`` and ``distinct_ts``.
 
     ``timestamps`` cuts the sorted distinct instants, ``rows`` cuts at the row-weighted quantile with
     linear interpolation. Rows are counted per instant first; ranks come from sliced running sums.
@@ -69,26 +69,32 @@ def split_point(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share:
     )
     ranked = running_sums(instants, [], "us", ["n"])
     n, run = F.col("n_total"), F.col("n_run")
+    facts = [F.min("us").alias("first_us"), F.count(F.lit(1)).alias("distinct_ts")]
     if mode == "timestamps":
         rank = F.greatest(F.lit(1), F.least(F.floor(n * F.lit(share)), n - 1))
-        return ranked.agg(F.min(F.when(run > rank, F.col("us"))).alias("cut_us"), F.count(F.lit(1)).alias("distinct_ts"))
+        return ranked.agg(F.min(F.when(run > rank, F.col("us"))).alias("cut_us"), *facts)
     position = (n - 1) * F.lit(share)
     low = F.floor(position)
     ends = ranked.agg(
         F.min(F.when(run > low, F.col("us"))).alias("lo"),
         F.min(F.when(run > F.least(low + 1, n - 1), F.col("us"))).alias("hi"),
         F.max(position - low).alias("part"),
-        F.count(F.lit(1)).alias("distinct_ts"),
+        *facts,
     )
     cut = F.floor(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part"))
-    return ends.select(cut.alias("cut_us"), "distinct_ts")
+    return ends.select(cut.alias("cut_us"), "first_us", "distinct_ts")
 
 
 def split_instant(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share: float = 0.8) -> int:
-    """The split point as a number; one row reaches the driver. Too few instants are an error."""
+    """The split point as a number; one row reaches the driver. An empty side is an error.
+
+    The cut is never after the last instant, so only the training side can be empty.
+    """
     point = split_point(df, ts, mode, share).first()
     if point["distinct_ts"] < 2:
         raise ValueError("a temporal split needs at least two distinct timestamps")
+    if point["first_us"] >= point["cut_us"]:
+        raise ValueError("the temporal split left one side empty")
     return point["cut_us"]
 
 
@@ -98,10 +104,7 @@ def split_train_valid(
     """Two frames, every training instant before every validation instant; neither is empty."""
     cut = split_instant(df, ts, mode, share)
     us = F.unix_micros(ts)
-    train, valid = df.filter(us < F.lit(cut)), df.filter(us >= F.lit(cut))
-    if train.isEmpty() or valid.isEmpty():
-        raise ValueError("the temporal split left one side empty")
-    return train, valid
+    return df.filter(us < F.lit(cut)), df.filter(us >= F.lit(cut))
 
 
 def label_split(df: DataFrame, cut_us: int, ts: str = "ts") -> DataFrame:

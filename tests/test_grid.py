@@ -132,6 +132,19 @@ def test_split_needs_two_instants(spark):
         labels.split_point(df, mode="random")
 
 
+def test_row_split_with_an_empty_side(spark):
+    rows = [(i, "2025-01-01 00:00:00", 0.0, 1.0) for i in range(19)] + [(0, "2025-01-01 00:10:00", 0.0, 1.0)]
+    with pytest.raises(ValueError, match="one side empty"):
+        labels.split_train_valid(dense(spark, rows), mode="rows")
+    assert [d.count() for d in labels.split_train_valid(dense(spark, rows))] == [19, 1]
+
+
+def test_rows_off_the_grid_do_not_break_it(spark):
+    df = spark.createDataFrame([(1, "2025-01-01 00:00:00", 1), (1, "2025-01-01 00:04:00", 2)], "st_id int, ts string, s int")
+    got = grid.grid_rows(df.withColumn("ts", F.col("ts").cast("timestamp")), state=["s"])
+    assert [r["s"] for r in got.orderBy("ts").collect()] == [1, 2]
+
+
 def test_static_features_do_not_multiply_rows(spark):
     df = station(spark, [(s, f"2025-01-01 0{h}:00:00", 1.0, 0.0, 0.0, 1.0, 0.0) for s in (1, 2) for h in (0, 3, 4)])
     got = grid.dense_grid(df)
