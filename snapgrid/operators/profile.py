@@ -97,7 +97,9 @@ def one_hot_correlation(df: DataFrame, columns: list[str], values: dict[str, lis
     single = joint.filter("b = ''").select("a", F.col("nab").alias("na"))
     # The result has one row per pair of names by definition; it is spelled out from the fixed names.
     every = F.array(*[F.lit(n) for n in names])
-    spine = total.select("N", F.explode(every).alias("a")).select("N", "a", F.explode(every).alias("b"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = total.select("N", F.explode(every).alias("a")).repartition(parts, "a")
+    spine = first.select("N", "a", F.explode(every).alias("b"))
     rows = (
         spine.join(joint, ["a", "b"], "left")
         .join(single, "a")

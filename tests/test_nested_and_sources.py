@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.operators import nested
-from snapgrid.plans import ingest
+from snapgrid.plans import ingest, reports
 from snapgrid.schema import LOCATION_RECORD, STATION_ITEM, PORT_ITEM
 from snapgrid.sources import sinks, tables
 from snapgrid.sources.snapshots import read_snapshots
@@ -193,6 +193,16 @@ def test_file_selection_and_checked_union(spark, tmp_path):
         tables.read_checked(spark, tables.list_files(spark, str(raw), "*.csv"))
 
 
+def test_raw_profile_by_file(spark, tmp_path):
+    raw = tmp_path / "raw"
+    csv(raw, "2022_01_loc.csv", "id,name", "1,", "2,b")
+    csv(raw, "2023_01_loc.csv", "id,name", "3,c")
+    found = reports.raw_profile(tables.read_csv(spark, str(raw), line_breaks=False))
+    assert set(map(tuple, found["shape"].collect())) == {("2022_01", 2, 2), ("2023_01", 1, 2)}
+    nulls = {(r["file"], r["column"]): r["nulls"] for r in found["nulls"].collect()}
+    assert nulls[("2022_01", "name")] == 1 and sum(nulls.values()) == 1
+
+
 def test_location_consolidation(spark, tmp_path):
     raw, hours = tmp_path / "raw", tmp_path / "hours"
     header = "id,opening_hours_weekday_begin,opening_hours_weekday_end,opening_hours_hour_begin,opening_hours_hour_end"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from snapgrid.operators import classify, quality
+from snapgrid.operators import classify, labels, quality
 from snapgrid.plans import batch, reports
 from snapgrid.schema import FEATURE_COLUMNS, StagePaths, required_horizon_columns
 from snapgrid.session import shared_folder
@@ -53,6 +53,16 @@ def test_training_learns_the_clock(spark):
     assert scored.filter("score < 0 or score > 1").isEmpty()
 
 
+def test_stale_rows_are_dropped_at_the_scan(spark, tmp_path):
+    path = str(tmp_path / "dense")
+    dense(spark, 5, lambda s, i: i).withColumn("unused", F.lit("x")).write.parquet(path)
+    labelled = labels.with_labels(spark.read.parquet(path), [10, 20, 30])
+    row = labels.eligible_rows(labelled, 30).select("st_id", "ts", "target")
+    plan = row._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(available_ports)" in plan and "unused" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_impute(spark):
     df = spark.createDataFrame([(1.0, None), (None, 2.0)], "a double, b double")
     got, names = classify.impute_features(df, ["a", "b"], ["a"])
