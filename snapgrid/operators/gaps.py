@@ -127,15 +127,16 @@ def label_coverage(
 
     No self-join: the latest instant up to the end of the tolerance window is a frame that only grows,
     and there is a match if it is not before the window's start. Rows just after a slice are repeated
-    into the slices that look ahead to them, at most ``reach / slice + 2`` times;
-    by default slices are six times the reach, so about one row in six is repeated.
+    into the slices that look ahead to them, at most ``reach / slice + 2`` times.
+    By default a slice is as wide as the reach: a row is there twice, and one task holds what one entity
+    does in twice the reach.
     """
     require_columns(df, [key, ts])
     if any(t + tolerance_minutes < 0 for t in travel_minutes):
         raise ValueError("travel times must not point into the past")
     names = sorted(set(travel_minutes))
     reach_minutes = max(names, default=0) + tolerance_minutes
-    slice_minutes = slice_minutes or max(SLICE_MINUTES, 6 * reach_minutes)
+    slice_minutes = slice_minutes or max(SLICE_MINUTES, reach_minutes)
     rows = _instants(df, key, ts, slice_minutes)
     first = time_slice(F.col("us") - F.lit(reach_minutes * MINUTE_US), slice_minutes)
     views = F.sequence(first, F.col(SLICE), F.lit(slice_minutes * MINUTE_US))
