@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.functions.ports import is_dc_fast
-from snapgrid.functions.time import clock_features, floor_to, micros, minutes_of_day
+from snapgrid.functions.time import clock_features, floor_to, minutes_of_day, month_label
 from snapgrid.functions.values import differs, number, round_half_even, truth_flag
 from snapgrid.operators import (
     classify,
@@ -255,7 +255,7 @@ def _fixed_floor(spark, sf_dir):
             "event_id",
             floor_to(F.col("ts"), 10).alias("bucket"),
             F.date_trunc("day", "ts").alias("day"),
-            F.date_format("ts", "yyyy-MM").alias("month"),
+            month_label(F.col("ts")).alias("month"),
         )
     )
 

@@ -11,10 +11,6 @@ MINUTE_US = 60_000_000
 HOUR_US = 60 * MINUTE_US
 
 
-def micros(ts: Column | str) -> Column:
-    return F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
-
-
 def floor_to(ts: Column, minutes: int) -> Column:
     """Floor an instant to a multiple of ``minutes``.
 

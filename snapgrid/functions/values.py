@@ -47,8 +47,7 @@ def safe_name(name: str) -> str:
 
 def file_tag(file_name: Column, parts: int = 2) -> Column:
     """The first ``_`` separated parts of a file stem."""
-    stem = F.regexp_replace(file_name, r"\.[^.]*$", "")
-    return F.substring_index(stem, "_", parts)
+    return F.substring_index(F.regexp_replace(file_name, r"\.[^.]*$", ""), "_", parts)
 
 
 def differs(value: Column, other) -> Column:

@@ -216,24 +216,38 @@ def station_lookup(locations: DataFrame, stations: DataFrame) -> DataFrame:
     On a name clash the location wins; a station without a known location keeps null there.
     """
     first_location = first_per_key(locations, ["loc_id"], ["loc_last_updated_parsed"])
+    place = first_location.drop(*LEFT_OUT).withColumnRenamed("loc_id", "_loc_id")
+    own = [c for c in stations.columns if c not in LEFT_OUT and c not in place.columns]
     # Versions of a station carry no time of their own: the smallest row is the documented choice.
-    first_station = first_per_key(stations.filter("st_id is not null"), ["st_id"], [])
-    drop = [c for c in LEFT_OUT if c in first_location.columns]
-    place = first_location.drop(*drop).withColumnRenamed("loc_id", "_loc_id")
-    own = [c for c in first_station.columns if c not in LEFT_OUT and c not in place.columns]
-    stations_of = first_station.select(*own, F.col("st_location_id").alias("_loc_id"))
+    first_station = first_per_key(stations.select(*own).filter("st_id is not null"), ["st_id"], [])
+    stations_of = first_station.withColumn("_loc_id", F.col("st_location_id"))
     return salted_join(stations_of, place, ["_loc_id"]).drop("_loc_id")
 
 
+PORT_COLUMNS = [
+    "port_id",
+    "port_station_id",
+    "port_last_updated",
+    "port_status",
+    "port_connector_type",
+    "port_power_kw",
+    "port_charging_mechanism",
+    "port_notes",
+]
+
+
 def station_timeseries(
     locations: DataFrame, stations: DataFrame, ports: DataFrame, slice_minutes: int = SLICE_MINUTES
 ) -> DataFrame:
     """The station series: state at every instant of change with station and location attributes.
 
-    Rows of 2021 and before 1971 are left out only here, after they have fed the carried state.
+    Columns that do not reach the result, the nested lists above all, are dropped before the first
+    shuffle. Rows of 2021 and before 1971 are left out only at the end, after they have fed the state.
     """
-    lookup = station_lookup(clean_locations(locations), stations).withColumnRenamed("st_id", "port_station_id")
-    states = station_states(clean_ports(ports), slice_minutes=slice_minutes, attach=lookup)
+    needed = locations.drop(*[c for c in LEFT_OUT if c != "loc_last_updated"])
+    lookup = station_lookup(clean_locations(needed), stations).withColumnRenamed("st_id", "port_station_id")
+    log = clean_ports(ports.select(*[c for c in PORT_COLUMNS if c in ports.columns]))
+    states = station_states(log, slice_minutes=slice_minutes, attach=lookup)
     named = states.withColumnRenamed("port_station_id", "st_id")
     kept = (F.year("snapshot_ts") != 2021) & (F.col("snapshot_ts") >= F.lit("1971-01-01").cast("timestamp"))
     return named.filter(kept)

@@ -76,10 +76,15 @@ def stage_profile(spark: SparkSession, paths: StagePaths, entity: str = "station
 
 
 def raw_profile(raw: DataFrame) -> dict[str, DataFrame]:
-    """Shape and nulls per raw file: one scan grouped by file instead of a loop over files."""
-    tagged = raw.select("*", file_tag(F.col("_metadata.file_name")).alias("file"))
-    return {"shape": profile.table_shape(tagged, "file"), "nulls": profile.null_counts(tagged, "file")}
+    """Shape and nulls per raw file, with a short title: one scan grouped by file instead of a loop."""
+    tagged = raw.select("*", F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("file"))
+    found = {"shape": profile.table_shape(tagged, "file"), "nulls": profile.null_counts(tagged, "file")}
+    return {name: table.withColumn("title", file_tag(F.col("file"))) for name, table in found.items()}
 
 
 def daily_coverage(spark: SparkSession, path: str, ts: str = "snapshot_ts") -> DataFrame:
-    return profile.daily_records(read_stage(spark, path, ts=ts), ts)
+    """Records per day of a stage table; a table without any valid time is an error."""
+    df = read_stage(spark, path, ts=ts)
+    if df.select(ts).isEmpty():
+        raise ValueError(f"no valid values in {ts}")
+    return profile.daily_records(df, ts)

@@ -198,9 +198,9 @@ def test_raw_profile_by_file(spark, tmp_path):
     csv(raw, "2022_01_loc.csv", "id,name", "1,", "2,b")
     csv(raw, "2023_01_loc.csv", "id,name", "3,c")
     found = reports.raw_profile(tables.read_csv(spark, str(raw), line_breaks=False))
-    assert set(map(tuple, found["shape"].collect())) == {("2022_01", 2, 2), ("2023_01", 1, 2)}
+    assert set(map(tuple, found["shape"].collect())) == {("2022_01_loc", 2, 2, "2022_01"), ("2023_01_loc", 1, 2, "2023_01")}
     nulls = {(r["file"], r["column"]): r["nulls"] for r in found["nulls"].collect()}
-    assert nulls[("2022_01", "name")] == 1 and sum(nulls.values()) == 1
+    assert nulls[("2022_01_loc", "name")] == 1 and sum(nulls.values()) == 1
 
 
 def test_location_consolidation(spark, tmp_path):
@@ -233,6 +233,12 @@ def test_stage_tables(spark, tmp_path):
         tables.read_stage(spark, path, ts="ts", bad_ts="fail").collect()
 
 
+def test_daily_coverage_needs_times(spark, tmp_path):
+    spark.createDataFrame([("soon",)], "snapshot_ts string").write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="no valid values"):
+        reports.daily_coverage(spark, str(tmp_path / "t"))
+
+
 def test_sinks(spark, tmp_path):
     df = spark.range(10).select((F.col("id") % 3).alias("k"), F.timestamp_seconds("id").alias("t"))
     assert sinks.write_counted(df, str(tmp_path / "t"), "k") == (10, 3)
