@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapgrid.operators.slices import SLICE, magnitude_slice, running_sums
 
@@ -16,6 +17,8 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 def _counted(df: DataFrame, value: str, weight: str | None) -> DataFrame:
     rows = df.filter(F.col(value).isNotNull())
+    if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
+        rows = rows.filter(~F.isnan(value))
     n = F.sum(weight) if weight else F.count(F.lit(1))
     return (
         rows.groupBy(F.col(value).alias("value"))
@@ -28,7 +31,7 @@ def _counted(df: DataFrame, value: str, weight: str | None) -> DataFrame:
 def describe(df: DataFrame, value: str, weight: str | None = None, percentiles: dict[str, float] = QUARTILES) -> DataFrame:
     """count, mean, sample std, min, percentiles (linear interpolation) and max, as one row.
 
-    ``weight`` counts a row several times. The mean rides on the carry table, so the spread is taken
+    Nulls and NaN do not count. ``weight`` counts a row several times. The mean rides on the carry table, so the spread is taken
     about the true mean, without a second pass and without cancellation.
     """
     counted = _counted(df, value, weight).withColumn("_nv", F.col("n") * F.col("value").cast("double"))
@@ -54,8 +57,9 @@ def describe(df: DataFrame, value: str, weight: str | None = None, percentiles:
         ]
     stats = ranked.agg(*exprs)
     std = F.when(F.col("count") > 1, F.sqrt(F.col("_m2") / (F.col("count") - 1)))
-    between = [
-        (F.col(f"_{p}_lo") + (F.col(f"_{p}_hi") - F.col(f"_{p}_lo")) * F.col(f"_{p}_f")).alias(p) for p in percentiles
-    ]
+    between = []
+    for p in percentiles:
+        low, high, part = F.col(f"_{p}_lo"), F.col(f"_{p}_hi"), F.col(f"_{p}_f")
+        between.append(F.when(part == 0, low).otherwise(low + (high - low) * part).alias(p))
     return stats.select("count", "mean", std.alias("std"), "min", *between, "max")
 

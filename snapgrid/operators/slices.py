@@ -38,7 +38,7 @@ def magnitude_slice(value: Column) -> Column:
     Values up to 1e18 in size fall into at most about seven million slices, whatever the data, which
     bounds every table with one row per slice.
     """
-    size = F.log1p(F.abs(value.cast("double")) * F.lit(1e6))
+    size = F.least(F.log1p(F.abs(value.cast("double")) * F.lit(1e6)), F.lit(800.0))  # infinity is the last slice
     return F.floor(F.signum(value.cast("double")) * size * F.lit(65536.0)).cast("long")
 
 

@@ -109,6 +109,12 @@ def test_describe_edge_cases(spark):
     check(describe.describe(df, "v").first(), [v for v in values if v is not None])
 
 
+def test_describe_ignores_nan_and_takes_infinity(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (3.0,), (float("inf"),)], "v double")
+    row = describe.describe(df, "v").first()
+    assert (row["count"], row["min"], row["p50"], row["max"]) == (3, 1.0, 3.0, float("inf"))
+
+
 def test_gap_tables(spark):
     df = frame(spark, [(1, 0), (1, HOUR), (2, 0)])
     found = gaps.gap_tables(df)
