@@ -123,7 +123,7 @@ def train_labelled(
     positive = counts["train"]["positive"]
     negative = counts["train"]["rows"] - positive
     if not positive or not negative:
-        raise ValueError(f"training data has only one class for horizon {horizon_minutes} min ({positive}, {negative})")
+        raise ValueError(f"horizon {horizon_minutes} min: only one class to learn from ({positive} of {positive + negative})")
     weight = negative / positive if settings.balance_classes else 1.0
     filled, features = impute_features(sided, settings.features, nullable)
     ready = filled.select(

@@ -39,14 +39,6 @@ def invalid_instants(df: DataFrame, ts: str) -> DataFrame:
     return df.agg(F.count_if(parse_instant(F.col(ts)).isNull()).alias("invalid"))
 
 
-def same_columns(df: DataFrame, expected: list[str]) -> None:
-    """Strict column set: nothing missing, nothing extra."""
-    missing = [c for c in expected if c not in df.columns]
-    extra = [c for c in df.columns if c not in expected]
-    if missing or extra:
-        raise ValueError(f"schema mismatch: missing columns {missing}, extra columns {extra}")
-
-
 def metric_gate(metrics: DataFrame, min_auc: float = 0.5, max_logloss: float = 1.5) -> DataFrame:
     """Violations of the model quality limits; an unknown AUC passes."""
     return contract_violations(

@@ -54,6 +54,13 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     return df
 
 
+def same_columns(columns: list[str], expected: list[str], source: str = "table") -> None:
+    """Strict column set in any order: nothing missing, nothing extra."""
+    have, want = set(columns), set(expected)
+    if have != want:
+        raise ValueError(f"{source}: columns differ, missing {sorted(want - have)}, unexpected {sorted(have - want)}")
+
+
 def replace_column(df: DataFrame, target: str, source: str) -> DataFrame:
     """Put ``source`` in the place of ``target`` and drop ``source``."""
     require_columns(df, [target, source])

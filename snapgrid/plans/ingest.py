@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 from snapgrid.operators.nested import flatten, opening_hours, unnest
 from snapgrid.operators.rows import prefix_columns
 from snapgrid.schema import LOCATION_RECORD, PORT_ITEM, STATION_ITEM
-from snapgrid.sources.sinks import write_csv, write_table
+from snapgrid.sources.sinks import write_table
 from snapgrid.sources.snapshots import read_snapshots
-from snapgrid.sources.tables import header_columns, list_files, read_checked, read_csv, union_checked
+from snapgrid.sources.tables import header_groups, list_files, read_checked, read_group, union_checked
 
+HOURS = "opening_hours"
 PORT_LIFT = {
     "status": ("port_status", "status", "string"),
     "authentication_id": ("authentications", "authentication_id", "string"),
@@ -25,29 +26,26 @@ def convert_snapshots(spark: SparkSession, json_folder: str, target: str, record
     return write_table(flat, target, ["source_file"])
 
 
-def derive_opening_hours(spark: SparkSession, table_folder: str, target: str) -> list[str]:
-    """Write each CSV table that has opening hours again, with the hours as columns."""
-    written = []
-    for path in list_files(spark, table_folder, "*.csv"):
-        if "opening_hours" in header_columns(spark, path):
-            stem = path.rsplit("/", 1)[-1].removesuffix(".csv")
-            out = f"{target}/{stem}_with_opening_hours.csv"
-            write_csv(opening_hours(read_csv(spark, path)), out)
-            written.append(out)
-    return written
+def tables_with_hours(spark: SparkSession, table_folder: str) -> DataFrame:
+    """All CSV tables that have nested opening hours as one frame, the hours as columns, by source file."""
+    groups = header_groups(spark, list_files(spark, table_folder, "*.csv"))
+    nested = [opening_hours(read_group(spark, header, files)) for header, files in groups.items() if HOURS in header]
+    if not nested:
+        raise FileNotFoundError(f"no tables with opening hours in {table_folder}")
+    return union_checked(nested)
+
+
+def derive_opening_hours(spark: SparkSession, table_folder: str, target: str) -> DataFrame:
+    """The tables with derived hours, written in one job with one part per source file."""
+    return write_table(tables_with_hours(spark, table_folder), target, ["source_file"])
 
 
 def consolidate_locations(
-    spark: SparkSession, raw_folder: str, hours_folders: list[str], prefixes: tuple[str, ...] = ("2022_", "2023_")
+    spark: SparkSession, raw_folder: str, with_hours: DataFrame, prefixes: tuple[str, ...] = ("2022_", "2023_")
 ) -> DataFrame:
     """Raw tables of the named years and those with derived hours as one table without duplicate rows."""
-    if not hours_folders:
-        raise FileNotFoundError("no tables with derived opening hours")
-    raw = list_files(spark, raw_folder, "*.csv", prefixes)
-    reference = header_columns(spark, raw[0])
-    everything = union_checked(
-        [read_checked(spark, raw, reference), read_checked(spark, hours_folders, reference)], reference
-    )
+    raw = read_checked(spark, list_files(spark, raw_folder, "*.csv", prefixes))
+    everything = union_checked([raw, with_hours.drop("source_file")], raw.columns)
     return prefix_columns(everything, "loc_").distinct()
 
 

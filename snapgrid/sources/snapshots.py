@@ -58,7 +58,7 @@ def read_snapshots(
     )
     own = F.struct(*[F.col(f"`{f.name}`") for f in fields])
     known = reduce(or_, [F.col(f"`{f.name}`").isNotNull() for f in fields])
-    message = F.concat(F.lit("unexpected JSON structure in "), F.col("source_file"))
+    message = F.concat(F.lit("no records found in "), F.col("source_file"))
     records = (
         F.when(F.col(envelope).isNotNull(), F.col(envelope))
         .when(known, F.array(own))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from snapgrid.functions.time import parse_instant
 from snapgrid.operators.grid import strict_instants
-from snapgrid.operators.rows import require_columns
+from snapgrid.operators.rows import require_columns, same_columns
 from snapgrid.session import use_utc
 
 #: JSON cells hold commas, quotes and line breaks.
@@ -53,38 +53,38 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def check_columns(columns: list[str], reference: list[str], source: str) -> None:
-    missing = [c for c in reference if c not in columns]
-    extra = [c for c in columns if c not in reference]
-    if missing or extra:
-        parts = [f"schema mismatch in {source}."]
-        parts += [f"Missing columns ({len(missing)}): {missing}"] if missing else []
-        parts += [f"Extra columns ({len(extra)}): {extra}"] if extra else []
-        raise ValueError(" ".join(parts))
-
-
 def union_checked(frames: list[DataFrame], reference: list[str] | None = None) -> DataFrame:
     """Union all by name of frames with equal column sets, in the reference order (default: the first's)."""
     reference = reference or frames[0].columns
     for i, frame in enumerate(frames):
-        check_columns(frame.columns, reference, f"input {i}")
+        same_columns(frame.columns, reference, f"input {i}")
     return reduce(DataFrame.unionByName, [frame.select(*reference) for frame in frames])
 
 
-def read_checked(spark: SparkSession, paths: list[str], reference: list[str] | None = None) -> DataFrame:
-    """Many CSV files with the same columns as one frame.
-
-    Files with the same header order share one scan, so the plan has one leaf per order, not per file.
-    """
-    reference = reference or header_columns(spark, paths[0])
+def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header; a group shares one scan, so a plan has one leaf per header, not per file."""
     with ThreadPoolExecutor(HEADER_READERS) as readers:
         headers = list(readers.map(lambda path: header_columns(spark, path), paths))
-    by_order: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in zip(paths, headers):
-        check_columns(columns, reference, path)
-        by_order.setdefault(tuple(columns), []).append(path)
-    schemas = {order: T.StructType([T.StructField(c, T.StringType()) for c in order]) for order in by_order}
-    return union_checked([read_csv(spark, files, schemas[order]) for order, files in by_order.items()], reference)
+        groups.setdefault(tuple(columns), []).append(path)
+    return groups
+
+
+def read_group(spark: SparkSession, columns: tuple[str, ...], paths: list[str]) -> DataFrame:
+    """Files with one header as text columns and their ``source_file``."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return read_csv(spark, paths, schema).select("*", F.col("_metadata.file_name").alias("source_file"))
+
+
+def read_checked(spark: SparkSession, paths: list[str], reference: list[str] | None = None) -> DataFrame:
+    """Many CSV files with the same columns, in any order, as one frame."""
+    reference = reference or header_columns(spark, paths[0])
+    frames = []
+    for columns, files in header_groups(spark, paths).items():
+        same_columns(list(columns), reference, files[0])
+        frames.append(read_group(spark, columns, files).select(*reference))
+    return union_checked(frames, reference)
 
 
 def read_stage(

@@ -41,14 +41,14 @@ def test_three_document_shapes(spark, tmp_path):
 
 def test_envelope_that_is_no_list_fails(spark, tmp_path):
     write(tmp_path / "bad", "x.json", {"locations": "none"})
-    with pytest.raises(Exception, match="unexpected JSON structure"):
+    with pytest.raises(Exception, match="no records found"):
         read_snapshots(spark, str(tmp_path / "bad"), RECORD).collect()
 
 
 @pytest.mark.parametrize("document", ["{broken", '{"locations": null}', '{"locations": {"id": 1}}', '{"other": 1}'])
 def test_documents_without_records_fail(spark, tmp_path, document):
     write(tmp_path / "bad", "x.json", document)
-    with pytest.raises(Exception, match="unexpected JSON structure"):
+    with pytest.raises(Exception, match="no records found"):
         read_snapshots(spark, str(tmp_path / "bad"), RECORD).collect()
 
 
@@ -189,7 +189,7 @@ def test_file_selection_and_checked_union(spark, tmp_path):
     assert got.columns == ["id", "name"] and set(map(tuple, got.collect())) == {("1", "a"), ("2", 'b, "q"')}
     with pytest.raises(FileNotFoundError):
         tables.list_files(spark, str(raw), "*.csv", ("1999_",))
-    with pytest.raises(ValueError, match=r"Missing columns \(2\): \['id', 'name'\] Extra columns \(1\): \['other'\]"):
+    with pytest.raises(ValueError, match=r"missing \['id', 'name'\], unexpected \['other'\]"):
         tables.read_checked(spark, tables.list_files(spark, str(raw), "*.csv"))
 
 
@@ -208,13 +208,19 @@ def test_location_consolidation(spark, tmp_path):
     header = "id,opening_hours_weekday_begin,opening_hours_weekday_end,opening_hours_hour_begin,opening_hours_hour_end"
     csv(raw, "2022_01.csv", header, "1,,,8:00,", "1,,,8:00,")
     csv(raw, "2024_01.csv", "id,opening_hours", '1,"[{""hour_begin"": ""8:00""}]"', '2,"[{""hour_begin"": ""9:00""}]"')
+    csv(raw, "2025_01.csv", "opening_hours,id", '"{""hour_begin"": ""7:00""}",3')
     written = ingest.derive_opening_hours(spark, str(raw), str(hours))
-    assert [w.rsplit("/", 1)[1] for w in written] == ["2024_01_with_opening_hours.csv"]
+    assert {(r["source_file"], r["id"]) for r in written.collect()} == {
+        ("2024_01.csv", "1"), ("2024_01.csv", "2"), ("2025_01.csv", "3"),
+    }
     got = ingest.consolidate_locations(spark, str(raw), written)
-    assert {(r["loc_id"], r["loc_opening_hours_hour_begin"]) for r in got.collect()} == {("1", "8:00"), ("2", "9:00")}
-    assert got.count() == 2
+    assert {(r["loc_id"], r["loc_opening_hours_hour_begin"]) for r in got.collect()} == {("1", "8:00"), ("2", "9:00"), ("3", "7:00")}
+    assert got.count() == 3
+    with pytest.raises(ValueError, match="unexpected"):
+        ingest.consolidate_locations(spark, str(raw), written.withColumn("more", F.lit(1)))
+    csv(tmp_path / "plain", "a.csv", "id", "1")
     with pytest.raises(FileNotFoundError):
-        ingest.consolidate_locations(spark, str(raw), [])
+        ingest.tables_with_hours(spark, str(tmp_path / "plain"))
 
 
 def test_stage_tables(spark, tmp_path):
