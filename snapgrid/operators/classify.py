@@ -94,7 +94,8 @@ def train_horizon(
     state: str = "available_ports",
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """One horizon straight from the dense grid."""
-    return train_labelled(training_table(grid, [horizon_minutes], settings, key, state), horizon_minutes, settings, key, state)
+    labelled = training_table(grid, [horizon_minutes], settings, key, state)
+    return train_labelled(labelled, horizon_minutes, settings, key, state)
 
 
 def train_labelled(
@@ -123,7 +124,7 @@ def train_labelled(
     positive = counts["train"]["positive"]
     negative = counts["train"]["rows"] - positive
     if not positive or not negative:
-        raise ValueError(f"horizon {horizon_minutes} min: only one class to learn from ({positive} of {positive + negative})")
+        raise ValueError(f"horizon {horizon_minutes} min: only one class ({positive} positive, {negative} negative)")
     weight = negative / positive if settings.balance_classes else 1.0
     filled, features = impute_features(sided, settings.features, nullable)
     ready = filled.select(

@@ -28,11 +28,13 @@ def _counted(df: DataFrame, value: str, weight: str | None) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, value: str, weight: str | None = None, percentiles: dict[str, float] = QUARTILES) -> DataFrame:
+def describe(
+    df: DataFrame, value: str, weight: str | None = None, percentiles: dict[str, float] = QUARTILES
+) -> DataFrame:
     """count, mean, sample std, min, percentiles (linear interpolation) and max, as one row.
 
-    Nulls and NaN do not count. ``weight`` counts a row several times. The mean rides on the carry table, so the spread is taken
-    about the true mean, without a second pass and without cancellation.
+    Nulls and NaN do not count. ``weight`` counts a row several times. The mean rides on the carry
+    table, so the spread is taken about the true mean, without a second pass and without cancellation.
     """
     counted = _counted(df, value, weight).withColumn("_nv", F.col("n") * F.col("value").cast("double"))
     ranked = running_sums(counted, [], "value", ["n", "_nv"])

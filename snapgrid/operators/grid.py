@@ -68,14 +68,14 @@ def grid_rows(
     if attach is not None:
         added = [c for c in attach.columns if c != key]
         origin = origin.join(attach, key, "left")
-    # Two levels: days, then steps within a day, so a gap of years never becomes one huge array.
-    day = F.make_interval(hours=F.lit(24))
-    days = origin.withColumn("_from", F.explode(F.sequence("_origin", "_until", day)))
-    steps = F.sequence("_from", F.least(F.col("_until"), F.col("_from") + day - step), step)
     if 1440 % minutes:
-        steps = F.sequence("_origin", "_until", step)
-        days = origin
-    rows = days.withColumn("ts", F.explode(steps))
+        rows = origin.withColumn("ts", F.explode(F.sequence("_origin", "_until", step)))
+    else:
+        # Two levels: days, then steps within a day, so a gap of years never becomes one huge array.
+        day = F.make_interval(hours=F.lit(24))
+        days = origin.withColumn("_from", F.explode(F.sequence("_origin", "_until", day)))
+        day_end = F.least(F.col("_until"), F.col("_from") + day - step)
+        rows = days.withColumn("ts", F.explode(F.sequence("_from", day_end, step)))
     age = minutes_between(F.col("ts"), F.col("_origin"))
     stale = age > stale_after
     return rows.select(
@@ -89,10 +89,6 @@ def grid_rows(
     )
 
 
-def with_clock(df: DataFrame, ts: str = "ts", zone: str = LOCAL_ZONE) -> DataFrame:
-    return df.withColumns(clock_features(F.col(ts), zone))
-
-
 def dense_grid(
     buckets: DataFrame,
     key: str = "st_id",

@@ -59,9 +59,10 @@ def unnest(
 ) -> DataFrame:
     """One row per child object of the list in ``column``, with the parent's keys.
 
-    ``column`` is JSON text or an already typed array of structs, whose inner lists stay typed. Items that are no objects, and cells
-    that are no lists, give no row. ``lift`` moves a field of the first element of an inner list up,
-    as ``new name: (list, field, type)``; the list itself, or the JSON text of it, is dropped. A parent key wins over a child field.
+    ``column`` is JSON text or an already typed array of structs, whose inner lists stay typed. Items
+    that are no objects, and cells that are no lists, give no row. ``lift`` moves a field of the first
+    element of an inner list (or its JSON text) up, as ``new name: (list, field, type)``, and drops the
+    list. A parent key wins over a child field.
     """
     lift = lift or {}
     gone = set(drop) | {source for source, _, _ in lift.values()}

@@ -43,7 +43,8 @@ def _port_events(
     flags = port_flags(*[F.col(c) for c in attributes])
     bits = sum((flags[f] * F.lit(1 << i) for i, f in enumerate(FLAGS)), F.lit(0))
     known, free = F.lit(1 << len(FLAGS)), F.lit(1 << (len(FLAGS) + 1))
-    code = bits + F.when(F.col(status).isNull(), 0).otherwise(known + F.when(F.col(status) == AVAILABLE, free).otherwise(0))
+    told = known + F.when(F.col(status) == AVAILABLE, free).otherwise(0)
+    code = bits + F.when(F.col(status).isNull(), 0).otherwise(told)
     rows = ports.filter(F.col(station).isNotNull() & F.col(port).isNotNull() & F.col(ts).isNotNull())
     packed = rows.groupBy(
         F.col(station).alias("station"), F.col(port).alias("port"), F.col(ts).alias("ts")

@@ -31,9 +31,8 @@ def write_counted(df: DataFrame, path: str, key: str) -> tuple[int, int]:
 
 def write_csv(df: DataFrame, path: str, sort: list[str] | None = None) -> None:
     """CSV export with ISO instants; sorted only on request."""
-    text = df.select(
-        *[iso_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`") for f in df.schema.fields]
-    )
+    instants = {f.name: iso_text(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
+    text = df.withColumns(instants) if instants else df
     if sort:
         text = text.orderBy(*[F.col(c).asc_nulls_last() for c in sort])
     text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
