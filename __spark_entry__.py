@@ -6,6 +6,7 @@ and a port status log (``port_log``: user = port, ten users = station).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,9 @@ from snapgrid.operators import (
     studies,
 )
 from snapgrid.plans import reports
-from snapgrid.session import instants, use_utc
-from snapgrid.sources.tables import union_checked
+from snapgrid.session import instants, shared_folder, use_utc
+from snapgrid.sources.sinks import write_csv
+from snapgrid.sources.tables import read_checked, union_checked
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -754,6 +756,22 @@ def _union_checked(spark, sf_dir):
     return finished(union_checked([early, late]))
 
 
+@query(
+    "csv_stage",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       '{"a,b": "' || o_orderstatus || '"}' AS note FROM orders""",
+)
+def _csv_stage(spark, sf_dir):
+    """The whole table written as CSV (with JSON cells), read back with the column check and cast."""
+    orders = table(spark, sf_dir, "orders")
+    note = F.concat(F.lit('{"a,b": "'), F.col("o_orderstatus"), F.lit('"}'))
+    path = f"{shared_folder(spark).rstrip('/')}/orders-{uuid.uuid4().hex}"
+    write_csv(orders.withColumn("note", note), path)
+    text = read_checked(spark, [path], [*orders.columns, "note"])
+    types = {f.name: f.dataType for f in orders.schema.fields}
+    return naive(text.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else c for c in text.columns]))
+
+
 # ---------------------------------------------------------------- nested data
 
 
