@@ -6,13 +6,18 @@ and a port status log (``port_log``: user = port, ten users = station).
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+if str(Path(__file__).resolve().parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from snapgrid.functions.ports import is_dc_fast
 from snapgrid.functions.time import clock_features, floor_to, minutes_of_day, month_label
 from snapgrid.functions.values import differs, number, round_half_even, truth_flag

@@ -31,16 +31,20 @@ def varying_totals(summary: DataFrame, columns: list[str]) -> DataFrame:
 def combo_frequencies(df: DataFrame, columns: list[str], entity: str, group: str | None = None) -> DataFrame:
     """Distinct entities per attribute combination, optionally per group; null keys are left out."""
     keys = ([group] if group else []) + columns
-    return df.na.drop(subset=keys).groupBy(*keys).agg(F.countDistinct(entity).alias("count"))
+    for c in keys:
+        df = df.filter(F.col(c).isNotNull())
+    return df.groupBy(*keys).agg(F.countDistinct(entity).alias("count"))
 
 
 def multi_combo_groups(df: DataFrame, columns: list[str], entity: str, group: str) -> DataFrame:
     """The combinations of groups that have several, with the group's number of entities.
 
-    Combinations are already counted here, so what is joined is small next to the rows.
+    Combinations are already counted here, so what is joined is small next to the rows. They are read
+    twice with the same columns, so that they are counted once.
     """
     combos = combo_frequencies(df, columns, entity, group)
-    several = combos.groupBy(group).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(group)
+    sizes = combos.groupBy(group).agg(F.count(F.lit(1)).alias("_k"), F.sum("count").alias("_n"))
+    several = sizes.filter("_k > 1 and _n >= 0").select(group)
     entities = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.countDistinct(entity).alias("entities"))
     lookup = several.join(entities, group, "left").withColumn("entities", F.coalesce("entities", F.lit(0)))
     return salted_join(combos, lookup, [group], "inner").select(group, *columns, "count", "entities")

@@ -44,9 +44,11 @@ def selected(spark: SparkSession, paths: StagePaths, threshold: float = 0.0) ->
     return table
 
 
-def dense(spark: SparkSession, paths: StagePaths) -> tuple[int, int]:
+def dense(spark: SparkSession, paths: StagePaths, static_until=None) -> tuple[int, int]:
+    """Rows and stations written. ``static_until`` keeps later data out of the static columns."""
     series = read_stage(spark, paths.path("selected"), columns=SERIES_COLUMNS)
-    return write_counted(grid.dense_grid(grid.bucket_latest(series)), paths.path("dense"), "st_id")
+    table = grid.dense_grid(grid.bucket_latest(series), static_until=static_until)
+    return write_counted(table, paths.path("dense"), "st_id")
 
 
 def train(spark: SparkSession, paths: StagePaths, settings: classify.TrainSettings = classify.TrainSettings()) -> DataFrame:
