@@ -9,6 +9,7 @@ from snapgrid.functions.ports import MOTORCYCLE_NOTE
 from snapgrid.functions.time import minutes_of_day, parse_instant
 from snapgrid.functions.values import differs, truth_flag
 from snapgrid.operators.rows import latest_per_key
+from snapgrid.session import use_utc
 
 
 def clean_locations(
@@ -22,6 +23,7 @@ def clean_locations(
 
     Flag and hour columns that the table lacks are skipped.
     """
+    use_utc(locations.sparkSession)
     have = set(locations.columns)
     changed = {f"{updated}_parsed": parse_instant(F.col(updated))}
     changed |= {c: truth_flag(F.col(c)) for c in flags if c in have}
@@ -37,6 +39,7 @@ def clean_ports(
     excluded_note: str = MOTORCYCLE_NOTE,
 ) -> DataFrame:
     """Drop rows without a valid update time, keep one row per (port, update), drop excluded notes."""
+    use_utc(ports.sparkSession)
     parsed = ports.withColumn(f"{updated}_parsed", parse_instant(F.col(updated)))
     valid = parsed.filter(F.col(f"{updated}_parsed").isNotNull())
     versions = latest_per_key(valid, [key, updated], [f"{updated}_parsed"])

@@ -11,6 +11,7 @@ from snapgrid.functions.time import HOUR_US, MINUTE_US
 from snapgrid.operators.describe import describe
 from snapgrid.operators.rows import require_columns
 from snapgrid.operators.slices import BEFORE, SLICE, SLICE_MINUTES, SO_FAR, placed, time_slice
+from snapgrid.session import use_utc
 
 
 def _instants(df: DataFrame, key: str, ts: str, slice_minutes: int) -> DataFrame:
@@ -65,6 +66,7 @@ def segment_lengths(gaps: DataFrame) -> DataFrame:
 
 
 def rows_per_year(df: DataFrame, ts: str) -> DataFrame:
+    use_utc(df.sparkSession)
     return df.filter(F.col(ts).isNotNull()).groupBy(F.year(ts).alias("year")).agg(F.count(F.lit(1)).alias("timestamps"))
 
 

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from snapgrid.functions.time import clock_features, floor_to, minutes_between, parse_instant
 from snapgrid.operators.rows import latest_per_key, modes, require_columns
 from snapgrid.schema import GRID_MINUTES, LOCAL_ZONE, STALE_CAP_MINUTES, STATE_COLUMNS, STATIC_COLUMNS
+from snapgrid.session import use_utc
 
 
 def strict_instants(df: DataFrame, ts: str) -> DataFrame:
     """Parse ``ts`` to an instant and fail the job on the first value that is none."""
+    use_utc(df.sparkSession)
     kind = dict(df.dtypes)[ts]
     parsed = F.col(ts) if kind == "timestamp" else parse_instant(F.col(ts))
     message = F.concat(F.lit(f"invalid timestamp in {ts}: "), F.coalesce(F.col(ts).cast("string"), F.lit("null")))
@@ -105,6 +107,7 @@ def dense_grid(
     ``static_until`` limits the static values to buckets before an instant, so that they know nothing
     of the validation period; by default they come from the whole history.
     """
+    use_utc(buckets.sparkSession)
     require_columns(buckets, [key, "ts", *state, *static])
     # Stated before the buckets are read twice, so that both readers share one shuffle.
     buckets = buckets.filter(F.col(key).isNotNull())

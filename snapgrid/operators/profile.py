@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from snapgrid.operators.encode import categories
 from snapgrid.operators.rows import require_columns
+from snapgrid.session import use_utc
 
 MISSING = "<NA>"
 
@@ -61,6 +62,7 @@ def daily_records(df: DataFrame, ts: str = "snapshot_ts") -> DataFrame:
 
     The spine is made from the counts themselves: each day fills the gap up to the next one.
     """
+    use_utc(df.sparkSession)
     require_columns(df, [ts])
     days = (
         df.filter(F.col(ts).isNotNull())

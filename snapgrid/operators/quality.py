@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import parse_instant
+from snapgrid.session import use_utc
 
 
 def contract_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -36,6 +37,7 @@ def enforce(violations: DataFrame) -> None:
 
 def invalid_instants(df: DataFrame, ts: str) -> DataFrame:
     """How many values of a time column are no instants."""
+    use_utc(df.sparkSession)
     return df.agg(F.count_if(parse_instant(F.col(ts)).isNull()).alias("invalid"))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapgrid.session import use_utc
+
 SALTS = 32
 
 
@@ -93,6 +95,7 @@ def modes(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     Equal tuples are counted first, so what is taken apart per column is the set of distinct tuples,
     not the rows; every step combines on the map side.
     """
+    use_utc(df.sparkSession)  # values pass through text
     types = {f.name: f.dataType for f in df.schema.fields}
     tuples = df.groupBy(key, *columns).agg(F.count(F.lit(1)).alias("_n"))
     pieces = [F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)]

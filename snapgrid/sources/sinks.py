@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.functions.time import iso_text
+from snapgrid.session import use_utc
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -31,6 +32,7 @@ def write_counted(df: DataFrame, path: str, key: str) -> tuple[int, int]:
 
 def write_csv(df: DataFrame, path: str, sort: list[str] | None = None) -> None:
     """CSV export with ISO instants; sorted only on request."""
+    use_utc(df.sparkSession)
     instants = {f.name: iso_text(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
     text = df.withColumns(instants) if instants else df
     if sort:

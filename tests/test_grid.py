@@ -150,3 +150,14 @@ def test_static_features_do_not_multiply_rows(spark):
     got = grid.dense_grid(df)
     per = got.groupBy("st_id").agg(F.count("*").alias("n"), F.countDistinct("ts").alias("d")).collect()
     assert {(r["n"], r["d"]) for r in per} == {(25, 25)}
+
+
+def test_session_zone_does_not_matter(spark):
+    rows = [(1, "2024-12-31 23:58:00", 1), (1, "2025-01-01 00:21:00", 2)]
+    results = []
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = snapshots(spark, rows)
+        cells = grid.dense_grid(grid.bucket_latest(df), state=["available_ports"], static=[])
+        results.append(sorted(map(tuple, cells.withColumn("ts", F.unix_micros("ts")).collect())))
+    assert results[0] == results[1] and len(results[0]) == 4 and results[0][0][1] == 1735689000000000
