@@ -6,7 +6,7 @@ third of all rows arrives at its reducer as one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.session import use_utc
@@ -14,22 +14,26 @@ from snapgrid.session import use_utc
 SALTS = 32
 
 
-def _pick(df: DataFrame, keys: list[str], order: list[Column], latest: bool) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.struct(*rest).alias("row"))
-    picked = df.groupBy(*keys).agg((F.max(ranked) if latest else F.min(ranked)).alias("_best"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_best.row.{c}").alias(c) for c in df.columns])
+def _pick(df: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
+    """The greatest or smallest row per key, compared by ``order`` first, then by its other columns."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    ordered = []
+    for i, c in enumerate(order):
+        # Null sorts lowest by itself, which is right for the latest row and wrong for the first.
+        ordered += [F.col(c)] if latest else [F.col(c).isNull().alias(f"_null{i}"), F.col(c)]
+    row = F.struct(*ordered, *rest)
+    picked = df.groupBy(*keys).agg((F.max(row) if latest else F.min(row)).alias("_best"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row per key along ``order``; equal rows in order fall back to the row's own values."""
-    return _pick(df, keys, [F.col(c) for c in order], latest=True)
+    """The last row per key along ``order``; equal rows in order fall back to the row's other values."""
+    return _pick(df, keys, order, latest=True)
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row per key along ``order``; a null order value counts as last."""
-    ranked = [part for c in order for part in (F.col(c).isNull(), F.col(c))]
-    return _pick(df, keys, ranked, latest=False)
+    return _pick(df, keys, order, latest=False)
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
