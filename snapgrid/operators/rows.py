@@ -6,12 +6,17 @@ third of all rows arrives at its reducer as one row per task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.session import use_utc
 
-SALTS = 32
+SALTS = 1000
+MAX_HOT = 1000
+HOT_ROWS = 100_000
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
@@ -79,18 +84,35 @@ def prefix_columns(df: DataFrame, prefix: str, keep_prefixed: bool = False) -> D
 
 
 def salted_join(
-    rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: list[str],
+    how: str = "left",
+    sizes: DataFrame | None = None,
+    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join many rows to a lookup with one row per key when some keys are hot.
 
-    The rows of a key spread over ``salts`` tasks by a hash of the row; the lookup is repeated once
-    per salt. No side is broadcast, so neither side needs a size bound.
+    A key is hot if it has more than ``hot_rows`` rows and more than one in ``MAX_HOT`` of all rows, so
+    fewer than ``MAX_HOT`` keys are hot whatever the data: that list is what is broadcast. The rows of hot
+    keys, and rows without a key, spread over ``salts`` tasks by a hash of the row; only the hot lookup
+    rows are repeated. Neither side itself is broadcast by hint. ``sizes`` (key columns and ``_n``) saves
+    counting the rows where the caller has a cheaper count, or a cheaper upper bound.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
+    counts = sizes if sizes is not None else rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg(F.sum("_n") / F.lit(MAX_HOT)).scalar()
+    many = (F.col("_n") > hot_rows) & (F.col("_n") > share)
+    hot = F.broadcast(counts.filter(many).select(*on, F.lit(True).alias("_hot")))
+    keyless = reduce(or_, [F.col(c).isNull() for c in on])
+    is_hot = F.col("_hot").isNotNull()
     spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", spread).join(repeated, on + ["_salt"], how).drop("_salt")
+    salted = rows.join(hot, on, "left").withColumn("_salt", F.when(is_hot | keyless, spread).otherwise(F.lit(0)))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.join(hot, on, "left").withColumn("_salt", F.explode(copies))
+    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
 
 
 def modes(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

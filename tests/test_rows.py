@@ -49,10 +49,28 @@ def test_replace_and_prefix(spark):
         rows.replace_column(df, "b", "missing")
 
 
+@pytest.mark.parametrize("hot_rows", [20, 10**9])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_join_equals_join(spark, how):
-    left = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
+def test_salted_join_equals_join(spark, how, hot_rows):
+    """A third of the rows has key 0, some have none; with and without keys that count as hot."""
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 != 0, F.col("id") % 50)
+    left = spark.range(1000).select(F.col("id"), key.alias("k"))
     right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     want = left.join(right, "k", how)
-    got = rows.salted_join(left, right, ["k"], how)
+    got = rows.salted_join(left, right, ["k"], how, salts=16, hot_rows=hot_rows)
     assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_salted_join_spreads_the_hot_key(spark):
+    left = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    right = left.select("k").distinct().withColumn("v", F.lit(1))
+    limits = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = rows.salted_join(left, right, ["k"], "inner", salts=64, hot_rows=100)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 3000 and max(sizes) < 600
