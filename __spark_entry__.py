@@ -1206,8 +1206,24 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_CORPUS_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {**_ORACLES, **_CORPUS_ORACLES}
+
+
+# The corpus operators and their pipeline are an optional part of the library.
+try:
+    from snapgrid.llm.queries import ORACLES as _CORPUS_ORACLES
+    from snapgrid.llm.queries import QUERIES as _CORPUS_QUERIES
+except ImportError:
+    _CORPUS_QUERIES, _CORPUS_ORACLES = {}, {}
+try:
+    import corpus_pipeline
+
+    _CORPUS_QUERIES = {**_CORPUS_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        _CORPUS_ORACLES = {**_CORPUS_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+except ImportError:
+    pass

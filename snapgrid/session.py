@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     fallback = tempfile.mkdtemp(prefix="snapgrid-")
     spark.conf.set("spark.checkpoint.dir", fallback)
@@ -66,3 +69,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Hand this package to the Python workers, wherever they run; once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        here = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="snapgrid-code-")) / "snapgrid.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(here.rglob("*.py")):
+                out.write(source, source.relative_to(here.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return spark
