@@ -44,6 +44,7 @@ KINDS = {
     "timestamp_ntz": "TIMESTAMP",
     "date": "DATE",
     "int": "INTEGER",
+    "boolean": "BOOLEAN",
 }
 
 
