@@ -92,3 +92,21 @@ def _shape(edges: DataFrame) -> tuple:
     """Count and an order-free digest: equal for equal sets of edges."""
     digest = F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))
     return tuple(edges.agg(F.count("*"), digest).first())
+
+
+def fresh_name(name: str, taken: Iterable[str]) -> str:
+    """The name, with underscores appended until no column has it (Spark compares without case)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def list_array(values: pa.Array, borders: np.ndarray) -> pa.ListArray:
+    """Row i holds ``values[borders[i]:borders[i + 1]]``."""
+    return pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), values)
+
+
+def take_columns(batch: pa.RecordBatch, schema: pa.Schema, results: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The batch's own columns and the results behind them, in the schema's order."""
+    return pa.RecordBatch.from_arrays([*batch.columns, *results.values()], [*batch.schema.names, *results])

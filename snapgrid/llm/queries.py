@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from snapgrid.session import ship_package
 
@@ -32,3 +33,37 @@ def _near_dedup(spark, sf_dir):
     from snapgrid.llm.near_dedup import Settings, near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), Settings(percent=85))
+
+
+@query(
+    "op7_decontamination",
+    r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS m, list_slice(w, i, i + least(len(w), 10) - 1) AS win
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+s AS (SELECT doc_id, m, i, list_slice(w, i, i + m - 1) AS win
+      FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+            FROM d, (SELECT DISTINCT m FROM p) WHERE len(w) >= m)),
+o AS (SELECT s.doc_id, s.i, p.m, p.item_id FROM s JOIN p ON s.m = p.m AND s.win = p.win),
+h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS pos FROM o) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id FROM o) GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+       sha256(coalesce(t.ids, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+)
+def _decontamination(spark, sf_dir):
+    from snapgrid.llm.wu_manber import find_items
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = find_items(documents, table(spark, sf_dir, "benchmark")).rows
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        F.col("hits").isNotNull().alias("contaminated"),
+    )
