@@ -67,3 +67,27 @@ def _decontamination(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         F.col("hits").isNotNull().alias("contaminated"),
     )
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_packing")
+def _packing(spark, sf_dir):
+    from snapgrid.llm.window_packing import Settings, packed
+
+    return packed(table(spark, sf_dir, "documents"), Settings(_tokenizer()))
+
+
+@query("op9_language_id")
+def _language_id(spark, sf_dir):
+    from snapgrid.llm.ppm_language import predictions, train
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    found = predictions(documents, train(documents.where(fold != 1)))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits")
