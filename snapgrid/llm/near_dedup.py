@@ -40,7 +40,7 @@ class Settings:
     chunks: int = 10
     width: int = 5
     errors: int = 1
-    block: int = 512
+    block: int = 2048
 
     @property
     def symbols(self) -> int:
@@ -330,6 +330,7 @@ def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataF
     blocks = (
         placed.where("size > 2")
         .join(open_keys, "key", "left_semi")
+        .join(signature, "node")
         .withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -340,8 +341,8 @@ def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataF
             "node",
             "own",
             "component",
+            "signature",
         )
-        .join(signature, "node")
     )
     schema = "key long, low int, high int, node long, own int, component long, signature binary"
     columns = [c.split()[0] for c in schema.split(", ")]
