@@ -35,6 +35,22 @@ def _near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), Settings(percent=85))
 
 
+@query("op2_lz_fingerprint")
+def _lz_fingerprint(spark, sf_dir):
+    from snapgrid.llm.lz_fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op5_sharding")
+def _sharding(spark, sf_dir):
+    from snapgrid.llm.minimax_shards import sharded
+
+    placed = sharded(table(spark, sf_dir, "documents"), 8)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 @query(
     "op7_decontamination",
     r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -111,27 +111,36 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     Runs are ordered and do not overlap. The sum of byte values times powers of an odd base, taken as
     differences of running sums and shifted back by the inverse power, is done block by block.
     """
+    return spans_hash(_BYTE_VALUE, starts, ends, data)
+
+
+def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, index: np.ndarray | None = None) -> np.ndarray:
+    """Hash of ``values[starts:ends]`` (of ``values[index[...]]``, if given) for ordered spans without overlap."""
     out = np.empty(len(starts), np.uint64)
     i, n = 0, len(starts)
+
+    def own(low: int, high: int) -> np.ndarray:
+        return values[low:high] if index is None else values[index[low:high]]
+
     while i < n:
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
         low, high = int(starts[i]), int(ends[j - 1])
         if high - low > 2 * BLOCK:  # one run that no block holds
-            out[i:j] = _long_run(data[low:high])
+            out[i:j] = _long_run(own(low, high))
         else:
             total = np.zeros(high - low + 1, np.uint64)
-            np.cumsum(_BYTE_VALUE[data[low:high]] * _POWER[: high - low], out=total[1:])
+            np.cumsum(own(low, high) * _POWER[: high - low], out=total[1:])
             a, b = starts[i:j] - low, ends[i:j] - low
             out[i:j] = (total[b] - total[a]) * _INVERSE[a]
         i = j
     return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _long_run(data: np.ndarray) -> np.uint64:
+def _long_run(values: np.ndarray) -> np.uint64:
     total = 0
-    for at in range(0, len(data), BLOCK):
-        part = data[at : at + BLOCK]
-        value = int((_BYTE_VALUE[part] * _POWER[: len(part)]).sum(dtype=np.uint64))
+    for at in range(0, len(values), BLOCK):
+        part = values[at : at + BLOCK]
+        value = int((part * _POWER[: len(part)]).sum(dtype=np.uint64))
         total = (total + value * pow(int(_BASE), at, 1 << 64)) % (1 << 64)
     return np.uint64(total)
 
