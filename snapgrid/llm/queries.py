@@ -51,6 +51,16 @@ def _sharding(spark, sf_dir):
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+@query("op6_quality")
+def _quality(spark, sf_dir):
+    from snapgrid.llm.ordinal_quality import graded, rated, train
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(documents, rated(table(spark, sf_dir, "labels")))
+    rows, _ = graded(documents, model)
+    return rows.select("doc_id", "expected_grade", "tail", (F.col("tail") >= 0.5).alias("kept"))
+
+
 @query(
     "op7_decontamination",
     r"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -107,3 +117,10 @@ def _language_id(spark, sf_dir):
     found = predictions(documents, train(documents.where(fold != 1)))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits")
+
+
+@query("op10_license_scan")
+def _license_scan(spark, sf_dir):
+    from snapgrid.llm.license_bands import license_summary
+
+    return license_summary(table(spark, sf_dir, "documents").select("doc_id", "text"))
