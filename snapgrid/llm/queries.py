@@ -42,6 +42,24 @@ def _lz_fingerprint(spark, sf_dir):
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def _span_list(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query("op3_secret_scan")
+def _secret_scan(spark, sf_dir):
+    from snapgrid.llm.secret_crf import train, with_spans
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, _ = with_spans(documents, train(documents))
+    kinds = ["assign", "access", "hex"]
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return rows.select(
+        "doc_id", *counts, F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list(F.col("spans")).alias("spans")
+    )
+
+
 @query("op5_sharding")
 def _sharding(spark, sf_dir):
     from snapgrid.llm.minimax_shards import sharded
