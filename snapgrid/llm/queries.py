@@ -142,3 +142,11 @@ def _license_scan(spark, sf_dir):
     from snapgrid.llm.license_bands import license_summary
 
     return license_summary(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_html_extraction")
+def _html_extraction(spark, sf_dir):
+    from snapgrid.llm.html_region import extracted, train
+
+    pages = table(spark, sf_dir, "pages")
+    return extracted(pages, train(pages))
