@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ from snapgrid.operators import (
     studies,
 )
 from snapgrid.plans import reports
-from snapgrid.session import instants, shared_folder, use_utc
+from snapgrid.session import instants, materialize, shared_folder, use_utc
 from snapgrid.sources.sinks import write_csv
 from snapgrid.sources.tables import read_checked, union_checked
 
@@ -108,14 +108,22 @@ SNAP = """snap AS (
 CONNECTORS = ["CCS_TYPE_2", "CHADEMO", "TYPE_2", "MENNEKES", "WALL_OUTLET"]
 
 
-def port_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parameter ``k`` gives connector (every sixth: none), mechanism and power; 'error' hides the status."""
+def port_log(spark: SparkSession, sf_dir: str, moved: bool = False) -> DataFrame:
+    """The parameter ``k`` gives connector (every sixth: none), mechanism and power; 'error' hides the status.
+
+    ``moved`` puts a fourth of the events each into 1970 and 2021.
+    """
+    events = table(spark, sf_dir, "events")
+    if moved:
+        target = F.when(F.col("event_id") % 4 == 0, 1970).when(F.col("event_id") % 4 == 1, 2021)
+        years = F.coalesce(target - F.year("ts"), F.lit(0))
+        events = events.withColumn("ts", F.col("ts") + F.make_interval(years=years))
     k = F.get_json_object("props", "$.k").cast("int")
     names = F.array(*[F.lit(c) for c in CONNECTORS])
     status = F.when(F.col("event_type") == "view", F.lit("AVAILABLE")).when(
         F.col("event_type") != "error", F.upper("event_type")
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("user_id").alias("port_id"),
         F.floor(F.col("user_id") / 10).cast("long").alias("port_station_id"),
         F.col("ts").alias("port_last_updated_parsed"),
@@ -200,13 +208,18 @@ def _bucket_latest(spark, sf_dir):
 @query(
     "dense_grid",
     f"""WITH {GRID}, {MODE}
-SELECT g.st_id, g.ts, g.available_ports, round(g.value, 6) AS value, t.event_type,
-       g.is_observed, g.is_stale, g.age_minutes
-FROM grid g JOIN typical t ON t.st_id = g.st_id""",
+SELECT st_id, ts, available_ports, round(value, 6) AS value, event_type, is_observed, is_stale, age_minutes,
+       hour, dayofweek,
+       round(sin(2 * pi() * hour / 24), 6) + 0.0 AS sin_hour, round(cos(2 * pi() * hour / 24), 6) + 0.0 AS cos_hour,
+       round(sin(2 * pi() * dayofweek / 7), 6) + 0.0 AS sin_dow, round(cos(2 * pi() * dayofweek / 7), 6) + 0.0 AS cos_dow
+FROM (SELECT g.*, t.event_type,
+             CAST(date_part('hour', timezone('Europe/Madrid', timezone('UTC', g.ts))) AS BIGINT) AS hour,
+             CAST(date_part('isodow', timezone('Europe/Madrid', timezone('UTC', g.ts))) - 1 AS BIGINT) AS dayofweek
+      FROM grid g JOIN typical t ON t.st_id = g.st_id)""",
 )
 def _dense_grid(spark, sf_dir):
-    wanted = ["st_id", "ts", *STATE, *STATIC, "is_observed", "is_stale", "age_minutes"]
-    return finished(snap_grid(spark, sf_dir).select(*wanted))
+    cells = finished(snap_grid(spark, sf_dir))
+    return cells.withColumns({c: F.col(c) + 0.0 for c in ("sin_hour", "cos_hour", "sin_dow", "cos_dow")})
 
 
 @query(
@@ -301,7 +314,7 @@ FROM h, cut GROUP BY ALL"""
 
 
 def _split(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    rows_20 = labelled(spark, sf_dir, 20)
+    rows_20 = materialize(labelled(spark, sf_dir, 20), "labelled-20")  # read twice: for the cut and for its sides
     sided = labels.label_split(rows_20, labels.split_instant(rows_20, mode=mode))
     return finished(metrics.split_counts(sided))
 
@@ -512,6 +525,25 @@ def _as_of_attributes(spark, sf_dir):
     return naive(slices.as_of(events.select("user_id", "ts"), bought, ["user_id"], "ts", ["value", "event_id"]))
 
 
+@query(
+    "as_of_repeated",
+    """WITH bought AS (SELECT user_id, ts, value, event_id FROM events WHERE event_type = 'purchase'),
+asked AS (SELECT CASE WHEN event_type <> 'error' THEN user_id END AS user_id, date_trunc('day', ts) AS ts, event_type FROM events)
+SELECT a.user_id, a.ts, a.event_type, b.value, b.event_id FROM asked a
+ASOF LEFT JOIN bought b ON b.user_id = a.user_id AND a.ts >= b.ts""",
+)
+def _as_of_repeated(spark, sf_dir):
+    """Instants that repeat, and rows without a key: a left join keeps them all."""
+    events = table(spark, sf_dir, "events")
+    asked = events.select(
+        F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"),
+        F.date_trunc("day", "ts").alias("ts"),
+        "event_type",
+    )
+    bought = events.filter("event_type = 'purchase'").select("user_id", "ts", "value", "event_id")
+    return naive(slices.as_of(asked, bought, ["user_id"], "ts", ["value", "event_id"]))
+
+
 @query(
     "port_totals",
     f"""WITH {LOG} SELECT port_station_id, count(DISTINCT port_id) FILTER (port_status IS NOT NULL) AS total_ports
@@ -549,37 +581,77 @@ def _dc_flag(spark, sf_dir):
 
 # The whole station series: suppliers play the stations, nations their locations.
 SERIES_DIMS = """dims AS (
-  SELECT s_suppkey AS st_id, CAST(s_nationkey AS BIGINT) AS st_location_id, n_name AS loc_name,
+  SELECT s_suppkey AS st_id, CAST(s_nationkey AS BIGINT) AS st_location_id, s_name AS st_label, n_name AS loc_name,
          CAST(n_regionkey AS BIGINT) AS loc_region
   FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey)"""
 
 
-@query(
-    "station_timeseries",
-    NAIVE_STATE
-    + f""", {SERIES_DIMS}
+def _series_sql(state_sql: str, dims: str, where: str = "") -> str:
+    return state_sql + f""", {dims}
 SELECT d.st_id, s.ts AS snapshot_ts, s.total AS total_ports, s.avail AS available_ports,
+       total - avail AS unavailable_ports,
        round_even((total - avail) / CAST(total AS DOUBLE), 2) AS unavailable_rate,
+       total - dc AS total_ac_ports, dc AS total_dc_ports, avail - avail_dc AS available_ac_ports,
+       avail_dc AS available_dc_ports, CAST(avail > avail_dc AS BIGINT) AS is_ac_available,
+       CAST(avail_dc > 0 AS BIGINT) AS is_dc_available, CAST(dc > 0 AS BIGINT) AS has_dc_fast,
+       CAST(ccs AS BIGINT) AS has_ccs, CAST(chademo AS BIGINT) AS has_chademo, CAST(type2 AS BIGINT) AS has_type2,
+       CAST(wall AS BIGINT) AS has_wall_outlet,
        d.st_location_id, d.loc_name, d.loc_region
-FROM s JOIN dims d ON d.st_id = s.port_station_id""",
-)
-def _station_timeseries(spark, sf_dir):
-    stations = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("st_id"),
-        F.col("s_nationkey").cast("long").alias("st_location_id"),
-        F.col("s_name").alias("st_label"),
-    )
+FROM s JOIN dims d ON d.st_id = s.port_station_id {where}"""
+
+
+def _series(spark, sf_dir, stations: DataFrame, log: DataFrame) -> DataFrame:
     locations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("long").alias("loc_id"),
         F.lit("2020-01-01T00:00:00Z").alias("loc_last_updated"),
         F.col("n_name").alias("loc_name"),
         F.col("n_regionkey").cast("long").alias("loc_region"),
     )
-    log = port_log(spark, sf_dir)
     ports = log.withColumn("port_last_updated", F.date_format("port_last_updated_parsed", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
-    series = state.station_timeseries(locations, stations, ports.drop("port_last_updated_parsed"))
-    wanted = ["st_id", "snapshot_ts", "total_ports", "available_ports", "unavailable_rate", "st_location_id"]
-    return finished(series.select(*wanted, "loc_name", "loc_region"))
+    return finished(state.station_timeseries(locations, stations, ports.drop("port_last_updated_parsed")))
+
+
+def _stations(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("st_id"),
+        F.col("s_nationkey").cast("long").alias("st_location_id"),
+        F.col("s_name").alias("st_label"),
+    )
+
+
+@query("station_timeseries", _series_sql(NAIVE_STATE, SERIES_DIMS))
+def _station_timeseries(spark, sf_dir):
+    return _series(spark, sf_dir, _stations(spark, sf_dir), port_log(spark, sf_dir))
+
+
+# Some events move to 1970 and to 2021, some stations get a second version.
+SHIFTED = """(SELECT * REPLACE (CASE WHEN event_id % 4 = 0 THEN ts + to_years(CAST(1970 - year(ts) AS INTEGER))
+                                WHEN event_id % 4 = 1 THEN ts + to_years(CAST(2021 - year(ts) AS INTEGER)) ELSE ts END AS ts)
+   FROM events)"""
+VERSION_DIMS = """versions AS (
+  SELECT s_suppkey AS st_id, CAST(s_nationkey AS BIGINT) AS st_location_id, s_name AS st_label FROM supplier
+  UNION ALL SELECT s_suppkey, CAST(24 - s_nationkey AS BIGINT), s_name || ' new' FROM supplier WHERE s_suppkey % 3 = 0),
+first AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY st_id ORDER BY st_location_id, st_label) = 1),
+dims AS (SELECT st_id, st_location_id, st_label, n_name AS loc_name, CAST(n_regionkey AS BIGINT) AS loc_region
+         FROM first LEFT JOIN nation ON n_nationkey = st_location_id)"""
+
+
+@query(
+    "station_timeseries_years",
+    _series_sql(
+        NAIVE_STATE.replace("FROM events)", f"FROM {SHIFTED})", 1),
+        VERSION_DIMS,
+        "WHERE year(s.ts) <> 2021 AND s.ts >= TIMESTAMP '1971-01-01'",
+    ),
+)
+def _station_timeseries_years(spark, sf_dir):
+    """Rows of 2021 and before 1971 feed the state and are left out of the series."""
+    log = port_log(spark, sf_dir, moved=True)
+    stations = _stations(spark, sf_dir)
+    newer = stations.filter("st_id % 3 = 0").select(
+        "st_id", (24 - F.col("st_location_id")).alias("st_location_id"), F.concat("st_label", F.lit(" new")).alias("st_label")
+    )
+    return _series(spark, sf_dir, stations.unionByName(newer), log)
 
 
 # ---------------------------------------------------------------- rows, filters, joins
@@ -696,6 +768,25 @@ def _clean_ports(spark, sf_dir):
     return naive(clean.clean_ports(raw, excluded_note="click").drop("port_last_updated"))
 
 
+@query(
+    "clean_ports_versions",
+    """WITH t AS (
+  SELECT user_id AS port_id, date_trunc('month', ts) AS upd, nullif(event_type, 'error') AS port_notes, value FROM events),
+v AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY port_id, upd
+        ORDER BY port_notes DESC NULLS LAST, value DESC NULLS LAST) = 1)
+SELECT port_id, upd AS port_last_updated_parsed, port_notes, value FROM v WHERE port_notes IS DISTINCT FROM 'view'""",
+)
+def _clean_ports_versions(spark, sf_dir):
+    """Several rows of one port and time: the greatest stays, and only then the note filter applies."""
+    raw = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("port_id"),
+        F.date_format(F.date_trunc("month", "ts"), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("port_last_updated"),
+        F.nullif("event_type", F.lit("error")).alias("port_notes"),
+        "value",
+    )
+    return naive(clean.clean_ports(raw, excluded_note="view").drop("port_last_updated"))
+
+
 @query(
     "opening_minutes",
     """WITH t AS (SELECT o_orderkey, o_orderkey % 29 AS h, o_orderkey % 67 AS m FROM orders)
@@ -734,8 +825,8 @@ LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey =
 def _station_dim_join(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    suppliers = rows.salted_join(table(spark, sf_dir, "supplier"), nation, ["s_nationkey"])
-    return rows.salted_join(suppliers, region, ["n_regionkey"]).select("s_suppkey", "s_name", "n_name", "r_name")
+    suppliers = rows.lookup_join(table(spark, sf_dir, "supplier"), nation, ["s_nationkey"])
+    return rows.lookup_join(suppliers, region, ["n_regionkey"]).select("s_suppkey", "s_name", "n_name", "r_name")
 
 
 @query(
@@ -777,6 +868,30 @@ def _csv_stage(spark, sf_dir):
     return naive(text.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else c for c in text.columns]))
 
 
+@query(
+    "export_sorted",
+    """SELECT row_number() OVER (ORDER BY nullif(o_orderpriority, '5-LOW') DESC NULLS LAST, o_totalprice, o_orderkey) AS place, o_orderkey
+FROM orders""",
+)
+def _export_sorted(spark, sf_dir):
+    """The order of an export, descending and ascending keys mixed, as it stands in the written files."""
+    orders = table(spark, sf_dir, "orders").withColumn("priority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    path = f"{shared_folder(spark).rstrip('/')}/sorted-{uuid.uuid4().hex}"
+    write_csv(orders.select("o_orderkey", "priority", "o_totalprice"), path, ["-priority", "o_totalprice", "o_orderkey"])
+    lines = spark.read.option("header", True).csv(path).select(
+        F.col("o_orderkey").cast("long").alias("o_orderkey"),
+        F.col("_metadata.file_name").alias("file"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    # Files are in order, and so are the lines of each.
+    counts = lines.groupBy("file").agg(F.count("*").alias("n"))
+    listed = counts.agg(F.sort_array(F.collect_list(F.struct("file", "n"))).alias("all"))
+    earlier = F.aggregate(F.filter("all", lambda x: x["file"] < F.col("file")), F.lit(0).cast("long"), lambda t, x: t + x["n"])
+    nth = F.row_number().over(Window.partitionBy("file").orderBy("line"))
+    # One row.
+    return lines.join(F.broadcast(listed)).select((earlier + nth).alias("place"), "o_orderkey")
+
+
 # ---------------------------------------------------------------- nested data
 
 
@@ -833,6 +948,41 @@ def _json_unnest(spark, sf_dir):
     return found.select("id", "kind", "address_k", "status", "user_id")
 
 
+@query(
+    "json_unnest_rest",
+    """SELECT event_id AS id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 'A' || user_id AS "owner" FROM events
+UNION ALL SELECT -event_id, user_id, NULL, NULL FROM events""",
+)
+def _json_unnest_rest(spark, sf_dir):
+    """The schema names the id alone; the other fields of an item arrive as one text."""
+    text = F.concat(
+        F.lit('[{"id": '), F.col("event_id"), F.lit(', "owner": "A'), F.col("user_id"), F.lit('", "props": '),
+        F.col("props"), F.lit('}, 7, {"id": '), -F.col("event_id"), F.lit("}]"),
+    )
+    cells = table(spark, sf_dir, "events").select("user_id", text.alias("children"))
+    child = T.StructType([T.StructField("id", T.LongType())])
+    found = nested.unnest(cells, "children", child, ["user_id"], rest="more")
+    more = F.col("more")
+    return found.select(
+        "id",
+        "user_id",
+        F.get_json_object(more, "$.props.k").cast("long").alias("k"),
+        F.get_json_object(more, "$.owner").alias("owner"),
+    )
+
+
+@query(
+    "json_unnest_typed",
+    """SELECT event_id AS id, ts AS extra_when, value AS extra_value, user_id FROM events""",
+)
+def _json_unnest_typed(spark, sf_dir):
+    """A typed list brings fields that the given schema does not name."""
+    events = table(spark, sf_dir, "events")
+    item = F.struct(F.col("event_id").alias("id"), F.struct(F.col("ts").alias("when"), "value").alias("extra"))
+    child = T.StructType([T.StructField("id", T.LongType())])
+    return naive(nested.unnest(events.select("user_id", F.array(item, F.lit(None)).alias("children")), "children", child, ["user_id"], separator="_"))
+
+
 @query(
     "opening_hours",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderkey % 7 AS VARCHAR) END AS opening_hours_weekday_begin,
@@ -951,24 +1101,53 @@ def _onehot(spark, sf_dir):
     return finished(encode.one_hot(orders, "o_orderdate"))
 
 
-def _corr_sql() -> str:
-    flags = [("l_returnflag", v) for v in "ANR"] + [("l_linestatus", v) for v in "FO"]
-    lines = [
-        f"SELECT '{a}_{v}' AS a, '{b}_{w}' AS b, "
-        f"round(corr(CAST({a} = '{v}' AS INT), CAST({b} = '{w}' AS INT)), 6) + 0.0 AS corr FROM lineitem"
-        for a, v in flags
-        for b, w in flags
-    ]
-    return "\nUNION ALL ".join(lines)
+def _pieces_sql(source: str, columns: list[str]) -> str:
+    pieces = "\n  UNION ALL ".join(f"SELECT i, '{c}_' || {c} AS name FROM num WHERE {c} IS NOT NULL" for c in columns)
+    return f"""num AS (SELECT *, row_number() OVER () AS i FROM {source}),
+piece AS (
+  {pieces}),
+one AS (SELECT name, count(*) AS n FROM piece GROUP BY ALL),
+size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {source})"""
 
 
-@query("onehot_corr", _corr_sql())
-def _onehot_corr(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem")
-    found = rounded(profile.one_hot_correlation(items, ["l_returnflag", "l_linestatus"]))
+def _pairs_sql(source: str, columns: list[str]) -> str:
+    """Indicators that occur together, counted in a self-join of all pieces."""
+    return f"""{_pieces_sql(source, columns)},
+two AS (SELECT x.name AS a, y.name AS b, count(*) AS n FROM piece x JOIN piece y ON x.i = y.i GROUP BY ALL)
+SELECT two.a, two.b, two.n AS "rows",
+       round((size.n * two.n - CAST(p.n AS DOUBLE) * q.n)
+             / nullif(sqrt(CAST(p.n AS DOUBLE) * (size.n - p.n) * q.n * (size.n - q.n)), 0), 6) + 0.0 AS corr
+FROM two JOIN one p ON two.a = p.name JOIN one q ON two.b = q.name, size"""
+
+
+def _pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    found = rounded(profile.one_hot_correlation(df, columns))
     return found.withColumn("corr", F.col("corr") + 0.0)
 
 
+@query("onehot_corr", "WITH " + _pairs_sql("lineitem", ["l_returnflag", "l_linestatus"]))
+def _onehot_corr(spark, sf_dir):
+    return _pairs(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"])
+
+
+# A column with more than ten thousand values.
+WIDE = ["l_orderkey", "l_returnflag"]
+
+
+@query("onehot_corr_wide", "WITH " + _pairs_sql("lineitem", WIDE))
+def _onehot_corr_wide(spark, sf_dir):
+    return _pairs(table(spark, sf_dir, "lineitem"), WIDE)
+
+
+@query(
+    "indicator_counts",
+    f"""WITH {_pieces_sql("lineitem", WIDE)}
+SELECT name, one.n AS "rows", CAST(size.n AS BIGINT) AS total FROM one, size""",
+)
+def _indicator_counts(spark, sf_dir):
+    return profile.indicator_counts(table(spark, sf_dir, "lineitem"), WIDE)
+
+
 @query(
     "variance_select_stats",
     "\nUNION ALL ".join(
@@ -1165,6 +1344,71 @@ MODEL_FEATURES = [
 ]
 
 
+# A model set by hand, in whole numbers and one division, so that both sides compute the same scores.
+FIXED_SCORES = f"""WITH {GRID},
+labelled AS (SELECT *, lead(available_ports, 2) OVER (PARTITION BY st_id ORDER BY ts) AS later FROM grid),
+s AS (SELECT CAST(later = 0 AS INT) AS y,
+             (5 + 30 * CAST(available_ports = 0 AS INT) + 2 * is_observed + age_minutes / 10) / CAST(64 AS DOUBLE) AS p
+      FROM labelled WHERE age_minutes <= 30 AND available_ports IS NOT NULL AND later IS NOT NULL)"""
+
+
+def fixed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = grid.grid_rows(grid.bucket_latest(snap(spark, sf_dir)), state=STATE, fresh_only=True)
+    rows_20 = labels.horizon_labels(cells, 20)[0]
+    points = 5 + 30 * (F.col("available_ports") == 0).cast("int") + 2 * F.col("is_observed") + F.col("age_minutes") / 10
+    return materialize(rows_20.select("target", (points / F.lit(64.0)).alias("score")), "fixed-scores")
+
+
+@query(
+    "fixed_model_metrics",
+    f"""{FIXED_SCORES},
+r AS (SELECT y, rank() OVER (ORDER BY p) AS lo, count(*) OVER (PARTITION BY p) AS ties FROM s),
+a AS (SELECT sum(CASE WHEN y = 1 THEN lo + (ties - 1) / CAST(2 AS DOUBLE) END) AS ranks,
+             CAST(count(*) FILTER (y = 1) AS DOUBLE) AS p, CAST(count(*) FILTER (y = 0) AS DOUBLE) AS n FROM r),
+c AS (SELECT y, p, CAST(p >= CAST(0.5 AS DOUBLE) AS INT) AS hit FROM s),
+t AS (SELECT count(*) AS n, avg(-(y * ln(p) + (1 - y) * ln(1 - p))) AS logloss, avg((p - y) * (p - y)) AS brier,
+             CAST(count(*) FILTER (hit = y) AS DOUBLE) AS right_ones FROM c)
+SELECT t.n AS "rows", round((ranks - a.p * (a.p + 1) / 2) / (a.p * a.n), 6) AS auc, round(logloss, 6) AS logloss,
+       round(brier, 6) AS brier, round(right_ones / t.n, 6) AS accuracy FROM t, a""",
+)
+def _fixed_model_metrics(spark, sf_dir):
+    """All metrics of a horizon for scores that need no training."""
+    scored = fixed_scores(spark, sf_dir)
+    found = metrics.binary_metrics(scored).select("rows", "logloss", "brier", "accuracy")
+    # One row each.
+    return rounded(found.join(F.broadcast(metrics.exact_auc(scored))))
+
+
+@query(
+    "training_facts",
+    f"""WITH {HORIZON_20},
+d AS (SELECT DISTINCT ts FROM h), n AS (SELECT count(*) AS n FROM d),
+r AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS i FROM d),
+cut AS (SELECT r.ts FROM r, n
+        WHERE r.i = greatest(1, least(CAST(floor(n.n * CAST(0.8 AS DOUBLE)) AS BIGINT), n.n - 1))),
+x AS (SELECT h.*, h.ts < cut.ts AS early FROM h, cut)
+SELECT CAST(20 AS BIGINT) AS requested_horizon_minutes, CAST(20 AS BIGINT) AS effective_horizon_minutes,
+       count(*) AS rows_horizon, count(*) FILTER (early) AS rows_train, count(*) FILTER (NOT early) AS rows_valid,
+       round(avg(CAST(target AS DOUBLE)) FILTER (early), 6) AS positive_rate_train,
+       round(avg(CAST(target AS DOUBLE)) FILTER (NOT early), 6) AS positive_rate_valid,
+       count(DISTINCT st_id) FILTER (early) AS n_stations_train,
+       count(DISTINCT st_id) FILTER (NOT early) AS n_stations_valid,
+       round((count(*) FILTER (early) - sum(target) FILTER (early)) / CAST(sum(target) FILTER (early) AS DOUBLE), 6) AS class_weight
+FROM x""",
+)
+def _training_facts(spark, sf_dir):
+    """What a training run knows before it fits: sides of the split, class shares, class weight."""
+    cells = snap_grid(spark, sf_dir, fresh_only=True)
+    settings = classify.TrainSettings(features=MODEL_FEATURES, balance_classes=True)
+    ready = classify.prepared(classify.training_table(cells, [20], settings), 20, settings)
+    wanted = [
+        "requested_horizon_minutes", "effective_horizon_minutes", "rows_horizon", "rows_train", "rows_valid",
+        "positive_rate_train", "positive_rate_valid", "n_stations_train", "n_stations_valid",
+    ]
+    facts = {name: ready.facts[name] for name in wanted} | {"class_weight": ready.weight}
+    return rounded(spark.range(1).select(*[F.lit(v).alias(n) if isinstance(v, float) else F.lit(v).cast("long").alias(n) for n, v in facts.items()]))
+
+
 @query("gbt_train_score")
 def _gbt_train_score(spark, sf_dir):
     """Trains on the whole labelled grid (few rounds) and returns the metrics record."""
@@ -1172,22 +1416,7 @@ def _gbt_train_score(spark, sf_dir):
     return classify.train_horizon(snap_grid(spark, sf_dir, fresh_only=True), 20, settings)[2]
 
 
-@query(
-    "port_study_correlation",
-    f"""WITH {LOG},
-num AS (SELECT *, row_number() OVER () AS i FROM log),
-piece AS (
-  SELECT i, 'port_connector_type_' || port_connector_type AS name FROM num WHERE port_connector_type IS NOT NULL
-  UNION ALL SELECT i, 'port_power_kw_' || port_power_kw FROM num
-  UNION ALL SELECT i, 'port_charging_mechanism_' || port_charging_mechanism FROM num),
-one AS (SELECT name, CAST(count(*) AS DOUBLE) AS n FROM piece GROUP BY ALL),
-two AS (SELECT x.name AS a, y.name AS b, CAST(count(*) AS DOUBLE) AS n FROM piece x JOIN piece y ON x.i = y.i GROUP BY ALL),
-size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM log)
-SELECT p.name AS a, q.name AS b,
-       round((size.n * coalesce(two.n, 0) - p.n * q.n)
-             / sqrt(p.n * (size.n - p.n) * q.n * (size.n - q.n)), 6) + 0.0 AS corr
-FROM size, one p, one q LEFT JOIN two ON two.a = p.name AND two.b = q.name""",
-)
+@query("port_study_correlation", f"WITH {LOG}, " + _pairs_sql("log", ATTRIBUTES))
 def _port_study_correlation(spark, sf_dir):
     found = rounded(reports.port_study(_study_log(spark, sf_dir))["correlation"])
     return found.withColumn("corr", F.col("corr") + 0.0)

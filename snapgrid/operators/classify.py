@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import grid_steps
-from snapgrid.operators.labels import eligible_rows, label_split, split_point, with_labels
+from snapgrid.operators.labels import eligible_rows, label_inputs, label_split, split_point, with_labels
 from snapgrid.operators.metrics import binary_metrics, exact_auc, split_counts
-from snapgrid.schema import FEATURE_COLUMNS, GRID_MINUTES, distinct_names
+from snapgrid.schema import FEATURE_COLUMNS, GRID_MINUTES
 from snapgrid.session import materialize
 
 SENTINEL = -1.0
@@ -22,7 +22,7 @@ SENTINEL = -1.0
 
 @dataclass(frozen=True)
 class TrainSettings:
-    """Fixed values of the model; ``rounds`` is an upper bound, early stopping ends sooner."""
+    """Fixed values of the model; ``rounds`` is an upper bound, ``patience`` rounds without gain end sooner."""
 
     rounds: int = 800
     learning_rate: float = 0.05
@@ -30,7 +30,7 @@ class TrainSettings:
     row_share: float = 0.8
     column_share: float = 0.8
     min_gain: float = 0.0
-    tolerance: float = 1e-4
+    patience: int = 30
     seed: int = 42
     threshold: float = 0.5
     balance_classes: bool = False
@@ -45,20 +45,18 @@ def impute_features(df: DataFrame, features: list[str], nullable: list[str]) ->
     return df.withColumns(flags).withColumns(filled), features + list(flags)
 
 
-def classifier(settings: TrainSettings, features: list[str]) -> Pipeline:
+def classifier(settings: TrainSettings, features: list[str], rounds: int) -> Pipeline:
     assemble = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     boost = GBTClassifier(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
-        validationIndicatorCol="is_valid",
-        maxIter=settings.rounds,
+        maxIter=rounds,
         stepSize=settings.learning_rate,
         maxDepth=settings.depth,
         subsamplingRate=settings.row_share,
         featureSubsetStrategy=str(settings.column_share),
         minInfoGain=settings.min_gain,
-        validationTol=settings.tolerance,
         seed=settings.seed,
         checkpointInterval=10,
     )
@@ -82,7 +80,7 @@ def training_table(
     """
     labelled = with_labels(grid, horizons, key, state)
     floats = {c: F.col(c).try_cast("float") for c in settings.features}
-    kept = distinct_names([key, "ts", "age_minutes", state], settings.features, [f"{state}_in_{h}" for h in horizons])
+    kept = [*label_inputs(settings.features, key, state=state), *[f"{state}_in_{h}" for h in horizons]]
     return materialize(labelled.select(*kept).withColumns(floats), "labelled")
 
 
@@ -98,17 +96,26 @@ def train_horizon(
     return train_labelled(labelled, horizon_minutes, settings, key, state)
 
 
-def train_labelled(
+@dataclass(frozen=True)
+class Prepared:
+    """What a fit of one horizon starts from; everything in it follows from the table alone."""
+
+    ready: DataFrame
+    features: list[str]
+    weight: float
+    facts: dict
+
+
+def prepared(
     labelled: DataFrame,
     horizon_minutes: int,
     settings: TrainSettings = TrainSettings(),
     key: str = "st_id",
     state: str = "available_ports",
-) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Split, fit and score one horizon: the model, scored validation rows and a metrics row.
+) -> Prepared:
+    """Eligible rows of one horizon, split, imputed and weighted, with the counts of both sides.
 
-    All counts come from one aggregation and all metrics from two; no label or score is collected.
-    A feature without nulls in either part stays as it is, the others are imputed.
+    All counts come from one aggregation. A feature without nulls in either part stays as it is.
     """
     effective = grid_steps(horizon_minutes, GRID_MINUTES)[1]
     table = eligible_rows(labelled, horizon_minutes, state)
@@ -136,9 +143,7 @@ def train_labelled(
         (F.col("split") == "valid").alias("is_valid"),
         F.when(F.col("target") == 1, F.lit(weight)).otherwise(F.lit(1.0)).alias("weight"),
     )
-    model = classifier(settings, features).fit(ready)
-    scored = score(model, ready.filter("is_valid")).select(key, "ts", "target", "score")
-    measured = materialize(scored, f"scores-{horizon_minutes}")
+    # Names of the metrics record.
     facts = {
         "requested_horizon_minutes": horizon_minutes,
         "effective_horizon_minutes": effective,
@@ -152,8 +157,56 @@ def train_labelled(
         "use_scale_pos_weight": settings.balance_classes,
         "scale_pos_weight_value": float(weight),
         "classification_threshold": settings.threshold,
-        "best_iteration": model.stages[-1].getNumTrees - 1,
     }
+    return Prepared(ready, features, weight, facts)
+
+
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """The round (from 0) with the least loss before ``patience`` rounds in a row brought none better, and whether
+    the losses reach that far."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best, True
+    return best, False
+
+
+def fit_best(start: Prepared, settings: TrainSettings) -> PipelineModel:
+    """Boosting up to the best round: the loss on the validation side decides, after ``patience`` rounds without gain.
+
+    Rounds are tried in doubling numbers, so few are fitted beyond the best; rounds of one seed are the same
+    however many follow.
+    """
+    train, valid = start.ready.filter("not is_valid"), start.ready.filter("is_valid")
+    rounds = min(settings.rounds, 2 * settings.patience)
+    while True:
+        model = classifier(settings, start.features, rounds).fit(train)
+        assembled = model.stages[0].transform(valid)
+        best, settled = best_round(model.stages[1].evaluateEachIteration(assembled), settings.patience)
+        if settled or rounds == settings.rounds:
+            break
+        rounds = min(settings.rounds, 2 * rounds)
+    return model if best + 1 == rounds else classifier(settings, start.features, best + 1).fit(train)
+
+
+def train_labelled(
+    labelled: DataFrame,
+    horizon_minutes: int,
+    settings: TrainSettings = TrainSettings(),
+    key: str = "st_id",
+    state: str = "available_ports",
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Split, fit and score one horizon: the model, scored validation rows and a metrics row.
+
+    No label or score is collected: all metrics come from two aggregations.
+    """
+    start = prepared(labelled, horizon_minutes, settings, key, state)
+    model = fit_best(start, settings)
+    scored = score(model, start.ready.filter("is_valid")).select(key, "ts", "target", "score")
+    measured = materialize(scored, f"scores-{horizon_minutes}")
+    facts = start.facts | {"best_iteration": model.stages[-1].getNumTrees - 1}
     auc = exact_auc(measured).first()["auc"]
     rest = binary_metrics(measured, threshold=settings.threshold)
     metrics = rest.select(

@@ -1,7 +1,7 @@
 """Exact distributed describe: counts, moments and interpolated percentiles.
 
 The built-in exact percentile keeps every distinct value in one reducer. Here values are counted
-first, and ranks come from sliced running sums, so no task ever holds more than one slice.
+first, and ranks come from running sums over ranges of like numbers of distinct values.
 """
 
 from __future__ import annotations
@@ -10,21 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapgrid.operators.slices import SLICE, magnitude_slice, running_sums
+from snapgrid.operators.rows import quoted
+from snapgrid.operators.slices import ranked_sums
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
 def _counted(df: DataFrame, value: str, weight: str | None) -> DataFrame:
-    rows = df.filter(F.col(value).isNotNull())
+    held = F.col(quoted(value))
+    rows = df.filter(held.isNotNull())
     if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
-        rows = rows.filter(~F.isnan(value))
+        rows = rows.filter(~F.isnan(held))
     n = F.sum(weight) if weight else F.count(F.lit(1))
     return (
-        rows.groupBy(F.col(value).alias("value"))
+        rows.groupBy(held.alias("value"))
         .agg(n.alias("n"))
         .filter("n > 0")
-        .withColumn(SLICE, magnitude_slice(F.col("value")))
     )
 
 
@@ -37,7 +38,7 @@ def describe(
     table, so the spread is taken about the true mean, without a second pass and without cancellation.
     """
     counted = _counted(df, value, weight).withColumn("_nv", F.col("n") * F.col("value").cast("double"))
-    ranked = running_sums(counted, [], "value", ["n", "_nv"])
+    ranked = ranked_sums(counted, "value", ["n", "_nv"])
     mean = F.col("_nv_total") / F.col("n_total")
     off = F.col("value").cast("double") - mean
     exprs: list[Column] = [

@@ -1,6 +1,6 @@
 """One-hot encoding and variance selection: column sets that depend on the data.
 
-Both take one small, bounded look at the data to fix the schema; the transformation is a plain select.
+Both take one look at the data to fix the schema; the transformation is a plain select.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.functions.values import number
-
-MAX_CATEGORIES = 10_000
+from snapgrid.operators.rows import quoted
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, count) of the non-null values, for all columns in one pass."""
-    pieces = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    pieces = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("value")) for c in columns]
+    )
     return (
         df.select(F.explode(pieces).alias("_p"))
         .select("_p.column", "_p.value")
@@ -28,16 +29,15 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def categories(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """The sorted values of each column. More than ``limit`` in all is an error, not a truncation:
-    a column that wide is an identifier, and the encoded table would be unusable."""
+def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """The sorted values of each named column: they become column names, so they are the schema of a result.
+
+    Which columns are encoded is the caller's choice; no count of values decides.
+    """
     if not columns:
         return {}
-    found = category_counts(df, columns).select("column", "value").limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories in {columns}")
     out: dict[str, list[str]] = {c: [] for c in columns}
-    for row in found:
+    for row in category_counts(df, columns).select("column", "value").toLocalIterator():
         out[row["column"]].append(row["value"])
     return {c: sorted(values) for c, values in out.items()}
 
@@ -56,7 +56,7 @@ def one_hot(df: DataFrame, time: str = "snapshot_ts", values: dict[str, list[str
     if values is None:
         values = categories(df, categorical_columns(df, time))
         if booleans:
-            nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in booleans]).first()
+            nulls = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in booleans]).first()
             some = category_counts(df, booleans).collect()
             for c in booleans:
                 held = sorted(r["value"] for r in some if r["column"] == c)
@@ -69,7 +69,7 @@ def one_hot(df: DataFrame, time: str = "snapshot_ts", values: dict[str, list[str
     for c in encoded:
         for v in values[c]:
             shown = v.capitalize() if c in booleans else v
-            hit = F.col(c).cast("string") == F.lit(v)
+            hit = F.col(quoted(c)).cast("string") == F.lit(v)
             flags.append(F.coalesce(hit.cast("int"), F.lit(0)).alias(f"{c}_{shown}"))
     return df.select(*[F.col(f"`{c}`") for c in kept], *flags)
 

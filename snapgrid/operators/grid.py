@@ -12,12 +12,16 @@ from snapgrid.session import use_utc
 
 
 def strict_instants(df: DataFrame, ts: str) -> DataFrame:
-    """Parse ``ts`` to an instant and fail the job on the first value that is none."""
+    """Parse ``ts`` to an instant and fail the job on the first value that is none.
+
+    The check is a filter on the rows, so it runs even where nothing reads the column afterwards.
+    """
     use_utc(df.sparkSession)
     kind = dict(df.dtypes)[ts]
     parsed = F.col(ts) if kind == "timestamp" else parse_instant(F.col(ts))
     message = F.concat(F.lit(f"invalid timestamp in {ts}: "), F.coalesce(F.col(ts).cast("string"), F.lit("null")))
-    return df.withColumn(ts, F.coalesce(parsed, F.raise_error(message).cast("timestamp")))
+    valid = F.when(parsed.isNotNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return df.filter(valid).withColumn(ts, parsed)
 
 
 def bucket_latest(

@@ -6,10 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import MINUTE_US, grid_steps
-from snapgrid.operators.slices import SLICE, magnitude_slice, running_sums
+from snapgrid.operators.slices import ranked_sums
 from snapgrid.schema import GRID_MINUTES, STALE_CAP_MINUTES
 
 
+def label_inputs(
+    features: list[str], key: str = "st_id", ts: str = "ts", age: str = "age_minutes", state: str = "available_ports"
+) -> list[str]:
+    """What labelling and training read of a dense grid: where and when, how old, the state and the features."""
+    return list(dict.fromkeys([key, ts, age, state, *features]))
+
+
 def with_labels(
     grid: DataFrame,
     horizons: list[int],
@@ -65,9 +72,8 @@ def split_point(df: DataFrame, ts: str = "ts", mode: str = "timestamps", share:
         df.filter(F.col(ts).isNotNull())
         .groupBy(F.unix_micros(ts).alias("us"))
         .agg(rows_there.alias("n"))
-        .withColumn(SLICE, magnitude_slice(F.col("us")))
     )
-    ranked = running_sums(instants, [], "us", ["n"])
+    ranked = ranked_sums(instants, "us", ["n"])
     n, run = F.col("n_total"), F.col("n_run")
     facts = [F.min("us").alias("first_us"), F.count(F.lit(1)).alias("distinct_ts")]
     if mode == "timestamps":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapgrid.operators.slices import SLICE, running_sums, unit_slice
+from snapgrid.operators.slices import ranked_sums
 
 #: Probabilities are clipped to this distance from 0 and 1 in the log-loss (double machine epsilon).
 CLIP = 2.220446049250313e-16
@@ -25,9 +25,8 @@ def exact_auc(df: DataFrame, label: str = "target", score: str = "score") -> Dat
     by_score = (
         df.groupBy(F.col(score).alias("value"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-        .withColumn(SLICE, unit_slice(F.col("value")))
     )
-    ranked = running_sums(by_score, [], "value", ["pos", "neg"])
+    ranked = ranked_sums(by_score, "value", ["pos", "neg"])
     below = F.col("neg_run") - F.col("neg") / F.lit(2.0)
     share = F.col("pos") / F.col("pos_total") * below / F.col("neg_total")
     both = (F.col("pos_total") > 0) & (F.col("neg_total") > 0)

@@ -56,6 +56,7 @@ def unnest(
     lift: dict[str, tuple[str, str, str]] | None = None,
     drop: tuple[str, ...] = ("coordinates",),
     separator: str = ".",
+    rest: str | None = None,
 ) -> DataFrame:
     """One row per child object of the list in ``column``, with the parent's keys.
 
@@ -63,9 +64,16 @@ def unnest(
     that are no objects, and cells that are no lists, give no row. ``lift`` moves a field of the first
     element of an inner list (or its JSON text) up, as ``new name: (list, field, type)``, and drops the
     list. A parent key wins over a child field.
+
+    Fields that ``child`` does not name are kept: those of a typed array as columns of their own, those of
+    JSON text, whose names only the data know, together as one JSON text column ``rest`` (null if an item has
+    none; without a name for it they are left out).
     """
     lift = lift or {}
     gone = set(drop) | {source for source, _, _ in lift.values()}
+    if isinstance(df.schema[column].dataType, T.ArrayType):
+        child = df.schema[column].dataType.elementType
+        lift = {name: spec for name, spec in lift.items() if spec[0] in child.fieldNames()}
     leaves = [(p, k) for p, k in _leaves(child) if p[0] not in gone and separator.join(p) not in parents]
     typed = isinstance(df.schema[column].dataType, T.ArrayType)
     if typed:
@@ -83,6 +91,13 @@ def unnest(
         rows = df.select(*parents, F.explode(items).alias("_item"))
         rows = rows.filter(F.try_variant_get("_item", "$", "map<string,variant>").isNotNull())
         item = F.col("_item")
+        if rest is not None and rest not in parents:
+            named = F.array(*[F.lit(f.name) for f in child.fields], *[F.lit(name) for name in gone])
+            others = F.map_filter(
+                F.try_variant_get(item, "$", "map<string,variant>"),
+                lambda name, _: ~F.array_contains(named, name) & ~name.isin(parents),
+            )
+            rest_text = F.when(F.size(others) > 0, F.to_json(others))
         values = [
             F.try_variant_get(
                 item, _json_path(*p), "string" if isinstance(k, (T.ArrayType, T.MapType)) else k.simpleString()
@@ -94,9 +109,11 @@ def unnest(
             inner = F.try_variant_get(item, _json_path(source), "variant")
             text = parse_json(F.try_variant_get(item, _json_path(source), "string"))
             lifted[name] = F.coalesce(first_object_field(inner, field, kind), first_object_field(text, field, kind))
+    remaining = [rest_text.alias(rest)] if not typed and rest is not None and rest not in parents else []
     return rows.select(
         *[v.alias(separator.join(p)) for v, (p, _) in zip(values, leaves)],
         *[v.alias(n) for n, v in lifted.items() if n not in parents],
+        *remaining,
         *parents,
     )
 

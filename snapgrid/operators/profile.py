@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapgrid.operators.encode import categories
-from snapgrid.operators.rows import require_columns
+from snapgrid.operators.rows import quoted, require_columns
 from snapgrid.session import use_utc
 
 MISSING = "<NA>"
@@ -74,40 +73,45 @@ def daily_records(df: DataFrame, ts: str = "snapshot_ts") -> DataFrame:
     return spine.join(days, "day", "left").select("day", F.coalesce("records", F.lit(0)).alias("records"))
 
 
-def one_hot_correlation(df: DataFrame, columns: list[str], values: dict[str, list[str]] | None = None) -> DataFrame:
-    """Pearson correlation of all pairs of category indicators, as (a, b, corr).
+def _held_names(columns: list[str]) -> Column:
+    """The names ``<column>_<value>`` that a row holds, and the empty name that every row holds."""
+    names = [F.concat(F.lit(f"{c}_"), F.col(quoted(c)).cast("string")) for c in columns]
+    return F.filter(F.array(F.lit(""), *names), lambda x: x.isNotNull())
 
-    Rows collapse to counts of distinct tuples; joint counts come from the pieces of each tuple. A
-    constant indicator has no correlation (null).
+
+def indicator_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(name, rows, total): how many rows hold each category indicator, of how many in all."""
+    held = df.select(F.explode(_held_names(columns)).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+    total = held.filter("name = ''").select(F.col("rows").alias("total"))
+    # One row.
+    return held.filter("name <> ''").join(F.broadcast(total))
+
+
+def one_hot_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson correlation of category indicators that occur together, as (a, b, rows, corr).
+
+    Pairs that never meet have no row: theirs follows from :func:`indicator_counts` alone, and there are as many
+    of them as the square of the number of values. Rows collapse to counts of distinct tuples; joint counts
+    come from the pieces of each tuple. A constant indicator has no correlation (null).
     """
-    values = values or categories(df, columns)
-    tuples = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    # The empty name is held by every row: its joint counts are the single counts and the total.
-    held = F.filter(
-        F.array(F.lit(""), *[F.concat(F.lit(f"{c}_"), F.col(c).cast("string")) for c in columns]),
-        lambda x: x.isNotNull(),
-    )
-    names = [f"{c}_{v}" for c in columns for v in values[c]]
+    tuples = df.groupBy(*[F.col(quoted(c)) for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
     joint = (
-        tuples.select("_n", held.alias("_h"))
+        tuples.select("_n", _held_names(columns).alias("_h"))
         .select("_n", F.explode("_h").alias("a"), "_h")
         .select("_n", "a", F.explode("_h").alias("b"))
         .groupBy("a", "b")
-        .agg(F.sum("_n").cast("double").alias("nab"))
+        .agg(F.sum("_n").alias("rows"))
     )
-    total = joint.filter("a = '' and b = ''").select(F.col("nab").alias("N"))
-    single = joint.filter("b = ''").select("a", F.col("nab").alias("na"))
-    # The result has one row per pair of names by definition; it is spelled out from the fixed names.
-    every = F.array(*[F.lit(n) for n in names])
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = total.select("N", F.explode(every).alias("a")).repartition(parts, "a")
-    spine = first.select("N", "a", F.explode(every).alias("b"))
+    total = joint.filter("a = '' and b = ''").select(F.col("rows").cast("double").alias("N"))
+    single = joint.filter("b = ''").select("a", F.col("rows").cast("double").alias("na"))
+    # One row.
     rows = (
-        spine.join(joint, ["a", "b"], "left")
+        joint.filter("a <> '' and b <> ''")
+        .join(F.broadcast(total))
         .join(single, "a")
         .join(single.select(F.col("a").alias("b"), F.col("na").alias("nb")), "b")
     )
     pa, pb = F.col("na") / F.col("N"), F.col("nb") / F.col("N")
-    cov = F.coalesce("nab", F.lit(0.0)) / F.col("N") - pa * pb
+    cov = F.col("rows") / F.col("N") - pa * pb
     scale = F.sqrt(pa * (1 - pa) * pb * (1 - pb))
-    return rows.select("a", "b", F.when(scale > 0, cov / scale).alias("corr"))
+    return rows.select("a", "b", "rows", F.when(scale > 0, cov / scale).alias("corr"))

@@ -6,17 +6,15 @@ third of all rows arrives at its reducer as one row per task.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.session import use_utc
 
-SALTS = 1000
-MAX_HOT = 1000
-HOT_ROWS = 100_000
+
+def quoted(name: str) -> str:
+    """A column name as a reference: dots and spaces in it are part of the name."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
@@ -25,10 +23,12 @@ def _pick(df: DataFrame, keys: list[str], order: list[str], latest: bool) -> Dat
     ordered = []
     for i, c in enumerate(order):
         # Null sorts lowest by itself, which is right for the latest row and wrong for the first.
-        ordered += [F.col(c)] if latest else [F.col(c).isNull().alias(f"_null{i}"), F.col(c)]
-    row = F.struct(*ordered, *rest)
-    picked = df.groupBy(*keys).agg((F.max(row) if latest else F.min(row)).alias("_best"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
+        value = F.col(quoted(c))
+        ordered += [value] if latest else [value.isNull().alias(f"_null{i}"), value]
+    row = F.struct(*ordered, *[F.col(quoted(c)) for c in rest])
+    by = [F.col(quoted(k)) for k in keys]
+    picked = df.groupBy(*by).agg((F.max(row) if latest else F.min(row)).alias("_best"))
+    return picked.select(*[F.col(quoted(c)) if c in keys else F.col(f"_best.{quoted(c)}").alias(c) for c in df.columns])
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -43,16 +43,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Each whole row that occurs more than once, with the number of copies after the first."""
-    counted = df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("extra_copies"))
+    counted = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg((F.count(F.lit(1)) - 1).alias("extra_copies"))
     return counted.filter("extra_copies > 0")
 
 
 def duplicate_report(df: DataFrame, id_column: str) -> DataFrame:
     """Total rows, distinct ids (nulls not counted) and rows that repeat an earlier row."""
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
     return counted.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-        F.countDistinct(id_column).alias("distinct_ids"),
+        F.countDistinct(quoted(id_column)).alias("distinct_ids"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
     )
 
@@ -75,7 +75,7 @@ def same_columns(columns: list[str], expected: list[str], source: str = "table")
 def replace_column(df: DataFrame, target: str, source: str) -> DataFrame:
     """Put ``source`` in the place of ``target`` and drop ``source``."""
     require_columns(df, [target, source])
-    return df.withColumn(target, F.col(source)).drop(source)
+    return df.withColumn(target, F.col(quoted(source))).drop(source)
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep_prefixed: bool = False) -> DataFrame:
@@ -83,36 +83,16 @@ def prefix_columns(df: DataFrame, prefix: str, keep_prefixed: bool = False) -> D
     return df.toDF(*names)
 
 
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "left",
-    sizes: DataFrame | None = None,
-    salts: int = SALTS,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join many rows to a lookup with one row per key when some keys are hot.
-
-    A key is hot if it has more than ``hot_rows`` rows and more than one in ``MAX_HOT`` of all rows, so
-    fewer than ``MAX_HOT`` keys are hot whatever the data: that list is what is broadcast. The rows of hot
-    keys, and rows without a key, spread over ``salts`` tasks by a hash of the row; only the hot lookup
-    rows are repeated. Neither side itself is broadcast by hint. ``sizes`` (key columns and ``_n``) saves
-    counting the rows where the caller has a cheaper count, or a cheaper upper bound.
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join many rows to a lookup with one row per key, where some keys may be hot.
+
+    A plain join: adaptive execution splits the row side of a hot key, or of rows without a key, at run time,
+    by measured size and whatever the rows look like, so copies of one row are no special case and nothing is
+    counted beforehand. Only the row side may be split, hence the join types.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    counts = sizes if sizes is not None else rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.sum("_n") / F.lit(MAX_HOT)).scalar()
-    many = (F.col("_n") > hot_rows) & (F.col("_n") > share)
-    hot = F.broadcast(counts.filter(many).select(*on, F.lit(True).alias("_hot")))
-    keyless = reduce(or_, [F.col(c).isNull() for c in on])
-    is_hot = F.col("_hot").isNotNull()
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    salted = rows.join(hot, on, "left").withColumn("_salt", F.when(is_hot | keyless, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.join(hot, on, "left").withColumn("_salt", F.explode(copies))
-    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
+    return rows.join(lookup, on, how)
 
 
 def modes(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import MINUTE_US
+from snapgrid.operators.rows import lookup_join
+from snapgrid.session import materialize
 
 SLICE = "_slice"
 BEFORE = (Window.unboundedPreceding, -1)
@@ -32,21 +34,6 @@ def time_slice(us: Column, minutes: int = SLICE_MINUTES) -> Column:
     return us - F.pmod(us, F.lit(minutes * MINUTE_US))
 
 
-def magnitude_slice(value: Column) -> Column:
-    """Order-preserving slice of a number: fine near zero, coarser with size.
-
-    Values up to 1e18 in size fall into at most about seven million slices, whatever the data, which
-    bounds every table with one row per slice.
-    """
-    size = F.least(F.log1p(F.abs(value.cast("double")) * F.lit(1e6)), F.lit(800.0))  # infinity is the last slice
-    return F.floor(F.signum(value.cast("double")) * size * F.lit(65536.0)).cast("long")
-
-
-def unit_slice(score: Column, slices: int = 65536) -> Column:
-    """Order-preserving slice of a probability."""
-    return F.floor(score.cast("double") * F.lit(float(slices))).cast("long")
-
-
 def placed(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that have a key and a slice. Stated before a frame is read twice, so both readers agree."""
     for c in keys + [SLICE]:
@@ -86,14 +73,48 @@ def running_sums(
     )
 
 
+def ranked_sums(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
+    """Inclusive running sums of the whole table along ``order``, whose values are distinct.
+
+    Adds ``<c>_run`` and ``<c>_total``. Slices are ranges with sampled borders, so they hold like numbers of
+    rows wherever the values lie; the sliced table is written once, so that every reader sees the same borders.
+    What travels between slices is one array with an element for each slice, as many as shuffle partitions.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.repartitionByRange(parts, order).withColumn(SLICE, F.spark_partition_id())
+    sliced = materialize(sliced, "slices")
+    edges = sliced.groupBy(SLICE).agg(*[F.sum(c).alias(c) for c in columns])
+    listed = edges.agg(F.sort_array(F.collect_list(F.struct(SLICE, *columns))).alias("_edges")).filter("size(_edges) > 0")
+
+    def summed(upto: Column, c: str) -> Column:
+        kind = F.coalesce(F.get("_edges", F.lit(0))[c] * 0, F.lit(0).cast(edges.schema[c].dataType))
+        return F.aggregate(F.slice("_edges", 1, upto), kind, lambda total, edge: total + F.coalesce(edge[c], F.lit(0)))
+
+    carry = listed.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_edges") - 1))).select(
+        F.get("_edges", F.col("_i"))[SLICE].alias(SLICE),
+        *[summed(F.col("_i"), c).alias(f"_{c}_before") for c in columns],
+        *[summed(F.size("_edges"), c).alias(f"{c}_total") for c in columns],
+    )
+    inside = Window.partitionBy(SLICE).orderBy(order).rowsBetween(*SO_FAR)
+    local = sliced.select("*", *[F.sum(c).over(inside).alias(f"_{c}_in") for c in columns])
+    # At most as many rows as shuffle partitions.
+    return local.join(F.broadcast(carry), SLICE).select(
+        *df.columns,
+        *[(F.col(f"_{c}_before") + F.col(f"_{c}_in")).alias(f"{c}_run") for c in columns],
+        *[f"{c}_total" for c in columns],
+    )
+
+
 def as_of(
     instants: DataFrame, events: DataFrame, keys: list[str], ts: str, columns: list[str], minutes: int = SLICE_MINUTES
 ) -> DataFrame:
-    """For each distinct (key, instant), the last event row at or before it, its nulls included.
+    """Each row of ``instants`` with the last event row of its key at or before it, its nulls included.
 
-    Events and instants travel together: one shuffle, no pair of rows is ever formed. Of several
-    events at one instant the greatest row counts.
+    A left join: every left row stays, copies of an instant and rows without a key or time too (those find
+    nothing). Distinct instants and events travel together in one shuffle; no pair of rows is ever formed. Of
+    several events at one instant the greatest row counts.
     """
+    asked = instants
     us = F.unix_micros(ts)
     rows = events.select(*keys, us.alias("_us"), F.struct(*columns).alias("_row"), F.lit(0).alias("_ask"))
     nothing = F.lit(None).cast(rows.schema["_row"].dataType)
@@ -115,4 +136,7 @@ def as_of(
     local = both.withColumn("_in", F.last("_row", ignorenulls=True).over(inside))
     found = local.filter("_ask = 1").join(carry, place)
     row = F.coalesce("_in", "_before")
-    return found.select(*keys, F.timestamp_micros("_us").alias(ts), *[row[c].alias(c) for c in columns])
+    answers = found.select(*keys, F.timestamp_micros("_us").alias(ts), *[row[c].alias(c) for c in columns])
+    # One answer for each distinct instant; a hot instant's copies are on the side that may be split.
+    kept = [c for c in asked.columns if c not in columns]
+    return lookup_join(asked.select(*kept), answers, [*keys, ts]).select(*kept, *columns)

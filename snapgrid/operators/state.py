@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from snapgrid.functions.ports import AVAILABLE, port_flags
 from snapgrid.functions.values import safe_rate
 from snapgrid.operators.clean import clean_locations, clean_ports
-from snapgrid.operators.rows import first_per_key, salted_join
+from snapgrid.operators.rows import first_per_key, lookup_join, quoted
 from snapgrid.operators.slices import BEFORE, SLICE, SLICE_MINUTES, SO_FAR, placed, running_sums, time_slice
 
 FLAGS = ["dc", "ccs", "chademo", "type2", "wall"]
@@ -220,9 +220,9 @@ def station_lookup(locations: DataFrame, stations: DataFrame) -> DataFrame:
     place = first_location.drop(*LEFT_OUT).withColumnRenamed("loc_id", "_loc_id")
     own = [c for c in stations.columns if c not in LEFT_OUT and c not in place.columns]
     # Versions of a station carry no time of their own: the smallest row is the documented choice.
-    first_station = first_per_key(stations.select(*own).filter("st_id is not null"), ["st_id"], [])
+    first_station = first_per_key(stations.select(*[F.col(quoted(c)) for c in own]).filter("st_id is not null"), ["st_id"], [])
     stations_of = first_station.withColumn("_loc_id", F.col("st_location_id"))
-    return salted_join(stations_of, place, ["_loc_id"]).drop("_loc_id")
+    return lookup_join(stations_of, place, ["_loc_id"]).drop("_loc_id")
 
 
 PORT_COLUMNS = [

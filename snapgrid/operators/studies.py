@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapgrid.operators.rows import salted_join
+from snapgrid.operators.rows import lookup_join
 
 
 def distinct_per_group(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
@@ -43,12 +43,11 @@ def multi_combo_groups(df: DataFrame, columns: list[str], entity: str, group: st
     twice with the same columns, so that they are counted once.
     """
     combos = combo_frequencies(df, columns, entity, group)
-    sizes = combos.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.sum("count").alias("_all"))
-    sizes = sizes.filter("_all >= 0").select(group, "_n")
+    sizes = combos.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     several = sizes.filter("_n > 1").select(group)
     entities = df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.countDistinct(entity).alias("entities"))
     lookup = several.join(entities, group, "left").withColumn("entities", F.coalesce("entities", F.lit(0)))
-    return salted_join(combos, lookup, [group], "inner", sizes).select(group, *columns, "count", "entities")
+    return lookup_join(combos, lookup, [group], "inner").select(group, *columns, "count", "entities")
 
 
 def change_history(df: DataFrame, entity: str, columns: list[str], shown: list[str]) -> DataFrame:
@@ -62,6 +61,4 @@ def change_history(df: DataFrame, entity: str, columns: list[str], shown: list[s
     combos = known.select(entity, *columns).distinct()
     changed = combos.groupBy(entity).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(entity)
     entries = known.groupBy(entity, *columns, *shown).agg(F.count(F.lit(1)).alias("copies"))
-    # Rows are at least as many as entries, and cheaper to count.
-    sizes = known.groupBy(entity).agg(F.count(F.lit(1)).alias("_n"))
-    return salted_join(entries, changed, [entity], "left_semi", sizes)
+    return lookup_join(entries, changed, [entity], "left_semi")

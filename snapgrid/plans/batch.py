@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapgrid.operators import classify, encode, grid, quality, state
+from snapgrid.operators import classify, encode, grid, labels, quality, state
 from snapgrid.plans.ingest import extract_ports, extract_stations, locations_from_snapshots
-from snapgrid.schema import HORIZON_MINUTES, STATE_COLUMNS, STATIC_COLUMNS, StagePaths, required_horizon_columns
+from snapgrid.schema import HORIZON_MINUTES, STATE_COLUMNS, STATIC_COLUMNS, StagePaths
 from snapgrid.session import use_utc
 from snapgrid.sources.sinks import save_model, write_counted, write_metrics, write_table
 from snapgrid.sources.tables import read_stage
@@ -26,13 +26,11 @@ def timeseries(spark: SparkSession, paths: StagePaths) -> DataFrame:
     return write_table(state.station_timeseries(*tables), paths.path("timeseries"))
 
 
-def encoded(spark: SparkSession, paths: StagePaths, text: list[str] | None = None) -> DataFrame:
-    """One-hot columns next to the series. ``text`` names the columns to encode; the columns the model
-    needs as they are stay out of it."""
+def encoded(spark: SparkSession, paths: StagePaths, text: tuple[str, ...] = ()) -> DataFrame:
+    """One-hot columns next to the series. ``text`` names the columns to encode; other text, names and
+    descriptions with a value for nearly every station above all, stays as it is."""
     series = read_stage(spark, paths.path("timeseries"))
-    chosen = text if text is not None else [
-        c for c in encode.categorical_columns(series, "snapshot_ts") if c not in SERIES_COLUMNS
-    ]
+    chosen = list(text)
     return write_table(encode.one_hot(series, values=encode.categories(series, chosen)), paths.path("encoded"))
 
 
@@ -53,7 +51,7 @@ def dense(spark: SparkSession, paths: StagePaths, static_until=None) -> tuple[in
 
 def train(spark: SparkSession, paths: StagePaths, settings: classify.TrainSettings = classify.TrainSettings()) -> DataFrame:
     """One model and one metrics record per horizon; returns all metrics records."""
-    columns = required_horizon_columns(settings.features)
+    columns = labels.label_inputs(settings.features)
     grid_table = read_stage(spark, paths.path("dense"), columns=columns, ts="ts")
     table = classify.training_table(grid_table, HORIZON_MINUTES, settings)
     for horizon in HORIZON_MINUTES:

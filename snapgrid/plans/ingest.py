@@ -7,12 +7,14 @@ from pyspark.sql import types as T
 
 from snapgrid.operators.nested import flatten, opening_hours, unnest
 from snapgrid.operators.rows import prefix_columns
-from snapgrid.schema import LOCATION_RECORD, PORT_ITEM, STATION_ITEM
+from snapgrid.schema import PORT_ITEM, STATION_ITEM
 from snapgrid.sources.sinks import write_table
 from snapgrid.sources.snapshots import read_snapshots
 from snapgrid.sources.tables import header_groups, list_files, read_checked, read_group, union_checked
 
 HOURS = "opening_hours"
+#: Fields of children in JSON text that no schema names, as one text.
+REST = "more_fields"
 PORT_LIFT = {
     "status": ("port_status", "status", "string"),
     "authentication_id": ("authentications", "authentication_id", "string"),
@@ -20,10 +22,9 @@ PORT_LIFT = {
 }
 
 
-def convert_snapshots(spark: SparkSession, json_folder: str, target: str, record: T.StructType = LOCATION_RECORD) -> DataFrame:
-    """All JSON documents as one flat table partitioned by source file."""
-    flat = flatten(read_snapshots(spark, json_folder, record))
-    return write_table(flat, target, ["source_file"])
+def convert_snapshots(spark: SparkSession, json_folder: str, target: str, record: T.StructType | None = None) -> DataFrame:
+    """All JSON documents as one flat table; a column names each row's source file."""
+    return write_table(flatten(read_snapshots(spark, json_folder, record)), target)
 
 
 def tables_with_hours(spark: SparkSession, table_folder: str) -> DataFrame:
@@ -36,8 +37,8 @@ def tables_with_hours(spark: SparkSession, table_folder: str) -> DataFrame:
 
 
 def derive_opening_hours(spark: SparkSession, table_folder: str, target: str) -> DataFrame:
-    """The tables with derived hours, written in one job with one part per source file."""
-    return write_table(tables_with_hours(spark, table_folder), target, ["source_file"])
+    """The tables with derived hours, written in one job; a column names each row's source file."""
+    return write_table(tables_with_hours(spark, table_folder), target)
 
 
 def consolidate_locations(
@@ -49,7 +50,7 @@ def consolidate_locations(
     return prefix_columns(everything, "loc_").distinct()
 
 
-def locations_from_snapshots(spark: SparkSession, json_folder: str, record: T.StructType = LOCATION_RECORD) -> DataFrame:
+def locations_from_snapshots(spark: SparkSession, json_folder: str, record: T.StructType | None = None) -> DataFrame:
     """The same table straight from the JSON documents, typed all the way; stations stay an array."""
     raw = read_snapshots(spark, json_folder, record).drop("source_file")
     return prefix_columns(flatten(opening_hours(raw), keep=("stations",)), "loc_").distinct()
@@ -57,13 +58,13 @@ def locations_from_snapshots(spark: SparkSession, json_folder: str, record: T.St
 
 def extract_stations(locations: DataFrame, child: T.StructType = STATION_ITEM) -> DataFrame:
     """One row per station of every location version."""
-    rows = unnest(locations, "loc_stations", child, ["loc_id"])
+    rows = unnest(locations, "loc_stations", child, ["loc_id"], rest=REST)
     return prefix_columns(rows, "st_").withColumnRenamed("st_loc_id", "st_location_id")
 
 
 def extract_ports(stations: DataFrame, child: T.StructType = PORT_ITEM) -> DataFrame:
     """One row per port of every station version, with its first status and authentication."""
-    rows = unnest(stations, "st_ports", child, ["st_id", "st_location_id"], PORT_LIFT)
+    rows = unnest(stations, "st_ports", child, ["st_id", "st_location_id"], PORT_LIFT, rest=REST)
     return prefix_columns(rows, "port_", keep_prefixed=True).withColumnsRenamed(
         {"port_st_id": "port_station_id", "port_st_location_id": "port_station_location_id"}
     )

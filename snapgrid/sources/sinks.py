@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.functions.time import iso_text
+from snapgrid.operators.rows import quoted
 from snapgrid.session import use_utc
 
 
@@ -30,13 +31,18 @@ def write_counted(df: DataFrame, path: str, key: str) -> tuple[int, int]:
     return seen.get["rows"], table.select(key).distinct().count()
 
 
+def in_order(df: DataFrame, sort: list[str]) -> DataFrame:
+    """Sorted by columns, descending where a name starts with a minus; nulls last either way."""
+    keys = [F.col(quoted(c[1:])).desc_nulls_last() if c.startswith("-") else F.col(quoted(c)).asc_nulls_last() for c in sort]
+    return df.orderBy(*keys)
+
+
 def write_csv(df: DataFrame, path: str, sort: list[str] | None = None) -> None:
-    """CSV export with ISO instants; sorted only on request."""
+    """CSV export with ISO instants; sorted only on request (see :func:`in_order`)."""
     use_utc(df.sparkSession)
     instants = {f.name: iso_text(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)}
     text = df.withColumns(instants) if instants else df
-    if sort:
-        text = text.orderBy(*[F.col(c).asc_nulls_last() for c in sort])
+    text = in_order(text, sort) if sort else text
     text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapgrid.schema import LOCATION_RECORD
+from snapgrid.schema import LOCATION_RECORD, merged
 from snapgrid.session import use_utc
 
 
@@ -33,7 +33,7 @@ def as_text(kind: T.DataType) -> T.DataType:
 
 
 def read_snapshots(
-    spark: SparkSession, folder: str, record: T.StructType | None = LOCATION_RECORD, envelope: str = "locations"
+    spark: SparkSession, folder: str, record: T.StructType | None = None, envelope: str = "locations"
 ) -> DataFrame:
     """All records of a folder of JSON documents, one row each, with the source file name.
 
@@ -41,9 +41,12 @@ def read_snapshots(
     A document in which none of these is found (broken text, an envelope that is no list) fails the
     job. Values are read as text and then cast, so a number in quotes is a number and a value that does
     not fit is null; a field declared as text keeps nested JSON as it is. Files are read in parallel; the
-    only unit that has to fit a task is one document. Without a ``record`` schema it is inferred first.
+    only unit that has to fit a task is one document.
+
+    Every field of the documents is kept: one more pass finds the fields, those of the default record have its
+    types. With a ``record`` schema that pass is saved, and only the fields it names are read.
     """
-    record = record or infer_record(spark, folder, envelope)
+    record = record or merged(LOCATION_RECORD, infer_record(spark, folder, envelope))
     fields = [f for f in record.fields if f.name != envelope]
     wanted = T.StructType(fields)
     loose = as_text(wanted)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,7 +17,6 @@ from snapgrid.session import use_utc
 
 #: JSON cells hold commas, quotes and line breaks.
 CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
-HEADER_READERS = 16
 
 
 def read_csv(
@@ -31,9 +30,9 @@ def read_csv(
     return (reader.schema(schema) if schema else reader).csv(paths)
 
 
-def read_csv_inferred(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_csv_inferred(spark: SparkSession, paths: str | list[str], line_breaks: bool = True) -> DataFrame:
     """CSV with types inferred from the data, at the price of one more pass over it."""
-    return spark.read.options(**CSV_OPTIONS, inferSchema=True).csv(paths)
+    return spark.read.options(**{**CSV_OPTIONS, "multiLine": line_breaks}, inferSchema=True).csv(paths)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", prefixes: tuple[str, ...] = ()) -> list[str]:
@@ -48,11 +47,6 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", prefixes: t
     return paths
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """The column names of one CSV file; reads its first line only."""
-    return spark.read.option("header", True).option("escape", '"').csv(path).columns
-
-
 def union_checked(frames: list[DataFrame], reference: list[str] | None = None) -> DataFrame:
     """Union all by name of frames with equal column sets, in the reference order (default: the first's)."""
     reference = reference or frames[0].columns
@@ -62,28 +56,43 @@ def union_checked(frames: list[DataFrame], reference: list[str] | None = None) -
 
 
 def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header; a group shares one scan, so a plan has one leaf per header, not per file."""
-    with ThreadPoolExecutor(HEADER_READERS) as readers:
-        headers = list(readers.map(lambda path: header_columns(spark, path), paths))
+    """Files by header; a group shares one scan, so a plan has one leaf per header, not per file.
+
+    One distributed pass finds the first line of every file: the one at the start of its first block.
+    """
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
+    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in zip(paths, headers):
-        groups.setdefault(tuple(columns), []).append(path)
+    for row in sorted(grouped, key=lambda r: r["paths"][0]):
+        columns = next(csv.reader([row["header"]], doublequote=True))
+        groups.setdefault(tuple(columns), []).extend(row["paths"])
     return groups
 
 
-def read_group(spark: SparkSession, columns: tuple[str, ...], paths: list[str]) -> DataFrame:
+def read_group(
+    spark: SparkSession, columns: tuple[str, ...], paths: list[str], line_breaks: bool = True
+) -> DataFrame:
     """Files with one header as text columns and their ``source_file``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return read_csv(spark, paths, schema).select("*", F.col("_metadata.file_name").alias("source_file"))
+    return read_csv(spark, paths, schema, line_breaks).select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
-def read_checked(spark: SparkSession, paths: list[str], reference: list[str] | None = None) -> DataFrame:
+def read_checked(
+    spark: SparkSession, paths: list[str], reference: list[str] | None = None, line_breaks: bool = True
+) -> DataFrame:
     """Many CSV files with the same columns, in any order, as one frame."""
-    reference = reference or header_columns(spark, paths[0])
+    groups = header_groups(spark, paths)
+    reference = reference or list(next(iter(groups)))
     frames = []
-    for columns, files in header_groups(spark, paths).items():
+    for columns, files in groups.items():
         same_columns(list(columns), reference, files[0])
-        frames.append(read_group(spark, columns, files).select(*reference))
+        frames.append(read_group(spark, columns, files, line_breaks).select(*reference))
     return union_checked(frames, reference)
 
 
@@ -94,18 +103,26 @@ def read_stage(
     schema: T.StructType | None = None,
     ts: str | None = None,
     bad_ts: str = "drop",
+    line_breaks: bool = True,
 ) -> DataFrame:
-    """A stage table: Parquet at ``path``, else CSV at ``path + '.csv'``, else an error.
+    """A stage table: Parquet at ``path``, CSV at ``path + '.csv'`` if there is no such path, else an error.
+
+    A path that exists without a readable table, such as an interrupted stage, is an error too.
 
     Only ``columns`` are read. Unparseable values of ``ts`` drop their row or fail the job.
     """
     use_utc(spark)
     try:
         df = spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise  # a folder without a table is a broken stage, not an absent one
         try:
-            df = read_csv(spark, f"{path}.csv", schema) if schema else read_csv_inferred(spark, f"{path}.csv")
-        except AnalysisException:
+            text = f"{path}.csv"
+            df = read_csv(spark, text, schema, line_breaks) if schema else read_csv_inferred(spark, text, line_breaks)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise FileNotFoundError(f"no stage table at {path} or {path}.csv") from None
     if columns:
         df = require_columns(df, columns).select(*columns)

@@ -161,3 +161,32 @@ def test_session_zone_does_not_matter(spark):
         cells = grid.dense_grid(grid.bucket_latest(df), state=["available_ports"], static=[])
         results.append(sorted(map(tuple, cells.withColumn("ts", F.unix_micros("ts")).collect())))
     assert results[0] == results[1] and len(results[0]) == 4 and results[0][0][1] == 1735689000000000
+
+
+def test_ranked_sums_in_even_slices(spark):
+    """Slices follow the data: ids close together, far from zero, spread over all of them."""
+    from snapgrid.operators.slices import SLICE, ranked_sums
+
+    df = spark.range(10**9, 10**9 + 20_000, 1, 4).select(F.col("id").alias("v"), (F.col("id") % 7).alias("n"))
+    got = ranked_sums(df, "v", ["n"])
+    # What meets in one place is the array of slices, one element each; the only window is inside a slice.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") == 1 and "partial_collect_list" in plan.split("SinglePartition")[1]
+    rows = got.orderBy("v").collect()
+    total, run = sum(r["n"] for r in rows), 0
+    for r in rows:
+        run += r["n"]
+        assert (r["n_run"], r["n_total"]) == (run, total)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sliced = df.repartitionByRange(parts, "v").groupBy(F.spark_partition_id().alias(SLICE)).count().collect()
+    assert len(sliced) == parts and max(r["count"] for r in sliced) < 2 * 20_000 / parts
+    assert ranked_sums(df.limit(0), "v", ["n"]).collect() == []
+
+
+def test_a_bad_time_fails_even_if_nothing_reads_it(spark):
+    df = spark.createDataFrame([(1, "2025-01-01 00:00:00"), (2, "soon")], "v int, t string")
+    strict = grid.strict_instants(df, "t")
+    for act in (strict.count, lambda: strict.agg(F.sum("v")).collect(), lambda: strict.select("v").collect()):
+        with pytest.raises(Exception, match="invalid timestamp in t: soon"):
+            act()
+    assert grid.strict_instants(df.limit(1).coalesce(1).filter("v = 1"), "t").count() == 1

@@ -27,7 +27,8 @@ def test_entry_has_rows(spark):
 
 
 def test_only_training_has_no_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"gbt_train_score"}
+    own = {n for n in registry.queries() if not re.match(r"op\d+_|pipeline$", n)}
+    assert own - set(registry.oracle_sql()) == {"gbt_train_score"}
 
 
 def executed_plan(df):
@@ -36,7 +37,7 @@ def executed_plan(df):
 
 
 @pytest.mark.parametrize(
-    "name, scans", [("station_state", 1), ("segments", 1), ("label_coverage", 1), ("dense_grid", 1), ("auc_exact", 1), ("split_rows", 1)]
+    "name, scans", [("station_state", 1), ("segments", 1), ("label_coverage", 1), ("dense_grid", 1), ("auc_exact", 0), ("split_rows", 0)]
 )
 def test_plans(spark, name, scans):
     """No cross or nested-loop join, no Python, and no input read twice, with broadcasts off as at scale."""

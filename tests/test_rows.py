@@ -49,28 +49,47 @@ def test_replace_and_prefix(spark):
         rows.replace_column(df, "b", "missing")
 
 
-@pytest.mark.parametrize("hot_rows", [20, 10**9])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_join_equals_join(spark, how, hot_rows):
-    """A third of the rows has key 0, some have none; with and without keys that count as hot."""
+def test_lookup_join_of_copies_nulls_and_maps(spark, how):
+    """A third of the rows are copies of one row, some have no key, and one column is a map."""
     key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 != 0, F.col("id") % 50)
-    left = spark.range(1000).select(F.col("id"), key.alias("k"))
+    value = F.when(F.col("id") % 3 != 0, F.col("id"))
+    left = spark.range(1000).select(value.alias("id"), key.alias("k"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
     right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    want = left.join(right, "k", how)
-    got = rows.salted_join(left, right, ["k"], how, salts=16, hot_rows=hot_rows)
-    assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
-
-
-def test_salted_join_spreads_the_hot_key(spark):
-    left = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    right = left.select("k").distinct().withColumn("v", F.lit(1))
-    limits = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    got = rows.lookup_join(left, right, ["k"], how).collect()
+    known = [(None if i % 3 == 0 else i, 0 if i % 3 == 0 else i % 50 if i % 7 else None) for i in range(1000)]
+    held = [(i, k) for i, k in known if k is not None and k < 40]
+    want = {"left": known, "inner": held, "left_semi": held, "left_anti": [x for x in known if x not in held]}[how]
+    assert sorted(((r["id"], r["k"]) for r in got), key=str) == sorted(want, key=str)
+    with pytest.raises(ValueError):
+        rows.lookup_join(left, right, ["k"], "full")
+
+
+def test_adaptive_execution_splits_the_copies_of_a_hot_key(spark):
+    """No task of the join reads more than a fraction of the hot key's rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        joined = rows.salted_join(left, right, ["k"], "inner", salts=64, hot_rows=100)
-        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        left = spark.range(0, 120_000, 1, 16).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+        right = spark.range(-1, 120_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+        joined = rows.lookup_join(left, right, ["k"], "inner")
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        for k, v in limits.items():
+        for k, v in before.items():
             spark.conf.set(k, v)
-    assert sum(sizes) == 3000 and max(sizes) < 600
+    assert "skew=true" in plan
+
+
+def test_dotted_names(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (1, 7, "b")], "`k.x` int, `t.y` int, `v w` string")
+    assert as_set(rows.latest_per_key(df, ["k.x"], ["t.y"])) == {(1, 7, "b")}
+    assert as_set(rows.duplicate_rows(df)) == {(1, 7, "b", 1)}
+    assert tuple(rows.duplicate_report(df, "k.x").first()) == (3, 1, 1)

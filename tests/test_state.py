@@ -189,3 +189,12 @@ def test_clean_ports_without_notes_column(spark):
         "port_id int, port_last_updated string, port_status string",
     )
     assert [r["port_status"] for r in clean.clean_ports(df).collect()] == ["b"]
+
+
+def test_as_of_is_a_left_join(spark):
+    events = spark.createDataFrame([(1, T0, 5), (None, T0, 6)], "k int, t timestamp, v int")
+    later = T0 + dt.timedelta(minutes=9)
+    asks = [(1, later, "a"), (1, later, "a"), (1, later, "b"), (None, later, "c"), (1, None, "d"), (2, later, "e")]
+    df = spark.createDataFrame(asks, "k int, t timestamp, w string")
+    got = sorted(((r["w"], r["v"]) for r in slices.as_of(df, events, ["k"], "t", ["v"]).collect()), key=str)
+    assert got == [("a", 5), ("a", 5), ("b", 5), ("c", None), ("d", None), ("e", None)]

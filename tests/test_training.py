@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from snapgrid.operators import classify, labels, quality
 from snapgrid.plans import batch, reports
-from snapgrid.schema import FEATURE_COLUMNS, StagePaths, required_horizon_columns
+from snapgrid.schema import FEATURE_COLUMNS, StagePaths
 from snapgrid.session import shared_folder
 
 QUICK = classify.TrainSettings(rounds=3, depth=2)
@@ -26,7 +26,7 @@ def dense(spark, rows, value):
 
 
 def test_required_columns_are_unique():
-    columns = required_horizon_columns()
+    columns = labels.label_inputs(FEATURE_COLUMNS)
     assert len(columns) == len(set(columns)) and columns[:4] == ["st_id", "ts", "age_minutes", "available_ports"]
 
 
@@ -136,3 +136,11 @@ def test_whole_chain(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_patience():
+    falling = [1 / (i + 1) for i in range(50)]
+    assert classify.best_round(falling, 30) == (49, False)
+    assert classify.best_round(falling[:10] + [1.0] * 30, 30) == (9, True)
+    assert classify.best_round(falling[:10] + [1.0] * 29 + [0.0], 30) == (39, False)
+    assert classify.best_round([0.5, 0.5, 0.4, 0.6, 0.4], 2) == (2, True)
