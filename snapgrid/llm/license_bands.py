@@ -16,6 +16,8 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,12 +114,10 @@ def shingle_hashes(words: Column, width: int) -> Column:
     return F.when(F.size(words) == 0, F.array().cast("array<long>")).otherwise(F.array_distinct(runs))
 
 
-def minima(hashes: Column, bands: int) -> Column:
-    """For every band the smallest hash under its own seed, as one number together with the band."""
-    seeds = F.sequence(F.lit(1), F.lit(bands))
-    return F.transform(
-        seeds, lambda b: F.xxhash64(b, F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))))
-    )
+def minima(hashes: Column, class_words: Column, bands: Column) -> Column:
+    """For every band the smallest hash under its own seed, as one number together with the class and the band."""
+    least = lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b)))
+    return F.transform(F.sequence(F.lit(1), bands), lambda b: F.xxhash64(class_words, b, least(b)))
 
 
 def found_licenses(
@@ -132,45 +132,41 @@ def found_licenses(
     settings = settings or Settings()
     known = parts(settings)
     spark = documents.sparkSession
+    by_class = {c: [p for p in known if p.class_words == c] for c in sorted({p.class_words for p in known})}
+    bands = {c: max(bands_for(p, settings) for p in own) for c, own in by_class.items()}
+    anchors = {c: sorted({a for p in own for a in p.anchors(settings.words, settings.containment)}) for c, own in by_class.items()}
+    rows = [(i, p.license_id, p.template, p.class_words, bands[p.class_words], list(p.words)) for i, p in enumerate(known)]
+    table = spark.createDataFrame(rows, "part int, license_id string, template int, class int, bands int, words array<string>")
+    table = table.withColumn("wanted", shingle_hashes(F.col("words"), settings.words))
+    table = table.withColumn("band", F.explode(minima(F.col("wanted"), F.col("class"), F.col("bands"))))
+    table = table.drop("words", "class", "bands")
     lowered = F.lower(F.col(text).cast("string"))
-    found = []
-    for class_words in sorted({p.class_words for p in known}):
-        own = [p for p in known if p.class_words == class_words]
-        bands = max(bands_for(p, settings) for p in own)
-        anchors = sorted({a for p in own for a in p.anchors(settings.words, settings.containment)})
-        anchor_words = F.array(*[F.lit(a) for a in anchors])
-        rows = [(i, p.license_id, p.template, list(p.words)) for i, p in enumerate(own)]
-        table = spark.createDataFrame(rows, "part int, license_id string, template int, words array<string>")
-        table = table.withColumn("wanted", shingle_hashes(F.col("words"), settings.words)).drop("words")
-        table = table.withColumn("band", F.explode(minima(F.col("wanted"), bands)))
-        possible = [lowered.contains(a) for a in anchors]
-        any_anchor = possible[0]
-        for test in possible[1:]:
-            any_anchor = any_anchor | test
-        worded = documents.where(any_anchor).select(
-            F.col(doc_id).cast("long").alias("doc_id"),
-            F.filter(F.split(lowered, _WORD), lambda w: w != "").alias("words"),
-        )
-        starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(class_words))
-        windows = worded.select("doc_id", "words", F.explode(starts).alias("word_start")).select(
-            "doc_id", "word_start", F.slice("words", F.col("word_start"), 2 * class_words).alias("words")
-        )
-        windows = windows.where(F.arrays_overlap("words", anchor_words)).select(
-            "doc_id", "word_start", shingle_hashes(F.col("words"), settings.words).alias("hashes")
-        )
-        banded = windows.select("doc_id", "word_start", "hashes", F.explode(minima(F.col("hashes"), bands)).alias("band"))
-        # The table holds the given templates alone.
-        pairs = banded.join(F.broadcast(table), "band")
-        share = F.size(F.array_intersect("wanted", "hashes")) / F.size("wanted")
-        matched = pairs.withColumn("containment", share).where(F.col("containment") >= settings.containment)
-        found.append(
-            matched.groupBy("doc_id", "license_id", "template", F.lit(class_words).alias("class"), "part").agg(
-                F.max("containment").alias("containment"), F.min("word_start").alias("word_start")
-            )
-        )
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionAll(more)
+    possible = [lowered.contains(a) for a in sorted({a for own in anchors.values() for a in own})]
+    worded = documents.where(reduce(or_, possible)).select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.filter(F.split(lowered, _WORD), lambda w: w != "").alias("words")
+    )
+    each = F.array(
+        *[
+            F.struct(F.lit(c).alias("class"), F.lit(bands[c]).alias("bands"), F.array(*map(F.lit, anchors[c])).alias("anchors"))
+            for c in by_class
+        ]
+    )
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.col("c.class"))
+    windows = worded.select("doc_id", "words", F.explode(each).alias("c"))
+    windows = windows.select("doc_id", "words", "c", F.explode(starts).alias("word_start"))
+    windows = windows.withColumn("words", F.slice("words", F.col("word_start"), F.col("c.class") * 2))
+    windows = windows.where(F.arrays_overlap("words", "c.anchors"))
+    windows = windows.select("doc_id", "word_start", "c", shingle_hashes(F.col("words"), settings.words).alias("hashes"))
+    banded = windows.select(
+        "doc_id", "word_start", "hashes", F.explode(minima(F.col("hashes"), F.col("c.class"), F.col("c.bands"))).alias("band")
+    )
+    # The table holds the given templates alone.
+    pairs = banded.join(F.broadcast(table), "band")
+    share = F.size(F.array_intersect("wanted", "hashes")) / F.size("wanted")
+    matched = pairs.withColumn("containment", share).where(F.col("containment") >= settings.containment)
+    every = matched.groupBy("doc_id", "license_id", "template", "part").agg(
+        F.max("containment").alias("containment"), F.min("word_start").alias("word_start")
+    )
     needed = {}
     for p in known:
         needed[(p.license_id, p.template)] = needed.get((p.license_id, p.template), 0) + 1
