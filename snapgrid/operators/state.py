@@ -141,8 +141,10 @@ def station_states(
     states = port_states(ports, station, port, ts, status, attributes, slice_minutes)
     after = _counts(F.col("free"), F.col("bits"))
     before = _counts(F.col("free_before"), F.col("bits_before"))
+    # Placed for the running sums already: copies are gone, so there is little to combine before the shuffle.
     changes = (
         states.select("station", SLICE, "ts", *[(after[c] - before[c]).alias(c) for c in COUNTS])
+        .repartition("station", SLICE)
         .groupBy("station", SLICE, "ts")
         .agg(*[F.sum(c).alias(c) for c in COUNTS])
     )

@@ -53,7 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+    if not is_local(spark):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     fallback = tempfile.mkdtemp(prefix="snapgrid-")
     spark.conf.set("spark.checkpoint.dir", fallback)
@@ -74,10 +74,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Hand this package to the Python workers, wherever they run; once for each application."""
+    """Let the Python workers of a local session import this package, wherever it was started.
+
+    On a cluster the package is installed or shipped with the job, like any other library.
+    """
     context = spark.sparkContext
-    if context.applicationId not in _SHIPPED:
+    if is_local(spark) and context.applicationId not in _SHIPPED:
         here = Path(__file__).resolve().parent
         archive = Path(tempfile.mkdtemp(prefix="snapgrid-code-")) / "snapgrid.zip"
         with zipfile.ZipFile(archive, "w") as out:
