@@ -21,6 +21,18 @@ def sized_join(rows: DataFrame, lookup: DataFrame, on: str, how: str = "inner")
     return rows.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
+def bounded_sample(rows: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    """About ``n`` rows, never more than twice as many, in one partition: those whose hash of ``keys`` is low.
+
+    The share follows from the table's count, so only rows of the sample leave their tasks.
+    """
+    total = rows.count()
+    if total > n:
+        low = F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < int((1 << 40) * (n / total))
+        rows = rows.filter(low)
+    return rows.limit(2 * n)
+
+
 def sorted_groups(batches: Iterable[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.RecordBatch]:
     """Whole groups, one after another, from batches sorted by ``keys`` (without nulls).
 

@@ -4,12 +4,12 @@ Grades are ordered; one weight vector over hashed text features is shared by all
 cut its score: P(grade > k) = sigmoid(score - threshold k). The expected grade ranks documents, the tail
 probability P(grade >= wanted) selects them.
 
-Features are the distinct words of a text and of its shape (how much of it is letters, capitals, symbols,
+Features are the distinct words of a text, their beginnings, and its shape (how much of it is letters, capitals, symbols,
 repeated words, and how long it is). A lasso penalty leaves most weights at exactly zero, so a long text does
 not gather noise, and the model is a short sorted list of hashes and weights.
 
-At scale: fitting reads a bounded, documented sample of rated documents (``sample`` rows, in the order of a hash of
-their ids) in one task; scoring is one pass over all documents without a shuffle.
+At scale: fitting reads a bounded, documented sample of rated documents (about ``sample``, by a hash of their ids)
+in one task; scoring is one pass over all documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -25,11 +25,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import fresh_name
+from snapgrid.llm.frames import bounded_sample, fresh_name
+from snapgrid.session import materialize
 
-#: Rated documents that a fit reads at most.
-SAMPLE = 12_000
+#: Rated documents that a fit reads, about.
+SAMPLE = 8_000
 _WORD = tk.members((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
+#: Lengths in bytes of word beginnings that are features: inflected forms share them.
+_PREFIXES = (4,)
 _SHAPES = 6
 _EDGES = [
     np.array([0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5]),  # symbols among inked bytes
@@ -50,12 +53,19 @@ class Features:
 
 
 def features(column: pa.Array) -> Features:
-    """Word and shape features; a null, empty or wordless text has shape features alone."""
+    """Word, word-beginning and shape features; a null, empty or wordless text has shape features alone."""
     data, offsets = tk.texts(column)
     low = tk.LOWER[data]
     starts, ends, first = tk.runs(low, offsets, _WORD)
-    words, borders = tk.distinct_per_group(tk.run_hashes(low, starts, ends), first)
-    n_words, n_distinct = np.diff(first), np.diff(borders)
+    whole = tk.run_hashes(low, starts, ends)
+    n_words, n_distinct = np.diff(first), np.diff(tk.distinct_per_group(whole, first)[1])
+    parts = [whole]
+    for length in _PREFIXES:
+        longer = ends - starts > length
+        begun = whole.copy()  # of a word that is no longer than its prefix: the word, which counts once
+        begun[longer] = tk.mix(tk.run_hashes(low, starts[longer], starts[longer] + length) + np.uint64(length))
+        parts.append(begun)
+    words, borders = tk.distinct_per_group(np.stack(parts, axis=1).ravel(), first * len(parts))
 
     def share(member: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(member)])
@@ -179,24 +189,25 @@ def rated(labels: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, ratings: DataFrame, n_grades: int = 3, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` rated documents, chosen by a hash of their ids.
+    """Fit on about ``sample`` rated documents, chosen by a hash of their ids.
 
     ``ratings`` has ``doc_id`` and ``grade`` (0 to ``n_grades`` - 1). Without any rated document all texts score 0.
     """
-    chosen = ratings.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = materialize(bounded_sample(ratings, sample, ["doc_id"]), "quality-sample")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # At most ``sample`` rows of two numbers.
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("text", "grade", F.xxhash64("doc_id", "text").alias("place"))
+    # At most twice ``sample`` rows of two numbers.
+    rows = rows.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id", "text").alias("place"), "text", "grade")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), pa.schema([("text", pa.string()), ("grade", pa.int32())]))
-        if table.num_rows:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            table = pa.Table.from_batches(held).sort_by("place")
             texts = table.column("text").cast(pa.large_string()).combine_chunks()
             model = fit(texts, table.column("grade").to_numpy().astype(np.int64), n_grades)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    one = rows.orderBy("place").limit(2 * sample).coalesce(1)
-    found = one.select("text", F.col("grade").cast("int").alias("grade")).mapInArrow(learn, "model binary").collect()
+    one = rows.limit(3 * sample).select("place", "text", F.col("grade").cast("int").alias("grade"))
+    found = one.mapInArrow(learn, "model binary").collect()
     if not found:
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(n_grades - 1))
     return pickle.loads(found[0].model)

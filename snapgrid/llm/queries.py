@@ -53,7 +53,11 @@ def _secret_scan(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows, _ = with_spans(documents, train(documents))
     kinds = ["assign", "access", "hex"]
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in kinds]
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
     return rows.select(
         "doc_id", *counts, F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list(F.col("spans")).alias("spans")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import fresh_name, list_array
+from snapgrid.llm.frames import bounded_sample, fresh_name, list_array
 
 # The pattern spans, in the order in which equal starts are listed.
 ASSIGN = re.compile(
@@ -36,8 +36,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "crf")
 
-#: Documents that a fit reads at most: as many with a keyword or access key as without regard to it.
+#: Documents that a fit reads, about: half at random, half with a keyword or access key.
 SAMPLE = 1_500
+#: Random documents that are searched for one with a keyword.
+SEARCHED = 64
 #: Stretches of tokens that a fit uses at most, those with a secret first.
 CHUNKS = 6_000
 CHUNK = 32
@@ -229,7 +231,7 @@ def fit(texts: list[str], steps: int = 80, ridge: float = 2e-3, rate: float = 0.
     for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist()):
         chunks += [(x, min(x + CHUNK, b)) for x in range(a, b, CHUNK)]
     totals = np.concatenate([[0], np.cumsum(tags > 0)])
-    chunks = sorted(chunks, key=lambda c: (totals[c[1]] == totals[c[0]], hash(c)))[:CHUNKS]
+    chunks = sorted(chunks, key=lambda c: (totals[c[1]] == totals[c[0]], c[0] * 2654435761 % 4294967296))[:CHUNKS]
     at = np.array([a for a, _ in chunks])[:, None] + np.arange(CHUNK)
     inside = at < np.array([b for _, b in chunks])[:, None]
     at = np.minimum(at, len(tags) - 1)
@@ -279,23 +281,31 @@ def fit(texts: list[str], steps: int = 80, ridge: float = 2e-3, rate: float = 0.
 
 
 def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE) -> Model | None:
-    """Fit on at most ``sample`` texts, half of them with a keyword or access key, in the order of a text hash."""
-    rows = documents.select(F.col(text).cast("string").alias("text")).where("text is not null")
+    """Fit on about ``sample`` texts at most: half of them at random, the rest those with a keyword or access key
+    among ``SEARCHED`` times as many. None without any text that has a pattern span.
+    """
+    keys = [F.col(f"`{c}`") for c in documents.columns if c in ("doc_id", text)]
+    half = sample // 2
     lowered = F.lower("text")
     likely = F.col("text").contains("AKIA")
     for word in KEYWORDS:
         likely = likely | lowered.contains(word)
-    place = F.xxhash64("text")
-    half = sample // 2
-    marked = rows.where(likely).orderBy(place, "text").limit(half)
-    chosen = marked.unionAll(rows.orderBy(place, "text").limit(sample - half))
+    named = [F.xxhash64(*keys).alias("place"), F.col(f"`{text}`").cast("string").alias("text")]
+    rows = documents.select(*named)
+    # The searched rows are filtered where they stand; what leaves a task is a few of them.
+    total = rows.count()
+    low = F.pmod("place", F.lit(1 << 40))
+    searched = rows.where(low < int((1 << 40) * min(1.0, SEARCHED * half / max(total, 1))))
+    marked = searched.where(likely).select("text").limit(sample)
+    plain = bounded_sample(rows, half, ["place"]).where("text is not null").select("text")
+    chosen = marked.unionAll(plain).repartition(1)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = sorted({t for batch in batches for t in batch.column("text").to_pylist()})
+        texts = sorted({t for batch in batches for t in batch.column("text").to_pylist() if t})
         if texts:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts))], pa.binary())], ["model"])
 
-    found = chosen.coalesce(1).mapInArrow(learn, "model binary").collect()
+    found = chosen.mapInArrow(learn, "model binary").collect()
     return pickle.loads(found[0].model) if found else None
 
 
