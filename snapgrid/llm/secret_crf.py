@@ -37,11 +37,11 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "crf")
 
 #: Documents that a fit reads, about: half at random, half with a keyword or access key.
-SAMPLE = 1_500
+SAMPLE = 1_000
 #: Random documents that are searched for one with a keyword.
 SEARCHED = 64
 #: Stretches of tokens that a fit uses at most, those with a secret first.
-CHUNKS = 6_000
+CHUNKS = 4_000
 CHUNK = 32
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C55 | 1)
 

@@ -35,6 +35,10 @@ _SPACE = tk.members((0x20, 0x20), (0x09, 0x0D))
 _ODD = tk.members((0x00, 0x08), (0x0E, 0x1F), (0x27, 0x27), (0x7F, 0x7F))
 
 
+#: Pieces that the library encodes in one call; its results are large while they last.
+_AT_ONCE = 10_000
+
+
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space and never joins letters, digits and symbols.
 
@@ -43,7 +47,7 @@ class WordEncoder:
     characters outside ASCII that are no letters), the whole stretch between white space is encoded instead.
     """
 
-    def __init__(self, path: str, remember: int = 2_000_000):
+    def __init__(self, path: str, remember: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -59,10 +63,12 @@ class WordEncoder:
         self.ids = np.zeros(0, np.uint16)
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        lists = [x.ids for x in found]
-        borders = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
-        return np.fromiter((i for x in lists for i in x), np.uint16, int(borders[-1])), borders
+        ids, sizes = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for at in range(0, len(pieces), _AT_ONCE):
+            lists = [x.ids for x in self.tokenizer.encode_batch_fast(pieces[at : at + _AT_ONCE], add_special_tokens=False)]
+            ids.append(np.fromiter((i for x in lists for i in x), np.uint16))
+            sizes.append(np.array([len(x) for x in lists], np.int64))
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         if len(self.known) + len(hashes) > self.remember:
