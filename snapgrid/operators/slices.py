@@ -97,8 +97,8 @@ def ranked_sums(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
     )
     inside = Window.partitionBy(SLICE).orderBy(order).rowsBetween(*SO_FAR)
     local = sliced.select("*", *[F.sum(c).over(inside).alias(f"_{c}_in") for c in columns])
-    # At most as many rows as shuffle partitions.
-    return local.join(F.broadcast(carry), SLICE).select(
+    # The window has placed the rows by slice already, as the join needs them.
+    return local.join(carry, SLICE).select(
         *df.columns,
         *[(F.col(f"_{c}_before") + F.col(f"_{c}_in")).alias(f"{c}_run") for c in columns],
         *[f"{c}_total" for c in columns],
