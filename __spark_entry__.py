@@ -1442,17 +1442,15 @@ def oracle_sql() -> dict[str, str]:
     return {**_ORACLES, **_CORPUS_ORACLES}
 
 
-# The corpus operators and their pipeline are an optional part of the library.
-try:
-    from snapgrid.llm.queries import ORACLES as _CORPUS_ORACLES
-    from snapgrid.llm.queries import QUERIES as _CORPUS_QUERIES
-except ImportError:
-    _CORPUS_QUERIES, _CORPUS_ORACLES = {}, {}
+# The corpus operators and their pipeline are an optional part of the library: they may be absent, not broken.
+_CORPUS_QUERIES: dict[str, Query] = {}
+_CORPUS_ORACLES: dict[str, str] = {}
 try:
     import corpus_pipeline
+    from snapgrid.llm.queries import ORACLES, QUERIES
 
-    _CORPUS_QUERIES = {**_CORPUS_QUERIES, "pipeline": corpus_pipeline.run}
-    if corpus_pipeline.ORACLE_SQL:
-        _CORPUS_ORACLES = {**_CORPUS_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
-except ImportError:
-    pass
+    _CORPUS_QUERIES |= {**QUERIES, "pipeline": corpus_pipeline.run}
+    _CORPUS_ORACLES |= ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "snapgrid.llm", "snapgrid.llm.queries"):
+        raise
