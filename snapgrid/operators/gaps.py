@@ -11,7 +11,7 @@ from snapgrid.functions.time import HOUR_US, MINUTE_US
 from snapgrid.operators.describe import describe
 from snapgrid.operators.rows import require_columns
 from snapgrid.operators.slices import BEFORE, SLICE, SLICE_MINUTES, SO_FAR, placed, time_slice
-from snapgrid.session import use_utc
+from snapgrid.session import materialize, use_utc
 
 
 def _instants(df: DataFrame, key: str, ts: str, slice_minutes: int) -> DataFrame:
@@ -105,7 +105,7 @@ def gap_tables(
     df: DataFrame, ts: str = "snapshot_ts", key: str = "st_id", group: str | None = "st_location_id", max_gap_hours: float = 6.0
 ) -> GapTables:
     require_columns(df, [key, ts])
-    gaps = instant_gaps(df, key, ts, max_gap_hours)
+    gaps = materialize(instant_gaps(df, key, ts, max_gap_hours), "gaps")  # three tables read them
     lengths = segment_lengths(gaps)
     return GapTables(
         counts=basic_counts(df, key, group),
@@ -125,42 +125,54 @@ def label_coverage(
     tolerance_minutes: int = 2,
     slice_minutes: int | None = None,
 ) -> DataFrame:
-    """Share of rows with another observation of the key near ``t + travel`` (ends included).
+    """Share of rows with another observation of the key near ``t + travel`` (ends included), a line for each time.
 
     No self-join: the latest instant up to the end of the tolerance window is a frame that only grows,
     and there is a match if it is not before the window's start. Rows just after a slice are repeated
-    into the slices that look ahead to them, at most ``reach / slice + 2`` times.
+    into the slices that look ahead to them, at most ``reach / slice + 2`` times. A window that lies before the
+    row is the same on the reversed time axis.
     By default a slice is as wide as the reach: a row is there twice, and one task holds what one entity
     does in twice the reach.
     """
     require_columns(df, [key, ts])
-    if any(t + tolerance_minutes < 0 for t in travel_minutes):
-        raise ValueError("travel times must not point into the past")
-    names = sorted(set(travel_minutes))
-    reach_minutes = max(names, default=0) + tolerance_minutes
+    ahead = sorted({t for t in travel_minutes if t + tolerance_minutes >= 0})
+    behind = sorted({-t for t in travel_minutes if t + tolerance_minutes < 0})
+    counted = _instants(df, key, ts, SLICE_MINUTES).drop(SLICE)
+    totals = _matched_rows(counted, ahead, "", tolerance_minutes, slice_minutes)
+    if behind:
+        reversed_axis = counted.withColumn("us", -F.col("us"))
+        earlier = _matched_rows(reversed_axis, behind, "-", tolerance_minutes, slice_minutes).drop("total_rows")
+        totals = totals.join(F.broadcast(earlier))  # one row each
+    lines = F.array(*[F.struct(F.lit(t).alias("t"), F.col(f"`m{t}`").alias("m")) for t in travel_minutes])
+    return totals.select("total_rows", F.explode(lines).alias("_l")).select(
+        F.col("_l.t").alias("travel_time_min"),
+        F.lit(tolerance_minutes).alias("tolerance_min"),
+        F.col("_l.m").alias("matched_rows"),
+        "total_rows",
+        F.when(F.col("total_rows") > 0, F.col("_l.m") / F.col("total_rows")).otherwise(F.lit(0.0)).alias("match_rate"),
+    )
+
+
+def _matched_rows(
+    counted: DataFrame, times: list[int], sign: str, tolerance_minutes: int, slice_minutes: int | None
+) -> DataFrame:
+    """One row: all rows, and for each time those with an instant near it, as ``m<sign><time>``."""
+    reach_minutes = max(times, default=0) + tolerance_minutes
     slice_minutes = slice_minutes or max(SLICE_MINUTES, reach_minutes)
-    rows = _instants(df, key, ts, slice_minutes)
+    rows = counted.withColumn(SLICE, time_slice(F.col("us"), slice_minutes))
     first = time_slice(F.col("us") - F.lit(reach_minutes * MINUTE_US), slice_minutes)
     views = F.sequence(first, F.col(SLICE), F.lit(slice_minutes * MINUTE_US))
     seen = rows.withColumn("_view", F.explode(views))
     view = Window.partitionBy("key", "_view").orderBy("us")
     found = []
-    for t in names:
+    for t in times:
         end, start = (t + tolerance_minutes) * MINUTE_US, (t - tolerance_minutes) * MINUTE_US
         latest = F.max("us").over(view.rangeBetween(Window.unboundedPreceding, end))
-        found.append((latest >= F.col("us") + F.lit(start)).cast("long").alias(f"m{t}"))
+        found.append((latest >= F.col("us") + F.lit(start)).cast("long").alias(f"m{sign}{t}"))
     probes = seen.select("n", SLICE, "_view", *found).filter(F.col("_view") == F.col(SLICE))
-    totals = probes.agg(
+    return probes.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
-        *[F.coalesce(F.sum(F.col(f"m{t}") * F.col("n")), F.lit(0)).alias(f"m{t}") for t in names],
-    )
-    lines = F.array(*[F.struct(F.lit(t).alias("t"), F.col(f"m{t}").alias("m")) for t in names])
-    return totals.select("total_rows", F.explode(lines).alias("_l")).select(
-        F.col("_l.t").alias("travel_time_min"),
-        F.lit(tolerance_minutes).alias("tolerance_min"),
-        F.col("_l.m").alias("matched_rows"),
-        "total_rows",
-        F.when(F.col("total_rows") > 0, F.col("_l.m") / F.col("total_rows")).otherwise(F.lit(0.0)).alias("match_rate"),
+        *[F.coalesce(F.sum(F.col(f"`m{sign}{t}`") * F.col("n")), F.lit(0)).alias(f"m{sign}{t}") for t in times],
     )
 
 
