@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,25 @@ def sized_join(rows: DataFrame, lookup: DataFrame, on: str, how: str = "inner")
     return rows.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
+def tidy(function: Callable) -> Callable:
+    """The same task function; when a task ends, the memory it has freed goes back to the system.
+
+    Python workers are reused for later stages, whose tasks need room of their own.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def bounded_sample(rows: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
     """About ``n`` rows, never more than twice as many, in one partition: those whose hash of ``keys`` is low.
 

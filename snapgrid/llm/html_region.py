@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import bounded_sample
+from snapgrid.llm.frames import bounded_sample, tidy
 
 #: Pages that a fit reads, about.
 SAMPLE = 2_000
@@ -289,7 +289,7 @@ def train(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE) ->
                     model.learn(page)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    found = rows.mapInArrow(learn, "model binary").collect()
+    found = rows.mapInArrow(tidy(learn), "model binary").collect()
     return pickle.loads(found[0].model) if found else Model()
 
 
@@ -313,4 +313,4 @@ def extracted(pages: DataFrame, model: Model, page_id: str = "page_id", url: str
     source = pages.select(
         F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html_column).cast("string").alias("html")
     )
-    return source.mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+    return source.mapInArrow(tidy(extract), "page_id long, url string, text string, n_chars long")

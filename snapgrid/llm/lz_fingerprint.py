@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.llm import textkit as tk
+from snapgrid.llm.frames import tidy
 
 #: Smallest hashes that make a signature.
 KEPT = 64
@@ -155,4 +156,4 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
         F.floor(F.col("place") / 2).cast("int").alias("range"), (F.col("place") % 2).alias("late"), "doc_id", "text"
     )
     rows = rows.repartition("range").sortWithinPartitions("range", "late", "doc_id", "text")
-    return rows.mapInArrow(_compare, _SCHEMA)
+    return rows.mapInArrow(tidy(_compare), _SCHEMA)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import connected_components, sized_join, sorted_groups
+from snapgrid.llm.frames import connected_components, sized_join, sorted_groups, tidy
 from snapgrid.session import materialize
 
 
@@ -134,7 +134,7 @@ def sketches(documents: DataFrame, settings: Settings, doc_id: str = "doc_id", t
                 )
 
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(sketch, "doc_id long, n_shingles long, set_hash binary, signature binary")
+    return source.mapInArrow(tidy(sketch), "doc_id long, n_shingles long, set_hash binary, signature binary")
 
 
 def index_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -157,7 +157,7 @@ def index_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
 
     if len(slots) > 256:
         raise ValueError("at most 256 keys a document")
-    return nodes.select("node", "signature").mapInArrow(keys, "key long, node long")
+    return nodes.select("node", "signature").mapInArrow(tidy(keys), "key long, node long")
 
 
 # ---------------------------------------------------------------- confirming pairs
@@ -312,10 +312,10 @@ def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataF
 
     of_center = signature.select(F.col("node").alias("center"), F.col("signature").alias("center_signature"))
     pairs = shared.where("node <> center").select("center", "node").distinct()
-    pairs = pairs.join(signature, "node").join(of_center, "center").mapInArrow(distance, "center long, node long")
+    pairs = pairs.join(signature, "node").join(of_center, "center").mapInArrow(tidy(distance), "center long, node long")
     of_center = texts.select(F.col("node").alias("center"), F.col("text").alias("center_text"))
     star = materialize(
-        pairs.join(texts, "node").join(of_center, "center").mapInArrow(_star_links(settings), "center long, node long"),
+        pairs.join(texts, "node").join(of_center, "center").mapInArrow(tidy(_star_links(settings)), "center long, node long"),
         "dedup-star",
     )
     found = connected_components(star, "center", "node", "dedup-star")
@@ -346,10 +346,10 @@ def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataF
     )
     schema = "key long, low int, high int, node long, own int, component long, signature binary"
     columns = [c.split()[0] for c in schema.split(", ")]
-    flagged = _by_block(blocks.select(*columns)).mapInArrow(_flag_rows(settings), schema)
+    flagged = _by_block(blocks.select(*columns)).mapInArrow(tidy(_flag_rows(settings)), schema)
     flagged = materialize(flagged, "dedup-blocks")
     more = _by_block(flagged.join(texts, "node").select(*columns, "text")).mapInArrow(
-        _block_links(settings), "center long, node long"
+        tidy(_block_links(settings)), "center long, node long"
     )
     return star.unionAll(more).select(F.col("center").alias("a"), F.col("node").alias("b"))
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import bounded_sample, fresh_name
+from snapgrid.llm.frames import bounded_sample, fresh_name, tidy
 from snapgrid.session import materialize
 
 #: Rated documents that a fit reads, about.
@@ -215,7 +215,7 @@ def train(documents: DataFrame, ratings: DataFrame, n_grades: int = 3, sample: i
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     one = rows.limit(3 * sample).select("place", "text", F.col("grade").cast("int").alias("grade"))
-    found = one.mapInArrow(learn, "model binary").collect()
+    found = one.mapInArrow(tidy(learn), "model binary").collect()
     if not found:
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(n_grades - 1))
     return pickle.loads(found[0].model)
@@ -248,7 +248,7 @@ def graded(documents: DataFrame, model: Model, wanted: int = 2, text: str = "tex
                     [*part.schema.names, *names.values()],
                 )
 
-    return documents.mapInArrow(score, schema), names
+    return documents.mapInArrow(tidy(score), schema), names
 
 
 def kept(documents: DataFrame, model: Model, wanted: int = 2, least: float = 0.5) -> DataFrame:

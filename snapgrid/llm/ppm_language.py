@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.llm import textkit as tk
+from snapgrid.llm.frames import tidy
 from snapgrid.session import materialize
 
 ORDER = 3
@@ -118,7 +119,7 @@ class Model:
 def train(documents: DataFrame, cells: int = TABLE_CELLS) -> Model:
     """Counts over all rows of ``documents`` (``text`` and ``lang``, both not null) and the frozen tables."""
     rows = documents.select("lang", "text").where("lang is not null and text is not null")
-    grams = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = rows.mapInArrow(tidy(_count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = materialize(grams, "ppm-grams")
     languages = [r.lang for r in grams.select("lang").distinct().orderBy("lang").collect()]
     if not languages:
@@ -221,4 +222,4 @@ def predictions(documents: DataFrame, model: Model, doc_id: str = "doc_id", text
                 )
 
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(predict, "doc_id long, lang_pred string, score double, bits double")
+    return source.mapInArrow(tidy(predict), "doc_id long, lang_pred string, score double, bits double")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import bounded_sample, fresh_name, list_array
+from snapgrid.llm.frames import bounded_sample, fresh_name, list_array, tidy
 
 # The pattern spans, in the order in which equal starts are listed.
 ASSIGN = re.compile(
@@ -40,6 +40,8 @@ KINDS = ("assign", "access", "hex", "crf")
 SAMPLE = 1_000
 #: Random documents that are searched for one with a keyword.
 SEARCHED = 64
+#: Text bytes whose features are in memory at one time.
+SLICE_BYTES = 1 << 20
 #: Stretches of tokens that a fit uses at most, those with a secret first.
 CHUNKS = 4_000
 CHUNK = 32
@@ -222,13 +224,21 @@ def labels(texts: list[str], data: np.ndarray, offsets: np.ndarray, found: Token
 
 def fit(texts: list[str], steps: int = 80, ridge: float = 2e-3, rate: float = 0.15) -> Model | None:
     """Weights that maximise the likelihood of the pattern tags, by Adam; none if no text has a pattern span."""
-    data, offsets = tk.texts(pa.array(texts, pa.large_string()))
-    found = tokens(data, offsets)
-    tags = labels(texts, data, offsets, found)
+    parts, tagged = [], []
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+    for part in tk.slices(batch, "text", SLICE_BYTES):
+        data, offsets = tk.texts(part.column("text"))
+        parts.append(tokens(data, offsets))
+        tagged.append(labels(part.column("text").to_pylist(), data, offsets, parts[-1]))
+    if not parts:
+        return None
+    tags = np.concatenate(tagged)
+    features = np.concatenate([p.features for p in parts], axis=1)
+    borders = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p.first) for p in parts]))])
     if not tags.any():
         return None
-    chunks, begins = [], set(found.first[:-1].tolist())
-    for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist()):
+    chunks, begins = [], set(borders[:-1].tolist())
+    for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
         chunks += [(x, min(x + CHUNK, b)) for x in range(a, b, CHUNK)]
     totals = np.concatenate([[0], np.cumsum(tags > 0)])
     chunks = sorted(chunks, key=lambda c: (totals[c[1]] == totals[c[0]], c[0] * 2654435761 % 4294967296))[:CHUNKS]
@@ -237,7 +247,8 @@ def fit(texts: list[str], steps: int = 80, ridge: float = 2e-3, rate: float = 0.
     at = np.minimum(at, len(tags) - 1)
     starts_text = np.array([a in begins for a, _ in chunks])
     gold = np.where(inside, tags[at], 0)
-    feats = found.features[:, at[inside]]
+    feats = features[:, at[inside]]
+    del features, parts
     where = np.cumsum(inside.ravel()).reshape(inside.shape) - 1
     n_features = int(_STARTS[-1])
     model = Model(np.zeros((n_features, 3)), np.zeros((3, 3)), np.zeros(3))
@@ -305,7 +316,7 @@ def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE) -> Mod
         if texts:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts))], pa.binary())], ["model"])
 
-    found = chosen.mapInArrow(learn, "model binary").collect()
+    found = chosen.mapInArrow(tidy(learn), "model binary").collect()
     return pickle.loads(found[0].model) if found else None
 
 
@@ -361,7 +372,7 @@ def with_spans(documents: DataFrame, model: Model | None, text: str = "text") ->
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tk.slices(batch, text):
+            for part in tk.slices(batch, text, SLICE_BYTES):
                 found = all_spans(part.column(text), shared.value)
                 flat = [s for own in found for s in own]
                 borders = np.concatenate([[0], np.cumsum([len(own) for own in found], dtype=np.int64)])
@@ -375,7 +386,7 @@ def with_spans(documents: DataFrame, model: Model | None, text: str = "text") ->
                 )
                 yield pa.RecordBatch.from_arrays([*part.columns, list_array(values, borders)], [*part.schema.names, name])
 
-    return documents.mapInArrow(scan, schema), name
+    return documents.mapInArrow(tidy(scan), schema), name
 
 
 def redacted(documents: DataFrame, model: Model | None, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -393,7 +404,7 @@ def redacted(documents: DataFrame, model: Model | None, text: str = "text", mark
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tk.slices(batch, text):
+            for part in tk.slices(batch, text, SLICE_BYTES):
                 column = part.column(text)
                 found = all_spans(column, shared.value)
                 if any(found):
@@ -401,4 +412,4 @@ def redacted(documents: DataFrame, model: Model | None, text: str = "text", mark
                     part = part.set_column(part.schema.names.index(text), text, pa.array(texts, column.type))
                 yield part
 
-    return documents.mapInArrow(scan, schema)
+    return documents.mapInArrow(tidy(scan), schema)

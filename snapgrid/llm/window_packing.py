@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import sorted_groups
+from snapgrid.llm.frames import sorted_groups, tidy
 from snapgrid.session import materialize
 
 _LETTERS = tk.members((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -47,7 +47,7 @@ class WordEncoder:
     characters outside ASCII that are no letters), the whole stretch between white space is encoded instead.
     """
 
-    def __init__(self, path: str, remember: int = 1_500_000):
+    def __init__(self, path: str, remember: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -293,10 +293,10 @@ def packed(documents: DataFrame, settings: Settings, doc_id: str = "doc_id", tex
     Other columns are not read.
     """
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    first = materialize(source.mapInArrow(_pack(settings), _PACKED), "packing-first")
+    first = materialize(source.mapInArrow(tidy(_pack(settings)), _PACKED), "packing-first")
     left = first.where("open").withColumn("bin", F.floor(F.col("part") / settings.merged).cast("int"))
     left = left.repartition("bin").sortWithinPartitions("bin", F.desc("length"), "part", "window", "offset")
-    merged = left.select(*_COLUMNS, "bin").mapInArrow(_merge(settings), _PACKED)
+    merged = left.select(*_COLUMNS, "bin").mapInArrow(tidy(_merge(settings)), _PACKED)
 
     def numbered(rows: DataFrame, merged: int) -> DataFrame:
         high = F.shiftleft(F.lit(2).cast("long") * F.col("part") + merged, 32)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.llm import textkit as tk
-from snapgrid.llm.frames import fresh_name, list_array
+from snapgrid.llm.frames import fresh_name, list_array, tidy
 
 WINDOW = 10
 #: Benchmark bytes that one set of search tables may hold.
@@ -242,7 +242,7 @@ def find_items(
     )
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
     for block in benchmark_blocks(benchmark, item_id, item_text, block_bytes):
-        rows = rows.mapInArrow(_scan(block, names, window), schema)
+        rows = rows.mapInArrow(tidy(_scan(block, names, window)), schema)
     return Found(rows, names)
 
 
