@@ -71,8 +71,6 @@ class WordEncoder:
         return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        if len(self.known) + len(hashes) > self.remember:
-            self._forget()
         texts = [p.decode("utf-8", "replace") for p in pieces]
         safe = [t.isascii() or (t.isalpha() and t.lower().isalpha()) for t in texts]
         ids, borders = self._encode(texts)
@@ -91,13 +89,12 @@ class WordEncoder:
         if len(self.known):
             new = self.known[np.minimum(at, len(self.known) - 1)] != distinct
         if new.any():
+            if len(self.known) + int(new.sum()) > self.remember:
+                self._forget()
+                new[:] = True  # this slice needs all of its own
             example = np.full(len(distinct), -1, np.int64)
             example[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-            before = len(self.known)
             self._learn(distinct[new], [piece(i) for i in example[new].tolist()])
-            if len(self.known) < before + int(new.sum()):  # the store was emptied: learn all of this slice
-                rest = distinct[~new]
-                self._learn(rest, [piece(i) for i in example[~new].tolist()])
             at = np.searchsorted(self.known, distinct)
         return self.slot[at][codes]
 

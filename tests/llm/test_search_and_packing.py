@@ -89,11 +89,12 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("remember", [3, 1_000_000])
+@pytest.mark.parametrize("remember", [3, 40, 1_000_000])
 def test_ids_equal_the_library(remember):
+    """Also when the store is emptied within a text or between texts that share words."""
     own = wp.WordEncoder(PATH, remember)
-    texts = ODD + [r[1] for r in awkward()]
-    for _ in range(2):
+    every = ODD + [r[1] for r in awkward()]
+    for texts in (every, every[::2], every[1:], [BASE + " new words", BASE, "one more"], every):
         ids, borders = own.encode(pa.array(texts, pa.string()))
         got = [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])]
         assert got == reference_ids(texts)
