@@ -217,70 +217,6 @@ def train(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE) ->
     keys = [c for c in ("page_id", "url", html_column) if c in pages.columns]
     rows = bounded_sample(pages, sample, keys).select(F.col(html_column).cast("string").alias("html")).where("html is not null")
 
-    def learn(self, page: str) -> bool:
-        found = items(page)
-        if sum(i.name in CONTENT for i in found) != 1:
-            return False
-        for i in found:
-            weight = 1 if i.name else i.words
-            (self.inside if i.within and not i.aside else self.outside)[i.kind] += weight
-        return True
-
-    def weight(self, item: Item) -> float:
-        """Of one word, or of a tag. Kinds that no labelled page has go by the element names around them."""
-        if item.aside and item.within:
-            return 0.0  # left out of the text, but no border of the content
-        a, b = self.inside[item.kind], self.outside[item.kind]
-        odds = math.log((a + 0.5) / (b + 0.5)) if a + b else (-2.0 if item.aside else 0.5)
-        if item.aside:
-            odds = min(odds, -1.0)
-        return max(-3.0, min(-0.001 if item.name else 3.0, odds))
-
-
-def region(scores: list[float]) -> tuple[int, int]:
-    """Borders of the contiguous run with the greatest sum; the first and longest of equal ones, empty if none is positive."""
-    best, low, high = 0.0, 0, 0
-    total, start = 0.0, 0
-    for i, s in enumerate(scores):
-        total += s
-        if total <= 0:
-            total, start = 0.0, i + 1
-        elif total >= best:
-            if total > best or start == low:
-                low, high = start, i + 1
-            best = total
-    return low, high
-
-
-def main_text(page: str | None, model: Model) -> str:
-    """Text of the best region: white space as single spaces, blocks joined by one space."""
-    if not page:
-        return ""
-    found = items(page)
-    marked = [i for i, x in enumerate(found) if x.within and x.words and not x.aside]
-    scores = []
-    for x in found:
-        w = model.weight(x)
-        scores.append(w if x.name else w * x.words)
-    low, high = region(scores)
-    if marked and not any(low <= i < high for i in marked):
-        low, high = marked[0], marked[-1] + 1  # a marked article that is shorter than what surrounds it
-    pieces = []
-    for x in found[low:high]:
-        if not x.name:
-            if not x.aside and model.weight(x) > 0:
-                pieces.append(x.text)
-        elif x.block:
-            pieces.append(" ")
-    return " ".join("".join(pieces).split())
-
-
-def train(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE) -> Model:
-    """Counts over at most ``sample`` pages with an article or main element, in the order of a hash of the page."""
-    rows = pages.select(F.col(html_column).cast("string").alias("html"))
-    rows = rows.where(F.lower("html").rlike("<(article|main)[ >]"))
-    rows = rows.orderBy(F.xxhash64("html"), "html").limit(sample).coalesce(1)
-
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model()
         for batch in batches:
