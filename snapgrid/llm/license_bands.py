@@ -1,6 +1,7 @@
 """License scan: MinHash bands over overlapping text windows retrieve templates, shingle containment verifies them.
 
-A template is cut into parts of at most a class length of words. Windows of twice that length, every class
+A template is cut into parts of at most a class length of words; its words in square brackets (names and versions,
+``license_texts``) are parts of their own that count word for word. All parts have to stand near each other. Windows of twice that length, every class
 length, contain any stretch of a class length whole. A window and a part that hold at least ``containment`` of the
 part's shingles have a known least Jaccard similarity, and the number of one-row bands is chosen so that such a
 pair collides in some band with at least ``retrieval`` probability. Retrieved pairs are verified on their sets.
@@ -22,29 +23,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Wordings of common license notices.
-TEMPLATES = {
-    "apache-2.0": [
-        "Licensed under the Apache License, Version 2.0.",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
-        "compliance with the License. You may obtain a copy of the License at",
-    ],
-    "mit": [
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files",
-    ],
-    "gpl-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation",
-    ],
-    "cc-by-nc-4.0": ["Licensed under CC BY-NC 4.0."],
-    "cc-by-4.0": ["Licensed under CC BY 4.0.", "licensed under a Creative Commons Attribution 4.0 International License"],
-    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted"],
-    "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "all-rights-reserved": ["All rights reserved."],
-}
+from snapgrid.llm.license_texts import TEMPLATES
 
 _WORD = r"[^a-z0-9]+"
 
@@ -71,11 +50,11 @@ class Part:
         n = max(1, len(self.words) - width + 1)
         return list(dict.fromkeys(" ".join(self.words[i : i + width]) for i in range(n)))
 
-    def anchors(self, width: int, containment: float) -> list[str]:
-        """Longest words first, until a part of enough shingles must contain one of them."""
+    def anchors(self, width: int, containment: float, preferred: frozenset[str] | set[str] = frozenset()) -> list[str]:
+        """Preferred and longest words first, until a part of enough shingles must contain one of them."""
         chosen: list[str] = []
         shingles = self.shingles(width)
-        for word in sorted(set(self.words), key=lambda w: (-len(w), w)):
+        for word in sorted(set(self.words), key=lambda w: (w not in preferred, -len(w), w)):
             free = [s for s in shingles if not set(s.split()) & set(chosen)]
             if len(free) < containment * len(shingles):
                 break
@@ -83,18 +62,31 @@ class Part:
         return chosen
 
 
+def _words(text: str) -> list[str]:
+    return [w for w in re.split(_WORD, text.lower()) if w]
+
+
 def parts(settings: Settings) -> list[Part]:
+    """Every template's stretches, and its bracketed words in overlapping parts of two shingles, both needed."""
     out = []
+    longest, exact = settings.classes[-1], settings.words + 1
+
+    def add(license_id: str, number: int, own: list[str]) -> None:
+        fit = next(c for c in settings.classes if len(own) <= c)
+        out.append(Part(license_id, number, fit, tuple(own)))
+
     for license_id, texts in settings.templates.items():
         for number, text in enumerate(texts):
-            words = [w for w in re.split(_WORD, text.lower()) if w]
-            longest = settings.classes[-1]
-            pieces = max(1, math.ceil(len(words) / longest))
-            size = math.ceil(len(words) / pieces)
-            for at in range(0, len(words), size):
-                own = tuple(words[at : at + size])
-                fit = next(c for c in settings.classes if len(own) <= c)
-                out.append(Part(license_id, number, fit, own))
+            marked = re.findall(r"\[([^\]]*)\]", text)
+            if _words(re.sub(r"\[[^\]]*\]", " ", text)):
+                words = _words(text)
+                size = math.ceil(len(words) / max(1, math.ceil(len(words) / longest)))
+                for at in range(0, len(words), size):
+                    add(license_id, number, words[at : at + size])
+            for own in map(_words, marked):
+                last = max(0, len(own) - exact)
+                for at in sorted({*range(0, last, exact - settings.words + 1), last}):
+                    add(license_id, number, own[at : at + exact])
     return out
 
 
@@ -126,7 +118,8 @@ def found_licenses(
     """``doc_id``, ``license_id``, ``template``, ``containment``, ``word_start``: one row for each template found.
 
     Words are runs of ASCII letters and digits of the lower-cased text. ``containment`` is the lowest over a
-    template's parts, all of which must be found; ``word_start`` is the first window of the first part. Null and
+    template's parts, all of which must be found near each other (the greatest of several places); ``word_start`` is
+    the first window of the first place. Null and
     empty texts have none. Repeated rows of an id are one document.
     """
     settings = settings or Settings()
@@ -134,14 +127,24 @@ def found_licenses(
     spark = documents.sparkSession
     by_class = {c: [p for p in known if p.class_words == c] for c in sorted({p.class_words for p in known})}
     bands = {c: max(bands_for(p, settings) for p in own) for c, own in by_class.items()}
-    anchors = {c: sorted({a for p in own for a in p.anchors(settings.words, settings.containment)}) for c, own in by_class.items()}
+    preferred: set[str] = {"license"}
+    of_part = []
+    for p in known:
+        of_part.append(p.anchors(settings.words, settings.containment, preferred))
+        preferred.update(of_part[-1])
+    anchors = {c: sorted({a for p, own in zip(known, of_part) if p.class_words == c for a in own}) for c in by_class}
+    # A template needs all of its parts, so the anchors of any one of them decide whether a text can have it.
+    least: dict[tuple[str, int], set[str]] = {}
+    for p, own in zip(known, of_part):
+        key = (p.license_id, p.template)
+        least[key] = min(least.get(key, set(own)), set(own), key=lambda a: (len(a - {"license"}), sorted(a)))
     rows = [(i, p.license_id, p.template, p.class_words, bands[p.class_words], list(p.words)) for i, p in enumerate(known)]
     table = spark.createDataFrame(rows, "part int, license_id string, template int, class int, bands int, words array<string>")
     table = table.withColumn("wanted", shingle_hashes(F.col("words"), settings.words))
     table = table.withColumn("band", F.explode(minima(F.col("wanted"), F.col("class"), F.col("bands"))))
     table = table.drop("words", "class", "bands")
     lowered = F.lower(F.col(text).cast("string"))
-    possible = [lowered.contains(a) for a in sorted({a for own in anchors.values() for a in own})]
+    possible = [lowered.contains(a) for a in sorted({a for own in least.values() for a in own})]
     worded = documents.where(reduce(or_, possible)).select(
         F.col(doc_id).cast("long").alias("doc_id"), F.filter(F.split(lowered, _WORD), lambda w: w != "").alias("words")
     )
@@ -164,17 +167,28 @@ def found_licenses(
     pairs = banded.join(F.broadcast(table), "band")
     share = F.size(F.array_intersect("wanted", "hashes")) / F.size("wanted")
     matched = pairs.withColumn("containment", share).where(F.col("containment") >= settings.containment)
-    every = matched.groupBy("doc_id", "license_id", "template", "part").agg(
+    needed: dict[tuple[str, int], int] = {}
+    reach: dict[tuple[str, int], int] = {}
+    for p in known:
+        key = (p.license_id, p.template)
+        needed[key] = needed.get(key, 0) + 1
+        reach[key] = reach.get(key, 4 * settings.classes[-1]) + len(p.words)
+    wanted = spark.createDataFrame(
+        [(*k, n, reach[k]) for k, n in needed.items()], "license_id string, template int, needed int, reach int"
+    )
+    # Matches less than a reach apart share one of the places, each of two reaches.
+    place = F.floor(F.col("word_start") / F.col("reach"))
+    placed = matched.join(F.broadcast(wanted), ["license_id", "template"])
+    placed = placed.withColumn("place", F.explode(F.array(place - 1, place)))
+    every = placed.groupBy("doc_id", "license_id", "template", "needed", "place", "part").agg(
         F.max("containment").alias("containment"), F.min("word_start").alias("word_start")
     )
-    needed = {}
-    for p in known:
-        needed[(p.license_id, p.template)] = needed.get((p.license_id, p.template), 0) + 1
-    wanted = spark.createDataFrame([(k[0], k[1], n) for k, n in needed.items()], "license_id string, template int, needed int")
-    whole = every.groupBy("doc_id", "license_id", "template").agg(
+    whole = every.groupBy("doc_id", "license_id", "template", "needed", "place").agg(
         F.count("*").alias("parts"), F.min("containment").alias("containment"), F.min("word_start").alias("word_start")
     )
-    whole = whole.join(F.broadcast(wanted), ["license_id", "template"]).where("parts = needed")
+    whole = whole.where("parts = needed").groupBy("doc_id", "license_id", "template").agg(
+        F.max("containment").alias("containment"), F.min("word_start").alias("word_start")
+    )
     return whole.select("doc_id", "license_id", "template", "containment", (F.col("word_start") - 1).alias("word_start"))
 
 

@@ -54,6 +54,29 @@ def test_license_scan_is_native(spark):
     assert license_summary(frame(spark, [])).collect() == []
 
 
+def test_wordings_and_versions(spark):
+    gpl = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public "
+    gpl += "License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+    want = {
+        "Licensed under the MIT License": "mit",
+        "distributed under the terms of the MIT licence.": "mit",
+        "Licensed under CC BY-SA 4.0": "cc-by-sa-4.0",
+        "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "lgpl-3.0",
+        gpl.format(";", "", 2): "gpl,gpl-2.0",
+        gpl.format(":", "", 3): "gpl,gpl-3.0",
+        gpl.format(":", "Affero ", 3): "agpl-3.0",
+        gpl.format(":", "Lesser ", "2.1"): "lgpl-2.1",
+        "Released under the ISC License": "isc",
+        "made available under the Eclipse Public License 2.0": "epl-2.0",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "Licensed under the Apache License, Version 1.1.": "",
+        "GNU General Public License " + "word " * 2000 + "either version 3 of the License": "",
+    }
+    rows = [(i, text, None, None, None) for i, text in enumerate(want)]
+    assert {rows[r.doc_id][1]: r.licenses for r in license_summary(frame(spark, rows)).collect()} == want
+
+
 # ---------------------------------------------------------------- pipeline
 
 
