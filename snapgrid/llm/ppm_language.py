@@ -3,12 +3,13 @@
 Each language has counts of which byte class follows which context of up to three classes. A symbol's code
 length is exact: from the longest known context down, every context that has not seen the symbol costs its
 escape probability d / (t + d) (d distinct symbols among t), the first that has seen it costs c / (t + d). The
-statistics are frozen, so all code lengths of a retained context are one row of a table, and a text's length
-under every language is one pass of table look-ups. The language with the shortest code wins.
+statistics are frozen: each language has sorted arrays of the symbols and contexts it has seen, with their costs.
+The distinct runs of four classes of a slice of texts are looked up, then every byte takes its run's cost. The
+language with the shortest code wins.
 
-At scale: counting combines on the map side and reads every training text whole; the context tree keeps the
-contexts with the highest counts up to a fixed number of table cells, so the model has one size for any
-corpus. Scoring is one pass without a shuffle.
+At scale: counting combines on the map side and reads every training text whole; no context that was seen is left
+out, so a model grows with the distinct runs of four classes of each language, not with the corpus. Scoring is one
+pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,6 @@ from snapgrid.llm.frames import tidy
 from snapgrid.session import materialize
 
 ORDER = 3
-#: Table cells (contexts x symbols x languages) of a model; the number of contexts follows from it.
-TABLE_CELLS = 8_000_000
 
 
 def _classes() -> np.ndarray:
@@ -57,6 +57,16 @@ def _history(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _gram(s0, s1, s2, s3) -> np.ndarray:
+    return ((s3.astype(np.int64) * SYMBOLS + s2) * SYMBOLS + s1) * SYMBOLS + s0
+
+
+def _found(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a sorted array that is not empty, and whether the wanted numbers are there."""
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of (language, three classes and the next), summed over a partition as far as memory allows."""
     held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -79,8 +89,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lang in sorted(set(langs)):
                 data, offsets = tk.texts(part.column("text").filter(pa.array(langs == lang)))
                 s0, s1, s2, s3 = _history(data, offsets)
-                gram = ((s3 * SYMBOLS + s2) * SYMBOLS + s1) * SYMBOLS + s0
-                grams, counts = np.unique(gram.astype(np.uint32), return_counts=True)
+                grams, counts = np.unique(_gram(s0, s1, s2, s3).astype(np.uint32), return_counts=True)
                 held.setdefault(lang, []).append((grams.astype(np.int64), counts))
                 if len(held[lang]) > 16:
                     held[lang] = [merged(held[lang])]
@@ -89,14 +98,38 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+@dataclass
+class Level:
+    """What one language has seen with contexts of one length: sorted numbers of context and symbol, and of contexts."""
+
+    grams: np.ndarray
+    cost: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+
+
 @dataclass
 class Model:
-    """``context``: number of the longest retained context for every three classes; ``cost``: bits by context,
-    symbol and language."""
+    """The levels of every language, by the length of their contexts."""
 
     languages: list[str]
-    context: np.ndarray
-    cost: np.ndarray
+    levels: list[list[Level]]
+
+    def costs(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last class of each run of four, under every language."""
+        out = np.zeros((len(grams), len(self.languages)), np.float32)
+        for lang, levels in enumerate(self.levels):
+            left = np.arange(len(grams))
+            for k in range(ORDER, -1, -1):
+                level = levels[k]
+                own = grams[left] % SYMBOLS ** (k + 1)
+                at, seen = _found(level.grams, own)
+                out[left[seen], lang] += level.cost[at[seen]]
+                left, own = left[~seen], own[~seen] // SYMBOLS
+                at, seen = _found(level.contexts, own)
+                out[left[seen], lang] += level.escape[at[seen]]
+            out[left, lang] += np.log2(SYMBOLS)
+        return out
 
     def bits(self, column: pa.Array) -> np.ndarray:
         """Code length of every text under every language."""
@@ -109,72 +142,38 @@ class Model:
             part = data[start : low + tk.BLOCK]
             own = np.clip(offsets - start, 0, len(part))
             s0, s1, s2, s3 = (s[low - start :] for s in _history(part, own))
-            cells = self.context[(s3 * SYMBOLS + s2) * SYMBOLS + s1].astype(np.int64) * SYMBOLS + s0
+            cells, grams = pd.factorize(_gram(s0, s1, s2, s3))
+            cost = self.costs(grams)
             inside = full[(offsets[full + 1] > low) & (offsets[full] < low + len(cells))]
             begins = np.maximum(offsets[inside] - low, 0)
-            out[inside] += np.add.reduceat(self.cost[cells], begins, axis=0, dtype=np.float64)
+            out[inside] += np.add.reduceat(cost[cells], begins, axis=0, dtype=np.float64)
         return out
 
 
-def train(documents: DataFrame, cells: int = TABLE_CELLS) -> Model:
-    """Counts over all rows of ``documents`` (``text`` and ``lang``, both not null) and the frozen tables."""
+def train(documents: DataFrame) -> Model:
+    """Counts over all rows of ``documents`` (``text`` and ``lang``, both not null) and the frozen costs."""
     rows = documents.select("lang", "text").where("lang is not null and text is not null")
     grams = rows.mapInArrow(tidy(_count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = materialize(grams, "ppm-grams")
     languages = [r.lang for r in grams.select("lang").distinct().orderBy("lang").collect()]
-    if not languages:
-        return Model([], np.zeros(SYMBOLS**ORDER, np.uint16), np.zeros((1, SYMBOLS, 0), np.float32).reshape(SYMBOLS, 0))
-    nodes = max(1, min(60_000, cells // (SYMBOLS * len(languages))))
-    by_order = F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("k")
-    symbol = (F.col("gram") % SYMBOLS).alias("symbol")
-    tree = grams.select("lang", "n", "gram", symbol, by_order).select(
-        "lang",
-        "k",
-        F.expr(f"(gram div {SYMBOLS}) % cast(power({SYMBOLS}, k) as bigint)").alias("context"),
-        "symbol",
-        "n",
-    )
-    tree = materialize(tree.groupBy("lang", "k", "context", "symbol").agg(F.sum("n").alias("n")), "ppm-tree")
-    kept = tree.groupBy("k", "context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "k", "context").limit(nodes)
-    counts = tree.join(F.broadcast(kept.select("k", "context")), ["k", "context"]).toPandas()
-    return _frozen(counts, languages)
-
-
-def _frozen(counts, languages: list[str]) -> Model:
-    keys = sorted({(k, c) for k, c in zip(counts["k"].tolist(), counts["context"].tolist())} | {(0, 0)})
-    number = {key: i for i, key in enumerate(keys)}
-    seen = np.zeros((len(keys), SYMBOLS, len(languages)))
-    lang = {name: i for i, name in enumerate(languages)}
-    seen[
-        [number[key] for key in zip(counts["k"].tolist(), counts["context"].tolist())],
-        counts["symbol"].to_numpy(),
-        [lang[x] for x in counts["lang"]],
-    ] = counts["n"].to_numpy()
-    total, distinct = seen.sum(1), (seen > 0).sum(1)
-    probability = np.empty_like(seen)
-    context = np.zeros(SYMBOLS**ORDER, np.uint16)
-    for (k, c), i in number.items():  # shorter contexts come first
-        if k == 0:
-            base = np.full((SYMBOLS, len(languages)), 1 / SYMBOLS)
-        else:
-            base = probability[_parent(number, k, c)]
-        all_seen = total[i] + distinct[i]
-        safe = np.maximum(all_seen, 1)
-        escape = np.where(all_seen > 0, distinct[i] / safe, 1.0)
-        probability[i] = np.where(seen[i] > 0, seen[i] / safe, escape * base)
-        if k:
-            context[c :: SYMBOLS**k] = i
-    cost = -np.log2(probability).astype(np.float32)
-    return Model(languages, context, cost.reshape(-1, len(languages)))
-
-
-def _parent(number: dict, k: int, context: int) -> int:
-    """The longest retained proper suffix of a context."""
-    for shorter in range(k - 1, -1, -1):
-        key = (shorter, context % SYMBOLS**shorter)
-        if key in number:
-            return number[key]
-    raise KeyError((k, context))
+    levels = []
+    for lang in languages:  # the runs of one language at a time reach the driver
+        own = grams.where(F.col("lang") == lang).select("gram", "n").toArrow()
+        levels.append(_levels(own.column("gram").to_numpy(), own.column("n").to_numpy()))
+    return Model(languages, levels)
+
+
+def _levels(grams: np.ndarray, n: np.ndarray) -> list[Level]:
+    """Costs of what was seen, c / (t + d), and of escapes, d / (t + d), for every length of context."""
+    out = []
+    for k in range(ORDER + 1):
+        own, where = np.unique(grams % SYMBOLS ** (k + 1), return_inverse=True)
+        counts = np.bincount(where, n)
+        contexts, of = np.unique(own // SYMBOLS, return_inverse=True)
+        total, distinct = np.bincount(of, counts), np.bincount(of)
+        cost = np.log2((total + distinct)[of] / counts)
+        out.append(Level(own, cost.astype(np.float32), contexts, np.log2((total + distinct) / distinct).astype(np.float32)))
+    return out
 
 
 UNKNOWN = "und"

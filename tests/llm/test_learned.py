@@ -134,6 +134,33 @@ def test_code_lengths_equal_the_walk(spark):
         assert np.allclose(bits, slow_bits(counts, model.languages, text), rtol=1e-5)
 
 
+def test_rare_languages_keep_their_contexts(spark):
+    """Thirty languages of the same letters, one with most of the text; each follows its own rule over three letters."""
+    rng = np.random.default_rng(2)
+    letters = np.array(list("abcdefghijklmnop"))
+    rules = rng.integers(0, 16, (30, 16, 16, 16))
+
+    def text(lang, n):
+        out = rng.integers(0, 16, 3).tolist()
+        while len(out) < n:
+            odd = lang == 0 or rng.random() < 0.2
+            out.append(int(rng.integers(0, 16)) if odd else int(rules[lang][tuple(out[-3:])]))
+        return "".join(letters[out])
+
+    rows = [(i, text(i, 60_000 if i == 0 else 4_000), f"l{i:02d}", None, None) for i in range(30)]
+    model = ppm.train(frame(spark, rows))
+    counts = defaultdict(lambda: defaultdict(lambda: defaultdict(int)))
+    for _, own, lang, _, _ in rows:
+        classes = [0] * ppm.ORDER + [int(ppm.CLASSES[b]) for b in own.encode()]
+        for i in range(ppm.ORDER, len(classes)):
+            for k in range(ppm.ORDER + 1):
+                counts[lang][(k, tuple(classes[i - k : i]))][classes[i]] += 1
+    held = [text(i, 400) for i in range(30)]
+    bits = model.bits(pa.array(held))
+    assert np.allclose(bits[3], slow_bits(counts, model.languages, held[3]), rtol=1e-5)
+    assert (bits.argmin(1) == np.arange(30)).mean() > 0.95
+
+
 def test_long_texts_are_summed_in_pieces(spark, monkeypatch):
     model = ppm.train(frame(spark, [(1, "abc abd abe", "en", None, None), (2, "xyz xyw", "de", None, None)]))
     texts = pa.array(["abc xyz " * 40, "", None, "xyw " * 33, "é"])
