@@ -30,11 +30,13 @@ from snapgrid.llm.frames import bounded_sample, fresh_name, tidy
 from snapgrid.session import materialize
 
 #: Rated documents that a fit reads, about.
-SAMPLE = 6_000
+SAMPLE = 8_000
 _WORD = tk.members((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 #: Lengths in bytes of word beginnings that are features: inflected forms share them.
 _PREFIXES = (4,)
 _SHAPES = 6
+#: Features that a gradient step handles at one time.
+_BLOCK = 1 << 20
 _EDGES = [
     np.array([0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5]),  # symbols among inked bytes
     np.array([0.02, 0.05, 0.1, 0.2, 0.4, 0.6, 0.8]),  # capitals among ASCII letters
@@ -159,10 +161,15 @@ def fit(
     seen, old, momentum = w.copy(), w.copy(), 1.0
     step = 0.5 / max(1.0, np.sqrt(sizes.sum() / n))
     spread = np.ones(n_grades - 1)
+    blocks = [slice(low, low + _BLOCK) for low in range(0, len(rows), _BLOCK)]
     for _ in range(steps):
-        score = np.bincount(rows, seen[columns], n)
+        score = np.zeros(n)
+        for at in blocks:
+            score += np.bincount(rows[at], seen[columns[at]], n)
         slope, by_threshold = _slopes(score, thresholds, grades, n_grades)
-        gradient = np.bincount(columns, (weight * slope)[rows], len(names))
+        pull, gradient = weight * slope, np.zeros(len(names))
+        for at in blocks:
+            gradient += np.bincount(columns[at], pull[rows[at]], len(names))
         w = seen - step * 8 * gradient
         w = np.sign(w) * np.maximum(np.abs(w) - step * 8 * lasso, 0)
         thresholds = np.sort(thresholds - spread * (weight[:, None] * by_threshold).sum(0))

@@ -37,13 +37,13 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "crf")
 
 #: Documents that a fit reads, about: half at random, half with a keyword or access key.
-SAMPLE = 1_000
+SAMPLE = 1_500
 #: Random documents that are searched for one with a keyword.
 SEARCHED = 64
 #: Text bytes whose features are in memory at one time.
 SLICE_BYTES = 1 << 20
 #: Stretches of tokens that a fit uses at most, those with a secret first.
-CHUNKS = 4_000
+CHUNKS = 6_000
 CHUNK = 32
 
 

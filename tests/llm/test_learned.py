@@ -58,6 +58,18 @@ def test_grades_are_learned_in_order():
     assert ((tails[:, 1] >= 0.5) == (grades == 2)).mean() > 0.99
 
 
+def test_fit_in_blocks_equals_the_whole(monkeypatch):
+    texts, grades = rated_texts()
+    whole = oq.fit(pa.array(texts), grades, 3)
+    monkeypatch.setattr(oq, "_BLOCK", 97)
+    parts = oq.fit(pa.array(texts), grades, 3)
+    assert (whole.hashes == parts.hashes).all() and np.allclose(whole.weights, parts.weights)
+
+
+def test_samples_are_those_that_figures_are_given_for():
+    assert (oq.SAMPLE, sc.SAMPLE, sc.CHUNKS) == (8_000, 1_500, 6_000)
+
+
 def test_quality_of_awkward_rows(spark):
     texts, grades = rated_texts()
     model = oq.fit(pa.array(texts), grades, 3)
