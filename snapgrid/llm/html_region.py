@@ -3,10 +3,12 @@
 A page is a sequence of words and tags. Words score by where they stand (the nearest container elements, by tag,
 class and id), tags by their name and class; weights are log odds of content against the rest in labelled pages.
 Words of content score positive, tags never do. One linear scan finds the contiguous region with the greatest sum;
-what stands in the region but scores as something else (a menu, an advert, a form) is left out of its text.
+what an element in the region marks as something else (a menu, an advert, a form) is left out of its text, nothing
+else is. Text of a page's own article or main element is always taken.
 
 Pages with exactly one article or main element label themselves: what is inside is content, unless an element in it
-says by its name that it is not. Weights are fitted on a bounded sample of them.
+says by its name that it is not. Weights are fitted on a bounded sample of them. Every site
+has one vote on a kind of item, however many of the pages are its own.
 
 At scale: one pass over all pages without a shuffle; the model is a small dictionary.
 """
@@ -149,24 +151,44 @@ def items(page: str) -> list[Item]:
 
 @dataclass
 class Model:
-    """Log odds of content by kind of item, from counts inside and outside of labelled content."""
+    """Log odds of content by kind of item, from counts inside and outside of labelled content, by site."""
 
+    sites: dict[str, tuple[Counter, Counter]] = field(default_factory=dict)
     inside: Counter = field(default_factory=Counter)
     outside: Counter = field(default_factory=Counter)
 
-    def learn(self, page: str) -> bool:
+    def learn(self, page: str, site: str = "") -> bool:
         found = items(page)
         if sum(i.name in CONTENT for i in found) != 1:
             return False
+        inside, outside = self.sites.setdefault(site, (Counter(), Counter()))
         for i in found:
             weight = 1 if i.name else i.words
-            (self.inside if i.within and not i.aside else self.outside)[i.kind] += weight
+            (inside if i.within and not i.aside else outside)[i.kind] += weight
+        self.inside.clear()
+        self.outside.clear()
         return True
 
+    def balance(self) -> None:
+        """Counts of every kind, divided as the mean of the sites' own shares."""
+        total, share, votes = Counter(), Counter(), Counter()
+        for inside, outside in self.sites.values():
+            for kind in inside.keys() | outside.keys():
+                n = inside[kind] + outside[kind]
+                if n:
+                    total[kind] += n
+                    share[kind] += inside[kind] / n
+                    votes[kind] += 1
+        for kind, n in total.items():
+            self.inside[kind] = n * share[kind] / votes[kind]
+            self.outside[kind] = n - self.inside[kind]
+
     def weight(self, item: Item) -> float:
         """Of one word, or of a tag. Kinds that no labelled page has go by the element names around them."""
         if item.aside and item.within:
             return 0.0  # left out of the text, but no border of the content
+        if self.sites and not self.inside and not self.outside:
+            self.balance()
         a, b = self.inside[item.kind], self.outside[item.kind]
         odds = math.log((a + 0.5) / (b + 0.5)) if a + b else (-2.0 if item.aside else 0.5)
         if item.aside:
@@ -190,7 +212,10 @@ def region(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, model: Model) -> str:
-    """Text of the best region: white space as single spaces, blocks joined by one space."""
+    """Text of the best region and of the page's own article: white space as single spaces, blocks joined by one space.
+
+    Where no run scores above zero, all text that nothing marks as something else is taken.
+    """
     if not page:
         return ""
     found = items(page)
@@ -202,10 +227,12 @@ def main_text(page: str | None, model: Model) -> str:
     low, high = region(scores)
     if marked and not any(low <= i < high for i in marked):
         low, high = marked[0], marked[-1] + 1  # a marked article that is shorter than what surrounds it
+    if low == high:
+        low, high = 0, len(found)
     pieces = []
-    for x in found[low:high]:
+    for i, x in enumerate(found):
         if not x.name:
-            if not x.aside and model.weight(x) > 0:
+            if not x.aside and (x.within or low <= i < high):
                 pieces.append(x.text)
         elif x.block:
             pieces.append(" ")
@@ -215,14 +242,19 @@ def main_text(page: str | None, model: Model) -> str:
 def train(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE) -> Model:
     """Counts over the labelled ones among about ``sample`` pages at random."""
     keys = [c for c in ("page_id", "url", html_column) if c in pages.columns]
-    rows = bounded_sample(pages, sample, keys).select(F.col(html_column).cast("string").alias("html")).where("html is not null")
+    site = F.regexp_extract(F.col("url").cast("string"), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?([^/?#]*)", 1) if "url" in keys else F.lit("")
+    rows = bounded_sample(pages, sample, keys)
+    rows = rows.select(F.col(html_column).cast("string").alias("html"), F.coalesce(F.lower(site), F.lit("")).alias("site"))
+    rows = rows.where("html is not null")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model()
         for batch in batches:
-            for page in batch.column("html").to_pylist():
+            for page, site in zip(batch.column("html").to_pylist(), batch.column("site").to_pylist()):
                 if _LABELLED.search(page):
-                    model.learn(page)
+                    model.learn(page, site)
+        model.balance()
+        model.sites.clear()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     found = rows.mapInArrow(tidy(learn), "model binary").collect()

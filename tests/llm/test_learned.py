@@ -287,6 +287,18 @@ def test_main_text():
     assert hr.main_text("no tags", hr.Model()) == "no tags"
 
 
+def test_a_hot_site_does_not_take_the_text_of_others(spark):
+    hot = "<body><article><p>short text</p></article><div>" + "much other text beside it " * 40 + "</div></body>"
+    own = "<body><article><p>First words here.</p><div>Second words in a plain div.</div></article></body>"
+    plain = "<body><div>Only a plain div with its words.</div></body>"
+    rows = [(i, f"https://hot.example/{i}", hot) for i in range(20)]
+    rows += [(100 + i, f"https://s{i}.example/", own) for i in range(20)] + [(200, "https://p.example/", plain)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in hr.extracted(pages, hr.train(pages)).collect()}
+    assert out[100] == "First words here. Second words in a plain div."
+    assert out[200] == "Only a plain div with its words."
+
+
 def test_region_is_the_best_run():
     rng = np.random.default_rng(4)
     for _ in range(300):
