@@ -7,7 +7,8 @@ each way to leave ``errors`` of its symbols out: all pairs within ``reach`` shar
 key and whose distance a pair of the wanted similarity can plausibly have are confirmed on the full shingle
 sets.
 
-At scale: copies of one shingle set are one node from the start (combined on the map side). Bucket sizes and
+At scale: copies of one shingle set are one node from the start (combined on the map side); an id with several sets
+has a node for each of them, and its nodes are linked afterwards. Bucket sizes and
 minima are combined on the map side too. Each bucket first links its members to its smallest one, which
 settles groups of near copies at linear cost; only buckets whose members are still in different components
 are compared further, in blocks of bounded size, by one bucket for each pair, and only links leave a task.
@@ -23,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapgrid.llm import textkit as tk
@@ -111,8 +112,11 @@ def _matrix(column: pa.Array, symbols: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, symbols)
 
 
-def sketches(documents: DataFrame, settings: Settings, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_hash`` (16 bytes) and ``signature`` of every row, in one pass."""
+def sketches(
+    documents: DataFrame, settings: Settings, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``set_hash`` (16 bytes), ``signature``, and ``text`` if wanted, of every row, in one pass."""
+    kept = ["text"] if keep_text else []
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,12 +133,19 @@ def sketches(documents: DataFrame, settings: Settings, doc_id: str = "doc_id", t
                         pa.array(sizes),
                         _binary(np.stack([sums[0] + sizes.astype(np.uint64), sums[1]], axis=1)),
                         _binary(signatures(values, borders, settings.symbols)),
+                        *[part.column(c) for c in kept],
                     ],
-                    ["doc_id", "n_shingles", "set_hash", "signature"],
+                    ["doc_id", "n_shingles", "set_hash", "signature", *kept],
                 )
 
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(tidy(sketch), "doc_id long, n_shingles long, set_hash binary, signature binary")
+    schema = "doc_id long, n_shingles long, set_hash binary, signature binary" + "".join(f", {c} string" for c in kept)
+    return source.mapInArrow(tidy(sketch), schema)
+
+
+def _set_node() -> Column:
+    """Number of a set whose smallest id has other sets too."""
+    return F.xxhash64("set_hash")
 
 
 def index_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -285,10 +296,10 @@ def _block_links(settings: Settings):
 def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
     """``a``, ``b``: enough links between different shingle sets to connect all that are similar.
 
-    ``members`` has ``doc_id``, ``rep`` (smallest document of the same set) and ``signature``; ``documents``
-    has ``doc_id`` and ``text``.
+    ``members`` has ``doc_id``, ``rep`` (smallest document of the same set), ``node`` (the set), ``mixed`` (whether
+    that document has other sets too) and ``signature``; ``documents`` has ``doc_id`` and ``text``.
     """
-    nodes = members.where(F.col("doc_id") == F.col("rep")).select(F.col("rep").alias("node"), "signature")
+    nodes = members.where(F.col("doc_id") == F.col("rep")).select("node", "rep", "mixed", "signature")
     nodes = nodes.dropDuplicates(["node"])
     keys = index_keys(nodes, settings)
     buckets = keys.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("size")).where("size > 1")
@@ -296,12 +307,17 @@ def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataF
     signature = materialize(
         nodes.join(shared.select("node").distinct(), "node", "left_semi"), "dedup-signatures"
     )
-    texts = materialize(
-        sized_join(documents.select("doc_id", "text"), signature.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("node"), "text"),
-        "dedup-texts",
-    )
+    of_node = signature.select("node", "signature")
+    own = signature.where("not mixed").select(F.col("node").alias("doc_id"))
+    texts = sized_join(documents.select("doc_id", "text"), own, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = texts.select(F.col("doc_id").alias("node"), "text")
+    of_mixed = signature.where("mixed").select(F.col("rep").alias("doc_id")).distinct()
+    if not of_mixed.isEmpty():  # the text that a set comes from
+        several = sized_join(documents.select("doc_id", "text"), of_mixed, "doc_id", "left_semi").distinct()
+        several = sketches(several, settings, keep_text=True).select(_set_node().alias("node"), "text")
+        several = sized_join(several, signature.where("mixed").select("node"), "node", "left_semi")
+        texts = texts.unionAll(several.dropDuplicates(["node"]))
+    texts = materialize(texts, "dedup-texts")
 
     def distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,7 +328,7 @@ def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataF
 
     of_center = signature.select(F.col("node").alias("center"), F.col("signature").alias("center_signature"))
     pairs = shared.where("node <> center").select("center", "node").distinct()
-    pairs = pairs.join(signature, "node").join(of_center, "center").mapInArrow(tidy(distance), "center long, node long")
+    pairs = pairs.join(of_node, "node").join(of_center, "center").mapInArrow(tidy(distance), "center long, node long")
     of_center = texts.select(F.col("node").alias("center"), F.col("text").alias("center_text"))
     star = materialize(
         pairs.join(texts, "node").join(of_center, "center").mapInArrow(tidy(_star_links(settings)), "center long, node long"),
@@ -330,7 +346,7 @@ def links(members: DataFrame, documents: DataFrame, settings: Settings) -> DataF
     blocks = (
         placed.where("size > 2")
         .join(open_keys, "key", "left_semi")
-        .join(signature, "node")
+        .join(of_node, "node")
         .withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -372,17 +388,31 @@ def near_duplicates(
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketch = materialize(sketches(source, settings), "dedup-sketches")
     full = F.col("n_shingles") > 0
-    reps = sketch.where(full & F.col("doc_id").isNotNull()).groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
+    known = sketch.where(F.col("doc_id").isNotNull())
+    mixed = known.groupBy("doc_id").agg(F.min("set_hash").alias("low"), F.max("set_hash").alias("high")).where("low <> high")
+    mixed = materialize(mixed.select("doc_id"), "dedup-mixed")
+    reps = known.where(full).groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
+    marked = mixed.select(F.col("doc_id").alias("rep"), F.lit(True).alias("mixed"))
+    reps = sized_join(reps, marked, "rep", "left").withColumn("mixed", F.coalesce("mixed", F.lit(False)))
+    reps = reps.withColumn("node", F.when(F.col("mixed"), _set_node()).otherwise(F.col("rep")))
+    own = full & F.col("doc_id").isNotNull()
     members = sketch.join(reps, "set_hash", "left").select(
-        "doc_id", "n_shingles", F.when(full & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"), "signature"
+        "doc_id", "n_shingles", *[F.when(own, F.col(c)).alias(c) for c in ("rep", "node", "mixed")], "signature"
     )
     members = materialize(members.withColumn("signature", F.expr("if(doc_id = rep, signature, null)")), "dedup-members")
     alike = links(members, source, settings)
-    several = members.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b <> most")
-    same_id = members.join(several, "doc_id").select(F.col("rep").alias("a"), "b").where("a is not null")
+    # Only ids with several sets have something to link here.
+    of_mixed = sized_join(members.where("node is not null"), mixed, "doc_id", "left_semi").select("doc_id", "node").distinct()
+    least = of_mixed.groupBy("doc_id").agg(F.min("node").alias("b"))
+    same_id = of_mixed.join(least, "doc_id").select(F.col("node").alias("a"), "b")
     component = connected_components(alike.unionAll(same_id), "a", "b", "dedup-all")
+    if not mixed.isEmpty():  # nodes of such ids are no ids: a component is named by its smallest id
+        ids = members.where("doc_id = rep").select("node", "rep").distinct()
+        component = materialize(component.join(ids, "node"), "dedup-named")
+        named = component.groupBy("component").agg(F.min("rep").alias("least"))
+        component = component.join(named, "component").select("node", F.col("least").alias("component"))
     label = F.coalesce("component", "rep", "doc_id")
-    return members.join(component.withColumnRenamed("node", "rep"), "rep", "left").select(
+    return members.join(component, "node", "left").select(
         "doc_id",
         "n_shingles",
         label.alias("component_id"),

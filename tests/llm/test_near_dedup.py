@@ -75,6 +75,27 @@ def test_differing_texts_of_one_id_are_linked(spark):
     assert {r.component_id for r in near_duplicates(frame(spark, rows)).collect()} == {1}
 
 
+def test_near_copies_of_every_text_of_an_id_are_linked(spark):
+    other = " ".join(f"else{i}" for i in range(60))
+    third = " ".join(f"third{i}" for i in range(60))
+    texts = [(5, BASE), (5, other), (5, third), (5, None), (5, ""), (7, changed(0)), (8, changed(0, other)), (9, changed(59, third)), (3, "lone words")]
+    for rows in (texts, texts[::-1]):
+        found = near_duplicates(frame(spark, [(i, t, None, None, None) for i, t in rows])).collect()
+        assert {r.doc_id: r.component_id for r in found} == {5: 5, 7: 5, 8: 5, 9: 5, 3: 3}
+
+
+def test_stage_keeps_different_texts_of_an_id(spark):
+    import corpus_pipeline
+
+    other = " ".join(f"else{i}" for i in range(60))
+    rows = [(5, BASE), (5, BASE), (5, changed(0)), (5, other), (6, changed(59, other)), (7, "alone here"), (None, BASE)]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in rows], clashing=True)
+    out = corpus_pipeline.near_dedup_stage(spark, docs, "")
+    left = [r.text for r in out.select("text", "doc_id").collect() if r.doc_id is not None]
+    assert out.columns == docs.columns and len(left) == 3
+    assert sum(t.startswith("alone") for t in left) == 1 and sum("else5" in t.split() for t in left) == 1
+
+
 def test_signatures_within_reach_share_a_key(spark):
     settings = Settings()
     rng = np.random.default_rng(3)
