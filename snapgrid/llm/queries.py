@@ -154,3 +154,45 @@ def _html_extraction(spark, sf_dir):
 
     pages = table(spark, sf_dir, "pages")
     return extracted(pages, train(pages))
+
+
+@query(
+    "op11_quality_rules",
+    r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+           FROM documents),
+n AS (SELECT row_number() OVER () AS r, * FROM d),
+v AS (SELECT r, i, list_slice(w, i, i + 4) AS win FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM n)),
+two AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM v) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT pos) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 5)) AS pos FROM two) GROUP BY r),
+m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines,
+             len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words,
+             length(regexp_replace(t, '\P{L}', '', 'g')) AS n_letters, length(regexp_replace(t, '\P{Lu}', '', 'g')) AS n_capitals
+      FROM n LEFT JOIN rep USING (r)),
+b AS (SELECT *, CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+             + CASE WHEN 100 * n_symbols > 10 * n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
+             + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 15 * n_words THEN 32 ELSE 0 END
+             + CASE WHEN 100 * n_letter_words < 80 * n_words THEN 64 ELSE 0 END
+             + CASE WHEN n_letters >= 40 AND 100 * n_capitals > 50 * n_letters THEN 128 ELSE 0 END AS bits FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       bits & 3 > 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failed_rules, 'web-v2' AS policy
+FROM b""",
+)
+def _quality_rules(spark, sf_dir):
+    from snapgrid.llm.rule_ledger import BASE, latest, ledger
+
+    policy = latest("web")
+    rows, name = ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    bits = F.col(f"{name}.bits")
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select(
+        "doc_id",
+        *[f"{name}.{m}" for m in measures],
+        (~BASE.keeps(bits)).alias("base_failed"),
+        (BASE.keeps(bits) & policy.keeps(bits)).alias("kept"),
+        bits.alias("failed_rules"),
+        F.lit(policy.label).alias("policy"),
+    )
