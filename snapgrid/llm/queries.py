@@ -196,3 +196,100 @@ def _quality_rules(spark, sf_dir):
         bits.alias("failed_rules"),
         F.lit(policy.label).alias("policy"),
     )
+
+
+def _manifest_sql(levels: int = 12, fan: int = 3) -> str:
+    """The tree of every source, then the tree over the sources, level by level, for up to 3 ** levels rows each."""
+
+    def grown(name: str, leaves: str, key: str) -> str:
+        parts = [f"{name}0 AS ({leaves})"]
+        for i in range(levels):
+            # A tree with one node stays; the others are combined in runs.
+            parts.append(
+                f"{name}run{i} AS (SELECT {key}, r // {fan} AS up, list(h ORDER BY r) AS hs FROM {name}{i} GROUP BY ALL)"
+            )
+            parts.append(
+                f"{name}{i + 1} AS (SELECT {key}, up AS r, CASE WHEN count(*) OVER (PARTITION BY {key}) = 1 AND len(hs) = 1 "
+                f"THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM {name}run{i})"
+            )
+        return ",\n".join(parts)
+
+    def climbed(name: str, start: str, key: str) -> str:
+        parts = [f"{name}up0 AS ({start})"]
+        for i in range(levels):
+            step = f"(x.r % {fan})"
+            parts.append(
+                f"{name}up{i + 1} AS (SELECT x.* REPLACE (x.r // {fan} AS r, "
+                f"CASE WHEN len(hs) = 1 AND one THEN x.f ELSE sha256(array_to_string(hs[:{step}], '') || x.f || array_to_string(hs[{step} + 2:], '')) END AS f, "
+                f"x.p || array_to_string(hs[:{step}], '') || array_to_string(hs[{step} + 2:], '') AS p) "
+                f"FROM {name}up{i} x JOIN (SELECT *, count(*) OVER (PARTITION BY {key}) = 1 AS one FROM {name}run{i}) y "
+                f"ON x.{key} = y.{key} AND x.r // {fan} = y.up)"
+            )
+        return ",\n".join(parts)
+
+    def leaf(text: str) -> str:
+        columns = ["doc_id", "source", "lang", "n_chars", text]
+        return "sha256(" + " || ".join(
+            f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END" for c in columns
+        ) + ")"
+
+    crc = f"""SELECT doc_id, CAST(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])) AS BIGINT) AS c FROM (SELECT DISTINCT doc_id FROM documents), t"""
+    eighth = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+    table_sql = "SELECT list(v8 ORDER BY n) AS tab FROM (SELECT n, v7, " + eighth.format("v7") + " AS v8 FROM "
+    inner = "(SELECT n, CAST(n AS BIGINT) AS v0 FROM range(256) s(n))"
+    for i in range(1, 8):
+        inner = f"(SELECT n, {eighth.format(f'v{i - 1}')} AS v{i} FROM {inner})"
+    return f"""WITH t AS ({table_sql}{inner})),
+crc AS ({crc}),
+d AS (SELECT documents.*, replace(text, chr(10), '') AS cut, xor(c, 4294967295) AS c FROM documents LEFT JOIN crc USING (doc_id)),
+e AS (SELECT doc_id, source, {leaf("text")} AS h, CASE WHEN c % 2 = 0 THEN {leaf("cut")} ELSE {leaf("text")} END AS f FROM d),
+l AS (SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS s,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS r FROM e),
+{grown("a", "SELECT s, r, h FROM l", "s")},
+{grown("b", f"SELECT 0 AS k, s AS r, h FROM a{levels}", "k")},
+{climbed("a", "SELECT l.*, '' AS p FROM l", "s")},
+{climbed("b", f"SELECT s AS r, f, p, 0 AS k, doc_id, h AS leaf, (SELECT h FROM a{levels} z WHERE z.s = q.s) AS subroot FROM aup{levels} q", "k")}
+SELECT doc_id, leaf, subroot, (SELECT h FROM b{levels}) AS root, sha256(p) AS proof_sha256, f AS folded_root,
+       f = (SELECT h FROM b{levels}) AS verified FROM bup{levels}"""
+
+
+@query("op12_merkle_manifest", _manifest_sql())
+def _merkle_manifest(spark, sf_dir):
+    from snapgrid.llm.merkle_manifest import FIELDS, folded, hex_of, leaf_digest, manifest, proofs, siblings
+
+    documents = table(spark, sf_dir, "documents")
+    fields = [F.col(f) for f in FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    changed = F.when(tampered, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = documents.select(
+        "source", "doc_id", leaf_digest(fields).alias("leaf"), F.unhex(leaf_digest([*fields[:-1], changed])).alias("shown")
+    )
+    found = proofs(manifest(rows))
+    out = found.select(
+        "doc_id",
+        *[hex_of(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded(hex_of(F.col("shown")), F.col("path")).alias("folded_root"),
+    )
+    return out.select("*", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows after damage, and those it drops, marked by ``dropped``."""
+    key = F.concat(*[F.coalesce(F.col(c).cast("string"), F.lit(" ")) if c != ":" else F.lit(":") for c in ("conv_id", ":", "turn")])
+    marked = conversations.select("conv_id", "turn", "role", "text", (F.crc32(key) % 20).alias("fault"))
+    fault, text = F.col("fault"), F.col("text")
+    times = F.explode(F.sequence(F.lit(1), F.when(fault == 3, 2).otherwise(1)))
+    changed = F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    role = F.when(fault == 4, F.lit("user")).otherwise(F.col("role"))
+    return marked.select(
+        "conv_id", "turn", role.alias("role"), changed.alias("text"), (fault == 0).alias("dropped"), times.alias("_copy")
+    ).drop("_copy")
+
+
+@query("op13_conversation_repair")
+def _conversation_repair(spark, sf_dir):
+    from snapgrid.llm.turn_repair import repairs
+
+    return repairs(damaged(table(spark, sf_dir, "conversations")), absent=F.col("dropped"))
