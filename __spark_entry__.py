@@ -41,6 +41,7 @@ from snapgrid.operators import (
 from snapgrid.plans import reports
 from snapgrid.session import instants, materialize, shared_folder, use_utc
 from snapgrid.sources.sinks import write_csv
+from snapgrid.sources.snapshots import read_snapshots
 from snapgrid.sources.tables import read_checked, union_checked
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -912,6 +913,43 @@ def _json_flatten(spark, sf_dir):
     return naive(nested.flatten(doc))
 
 
+@query(
+    "json_mixed_shapes",
+    """SELECT c_custkey AS id, c_name AS label, CAST(c_nationkey AS BIGINT) AS address_nation, CAST(c_acctbal AS DOUBLE) AS address_balance,
+       CAST(NULL AS VARCHAR) AS phones, CAST(NULL AS VARCHAR) AS region, 'customers' AS shape FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_nationkey, NULL, '["' || s_suppkey || '","x"]', NULL, 'suppliers' FROM supplier
+UNION ALL SELECT n_nationkey, n_name, NULL, NULL, NULL, 'region ' || n_regionkey, 'nations' FROM nation""",
+)
+def _json_mixed_shapes(spark, sf_dir):
+    """Documents of all shapes, written as files: envelopes of customers, lists of suppliers, one nation in each.
+
+    Only suppliers have phones, only nations (lone records) a region; the envelope's own fields are no columns.
+    """
+    customer, supplier, nation = (table(spark, sf_dir, name) for name in ("customer", "supplier", "nation"))
+    of_customer = F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("label"), F.lit("customers").alias("shape"),
+        F.struct(F.col("c_nationkey").alias("nation"), F.col("c_acctbal").cast("double").alias("balance")).alias("address"),
+    )
+    phones = F.array(F.col("s_suppkey").cast("string"), F.lit("x")).alias("phones")
+    address = F.struct(F.col("s_nationkey").alias("nation")).alias("address")
+    of_supplier = F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("label"), F.lit("suppliers").alias("shape"), address, phones)
+    of_nation = F.struct(
+        F.col("n_nationkey").alias("id"), F.col("n_name").alias("label"), F.lit("nations").alias("shape"),
+        F.concat(F.lit("region "), F.col("n_regionkey").cast("string")).alias("region"),
+    )
+    enveloped = customer.groupBy("c_nationkey").agg(F.collect_list(of_customer).alias("locations"))
+    documents = [
+        enveloped.select(F.to_json(F.struct("locations", F.lit("now").alias("exported"))).alias("value")),
+        supplier.groupBy("s_nationkey").agg(F.to_json(F.collect_list(of_supplier)).alias("value")).select("value"),
+        nation.select(F.to_json(of_nation).alias("value")),
+    ]
+    path = f"{shared_folder(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    for group in documents:
+        group.write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    flat = nested.flatten(read_snapshots(spark, path, pattern="*.txt"))
+    return flat.select("id", "label", "address_nation", "address_balance", "phones", "region", "shape")
+
+
 CHILD = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -1101,6 +1139,51 @@ def _onehot(spark, sf_dir):
     return finished(encode.one_hot(orders, "o_orderdate"))
 
 
+#: Text columns of the orders: one with a value for each row, one of few values, and a flag with nulls.
+MATRIX_SQL = """x AS (SELECT o_orderkey, 'order ' || o_orderkey AS label, nullif(o_orderpriority, '5-LOW') AS urgency,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus = 'F' END AS closed FROM orders),
+cell AS (SELECT o_orderkey, 0 AS place, 'label' AS "column", label AS "value" FROM x
+  UNION ALL SELECT o_orderkey, 1, 'urgency', urgency FROM x WHERE urgency IS NOT NULL
+  UNION ALL SELECT o_orderkey, 2, 'closed', CASE WHEN closed THEN 'True' ELSE 'False' END FROM x WHERE closed IS NOT NULL),
+dictionary AS (SELECT row_number() OVER (ORDER BY place, "value") - 1 AS indicator, "column", "value", count(*) AS "count"
+  FROM cell GROUP BY place, "column", "value")"""
+
+
+def _matrix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], DataFrame]:
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("label"),
+        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("urgency"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "F").alias("closed"),
+    )
+    columns = encode.encodable(orders)
+    return orders, columns, materialize(encode.value_dictionary(orders, columns), "dictionary")
+
+
+@query(
+    "onehot_sparse",
+    f"""WITH {MATRIX_SQL}
+SELECT o_orderkey, indicator, "column", "value" FROM cell JOIN dictionary USING ("column", "value")""",
+)
+def _onehot_sparse(spark, sf_dir):
+    """The ones of a one-hot matrix with more columns than rows: each row's indicators, with what they stand for."""
+    orders, columns, dictionary = _matrix(spark, sf_dir)
+    ones = encode.indicators(orders, ["o_orderkey"], columns, dictionary)
+    return rows.lookup_join(ones, dictionary.drop("count"), ["indicator"], "inner").select("o_orderkey", "indicator", "column", "value")
+
+
+@query(
+    "onehot_sparse_variance",
+    f"""WITH {MATRIX_SQL}, size AS (SELECT count(*) AS n FROM orders)
+SELECT indicator, "column", "value", "count", round("count" / n * (1 - "count" / n), 9) AS variance
+FROM dictionary, size WHERE "count" / n * (1 - "count" / n) > 0.01""",
+)
+def _onehot_sparse_variance(spark, sf_dir):
+    """Selection among the columns of that matrix, from the dictionary alone."""
+    orders, _, dictionary = _matrix(spark, sf_dir)
+    return rounded(encode.indicator_variance(dictionary, orders.count(), 0.01), 9)
+
+
 def _pieces_sql(source: str, columns: list[str]) -> str:
     pieces = "\n  UNION ALL ".join(f"SELECT i, '{c}_' || {c} AS name FROM num WHERE {c} IS NOT NULL" for c in columns)
     return f"""num AS (SELECT *, row_number() OVER () AS i FROM {source}),

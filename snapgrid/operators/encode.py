@@ -1,18 +1,20 @@
 """One-hot encoding and variance selection: column sets that depend on the data.
 
-Both take one look at the data to fix the schema; the transformation is a plain select.
+A column for each value takes one look at the data to fix the schema; the transformation is a plain select. For any
+number of values there is the sparse form: a dictionary of the values as a table, and a row for each one of the matrix.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.functions.values import number
-from snapgrid.operators.rows import quoted
+from snapgrid.operators.rows import lookup_join, quoted
+from snapgrid.operators.slices import numbered
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -74,6 +76,66 @@ def one_hot(df: DataFrame, time: str = "snapshot_ts", values: dict[str, list[str
     return df.select(*[F.col(f"`{c}`") for c in kept], *flags)
 
 
+def encodable(df: DataFrame, time: str = "snapshot_ts") -> list[str]:
+    """The columns that one-hot encoding takes apart: text but the time, and booleans with nulls.
+
+    One row reaches the driver, and only if there are booleans.
+    """
+    booleans = [f.name for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)]
+    chosen = set(categorical_columns(df, time))
+    if booleans:
+        nulls = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in booleans]).first()
+        chosen |= {c for c in booleans if nulls[c]}
+    return [c for c in df.columns if c in chosen]
+
+
+def _cells(df: DataFrame, columns: list[str]) -> Column:
+    """One (column's place, column, value) for each of the columns; booleans are spelled ``True`` and ``False``."""
+    cells = []
+    for i, c in enumerate(columns):
+        value = F.col(quoted(c)).cast("string")
+        if isinstance(df.schema[c].dataType, T.BooleanType):
+            value = F.initcap(value)
+        cells.append(F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), value.alias("value")))
+    return F.array(*cells)
+
+
+def value_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``indicator`` (from 0, by column, then value), ``column``, ``value`` and ``count`` of every value that occurs.
+
+    A table, however many values there are: numbers come from ranges of sorted values, nothing is collected.
+    """
+    if not columns:
+        none = "indicator long, column string, value string, count long"
+        return df.sparkSession.createDataFrame([], none)
+    seen = df.select(F.inline(_cells(df, columns))).filter("value is not null")
+    counted = seen.groupBy("place", "column", "value").agg(F.count(F.lit(1)).alias("count"))
+    return numbered(counted, ["place", "value"], "indicator").select("indicator", "column", "value", "count")
+
+
+def indicators(df: DataFrame, row_id: list[str], columns: list[str], dictionary: DataFrame) -> DataFrame:
+    """The ones of the one-hot matrix: the row's ``row_id`` columns and the ``indicator``. Nulls have none.
+
+    The rows meet the dictionary in a plain join, whose row side adaptive execution splits where a value is hot.
+    """
+    keys = [F.col(quoted(k)) for k in row_id]
+    if not columns:
+        return df.select(*keys, F.lit(None).cast("long").alias("indicator")).limit(0)
+    cells = df.select(*keys, F.inline(_cells(df, columns))).filter("value is not null")
+    found = lookup_join(cells.drop("place"), dictionary.select("indicator", "column", "value"), ["column", "value"], "inner")
+    return found.select(*keys, "indicator")
+
+
+def indicator_variance(dictionary: DataFrame, rows: int, threshold: float = 0.0) -> DataFrame:
+    """The dictionary's indicators that vary more than ``threshold`` over so many rows, with their population variance.
+
+    A column of zeros and ones varies by its share of ones alone, so the counts say it all.
+    """
+    ones = F.col("count") / F.lit(rows)
+    spread = dictionary.withColumn("variance", ones * (1 - ones))
+    return spread.filter((F.col("variance") > threshold) & (F.col("count") < rows))
+
+
 @dataclass(frozen=True)
 class Selection:
     selected: list[str]

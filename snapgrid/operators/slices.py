@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import MINUTE_US
-from snapgrid.operators.rows import lookup_join
+from snapgrid.operators.rows import lookup_join, quoted
 from snapgrid.session import materialize
 
 SLICE = "_slice"
@@ -73,27 +73,51 @@ def running_sums(
     )
 
 
+def _ranges(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """The table in ranges along ``order`` with sampled borders, sorted, ``name`` its place: the range's number above
+    ``PLACE_BITS``, the row's below. Written once, so that every reader sees the same borders."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(quoted(c)) for c in order]
+    ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    return materialize(ranged.withColumn(name, F.monotonically_increasing_id()), "ranges")
+
+
+#: How a row's place is written: the number of its partition above, its place there below.
+PLACE_BITS = 33
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """The rows with ``name``: their number from 0 along ``order``; rows equal in it stand in any order.
+
+    Ranges of rows are sorted apart; what travels between them is one count for each.
+    """
+    ranged = _ranges(df, order, name)
+    slice_of = F.shiftright(name, PLACE_BITS).alias(SLICE)
+    counts = ranged.groupBy(slice_of).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(SLICE).rowsBetween(*BEFORE)), F.lit(0))
+    offsets = counts.select(SLICE, before.alias("_before"))  # one row for each shuffle partition
+    inside = F.col(name).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    found = lookup_join(ranged.withColumn(SLICE, slice_of), offsets, [SLICE], "inner")
+    kept = [F.col(quoted(c)) for c in df.columns]
+    return found.select(*kept, (F.col("_before") + inside).alias(name))
+
+
 def ranked_sums(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
     """Inclusive running sums of the whole table along ``order``, whose values are distinct.
 
     Adds ``<c>_run`` and ``<c>_total``. Slices are ranges with sampled borders, so they hold like numbers of
     rows wherever the values lie; the sliced table is written once, so that every reader sees the same borders.
-    What travels between slices is one array with an element for each slice, as many as shuffle partitions.
+    What travels between slices is one row for each, as many as shuffle partitions, summed up by one window.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = df.repartitionByRange(parts, order).withColumn(SLICE, F.spark_partition_id())
     sliced = materialize(sliced, "slices")
     edges = sliced.groupBy(SLICE).agg(*[F.sum(c).alias(c) for c in columns])
-    listed = edges.agg(F.sort_array(F.collect_list(F.struct(SLICE, *columns))).alias("_edges")).filter("size(_edges) > 0")
-
-    def summed(upto: Column, c: str) -> Column:
-        kind = F.coalesce(F.get("_edges", F.lit(0))[c] * 0, F.lit(0).cast(edges.schema[c].dataType))
-        return F.aggregate(F.slice("_edges", 1, upto), kind, lambda total, edge: total + F.coalesce(edge[c], F.lit(0)))
-
-    carry = listed.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_edges") - 1))).select(
-        F.get("_edges", F.col("_i"))[SLICE].alias(SLICE),
-        *[summed(F.col("_i"), c).alias(f"_{c}_before") for c in columns],
-        *[summed(F.size("_edges"), c).alias(f"{c}_total") for c in columns],
+    along, whole = Window.orderBy(SLICE).rowsBetween(*BEFORE), Window.partitionBy()
+    carry = edges.select(
+        SLICE,
+        *[F.coalesce(F.sum(c).over(along), F.lit(0)).alias(f"_{c}_before") for c in columns],
+        *[F.coalesce(F.sum(c).over(whole), F.lit(0)).alias(f"{c}_total") for c in columns],
     )
     inside = Window.partitionBy(SLICE).orderBy(order).rowsBetween(*SO_FAR)
     local = sliced.select("*", *[F.sum(c).over(inside).alias(f"_{c}_in") for c in columns])

@@ -4,14 +4,17 @@ stage and a lost executor never costs more than the stage it worked on."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapgrid.operators import classify, encode, grid, labels, quality, state
+from snapgrid.operators import classify, encode, grid, labels, quality, rows, state
 from snapgrid.plans.ingest import extract_ports, extract_stations, locations_from_snapshots
 from snapgrid.schema import HORIZON_MINUTES, STATE_COLUMNS, STATIC_COLUMNS, StagePaths
 from snapgrid.session import use_utc
 from snapgrid.sources.sinks import save_model, write_counted, write_metrics, write_table
 from snapgrid.sources.tables import read_stage
 
+#: The number of a row of the series, which its indicators refer to.
+ROW = "row_id"
 SERIES_COLUMNS = ["snapshot_ts", "st_id", *STATE_COLUMNS, *STATIC_COLUMNS]
 
 
@@ -26,19 +29,34 @@ def timeseries(spark: SparkSession, paths: StagePaths) -> DataFrame:
     return write_table(state.station_timeseries(*tables), paths.path("timeseries"))
 
 
-def encoded(spark: SparkSession, paths: StagePaths, text: tuple[str, ...] = ()) -> DataFrame:
-    """One-hot columns next to the series. ``text`` names the columns to encode; other text, names and
-    descriptions with a value for nearly every station above all, stays as it is."""
+def encoded(spark: SparkSession, paths: StagePaths, wide: tuple[str, ...] = ()) -> DataFrame:
+    """One-hot encoding of every text column of the series (and of booleans with nulls).
+
+    Names and descriptions have a value for nearly every station, so the matrix is kept as its ones: the table
+    ``encoded_dictionary`` numbers the values, ``encoded_indicators`` has a row for each ``row_id`` of the series and
+    value it has. Columns named by ``wide`` become a column for each value instead. Text that a later stage reads
+    stays in the series, other encoded text leaves it.
+    """
     series = read_stage(spark, paths.path("timeseries"))
-    chosen = list(text)
-    return write_table(encode.one_hot(series, values=encode.categories(series, chosen)), paths.path("encoded"))
+    flags = encode.one_hot(series, values=encode.categories(series, list(wide)))
+    kept = write_table(flags.withColumn(ROW, F.monotonically_increasing_id()), paths.path("encoded_rows"))
+    columns = encode.encodable(kept, "snapshot_ts")
+    dictionary = write_table(encode.value_dictionary(kept, columns), paths.path("encoded_dictionary"))
+    write_table(encode.indicators(kept, [ROW], columns, dictionary), paths.path("encoded_indicators"))
+    gone = [c for c in columns if c not in SERIES_COLUMNS]
+    return write_table(kept.drop(*gone), paths.path("encoded"))
 
 
 def selected(spark: SparkSession, paths: StagePaths, threshold: float = 0.0) -> DataFrame:
+    """The columns and the indicators that vary more than ``threshold``."""
     series = read_stage(spark, paths.path("encoded"))
-    chosen, _ = encode.select_by_variance(series, threshold, keep=tuple(SERIES_COLUMNS))
-    table = write_table(chosen, paths.path("selected"))
+    found = encode.select_by_variance(series.drop(ROW), threshold, keep=tuple(SERIES_COLUMNS))[0].columns
+    table = write_table(series.select(ROW, *[F.col(rows.quoted(c)) for c in found]), paths.path("selected"))
     quality.enforce(quality.contract_violations(table, quality.series_rules()))
+    varying = encode.indicator_variance(read_stage(spark, paths.path("encoded_dictionary")), table.count(), threshold)
+    kept = write_table(varying, paths.path("selected_dictionary")).select("indicator")
+    ones = read_stage(spark, paths.path("encoded_indicators"))
+    write_table(rows.lookup_join(ones, kept, ["indicator"], "left_semi"), paths.path("selected_indicators"))
     return table
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,14 +14,55 @@ from snapgrid.schema import LOCATION_RECORD, merged
 from snapgrid.session import use_utc
 
 
-def infer_record(spark: SparkSession, folder: str, envelope: str = "locations") -> T.StructType:
-    """The record schema found in a folder of documents; one more pass over them."""
-    found = spark.read.option("multiLine", True).option("pathGlobFilter", "*.json").json(folder).schema
-    if envelope in found.fieldNames() and isinstance(found[envelope].dataType, T.ArrayType):
-        inner = found[envelope].dataType.elementType
-        if isinstance(inner, T.StructType):
-            return inner
-    return T.StructType([f for f in found.fields if f.name != envelope])
+#: The files of a folder that are snapshot documents.
+PATTERN = "*.json"
+
+
+def records_of(document: Column, envelope: str = "locations") -> Column:
+    """The records of a parsed document: those in its envelope, those of a list, or the document itself."""
+    return F.coalesce(
+        F.try_variant_get(document, f"$['{envelope}']", "array<variant>"),
+        F.try_variant_get(document, "$", "array<variant>"),
+        F.array(document),
+    )
+
+
+def plain_type(kind: T.DataType) -> T.DataType:
+    """The column type for what values of a field have in common: text where that is nothing, or nothing nested.
+
+    Fields that are always null, objects without fields and values of several kinds are text.
+    """
+    if isinstance(kind, T.StructType) and kind.fields:
+        return T.StructType([T.StructField(f.name, plain_type(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(plain_type(kind.elementType))
+    if isinstance(kind, T.DecimalType):
+        return kind if kind.scale == 0 else T.DoubleType()
+    if isinstance(kind, (T.BooleanType, T.LongType, T.DoubleType)):
+        return kind
+    return T.StringType()
+
+
+def infer_record(
+    spark: SparkSession, folder: str, envelope: str = "locations", pattern: str = PATTERN
+) -> T.StructType:
+    """The record schema of a folder of documents: every field that any record has, whatever its document's shape.
+
+    One pass: documents are parsed once, and the schemas of their records merged on the way up, so one line of
+    text reaches the driver. A document that is no JSON fails the job.
+    """
+    documents = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder)
+    parsed = F.try_parse_json("value")
+    message = F.concat(F.lit("no JSON document: "), F.col("_metadata.file_name"))
+    sound = F.when(parsed.isNull(), F.raise_error(message).cast("variant")).otherwise(parsed)
+    records = documents.select(sound.alias("_d")).select(F.explode(records_of(F.col("_d"), envelope)).alias("_r"))
+    objects = records.filter(F.try_variant_get("_r", "$", "map<string,variant>").isNotNull())
+    found = objects.agg(F.schema_of_variant_agg("_r")).first()[0]
+    if not found.startswith("OBJECT<"):
+        return T.StructType([])  # no record at all
+    # Names that are no plain words stand in backticks.
+    ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
+    return plain_type(T.StructType.fromDDL(f"record {ddl}")["record"].dataType)
 
 
 def as_text(kind: T.DataType) -> T.DataType:
@@ -33,7 +75,11 @@ def as_text(kind: T.DataType) -> T.DataType:
 
 
 def read_snapshots(
-    spark: SparkSession, folder: str, record: T.StructType | None = None, envelope: str = "locations"
+    spark: SparkSession,
+    folder: str,
+    record: T.StructType | None = None,
+    envelope: str = "locations",
+    pattern: str = PATTERN,
 ) -> DataFrame:
     """All records of a folder of JSON documents, one row each, with the source file name.
 
@@ -43,10 +89,10 @@ def read_snapshots(
     not fit is null; a field declared as text keeps nested JSON as it is. Files are read in parallel; the
     only unit that has to fit a task is one document.
 
-    Every field of the documents is kept: one more pass finds the fields, those of the default record have its
-    types. With a ``record`` schema that pass is saved, and only the fields it names are read.
+    Every field of every record is kept, whether its document is an envelope, a list or one record: one more pass
+    finds the fields, those of the default record have its types. With a ``record`` schema that pass is saved, and only the fields it names are read.
     """
-    record = record or merged(LOCATION_RECORD, infer_record(spark, folder, envelope))
+    record = record or merged(LOCATION_RECORD, infer_record(spark, folder, envelope, pattern))
     fields = [f for f in record.fields if f.name != envelope]
     wanted = T.StructType(fields)
     loose = as_text(wanted)
@@ -56,7 +102,7 @@ def read_snapshots(
         .read.schema(T.StructType([T.StructField(envelope, rows), *loose.fields]))
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .json(folder)
     )
     own = F.struct(*[F.col(f"`{f.name}`") for f in fields])

@@ -81,6 +81,51 @@ def test_inferred_record(spark, tmp_path):
     assert set(map(tuple, got.collect())) == {("a.json", 1, "[1,2]"), ("b.json", 2, None)}
 
 
+SHAPES = {
+    "enveloped": lambda records: [{"locations": records, "exported": "x", "pages": {"of": 3}}],
+    "listed": lambda records: [records],
+    "lone": lambda records: records,
+    "mixed": lambda records: [{"locations": records[:1]}, records[1:2], *records[2:]],
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_fields_of_every_document_shape(spark, tmp_path, shape):
+    """The same records give the same table in every shape of document; what surrounds an envelope is no field."""
+    records = [
+        {"id": 1, "network": "A", "operator": None, "x y": {"z.OBJECT<": [1]}},
+        {"id": 2, "operator": {"name": "B", "since": 2.5}, "tags": [], "odd": 1},
+        {"id": 3, "lone": True, "operator": {"name": "C", "since": 3}, "odd": "1", "empty": {}, "never": None, "big": 2**70},
+    ]
+    for i, document in enumerate(SHAPES[shape](records)):
+        write(tmp_path / "in", f"{i}.json", document)
+    flat = nested.flatten(read_snapshots(spark, str(tmp_path / "in"))).drop("source_file")
+    own = {f.name: f.dataType.simpleString() for f in flat.schema.fields if f.name in (
+        "network", "operator_name", "operator_since", "x y_z.OBJECT<", "tags", "odd", "lone", "empty", "never", "big", "exported", "pages_of"
+    )}
+    assert own == {
+        "network": "string", "operator_name": "string", "operator_since": "double", "x y_z.OBJECT<": "string", "tags": "string",
+        "odd": "string", "lone": "boolean", "empty": "string", "never": "string", "big": "decimal(22,0)",
+    }
+    got = {r["id"]: r.asDict() for r in flat.select("id", *[F.col(f"`{c}`") for c in own]).collect()}
+    assert (got[1]["network"], got[1]["x y_z.OBJECT<"], got[1]["operator_name"]) == ("A", "[1]", None)
+    assert (got[2]["operator_name"], got[2]["operator_since"], got[2]["odd"], got[2]["tags"]) == ("B", 2.5, "1", "[]")
+    assert (got[3]["lone"], got[3]["operator_since"], got[3]["odd"], got[3]["empty"], got[3]["big"]) == (True, 3.0, "1", "{}", 2**70)
+
+
+def test_inference_refuses_broken_documents(spark, tmp_path):
+    write(tmp_path / "in", "a.json", {"id": 1})
+    write(tmp_path / "in", "b.json", "{broken")
+    with pytest.raises(Exception, match="no JSON document: b.json"):
+        infer_record(spark, str(tmp_path / "in"))
+
+
+def test_a_folder_without_records(spark, tmp_path):
+    write(tmp_path / "in", "a.json", {"locations": []})
+    assert infer_record(spark, str(tmp_path / "in")).fields == []
+    assert read_snapshots(spark, str(tmp_path / "in")).count() == 0
+
+
 def test_flatten_order_and_types(spark):
     df = spark.sql("select named_struct('b', 1, 'c', named_struct('d', 'x')) as a, array(1, 2) as l, 5 as z")
     flat = nested.flatten(df)

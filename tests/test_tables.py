@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapgrid.operators import encode, metrics, profile, quality, rows, studies
+from snapgrid.operators.slices import numbered
 from snapgrid.plans import reports
 
 
@@ -30,6 +31,34 @@ def test_any_number_of_categories(spark):
     assert encode.one_hot(df.limit(3).coalesce(1), values={"c.d": ["0", "1"]}).columns == ["c.d_0", "c.d_1"]
 
 
+def test_sparse_form_equals_the_wide_one(spark):
+    """Numbers follow the order of the wide columns; nulls have no row; a boolean without nulls is left alone."""
+    df = spark.createDataFrame(
+        [("t1", "b", True, None, None, 1), ("t2", None, None, None, None, 2), ("t3", "a", False, None, None, 3), ("t4", "b", True, "", None, 4)],
+        "snapshot_ts string, c string, f boolean, e string, g boolean, n int",
+    ).withColumn("solid", F.col("n") > 1)
+    columns = encode.encodable(df)
+    assert columns == ["c", "f", "e", "g"]
+    found = encode.value_dictionary(df, columns)
+    names = {r["indicator"]: f"{r['column']}_{r['value']}" for r in found.collect()}
+    assert [names[i] for i in range(len(names))] == ["c_a", "c_b", "f_False", "f_True", "e_"]
+    ones = {(r["n"], names[r["indicator"]]) for r in encode.indicators(df, ["n"], columns, found).collect()}
+    wide = encode.one_hot(df).collect()
+    assert ones == {(r["n"], c) for r in wide for c in names.values() if r[c]}
+    kept = {r["indicator"]: r["variance"] for r in encode.indicator_variance(found, 4, 0.2).collect()}
+    assert kept == {1: 0.25, 3: 0.25}
+    nothing = encode.value_dictionary(df, [])
+    assert nothing.count() == 0 and encode.indicators(df, ["n"], [], nothing).count() == 0
+
+
+def test_rows_are_numbered_in_order(spark):
+    df = spark.range(5_000).select((F.col("id") * 37 % 1_000).alias("a b"), F.col("id"))
+    got = sorted(numbered(df, ["a b", "id"], "place").collect(), key=lambda r: r["place"])
+    assert [r["place"] for r in got] == list(range(5_000))
+    assert [(r["a b"], r["id"]) for r in got] == sorted((r["a b"], r["id"]) for r in got)
+    assert numbered(df.limit(0), ["id"], "place").count() == 0
+
+
 def test_variance_selection(spark):
     df = spark.createDataFrame(
         [("a", 1, 7, "a", 1, "1.5"), ("b", 2, 7, "b", None, "2"), ("c", 3, 7, "c", 3, "-1e1")],

@@ -117,6 +117,16 @@ def test_whole_chain(spark, tmp_path):
     series = spark.read.parquet(paths.path("timeseries"))
     assert series.filter("available_ports + unavailable_ports != total_ports or total_ports != 2").isEmpty()
     assert series.count() == 6 * 3 * 72
+    # Every text column is encoded, those with a value for each location too.
+    dictionary = spark.read.parquet(paths.path("encoded_dictionary"))
+    texts = [c for c, kind in series.dtypes if kind == "string"]
+    counts = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.sum("count").alias("n")).collect()}
+    assert counts == {c: series.filter(F.col(c).isNotNull()).count() for c in texts if series.filter(F.col(c).isNotNull()).count()}
+    ones = spark.read.parquet(paths.path("encoded_indicators"))
+    assert ones.count() == sum(counts.values())
+    chosen = spark.read.parquet(paths.path("selected_dictionary"))
+    assert {r["column"] for r in chosen.select("column").distinct().collect()} >= {"loc_address_postal_code"}
+    assert spark.read.parquet(paths.path("selected_indicators")).join(chosen, "indicator").count() == chosen.agg(F.sum("count")).first()[0]
     dense_table = spark.read.parquet(paths.path("dense"))
     per = dense_table.groupBy("st_id").agg(F.count("*").alias("n"), F.countDistinct("ts").alias("d"), F.min("ts"), F.max("ts"))
     for r in per.collect():
