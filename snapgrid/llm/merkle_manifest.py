@@ -29,6 +29,8 @@ from snapgrid.session import materialize
 FAN = 3
 WIDTH = 32
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+#: Every so many levels of a descent what is on the way is written down.
+STORED = 4
 PATH = "array<struct<digit:int,others:binary>>"
 
 
@@ -50,16 +52,14 @@ def leaf_digest(fields: list[Column]) -> Column:
 
 @dataclass(frozen=True)
 class Manifest:
-    """``leaves``: (tree, rank, leaf, extra columns), ``nodes``: (tree, level, rank, digest, children), ``trees``:
-    (tree, source, n, subroot), ``tops``: the nodes over the trees. ``height`` and ``top_height`` are the numbers of
-    levels; ``root`` is a table of one row, or of none for an empty dataset."""
+    """``leaves``: (tree, rank, leaf, extra columns), ``trees``: (tree, source, n, subroot), ``nodes``: for each level
+    from the lowest a table (tree, level, rank, digest, children), ``tops``: the same over the trees. ``root`` is a
+    table of one row, or of none for an empty dataset."""
 
     leaves: DataFrame
-    nodes: DataFrame
     trees: DataFrame
-    tops: DataFrame
-    height: int
-    top_height: int
+    nodes: list[DataFrame]
+    tops: list[DataFrame]
     root: DataFrame
 
 
@@ -71,18 +71,15 @@ def _levels(leaves: int) -> int:
     return levels
 
 
-def _grown(leaves: DataFrame, most: int, name: str) -> tuple[DataFrame, DataFrame, int]:
-    """All nodes over ``leaves`` (tree, rank, digest, n), the root of every tree (tree, digest), and the height.
+def _grown(leaves: DataFrame, most: int, name: str) -> tuple[list[DataFrame], DataFrame]:
+    """The nodes over ``leaves`` (tree, rank, digest, n) by level, and the root of every tree (tree, digest).
 
     ``n`` is the number of nodes of the tree at a level. Each level is written once and read by the next.
     """
-    spark = leaves.sparkSession
-    height = _levels(most)
     roots = leaves.filter("n = 1").select("tree", "digest")
-    none = "tree long, level int, rank long, digest binary, children binary"
-    nodes = spark.createDataFrame([], none)
+    nodes = []
     below = leaves.filter("n > 1")
-    for level in range(1, height + 1):
+    for level in range(1, _levels(most) + 1):
         members = F.sort_array(F.collect_list(F.struct("rank", "digest")))  # FAN at most
         runs = below.groupBy("tree", F.expr(f"rank div {FAN}").alias("up")).agg(
             F.array_join(F.transform(members, lambda m: hex_of(m["digest"])), "").alias("_hex"), F.max("n").alias("n")
@@ -92,10 +89,10 @@ def _grown(leaves: DataFrame, most: int, name: str) -> tuple[DataFrame, DataFram
             F.unhex("_hex").alias("children"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"),
         )
         built = materialize(built, f"{name}-level{level}")
-        nodes = nodes.unionByName(built.drop("n"))
+        nodes.append(built.drop("n"))
         roots = roots.unionByName(built.filter("n = 1").select("tree", "digest"))
         below = built.filter("n > 1").select("tree", "rank", "digest", "n")
-    return nodes, roots, height
+    return nodes, roots
 
 
 def _ranked(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -144,13 +141,11 @@ def manifest(rows: DataFrame) -> Manifest:
     ranked, trees = _ranked(rows)
     leaves = materialize(ranked.withColumn("leaf", F.unhex("leaf")), "manifest-leaves")
     count, most = trees.agg(F.count(F.lit(1)), F.max("n")).first()
-    nodes, subroots, height = _grown(
-        leaves.select("tree", "rank", F.col("leaf").alias("digest"), "n"), most or 0, "manifest"
-    )
+    nodes, subroots = _grown(leaves.select("tree", "rank", F.col("leaf").alias("digest"), "n"), most or 0, "manifest")
     trees = materialize(trees.join(subroots.withColumnRenamed("digest", "subroot"), "tree"), "manifest-subroots")
     over = trees.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank"), F.col("subroot").alias("digest"))
-    tops, root, top_height = _grown(over.withColumn("n", F.lit(count).cast("long")), count, "manifest-top")
-    return Manifest(leaves.drop("n"), nodes, trees, tops, height, top_height, root.select(F.col("digest").alias("root")))
+    tops, root = _grown(over.withColumn("n", F.lit(count).cast("long")), count, "manifest-top")
+    return Manifest(leaves.drop("n"), trees, nodes, tops, materialize(root.select(F.col("digest").alias("root")), "manifest-root"))
 
 
 def _child(children: Column, digit: Column) -> Column:
@@ -165,10 +160,15 @@ def _others(children: Column, digit: Column) -> Column:
     )
 
 
+def _met(frontier: DataFrame, records: DataFrame) -> DataFrame:
+    """The nodes with ``_children``, or null where the records do not know the digest."""
+    known = records.select(F.col("digest").alias("_digest"), F.col("children").alias("_children")).distinct()
+    return frontier.join(known, F.col("digest") == F.col("_digest"), "left")
+
+
 def _opened(frontier: DataFrame, records: DataFrame) -> DataFrame:
     """One level down: nodes that the records know open into their children, others stay as they are."""
-    known = records.groupBy(F.col("digest").alias("_digest")).agg(F.first("children").alias("_children"))
-    met = frontier.join(known, F.col("digest") == F.col("_digest"), "left")
+    met = _met(frontier, records)
     last = F.coalesce(F.expr(f"length(_children) div {WIDTH}").cast("int"), F.lit(1)) - 1
     each = met.select("*", F.explode(F.sequence(F.lit(0), last)).alias("_digit"))
     digit, children = F.col("_digit"), F.col("_children")
@@ -199,17 +199,20 @@ def proofs(m: Manifest, leaves: DataFrame | None = None) -> DataFrame:
         F.array().cast(PATH).alias("path"), "root",
     )
     frontier = at_root
-    for level in range(m.top_height, 0, -1):
-        frontier = _opened(frontier, m.tops.filter(F.col("level") == level))
+    for records in reversed(m.tops):
+        frontier = _opened(frontier, records)
     # A subroot's place among its siblings is the number of its tree.
     at_subroot = F.lit(0).cast("long").alias("rank")
     frontier = frontier.select(F.col("rank").alias("tree"), at_subroot, "digest", "path", "root", F.col("digest").alias("subroot"))
-    for level in range(m.height, 1, -1):
-        frontier = _opened(frontier, m.nodes.filter(F.col("level") == level))
+    for level in range(len(m.nodes), 1, -1):
+        frontier = _opened(frontier, m.nodes[level - 1])
         if leaves is not None:
             frontier = _wanted(frontier, leaves, level - 1)
-    first = m.nodes.filter("level = 1").groupBy(F.col("digest").alias("_digest")).agg(F.first("children").alias("_children"))
-    parents = frontier.join(first, F.col("digest") == F.col("_digest"), "left").select(
+        if level % STORED == 0:
+            frontier = materialize(frontier, "manifest-descent")  # a plan of bounded depth
+    # The leaves themselves meet the nodes of the lowest level.
+    met = _met(frontier, m.nodes[0]) if m.nodes else frontier.withColumn("_children", F.lit(None).cast("binary"))
+    parents = met.select(
         "tree", F.col("rank").alias("_up"), "path", "root", "subroot", F.col("_children").alias("children")
     )
     asked = m.leaves if leaves is None else leaves

@@ -104,5 +104,6 @@ def test_empty_dataset(spark):
 
 def test_records_are_addressed_by_content(spark):
     m = manifest(_leaves(spark, many()))
-    for r in m.nodes.unionByName(m.tops).collect():
+    assert [len(m.nodes), len(m.tops)] == [5, 2]
+    for r in [r for level in [*m.nodes, *m.tops] for r in level.collect()]:
         assert hashlib.sha256(r["children"].hex().encode()).digest() == r["digest"]
