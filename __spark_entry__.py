@@ -37,6 +37,7 @@ from snapgrid.operators import (
     slices,
     state,
     studies,
+    trees,
 )
 from snapgrid.plans import reports
 from snapgrid.session import instants, materialize, shared_folder, use_utc
@@ -1499,6 +1500,71 @@ def _gbt_train_score(spark, sf_dir):
     return classify.train_horizon(snap_grid(spark, sf_dir, fresh_only=True), 20, settings)[2]
 
 
+STUMP_FEATURES = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
+
+
+def _stump_sql() -> str:
+    """One round of depth one from margin zero: every gradient is a half or minus a half, every curvature a quarter."""
+    cells = "\n  UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, g FROM x" for i, c in enumerate(STUMP_FEATURES))
+    return f"""WITH x AS (SELECT nullif(l_linenumber, 1) AS l_linenumber, l_quantity, CASE WHEN l_discount > 0.02 THEN l_discount END AS l_discount,
+  l_tax, CASE WHEN l_returnflag = 'R' THEN -0.5 ELSE 0.5 END AS g FROM lineitem),
+cell AS (
+  {cells}),
+sums AS (SELECT f, feature, v, sum(g) AS g, count(*) * 0.25 AS h FROM cell GROUP BY ALL),
+along AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER p AS ga, sum(h) OVER p AS ha,
+  coalesce(sum(g) FILTER (v IS NULL) OVER p, 0) AS gn, coalesce(sum(h) FILTER (v IS NULL) OVER p, 0) AS hn FROM sums
+  WINDOW w AS (PARTITION BY f ORDER BY v NULLS LAST ROWS UNBOUNDED PRECEDING), p AS (PARTITION BY f)),
+side AS (SELECT f, feature, v, m, ga, ha, gl + CASE WHEN m THEN gn ELSE 0 END AS g, hl + CASE WHEN m THEN hn ELSE 0 END AS h
+  FROM along, (VALUES (false), (true)) AS s(m) WHERE v IS NOT NULL),
+best AS (SELECT *, g * g / (h + 1) + (ga - g) * (ga - g) / (ha - h + 1) - ga * ga / (ha + 1) AS gain FROM side
+  WHERE h >= 1 AND ha - h >= 1 ORDER BY gain DESC, f, v, m LIMIT 1)
+SELECT 0 AS tree, 1 AS node, feature, v AS threshold, m AS missing_left, round(gain, 6) AS gain, CAST(NULL AS DOUBLE) AS "value" FROM best
+UNION ALL SELECT 0, 2, NULL, NULL, NULL, NULL, round(-0.3 * g / (h + 1), 9) FROM best
+UNION ALL SELECT 0, 3, NULL, NULL, NULL, NULL, round(-0.3 * (ga - g) / (ha - h + 1), 9) FROM best"""
+
+
+@query("boosted_stump", _stump_sql())
+def _boosted_stump(spark, sf_dir):
+    """One round of boosting, one split: the feature, the threshold, the side of missing values and both leaf values."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.nullif("l_linenumber", F.lit(1)).alias("l_linenumber"), "l_quantity",
+        F.when(F.col("l_discount") > 0.02, F.col("l_discount")).alias("l_discount"), "l_tax",
+        (F.col("l_returnflag") == "R").cast("double").alias("label"), F.lit(1.0).alias("weight"), F.lit(False).alias("is_valid"),
+    )
+    settings = trees.BoostSettings(rounds=1, depth=1, learning_rate=0.3, row_share=1.0, column_share=1.0)
+    nodes = trees.node_frame(spark, trees.boost(items, STUMP_FEATURES, settings)[0])
+    return nodes.select(
+        "tree", "node", "feature", "threshold", "missing_left", F.round("gain", 6).alias("gain"), F.round("value", 9).alias("value")
+    )
+
+
+#: Three trees set by hand; the third one is beyond the best round.
+HAND_MADE = [
+    trees.Node(0, 1, "l_quantity", 20.0, False, 2, 3), trees.Node(0, 2, value=-0.5),
+    trees.Node(0, 3, "l_discount", 0.04, True, 6, 7), trees.Node(0, 6, value=0.25), trees.Node(0, 7, value=1.5),
+    trees.Node(1, 0, "l_linenumber", 3.0, True, 1, 2), trees.Node(1, 1, value=0.125), trees.Node(1, 2, value=-0.75),
+    trees.Node(2, 0, value=100.0),
+]
+
+
+@query(
+    "node_table_score",
+    """WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_discount > 0.02 THEN l_discount END AS d FROM lineitem)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(1 / (1 + exp(-(
+    CASE WHEN l_quantity <= 20 THEN -0.5 WHEN coalesce(d <= 0.04, true) THEN 0.25 ELSE 1.5 END
+    + CASE WHEN coalesce(nullif(l_linenumber, 2) <= 3, true) THEN 0.125 ELSE -0.75 END))), 12) AS score FROM x""",
+)
+def _node_table_score(spark, sf_dir):
+    """A written table of nodes cut to its first two rounds, applied to whole rows, missing values among them."""
+    nodes = trees.read_nodes(trees.first_rounds(materialize(trees.node_frame(spark, HAND_MADE), "nodes"), 2))
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("long").alias("line"), F.nullif("l_linenumber", F.lit(2)).alias("l_linenumber"),
+        "l_quantity", F.when(F.col("l_discount") > 0.02, F.col("l_discount")).alias("l_discount"),
+    )
+    scored = trees.with_scores(items, nodes)
+    return scored.select("l_orderkey", F.col("line").alias("l_linenumber"), F.round("score", 12).alias("score"))
+
+
 @query("port_study_correlation", f"WITH {LOG}, " + _pairs_sql("log", ATTRIBUTES))
 def _port_study_correlation(spark, sf_dir):
     found = rounded(reports.port_study(_study_log(spark, sf_dir))["correlation"])

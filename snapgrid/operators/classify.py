@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import grid_steps
 from snapgrid.operators.labels import eligible_rows, label_inputs, label_split, split_point, with_labels
 from snapgrid.operators.metrics import binary_metrics, exact_auc, split_counts
+from snapgrid.operators.trees import first_rounds, read_nodes, with_scores
 from snapgrid.schema import FEATURE_COLUMNS, GRID_MINUTES
-from snapgrid.session import materialize
+from snapgrid.session import materialize, shared_folder
 
 SENTINEL = -1.0
 
@@ -173,11 +175,12 @@ def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
     return best, False
 
 
-def fit_best(start: Prepared, settings: TrainSettings) -> PipelineModel:
-    """Boosting up to the best round: the loss on the validation side decides, after ``patience`` rounds without gain.
+def fit_best(start: Prepared, settings: TrainSettings) -> tuple[PipelineModel, int]:
+    """Boosting until the loss on the validation side has not gained for ``patience`` rounds, and the number of rounds
+    up to the best one.
 
-    Rounds are tried in doubling numbers, so few are fitted beyond the best; rounds of one seed are the same
-    however many follow.
+    Rounds are tried in doubling numbers. The model keeps those beyond the best, nothing is fitted again: scoring takes
+    the first rounds of its nodes.
     """
     train, valid = start.ready.filter("not is_valid"), start.ready.filter("is_valid")
     rounds = min(settings.rounds, 2 * settings.patience)
@@ -186,9 +189,39 @@ def fit_best(start: Prepared, settings: TrainSettings) -> PipelineModel:
         assembled = model.stages[0].transform(valid)
         best, settled = best_round(model.stages[1].evaluateEachIteration(assembled), settings.patience)
         if settled or rounds == settings.rounds:
-            break
+            return model, best + 1
         rounds = min(settings.rounds, 2 * rounds)
-    return model if best + 1 == rounds else classifier(settings, start.features, best + 1).fit(train)
+
+
+def model_nodes(model: PipelineModel) -> DataFrame:
+    """The trees of a fitted ensemble as a table of nodes (see :mod:`snapgrid.operators.trees`).
+
+    Read from the model as it is saved; each tree's weight is part of its values. The ensemble's score is the
+    logistic function of twice its sum, so the values are doubled.
+    """
+    spark = SparkSession.active()
+    boosted, names = model.stages[-1], model.stages[0].getInputCols()
+    path = f"{shared_folder(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    boosted.write().save(path)
+    weights = F.array(*[F.lit(w) for w in boosted.treeWeights])
+    split = F.col("nodeData.split")
+    leaf = F.col("nodeData.leftChild") < 0
+    column = F.get(F.array(*[F.lit(n) for n in names]), split["featureIndex"])
+
+    def inner(value: Column) -> Column:
+        return F.when(~leaf, value)
+
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        F.col("nodeData.id").alias("node"),
+        inner(column).alias("feature"),
+        inner(split["leftCategoriesOrThreshold"][0]).alias("threshold"),
+        inner(F.lit(False)).alias("missing_left"),
+        inner(F.col("nodeData.leftChild")).alias("left"),
+        inner(F.col("nodeData.rightChild")).alias("right"),
+        inner(F.col("nodeData.gain")).alias("gain"),
+        F.when(leaf, 2 * F.get(weights, F.col("treeID")) * F.col("nodeData.prediction")).alias("value"),
+    )
 
 
 def train_labelled(
@@ -200,13 +233,14 @@ def train_labelled(
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Split, fit and score one horizon: the model, scored validation rows and a metrics row.
 
-    No label or score is collected: all metrics come from two aggregations.
+    The model has the rounds beyond the best too; the scores are those of the best (``best_iteration``, from 0). No label or score is collected: all metrics come from two aggregations.
     """
     start = prepared(labelled, horizon_minutes, settings, key, state)
-    model = fit_best(start, settings)
-    scored = score(model, start.ready.filter("is_valid")).select(key, "ts", "target", "score")
+    model, rounds = fit_best(start, settings)
+    nodes = read_nodes(first_rounds(model_nodes(model), rounds))
+    scored = with_scores(start.ready.filter("is_valid"), nodes).select(key, "ts", "target", "score")
     measured = materialize(scored, f"scores-{horizon_minutes}")
-    facts = start.facts | {"best_iteration": model.stages[-1].getNumTrees - 1}
+    facts = start.facts | {"best_iteration": rounds - 1}
     auc = exact_auc(measured).first()["auc"]
     rest = binary_metrics(measured, threshold=settings.threshold)
     metrics = rest.select(
