@@ -18,17 +18,21 @@ def clean_locations(
     updated: str = "loc_last_updated",
     flags: tuple[str, ...] = ("loc_onstreet_location",),
     hours: tuple[str, ...] = ("loc_opening_hours_hour_begin", "loc_opening_hours_hour_end"),
+    place: str = "loc_place",
 ) -> DataFrame:
     """Parse the update time, turn flag text into 0/1 and hours into minutes, one row per version.
 
-    Flag and hour columns that the table lacks are skipped.
+    Of several rows of one version the last in file order stays, by the number in ``place``, which does not reach the
+    result; in a table without that column the greatest row does. Flag and hour columns that the table lacks are
+    skipped.
     """
     use_utc(locations.sparkSession)
     have = set(locations.columns)
     changed = {f"{updated}_parsed": parse_instant(F.col(updated))}
     changed |= {c: truth_flag(F.col(c)) for c in flags if c in have}
     changed |= {c: minutes_of_day(F.col(c)) for c in hours if c in have}
-    return latest_per_key(locations.withColumns(changed), [key, updated], [f"{updated}_parsed"])
+    order = [f"{updated}_parsed", *([place] if place in have else [])]
+    return latest_per_key(locations.withColumns(changed), [key, updated], order).drop(place)
 
 
 def clean_ports(

@@ -47,6 +47,13 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return counted.filter("extra_copies > 0")
 
 
+def first_copies(df: DataFrame, place: str) -> DataFrame:
+    """One of each set of equal rows, with the least ``place`` among them; the place itself is not compared."""
+    same = [c for c in df.columns if c != place]
+    found = df.groupBy(*[F.col(quoted(c)) for c in same]).agg(F.min(quoted(place)).alias(place))
+    return found.select(*[F.col(quoted(c)) for c in df.columns])
+
+
 def duplicate_report(df: DataFrame, id_column: str) -> DataFrame:
     """Total rows, distinct ids (nulls not counted) and rows that repeat an earlier row."""
     counted = df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))

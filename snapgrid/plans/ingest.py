@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapgrid.operators.nested import flatten, opening_hours, unnest
-from snapgrid.operators.rows import prefix_columns
+from snapgrid.operators.rows import first_copies, prefix_columns
 from snapgrid.schema import PORT_ITEM, STATION_ITEM
 from snapgrid.sources.sinks import write_table
 from snapgrid.sources.snapshots import read_snapshots
-from snapgrid.sources.tables import header_groups, list_files, read_checked, read_group, union_checked
+from snapgrid.sources.tables import file_groups, in_file_order, list_files, read_checked, read_group, union_checked
 
 HOURS = "opening_hours"
+#: The number of a row in file order; of several copies the first one's.
+PLACE = "place"
 #: Fields of children in JSON text that no schema names, as one text.
 REST = "more_fields"
 PORT_LIFT = {
@@ -29,11 +32,11 @@ def convert_snapshots(spark: SparkSession, json_folder: str, target: str, record
 
 def tables_with_hours(spark: SparkSession, table_folder: str) -> DataFrame:
     """All CSV tables that have nested opening hours as one frame, the hours as columns, by source file."""
-    groups = header_groups(spark, list_files(spark, table_folder, "*.csv"))
-    nested = [opening_hours(read_group(spark, header, files)) for header, files in groups.items() if HOURS in header]
+    groups = file_groups(spark, list_files(spark, table_folder, "*.csv"))
+    nested = [opening_hours(read_group(spark, group)) for group in groups if HOURS in group.columns]
     if not nested:
         raise FileNotFoundError(f"no tables with opening hours in {table_folder}")
-    return union_checked(nested)
+    return in_file_order(union_checked(nested), PLACE)
 
 
 def derive_opening_hours(spark: SparkSession, table_folder: str, target: str) -> DataFrame:
@@ -44,16 +47,20 @@ def derive_opening_hours(spark: SparkSession, table_folder: str, target: str) ->
 def consolidate_locations(
     spark: SparkSession, raw_folder: str, with_hours: DataFrame, prefixes: tuple[str, ...] = ("2022_", "2023_")
 ) -> DataFrame:
-    """Raw tables of the named years and those with derived hours as one table without duplicate rows."""
-    raw = read_checked(spark, list_files(spark, raw_folder, "*.csv", prefixes))
-    everything = union_checked([raw, with_hours.drop("source_file")], raw.columns)
-    return prefix_columns(everything, "loc_").distinct()
+    """Raw tables of the named years and those with derived hours as one table without duplicate rows.
+
+    ``loc_place`` numbers the rows in file order, those with derived hours after the others.
+    """
+    raw = read_checked(spark, list_files(spark, raw_folder, "*.csv", prefixes), place=PLACE)
+    later = with_hours.drop("source_file").withColumn(PLACE, F.col(PLACE) + F.lit(1 << 61))
+    return first_copies(prefix_columns(union_checked([raw, later], raw.columns), "loc_"), f"loc_{PLACE}")
 
 
 def locations_from_snapshots(spark: SparkSession, json_folder: str, record: T.StructType | None = None) -> DataFrame:
-    """The same table straight from the JSON documents, typed all the way; stations stay an array."""
-    raw = read_snapshots(spark, json_folder, record).drop("source_file")
-    return prefix_columns(flatten(opening_hours(raw), keep=("stations",)), "loc_").distinct()
+    """The same table straight from the JSON documents, typed all the way; stations stay an array, ``loc_place`` is each
+    row's number in file order."""
+    raw = read_snapshots(spark, json_folder, record, place=PLACE).drop("source_file")
+    return first_copies(prefix_columns(flatten(opening_hours(raw), keep=("stations",)), "loc_"), f"loc_{PLACE}")
 
 
 def extract_stations(locations: DataFrame, child: T.StructType = STATION_ITEM) -> DataFrame:

@@ -12,8 +12,11 @@ from pyspark.sql import types as T
 
 from snapgrid.schema import LOCATION_RECORD, merged
 from snapgrid.session import use_utc
+from snapgrid.sources.tables import ORIGIN, in_file_order
 
 
+#: What the scan knows of a document's file, and the names of ``ORIGIN`` for it.
+SOURCE = [("file_path", ORIGIN[0]), ("file_block_start", ORIGIN[1])]
 #: The files of a folder that are snapshot documents.
 PATTERN = "*.json"
 
@@ -80,6 +83,7 @@ def read_snapshots(
     record: T.StructType | None = None,
     envelope: str = "locations",
     pattern: str = PATTERN,
+    place: str | None = None,
 ) -> DataFrame:
     """All records of a folder of JSON documents, one row each, with the source file name.
 
@@ -113,6 +117,10 @@ def read_snapshots(
         .when(known, F.array(own))
         .otherwise(F.raise_error(message).cast(rows))
     )
-    named = raw.select("*", F.col("_metadata.file_name").alias("source_file"))
-    found = named.select("source_file", F.explode(records).alias("_r"))
-    return found.select("source_file", F.col("_r").try_cast(wanted).alias("_r")).select("source_file", "_r.*")
+    named = raw.select("*", F.col("_metadata.file_name").alias("source_file"), *[F.col(f"_metadata.{m}").alias(c) for m, c in SOURCE])
+    found = named.select("source_file", *[c for _, c in SOURCE], F.explode(records).alias("_r"))
+    typed = found.select("source_file", *[c for _, c in SOURCE], F.col("_r").try_cast(wanted).alias("_r"))
+    if place is None:
+        return typed.select("source_file", "_r.*")
+    origin = typed.withColumn(ORIGIN[2], F.monotonically_increasing_id())
+    return in_file_order(origin, place).select("source_file", place, "_r.*")

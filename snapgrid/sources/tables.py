@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,27 +13,76 @@ from pyspark.sql import types as T
 
 from snapgrid.functions.time import parse_instant
 from snapgrid.operators.grid import strict_instants
-from snapgrid.operators.rows import require_columns, same_columns
+from snapgrid.operators.rows import lookup_join, quoted, require_columns, same_columns
+from snapgrid.operators.slices import numbered
 from snapgrid.session import use_utc
 
 #: JSON cells hold commas, quotes and line breaks.
-CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
+CSV_OPTIONS = {"header": True, "escape": '"'}
+#: Where a row comes from: file, start of its block, place in the task that read the block.
+ORIGIN = ["_file", "_block", "_row"]
+PLACE_BITS = 33
+
+
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
+    )
+
+
+def breaks_by_file(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, breaks): whether quoted cells of a CSV file hold line breaks.
+
+    A cell that goes on in the next line leaves a line with an odd number of quotes, as doubled ones inside a cell come
+    in pairs; a file without such a line may be split anywhere. One pass over lines, combined on the map side.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return _lines(spark, paths).groupBy("path").agg((F.max(quotes % 2) == 1).alias("breaks"))
+
+
+def has_breaks(spark: SparkSession, paths: str | list[str]) -> bool:
+    """Whether any of the files has a quoted cell with a line break."""
+    return not breaks_by_file(spark, paths).filter("breaks").isEmpty()
 
 
 def read_csv(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None, line_breaks: bool = True
+    spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None, line_breaks: bool | None = None
 ) -> DataFrame:
     """CSV with a header: typed by ``schema``, all text without one (types are not guessed).
 
-    Where no cell holds a line break, ``line_breaks=False`` lets Spark split large files.
+    Files without line breaks inside cells are split, others are read whole, one task for each. ``line_breaks`` says
+    which they are; by default one more pass finds out.
     """
-    reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": line_breaks})
+    whole = has_breaks(spark, paths) if line_breaks is None else line_breaks
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=whole)
     return (reader.schema(schema) if schema else reader).csv(paths)
 
 
-def read_csv_inferred(spark: SparkSession, paths: str | list[str], line_breaks: bool = True) -> DataFrame:
+def read_csv_inferred(spark: SparkSession, paths: str | list[str], line_breaks: bool | None = None) -> DataFrame:
     """CSV with types inferred from the data, at the price of one more pass over it."""
-    return spark.read.options(**{**CSV_OPTIONS, "multiLine": line_breaks}, inferSchema=True).csv(paths)
+    whole = has_breaks(spark, paths) if line_breaks is None else line_breaks
+    return spark.read.options(**CSV_OPTIONS, multiLine=whole, inferSchema=True).csv(paths)
+
+
+def with_origin(scan: DataFrame) -> DataFrame:
+    """A scan's rows with the columns of ``ORIGIN``; to be called on the scan itself."""
+    return scan.select(
+        "*",
+        F.col("_metadata.file_path").alias(ORIGIN[0]),
+        F.col("_metadata.file_block_start").alias(ORIGIN[1]),
+        F.monotonically_increasing_id().alias(ORIGIN[2]),
+    )
+
+
+def in_file_order(df: DataFrame, name: str) -> DataFrame:
+    """The columns of ``ORIGIN`` as one number that grows in file order: files by path, then rows as they stand.
+
+    Only the list of blocks is sorted; a block is read by one task, in order.
+    """
+    blocks = numbered(df.select(*ORIGIN[:2]).distinct(), ORIGIN[:2], "_nth")
+    inside = F.col(ORIGIN[2]).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    place = F.shiftleft("_nth", PLACE_BITS) + inside
+    return lookup_join(df, blocks, ORIGIN[:2], "inner").withColumn(name, place).drop(*ORIGIN, "_nth")
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", prefixes: tuple[str, ...] = ()) -> list[str]:
@@ -55,45 +105,52 @@ def union_checked(frames: list[DataFrame], reference: list[str] | None = None) -
     return reduce(DataFrame.unionByName, [frame.select(*reference) for frame in frames])
 
 
-def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header; a group shares one scan, so a plan has one leaf per header, not per file.
+@dataclass(frozen=True)
+class FileGroup:
+    """CSV files with one header that are read alike: whole, or split into tasks."""
 
-    One distributed pass finds the first line of every file: the one at the start of its first block.
+    columns: tuple[str, ...]
+    line_breaks: bool
+    paths: list[str]
+
+
+def file_groups(spark: SparkSession, paths: list[str]) -> list[FileGroup]:
+    """Files by header and by whether cells hold line breaks; a group shares one scan, so a plan has one leaf for
+    each, not for each file. Groups come in the order of their first file.
+
+    Two distributed passes over lines: the first line of every file is the one at the start of its first block.
     """
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-    )
+    lines = _lines(spark, paths).withColumn("place", F.monotonically_increasing_id())
     first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "place").alias("header"))
-    grouped = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    groups: dict[tuple[str, ...], list[str]] = {}
+    known = first.join(breaks_by_file(spark, paths), "path")
+    grouped = known.groupBy("header", "breaks").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups: dict[tuple, list[str]] = {}
     for row in sorted(grouped, key=lambda r: r["paths"][0]):
         columns = next(csv.reader([row["header"]], doublequote=True))
-        groups.setdefault(tuple(columns), []).extend(row["paths"])
-    return groups
+        groups.setdefault((tuple(columns), row["breaks"]), []).extend(row["paths"])
+    return [FileGroup(columns, breaks, files) for (columns, breaks), files in groups.items()]
 
 
-def read_group(
-    spark: SparkSession, columns: tuple[str, ...], paths: list[str], line_breaks: bool = True
-) -> DataFrame:
-    """Files with one header as text columns and their ``source_file``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return read_csv(spark, paths, schema, line_breaks).select("*", F.col("_metadata.file_name").alias("source_file"))
+def read_group(spark: SparkSession, group: FileGroup) -> DataFrame:
+    """The files of a group as text columns, with their ``source_file`` and the columns of ``ORIGIN``."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in group.columns])
+    scan = with_origin(read_csv(spark, group.paths, schema, group.line_breaks))
+    return scan.withColumn("source_file", F.substring_index(ORIGIN[0], "/", -1))
 
 
 def read_checked(
-    spark: SparkSession, paths: list[str], reference: list[str] | None = None, line_breaks: bool = True
+    spark: SparkSession, paths: list[str], reference: list[str] | None = None, place: str | None = None
 ) -> DataFrame:
-    """Many CSV files with the same columns, in any order, as one frame."""
-    groups = header_groups(spark, paths)
-    reference = reference or list(next(iter(groups)))
+    """Many CSV files with the same columns, in any order, as one frame; with ``place``, each row's number in file order
+    as a column of that name."""
+    groups = file_groups(spark, paths)
+    reference = reference or list(groups[0].columns)
     frames = []
-    for columns, files in groups.items():
-        same_columns(list(columns), reference, files[0])
-        frames.append(read_group(spark, columns, files, line_breaks).select(*reference))
-    return union_checked(frames, reference)
+    for group in groups:
+        same_columns(list(group.columns), reference, group.paths[0])
+        frames.append(read_group(spark, group).select(*[F.col(quoted(c)) for c in reference], *ORIGIN))
+    rows = reduce(DataFrame.unionByName, frames)
+    return rows.drop(*ORIGIN) if place is None else in_file_order(rows, place)
 
 
 def read_stage(
@@ -103,7 +160,7 @@ def read_stage(
     schema: T.StructType | None = None,
     ts: str | None = None,
     bad_ts: str = "drop",
-    line_breaks: bool = True,
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """A stage table: Parquet at ``path``, CSV at ``path + '.csv'`` if there is no such path, else an error.
 

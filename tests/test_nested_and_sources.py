@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapgrid.operators import nested
+from snapgrid.operators import clean, nested
 from snapgrid.plans import ingest, reports
 from snapgrid.schema import LOCATION_RECORD, STATION_ITEM, PORT_ITEM
 from snapgrid.sources import sinks, tables
@@ -283,6 +283,60 @@ def test_location_consolidation(spark, tmp_path):
         ingest.tables_with_hours(spark, str(tmp_path / "plain"))
 
 
+def test_last_in_file_order(spark, tmp_path):
+    """The file's order decides between rows of one version, not their values; files go by name, copies count once."""
+    raw, hours = tmp_path / "raw", tmp_path / "hours"
+    header = "id,last_updated,name"
+    csv(raw, "2023_b.csv", header, "1,2024-01-01T00:00:00Z,a", "2,2024-01-01T00:00:00Z,y", "3,2024-01-01T00:00:00Z,q")
+    csv(raw, "2022_a.csv", header, "1,2024-01-01T00:00:00Z,z", "2,2024-01-01T00:00:00Z,z", "3,2024-01-01T00:00:00Z,q", "4,x,b", "4,x,a")
+    picked = tables.list_files(spark, str(raw), "*.csv", ("2022_", "2023_"))
+    read = tables.read_checked(spark, picked, place="place").orderBy("place").collect()
+    assert [(r["id"], r["name"]) for r in read] == [("1", "z"), ("2", "z"), ("3", "q"), ("4", "b"), ("4", "a"), ("1", "a"), ("2", "y"), ("3", "q")]
+    csv(hours, "x.csv", header, "2,2024-01-01T00:00:00Z,d")
+    later = tables.read_checked(spark, [str(hours)], place="place").withColumn("source_file", F.lit("x.csv"))
+    got = clean.clean_locations(ingest.consolidate_locations(spark, str(raw), later))
+    assert {(r["loc_id"], r["loc_name"]) for r in got.collect()} == {("1", "a"), ("2", "d"), ("3", "q"), ("4", "a")}
+    assert "loc_place" not in got.columns
+
+
+def test_last_record_in_document_order(spark, tmp_path):
+    def record(i, v):
+        return {"id": i, "last_updated": "2024-01-01T00:00:00Z", "onstreet_location": "true", "address": {"postal_code": v}}
+
+    write(tmp_path / "in", "b.json", [record(1, "a"), record(2, "y"), record(2, "c")])
+    write(tmp_path / "in", "a.json", {"locations": [record(1, "z"), record(2, "x")]})
+    write(tmp_path / "in", "c.json", record(3, "k"))
+    read = ingest.locations_from_snapshots(spark, str(tmp_path / "in"))
+    ordered = [(r["loc_id"], r["loc_address_postal_code"]) for r in read.orderBy("loc_place").collect()]
+    assert ordered == [(1, "z"), (2, "x"), (1, "a"), (2, "y"), (2, "c"), (3, "k")]
+    got = clean.clean_locations(read).collect()
+    assert {(r["loc_id"], r["loc_address_postal_code"]) for r in got} == {(1, "a"), (2, "c"), (3, "k")}
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    """A plain file is split into tasks; one whose cells hold line breaks, or a stray quote, is read in one piece."""
+    raw = tmp_path / "raw"
+    rows = [f'{i},"a ""{i}"", b"' for i in range(4_000)]
+    csv(raw, "plain.csv", "id,name", *rows)
+    csv(raw, "broken.csv", "id,name", *rows[:100], '7,"two\nlines"', "8,end")
+    csv(raw, "stray.csv", "id,name", '9,5" pipe')
+    found = {r["path"].rsplit("/", 1)[1]: r["breaks"] for r in tables.breaks_by_file(spark, str(raw)).collect()}
+    assert found == {"plain.csv": False, "broken.csv": True, "stray.csv": True}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        groups = tables.file_groups(spark, tables.list_files(spark, str(raw), "*.csv"))
+        assert [(g.line_breaks, [p.rsplit("/", 1)[1] for p in g.paths]) for g in groups] == [(True, ["broken.csv", "stray.csv"]), (False, ["plain.csv"])]
+        assert tables.read_group(spark, groups[1]).rdd.getNumPartitions() > 3
+        got = tables.read_checked(spark, [p for g in groups for p in g.paths], place="place").orderBy("place").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    plain = [(str(i), f'a "{i}", b') for i in range(4_000)]
+    assert [(r["id"], r["name"]) for r in got[:102]] == [*plain[:100], ("7", "two\nlines"), ("8", "end")]
+    assert [(r["id"], r["name"]) for r in got[102:4_102]] == plain
+    assert tables.read_csv(spark, str(raw / "plain.csv")).rdd.getNumPartitions() >= 1
+
+
 def test_stage_tables(spark, tmp_path):
     df = spark.createDataFrame([(1, "2024-01-01T00:00:00Z", 5), (2, "soon", 6)], "a int, ts string, b int")
     path = str(tmp_path / "stage")
