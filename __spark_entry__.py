@@ -1365,6 +1365,56 @@ def _contract_violations(spark, sf_dir):
     )
 
 
+LINE_CONTRACT = quality.Contract(
+    (
+        quality.Field("l_orderkey", "bigint", low=0),
+        quality.Field("l_quantity", "bigint", low=5),
+        quality.Field("l_discount", "double", low=0.0, high=0.05),
+        quality.Field("l_tax", "double", nullable=True),
+        quality.Field("l_linenumber", "bigint", coerce=False),
+        quality.Field("l_returnflag", "string", among=("A", "N")),
+        quality.Field("l_shipdate", "timestamp"),
+        quality.Field("l_comment", "string"),
+    ),
+    (
+        quality.Rule("discount <= tax", "l_discount <= l_tax", ("l_discount", "l_tax")),
+        quality.Rule("comment not blank", "trim(l_comment) <> ''", ("l_comment",)),
+    ),
+    strict=True,
+    least=100_000_000,
+)
+
+
+@query(
+    "contract_report",
+    """WITH x AS (SELECT *, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_tax END AS tax FROM lineitem),
+n AS (SELECT count(*) FILTER (l_suppkey % 10 = 3) AS no_number, count(*) FILTER (l_suppkey % 10 <> 3 AND l_quantity < 5) AS few,
+  count(*) FILTER (l_discount > 0.05) AS much, count(*) FILTER (NOT coalesce(l_discount <= tax, false)) AS over,
+  count(*) FILTER (l_returnflag = 'R') AS flags, count(*) FILTER (l_partkey % 11 = 0) AS no_time,
+  count(*) FILTER (l_partkey % 13 = 0 AND l_partkey % 11 <> 0) AS null_time FROM x)
+SELECT rule, CAST(violations AS BIGINT) AS violations FROM n, LATERAL (VALUES
+  ('l_orderkey present', 0), ('l_orderkey is bigint', 0), ('l_orderkey not null', 0), ('l_orderkey >= 0', 0),
+  ('l_quantity present', 0), ('l_quantity is bigint', no_number), ('l_quantity not null', 0), ('l_quantity >= 5', few),
+  ('l_discount present', 0), ('l_discount is double', 0), ('l_discount not null', 0), ('l_discount >= 0.0', 0), ('l_discount <= 0.05', much),
+  ('l_tax present', 0), ('l_tax is double', 0),
+  ('l_linenumber present', 0), ('l_linenumber is bigint', 1),
+  ('l_returnflag present', 0), ('l_returnflag is string', 0), ('l_returnflag not null', 0), ('l_returnflag among 2 values', flags),
+  ('l_shipdate present', 0), ('l_shipdate is timestamp', no_time), ('l_shipdate not null', null_time),
+  ('l_comment present', 1), ('comment not blank', 1), ('l_suppkey unexpected', 1),
+  ('discount <= tax', over), ('rows >= 100000000', 1)) AS v(rule, violations)""",
+)
+def _contract_report(spark, sf_dir):
+    """One declaration against a table that breaks it: a value of the wrong type, a column of the wrong type, one too few,
+    one too many, values out of bounds, rows that break a rule, too few rows."""
+    quantity = F.when(F.col("l_suppkey") % 10 == 3, F.lit("some")).otherwise(F.col("l_quantity").cast("long").cast("string"))
+    shipped = F.when(F.col("l_partkey") % 11 == 0, F.lit("soon")).when(F.col("l_partkey") % 13 != 0, F.lit("2024-01-01T00:00:00Z"))
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", quantity.alias("l_quantity"), "l_discount", F.when(F.col("l_suppkey") % 7 != 0, F.col("l_tax")).alias("l_tax"),
+        F.col("l_linenumber").cast("int").alias("l_linenumber"), "l_returnflag", shipped.alias("l_shipdate"), "l_suppkey",
+    )
+    return quality.contract_report(items, LINE_CONTRACT)
+
+
 @query("invalid_instants", "SELECT count(*) FILTER (event_type = 'error') AS invalid FROM events")
 def _invalid_instants(spark, sf_dir):
     text = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("ts").cast("string"))

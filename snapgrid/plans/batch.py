@@ -52,7 +52,7 @@ def selected(spark: SparkSession, paths: StagePaths, threshold: float = 0.0) ->
     series = read_stage(spark, paths.path("encoded"))
     found = encode.select_by_variance(series.drop(ROW), threshold, keep=tuple(SERIES_COLUMNS))[0].columns
     table = write_table(series.select(ROW, *[F.col(rows.quoted(c)) for c in found]), paths.path("selected"))
-    quality.enforce(quality.contract_violations(table, quality.series_rules()))
+    quality.enforce(quality.contract_report(table, quality.SERIES_CONTRACT))
     varying = encode.indicator_variance(read_stage(spark, paths.path("encoded_dictionary")), table.count(), threshold)
     kept = write_table(varying, paths.path("selected_dictionary")).select("indicator")
     ones = read_stage(spark, paths.path("encoded_indicators"))

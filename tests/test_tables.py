@@ -214,3 +214,39 @@ def test_binary_metrics(spark):
     assert r["logloss"] == pytest.approx(-(math.log(0.9) + math.log(0.4) + math.log(0.5) + math.log(0.9)) / 5)
     none = metrics.binary_metrics(spark.createDataFrame([(0, 0.0), (0, 0.2)], "target int, score double")).first()
     assert (none["precision"], none["recall"], none["f1"], none["balanced_accuracy"]) == (0.0, 0.0, 0.0, 1.0)
+
+
+def test_contract_report(spark):
+    df = spark.createDataFrame(
+        [(1, "3", 1.0, float("nan"), True, None), (2, "x", 2.5, 0.5, None, "2024-01-01T00:00:00Z"), (None, " 7 ", 3.0, 2.0, False, "never")],
+        "id long, `text n` string, whole double, rate double, flag boolean, at string",
+    ).withColumn("list", F.array(F.lit(1)))
+    contract = quality.Contract(
+        (
+            quality.Field("id", "bigint"), quality.Field("text n", "bigint", low=4), quality.Field("whole", "int"),
+            quality.Field("rate", "double", high=1.0), quality.Field("flag", "int", nullable=True), quality.Field("at", "timestamp", nullable=True),
+            quality.Field("list", "bigint"), quality.Field("id2", "bigint"),
+        ),
+        (quality.Rule("more", "`text n` > id", ("text n", "id")), quality.Rule("lists", "size(list) > 0", ("list",))),
+    )
+    got = {r["rule"]: r["violations"] for r in quality.contract_report(df, contract).collect()}
+    assert {rule: n for rule, n in got.items() if n} == {
+        "id not null": 1, "text n is bigint": 1, "text n >= 4": 1, "whole is int": 1, "rate not null": 1, "rate <= 1.0": 1,
+        "at is timestamp": 1, "list is bigint": 1, "id2 present": 1, "more": 2, "lists": 1,
+    }
+    assert "flag not null" not in got and got["flag is int"] == 0 and got["rows >= 1"] == 0
+    strict = quality.contract_report(df.select("id").limit(0), quality.Contract((), strict=True))
+    assert {tuple(r) for r in strict.collect()} == {("id unexpected", 1), ("rows >= 1", 1)}
+    with pytest.raises(ValueError, match="id2 present"):
+        quality.enforce(quality.contract_report(df, contract))
+
+
+def test_series_contract_compares_types(spark):
+    good = spark.sql(
+        "select timestamp'2024-01-01' as snapshot_ts, 1L as st_id, 2L as st_location_id, 2 as total_ports, 1 as available_ports, "
+        "1 as unavailable_ports, 0.5D as unavailable_rate, 'x' as other"
+    )
+    quality.enforce(quality.contract_report(good, quality.SERIES_CONTRACT))
+    for column, value, rule in [("st_id", "'a1'", "st_id is bigint"), ("total_ports", "1.5D", "total_ports is bigint"), ("snapshot_ts", "5", "snapshot_ts is timestamp")]:
+        with pytest.raises(ValueError, match=rule):
+            quality.enforce(quality.contract_report(good.withColumn(column, F.expr(value)), quality.SERIES_CONTRACT))
