@@ -6,6 +6,9 @@ Words of content score positive, tags never do. One linear scan finds the contig
 what an element in the region marks as something else (a menu, an advert, a form) is left out of its text, nothing
 else is. Text of a page's own article or main element is always taken.
 
+What an element is beside the content follows from its tag or from a class, id or role that names nothing else, and
+never for an element around an article, a main element or, where there is neither, most of the page's words.
+
 Pages with exactly one article or main element label themselves: what is inside is content, unless an element in it
 says by its name that it is not. Weights are fitted on a bounded sample of them. Every site
 has one vote on a kind of item, however many of the pages are its own.
@@ -51,6 +54,28 @@ ASIDE_WORDS = frozenset(
     "signup login share sharing social related recommended recommendations comment comments disqus replies reply respond "
     "footer header masthead toolbar widget pagination pager copyright legal disclaimer search complementary contentinfo".split()
 )
+# Words that say where or what shape an element is, not what it is about. A name marks an element only if
+# it has a word of the above and nothing but these beside it: ``comment-list`` does, ``comments-open`` does not.
+SHAPE_WORDS = frozenset(
+    "area bar block body bottom box button buttons center col column container entry fixed form global group header icon icons id inner item "
+    "items js left link links list lower main module mobile outer page panel post posts primary right row secondary section site "
+    "slot small sticky tertiary text title top unit upper wrap wrapper".split()
+)
+# Names on an article element that say it is no article of the page's own.
+REPLY_WORDS = frozenset("comment comments reply replies respond disqus related recommended recommendations ad ads advert".split())
+# Fixed values of HTML: start tags that end an open paragraph, and elements that hold their own paragraphs and list items.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr main menu nav ol p pre search section summary table ul".split()
+)
+SCOPES = frozenset(
+    "table td th caption button object template ul ol menu dl select article section aside main nav header footer form fieldset "
+    "blockquote figure details dialog".split()
+)
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option",)}
+ROWS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "tbody": ("tr", "tbody", "thead"), "tfoot": ("tr", "tbody", "thead")}
+#: Elements that may wrap a whole page although they usually stand beside its content.
+WRAPPING = ("form", "fieldset")
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.DOTALL
@@ -73,40 +98,76 @@ class Item:
     name: str = ""  # of a tag
 
 
+def _marks(names: list[str], words: frozenset[str]) -> bool:
+    """Whether a class, id or role names something beside the content, in whole."""
+    for name in names:
+        for word in name.split():
+            parts = [p.rstrip("0123456789") for p in _PARTS.findall(word)]
+            if any(p in words for p in parts) and all(not p or p in words or p in SHAPE_WORDS for p in parts):
+                return True
+    return False
+
+
 @dataclass
 class _Open:
+    """An open element, and what is open within it."""
+
     tag: str
-    label: str
-    aside: bool
+    near: str  # the nearest label around what it holds
     silent: bool
+    element: int  # its place in the list of elements
+    inline: dict[str, int]  # open inline elements of the block it belongs to
+    scope: dict[str, int]  # open paragraphs and list items of the scope it belongs to
+
+
+@dataclass
+class _Element:
+    """What is known of an element after the page has been read."""
+
+    tag: str
+    start: int  # first item
+    end: int  # behind the last item
+    named: bool  # by its class, id or role it is beside the content
+    apart: bool  # by its tag it is
 
 
 def items(page: str) -> list[Item]:
-    """Tags and text runs; comments, scripts and other silent elements are left out."""
+    """Tags and text runs; comments, scripts and other silent elements are left out.
+
+    Open paragraphs, list items and table cells end where HTML ends them. Linear in the page: what is open is counted,
+    and what a close ends is taken off once.
+    """
     out: list[Item] = []
-    inside: list[tuple[bool, bool]] = []
+    elements: list[_Element] = []
     stack: list[_Open] = []
-    depth = dict.fromkeys(("aside", "silent", *CONTENT), 0)
+    opened: Counter = Counter()
+    silent = 0
+    root = ({}, {})
     at, n = 0, len(page)
 
-    def add(item: Item) -> None:
-        item.aside |= depth["aside"] > 0
-        out.append(item)
-        inside.append((depth["article"] > 0, depth["main"] > 0))
-
-    def around() -> str:
-        return next((o.label for o in reversed(stack) if o.label), "page")
+    def pop() -> None:
+        nonlocal silent
+        o = stack.pop()
+        opened[o.tag] -= 1
+        silent -= o.silent
+        elements[o.element].end = len(out)
+        inline, scope = (stack[-1].inline, stack[-1].scope) if stack else root
+        if o.tag in INLINE:
+            inline[o.tag] -= 1
+        if o.tag in scope:
+            scope[o.tag] -= 1
+
+    def end(tags: tuple[str, ...]) -> None:
+        while stack:
+            tag = stack[-1].tag
+            pop()
+            if tag in tags:
+                return
 
     def text(raw: str) -> None:
-        if raw and not depth["silent"]:
+        if raw and not silent:
             plain = html.unescape(raw) if "&" in raw else raw
-            add(Item(f"words in {around()}", plain, len(plain.split())))
-
-    def count(o: _Open, by: int) -> None:
-        depth["aside"] += by * o.aside
-        depth["silent"] += by * o.silent
-        if o.tag in CONTENT:
-            depth[o.tag] += by
+            out.append(Item(f"words in {stack[-1].near if stack else 'page'}", plain, len(plain.split())))
 
     while at < n:
         m = _TOKEN.search(page, at)
@@ -121,34 +182,105 @@ def items(page: str) -> list[Item]:
                 text(m.group()[9:-3].replace("&", "&amp;"))
             continue
         if m.group(1):
-            if any(o.tag == tag for o in stack):
-                last = None
-                while last != tag:
-                    last = stack[-1].tag
-                    count(stack.pop(), -1)
-            add(Item(f"/{tag} in {around()}", block=tag not in INLINE, name=f"/{tag}"))
+            # A close of an inline element ends nothing beyond its block.
+            held = (stack[-1].inline if stack else root[0]) if tag in INLINE else opened
+            if held.get(tag, 0) > 0:
+                end((tag,))
+            out.append(Item(f"/{tag} in {stack[-1].near if stack else 'page'}", block=tag not in INLINE, name=f"/{tag}"))
             continue
         attributes = m.group(3)
         names = [(x or y or z).lower() for _, x, y, z in _NAMED.findall(attributes)] if "=" in attributes else []
-        beside = tag in APART or any(p in ASIDE_WORDS for name in names for p in _PARTS.findall(name))
-        beside &= tag not in ("html", "body")
+        scope = stack[-1].scope if stack else root[1]
+        if tag in ENDS_P and scope.get("p", 0) > 0:
+            end(("p",))
+        elif tag in ENDS and any(scope.get(t, 0) > 0 for t in ENDS[tag]):
+            end(ENDS[tag])
+        elif tag in ROWS and any(opened[t] > 0 for t in ROWS[tag]):
+            for o in reversed(stack):
+                if o.tag == "table":
+                    break
+                if o.tag in ROWS[tag]:
+                    end(ROWS[tag])
+                    break
         kind = " ".join([tag, *names])
-        add(Item(f"{kind} in {around()}", aside=beside, block=tag not in INLINE, name=tag))
+        near = stack[-1].near if stack else "page"
+        out.append(Item(f"{kind} in {near}", block=tag not in INLINE, name=tag))
         if tag in VOID:
             continue
+        named = bool(names) and tag not in ("html", "body") and _marks(names, REPLY_WORDS if tag in CONTENT else ASIDE_WORDS)
         hidden = bool(attributes) and _HIDDEN.search(attributes) is not None
-        label = "" if tag in INLINE or tag in ("p", "li", "ul", "ol", "tr", "tbody") and not names else kind
-        stack.append(_Open(tag, label, beside, tag in SILENT or hidden))
-        count(stack[-1], 1)
+        plain = tag in INLINE or tag in ("p", "li", "ul", "ol", "tr", "tbody") and not names
+        inline, scope = (stack[-1].inline, stack[-1].scope) if stack else root
+        if tag in INLINE:
+            inline[tag] = inline.get(tag, 0) + 1
+        if tag in ("p", "li", "dt", "dd", "option"):
+            scope[tag] = scope.get(tag, 0) + 1
+        elements.append(_Element(tag, len(out) - 1, n, named, tag in APART))
+        stack.append(
+            _Open(
+                tag, near if plain else kind, tag in SILENT or hidden, len(elements) - 1,
+                inline if tag in INLINE else {}, {} if tag in SCOPES else scope,
+            )
+        )
+        opened[tag] += 1
+        silent += stack[-1].silent
         if tag in RAW:
             close = re.compile(rf"</{tag}[\s/>]", re.IGNORECASE).search(page, at)
             at = close.start() if close else n
-    which = 0 if any(a and not x.aside for (a, _), x in zip(inside, out)) else 1
-    for own, item in zip(inside, out):
-        item.within = own[which]
+    while stack:
+        pop()
+    _place(out, elements)
+    return out
+
+
+def _covered(n: int, spans: list[tuple[int, int]]) -> list[bool]:
+    """Which of so many items lie in any span."""
+    change = [0] * (n + 1)
+    for a, b in spans:
+        change[a] += 1
+        change[b] -= 1
+    out, open_ = [], 0
+    for c in change[:n]:
+        open_ += c
+        out.append(open_ > 0)
     return out
 
 
+def _place(out: list[Item], elements: list[_Element]) -> None:
+    """Say of every item whether it is within the page's article, and whether it is beside the content.
+
+    An element that holds an article or main element is never beside the content, whatever its name or tag, nor is one
+    with most of the words of a page that has neither. Names never take an article's whole text.
+    """
+    n = len(out)
+    content = [e for e in elements if e.tag in CONTENT]
+    own = [e for e in content if not e.named] or content
+    starts, words = [0] * (n + 1), [0] * (n + 1)
+    for e in own:
+        starts[e.start + 1] += 1
+    for i, x in enumerate(out):
+        words[i + 1] = words[i] + x.words
+        starts[i + 1] += starts[i]
+
+    def wraps(e: _Element) -> bool:
+        held = starts[e.end] - starts[e.start + 1]  # below the element itself
+        most = not own and (e.named and not e.apart or e.tag in WRAPPING) and 2 * (words[e.end] - words[e.start]) >= words[n]
+        return held > 0 or most
+
+    kept = {id(e) for e in own}
+    hard = [(e.start, e.end) for e in elements if e.apart and not wraps(e)]
+    soft = [(e.start, e.end) for e in elements if e.named and not e.apart and id(e) not in kept and not wraps(e)]
+    apart, beside = _covered(n, hard), _covered(n, hard + soft)
+    for tag in CONTENT:
+        within = _covered(n, [(e.start, e.end) for e in own if e.tag == tag])
+        if any(a and not b for a, b in zip(within, apart)):
+            break
+    if not any(a and not b and x.words for a, b, x in zip(within, beside, out)):
+        beside = [a if w else b for a, b, w in zip(apart, beside, within)]
+    for x, a, b in zip(out, within, beside):
+        x.within, x.aside = a, b
+
+
 @dataclass
 class Model:
     """Log odds of content by kind of item, from counts inside and outside of labelled content, by site."""
@@ -264,8 +396,9 @@ def train(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE) ->
 def extracted(pages: DataFrame, model: Model, page_id: str = "page_id", url: str = "url", html_column: str = "html") -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) of every page.
 
-    A null or empty page, and one without content, has an empty text. Null ids and urls stay null; repeated rows get
-    equal results; other columns are not read.
+    A null or empty page, and one without content, has an empty text. Pages may be of any length, the time is linear in
+    it. Null ids and urls stay null; repeated rows get equal results, of equally good regions the first and longest one
+    counts; an empty table gives an empty one; other columns are not read.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model)
 

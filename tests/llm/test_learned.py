@@ -1,4 +1,7 @@
+import html
 import math
+import random
+import time
 from collections import defaultdict
 
 import duckdb
@@ -299,6 +302,96 @@ def test_a_hot_site_does_not_take_the_text_of_others(spark):
     assert out[200] == "Only a plain div with its words."
 
 
+BODY = "<h1>Head</h1><p>The words of the body.</p><p>More of them.</p>"
+BODY_TEXT = "Head The words of the body. More of them."
+AROUND = "<nav><a>Home</a> <a>About us</a></nav>{}<footer>Imprint and so on</footer>"
+#: Names that speak of something beside the content without being it.
+WRAPPED = {
+    "layout": f'<div class="layout with-sidebar"><article>{BODY}</article></div>',
+    "modifier": f'<article class="post comments-open">{BODY}</article>',
+    "negation": f'<div class="no-sidebar"><article>{BODY}</article></div>',
+    "topic": f'<article><section class="legal-analysis">{BODY}</section></article>',
+    "unclosed": f'<p class="notice">Cookies here<article>{BODY}</article>',
+    "form": f'<form id="aspnetForm"><div id="page-header">Brand</div><article>{BODY}</article></form>',
+    "sidebar": f'<div class="sidebar"><main>{BODY}</main></div>',
+    "whole": f'<article><div class="sidebar">{BODY}</div></article>',
+    "comments": f'<article>{BODY}<section id="comments"><article class="comment">I say</article></section></article>',
+    "replies": f'<main>{BODY}</main><section class="comment-list"><article class="comment even">I say</article></section>',
+    "compound": f'<article>{BODY}<div class="ad-container-2">Buy</div><div class="related-posts">See</div></article>',
+    "bare": f'<div class="sidebar-left">Side</div><div class="search">{BODY}</div>',
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_names_do_not_take_the_article(name):
+    pages = [AROUND.format(x) for x in (*WRAPPED.values(), f"<article>{BODY}</article>")]
+    learned = hr.Model()
+    for page in pages:
+        learned.learn(page)
+    for model in (hr.Model(), learned):
+        assert hr.main_text(AROUND.format(WRAPPED[name]), model) == BODY_TEXT
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article>" + "<p>some words here" * 12_000 + "</article>",
+        "<article>" + "<div>" * 4_000 + "x</span></b></section>" * 4_000 + "</article>",
+        "<article>" + "<b><i>" * 8_000 + "text" + "</i></u>" * 8_000 + "</article>",
+        "<article><ul>" + "<li><a>one" * 12_000 + "</ul></article>",
+        "<table>" + "<tr><td>one<td>two" * 6_000 + "</table>",
+    ],
+    ids=["paragraphs", "strays", "inline", "items", "cells"],
+)
+def test_long_pages_take_linear_time(page):
+    before = time.perf_counter()
+    assert hr.main_text(page, hr.Model())
+    assert time.perf_counter() - before < 1.5
+
+
+def test_open_elements_end_where_html_ends_them():
+    def text(page):
+        return hr.main_text(page, hr.Model())
+
+    assert text("<article><p class=notice>gone<p>kept<div>more</div></article>") == "kept more"
+    assert text("<article><ul><li class=ad>gone<li>kept<ul><li>deep</ul><li>last</ul></article>") == "kept deep last"
+    assert text("<article><table><tr><td class=ad>gone<td>kept<tr><td>next</table></article>") == "kept next"
+    assert text("<article><dl><dt class=ad>gone<dd>kept</dl><select><option>no</select></article>") == "kept"
+    assert text("<article><b class=ad>gone<p>gone too</p></b> kept</article>") == "kept"
+    assert text("<article><div class=ad>gone</span> gone</div>kept</article>") == "kept"
+
+
+def test_pages_made_of_known_parts():
+    """Random pages against what they were made of: article blocks in order, everything else left out."""
+    rng = random.Random(6)
+    word = lambda: rng.choice(["word", "Wörter", "a&amp;b", "x&lt;y", "and"])
+    sentence = lambda: " ".join(word() for _ in range(rng.randint(1, 12)))
+    noise = [
+        "<nav>{}</nav>", '<div class="cookie-banner">{}</div>', "<aside><p>{}</aside>", '<section id="comments"><p>{}</section>',
+        "<script>if (a < b) {}</script>", "<!-- {} -->", '<ul class="menu"><li>{}<li>x</ul>', "<form><label>{}</label></form>", "<style>{}</style>",
+    ]
+    blocks = ["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<div><b>{}</b></div>", "<ul><li>{}</li></ul>", '<div class="with-sidebar"><p>{}</p></div>', "<blockquote>{}</blockquote>"]
+    pages = []
+    for _ in range(300):
+        inside, want = [], []
+        for _ in range(rng.randint(1, 9)):
+            if rng.random() < 0.3:
+                inside.append(rng.choice(noise).format(sentence()))
+            else:
+                own = sentence()
+                inside.append(rng.choice(blocks).format(own))
+                want.append(html.unescape(own))
+        around = [rng.choice(noise).format(sentence()) for _ in range(4)]
+        tag = rng.choice(["article", "main", 'article class="post has-comments"'])
+        page = "<html><body>" + "\n".join([*around[:2], f"<{tag}>" + "".join(inside) + f"</{tag.split()[0]}>", *around[2:]]) + "</body></html>"
+        pages.append((page, " ".join(want)))
+    model = hr.Model()
+    for page, _ in pages[:150]:
+        model.learn(page)
+    for page, want in pages:
+        assert hr.main_text(page, model) == want
+
+
 def test_region_is_the_best_run():
     rng = np.random.default_rng(4)
     for _ in range(300):
