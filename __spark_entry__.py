@@ -20,7 +20,7 @@ if str(Path(__file__).resolve().parent) not in sys.path:
 
 from snapgrid.functions.ports import is_dc_fast
 from snapgrid.functions.time import clock_features, floor_to, minutes_of_day, month_label
-from snapgrid.functions.values import differs, number, round_half_even, truth_flag
+from snapgrid.functions.values import differs, file_tag, number, round_half_even, truth_flag
 from snapgrid.operators import (
     classify,
     clean,
@@ -39,11 +39,11 @@ from snapgrid.operators import (
     studies,
     trees,
 )
-from snapgrid.plans import reports
+from snapgrid.plans import ingest, reports
 from snapgrid.session import instants, materialize, shared_folder, use_utc
-from snapgrid.sources.sinks import write_csv
+from snapgrid.sources.sinks import rewrite_table, write_counted, write_csv, write_table
 from snapgrid.sources.snapshots import read_snapshots
-from snapgrid.sources.tables import read_checked, union_checked
+from snapgrid.sources.tables import read_checked, read_csv, read_stage, union_checked
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -875,6 +875,136 @@ def _csv_stage(spark, sf_dir):
     return naive(text.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else c for c in text.columns]))
 
 
+@query(
+    "stage_from_csv",
+    """SELECT o_orderkey, o_orderdate AS updated, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders
+WHERE o_orderstatus <> 'P'""",
+)
+def _stage_from_csv(spark, sf_dir):
+    """A stage that exists as CSV only: typed by its values, two columns and the time, rows without a valid time dropped."""
+    orders = table(spark, sf_dir, "orders")
+    path = f"{shared_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    updated = F.when(F.col("o_orderstatus") == "P", F.lit("none")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    write_csv(orders.withColumn("updated", updated), f"{path}.csv")
+    read = read_stage(spark, path, ["o_orderkey", "updated", "o_totalprice"], ts="updated")
+    return finished(read)
+
+
+@query("written_counts", 'SELECT count(*) AS "rows", count(DISTINCT l_suppkey) AS keys FROM lineitem')
+def _written_counts(spark, sf_dir):
+    """Rows and keys of a stage as its sink counts them while it writes, after a round of table maintenance."""
+    folder = f"{shared_folder(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    counted = write_counted(table(spark, sf_dir, "lineitem"), f"{folder}/a", "l_suppkey")
+    changed = rewrite_table(spark, f"{folder}/a", f"{folder}/b", lambda df: rows.replace_column(df.withColumn("kept", F.col("l_suppkey")), "l_suppkey", "kept"))
+    again = changed.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("l_suppkey").alias("keys"))
+    return again.filter((F.col("rows") == counted[0]) & (F.col("keys") == counted[1]))
+
+
+@query(
+    "renamed_columns",
+    """SELECT o_orderkey AS "o_orderkey", o_custkey AS "o_custkey", upper(o_orderstatus) || '!' AS "o_orderstatus",
+       CAST(o_orderkey % 7 AS BIGINT) AS "o_week", '2024_' || o_orderkey % 5 AS "o_tag" FROM orders""",
+)
+def _renamed_columns(spark, sf_dir):
+    """Prefixes for columns that have none yet, one column put in the place of another, tags from file names."""
+    name = F.concat(F.lit("2024_"), (F.col("o_orderkey") % 5).cast("string"), F.lit("_locations.v1.csv"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", (F.col("o_orderkey") % 7).cast("long").alias("week"), file_tag(name).alias("tag"),
+        F.concat(F.upper("o_orderstatus"), F.lit("!")).alias("marked"),
+    )
+    return rows.prefix_columns(rows.replace_column(orders, "o_orderstatus", "marked"), "o_", keep_prefixed=True)
+
+
+@query(
+    "gap_report",
+    f"""WITH {SNAP},
+h AS (SELECT CAST(unnest([10, 30]) AS BIGINT) AS dt),
+hit AS (
+  SELECT h.dt, s.st_id, s.snapshot_ts,
+         EXISTS (SELECT 1 FROM snap o WHERE o.st_id = s.st_id
+                 AND epoch_us(o.snapshot_ts) BETWEEN epoch_us(s.snapshot_ts) + (h.dt - 3) * 60000000
+                                                 AND epoch_us(s.snapshot_ts) + (h.dt + 3) * 60000000) AS found
+  FROM snap s, h)
+SELECT CAST(dt AS BIGINT) AS travel_time_min, CAST(3 AS BIGINT) AS tolerance_min,
+       count(*) FILTER (found) AS matched_rows, count(*) AS total_rows,
+       round(count(*) FILTER (found) / CAST(count(*) AS DOUBLE), 6) AS match_rate
+FROM hit GROUP BY dt""",
+)
+def _gap_report(spark, sf_dir):
+    """The report job over a written stage, its options as text, and the coverage table it exports, read back."""
+    folder = f"{shared_folder(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    write_table(snap(spark, sf_dir), f"{folder}/stage")
+    reports.gap_report(spark, f"{folder}/stage", label_times_min="10, 30", label_tolerance_min=3, output_csv=f"{folder}/coverage")
+    kinds = {"match_rate": "double"}
+    back = read_csv(spark, f"{folder}/coverage")
+    return rounded(back.select(*[F.col(c).cast(kinds.get(c, "long")).alias(c) for c in back.columns]))
+
+
+@query(
+    "profile_report",
+    """SELECT 'nulls' AS "table", 'o_orderstatus' AS "column", CAST(NULL AS VARCHAR) AS "value", count(*) FILTER (o_orderstatus = 'P') AS n FROM orders
+UNION ALL SELECT 'nulls', 'o_orderpriority', NULL, 0
+UNION ALL SELECT 'shape', 'n_rows', NULL, count(*) FROM orders UNION ALL SELECT 'shape', 'n_columns', NULL, 2
+UNION ALL SELECT 'values', 'o_orderstatus', coalesce(nullif(o_orderstatus, 'P'), '<NA>'), count(*) FROM orders GROUP BY ALL
+UNION ALL SELECT 'values', 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY ALL""",
+)
+def _profile_report(spark, sf_dir):
+    """A stage's profile exported as CSV tables and read back as one."""
+    orders = table(spark, sf_dir, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"), "o_orderpriority")
+    folder = f"{shared_folder(spark).rstrip('/')}/profile-{uuid.uuid4().hex}"
+    found = reports.table_profile(orders)
+    shape = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in ("n_rows", "n_columns")]))
+    none, value = F.lit(None).cast("string").alias("value"), F.col("value")
+    told = {
+        "nulls": found["nulls"].select("column", none, F.col("nulls").alias("n")),
+        "shape": found["shape"].select(shape).select("column", none, "n"),
+        "values": found["values"].select("column", value, F.col("count").alias("n")),
+    }
+    paths = reports.export_tables(told, folder)
+    read = [read_csv(spark, path).select(F.lit(name).alias("table"), "column", "value", F.col("n").cast("long").alias("n")) for name, path in paths.items()]
+    return union_checked(read)
+
+
+@query(
+    "daily_coverage",
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY ALL),
+spine AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL '1 day')) AS DATE) AS day FROM d)
+SELECT spine.day, coalesce(d.n, 0) AS records FROM spine LEFT JOIN d ON d.day = spine.day""",
+)
+def _daily_coverage(spark, sf_dir):
+    """The same counts from a written stage, whose time column is text there."""
+    path = f"{shared_folder(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
+    write_table(table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at")), path)
+    return reports.daily_coverage(spark, path, "at")
+
+
+@query(
+    "metric_gate",
+    """WITH s AS (SELECT doc_id % 8 AS part, quality AS y, (doc_id * 37 + quality * 23) % 101 / CAST(101 AS DOUBLE) AS p FROM labels),
+m AS (SELECT part, CASE WHEN part <> 3 THEN part * 10 END AS horizon, avg((p - y) * (p - y)) AS brier,
+  avg(-(y * ln(greatest(p, 2.220446049250313e-16)) + (1 - y) * ln(1 - p))) AS logloss,
+  CASE WHEN part > 0 THEN part / CAST(8 AS DOUBLE) END AS auc FROM s GROUP BY part)
+SELECT 'horizons present' AS "rule", count(*) FILTER (horizon IS NULL) AS violations FROM m
+UNION ALL SELECT 'auc', count(*) FILTER (auc < 0.5) FROM m
+UNION ALL SELECT 'logloss', count(*) FILTER (NOT logloss <= 1.5) FROM m
+UNION ALL SELECT 'brier', count(*) FILTER (NOT brier BETWEEN 0 AND 1) FROM m
+UNION ALL SELECT 'not empty', CAST(count(*) = 0 AS BIGINT) FROM m""",
+)
+def _metric_gate(spark, sf_dir):
+    """The quality limits over metrics records of eight parts: one without a horizon, some with a low AUC, one with none."""
+    score = ((F.col("doc_id") * 37 + F.col("quality") * 23) % 101) / F.lit(101.0)
+    part = (F.col("doc_id") % 8).alias("part")
+    labels_ = table(spark, sf_dir, "labels").select(part, F.col("quality").alias("y"), score.alias("p"))
+    loss = -(F.col("y") * F.log(F.greatest("p", F.lit(metrics.CLIP))) + (1 - F.col("y")) * F.log(1 - F.col("p")))
+    records = labels_.groupBy("part").agg(F.avg((F.col("p") - F.col("y")) ** 2).alias("brier"), F.avg(loss).alias("logloss"))
+    horizon = F.when(F.col("part") != 3, F.col("part") * 10)
+    auc = F.when(F.col("part") > 0, F.col("part") / F.lit(8.0)).alias("auc")
+    gated = records.select(
+        horizon.alias("requested_horizon_minutes"), horizon.alias("effective_horizon_minutes"), auc, "logloss", "brier"
+    )
+    return quality.metric_gate(gated)
+
+
 @query(
     "export_sorted",
     """SELECT row_number() OVER (ORDER BY nullif(o_orderpriority, '5-LOW') DESC NULLS LAST, o_totalprice, o_orderkey) AS place, o_orderkey
@@ -956,6 +1086,60 @@ def _json_mixed_shapes(spark, sf_dir):
     return flat.select("id", "label", "address_nation", "address_balance", "phones", "region", "shape")
 
 
+@query(
+    "snapshot_chain",
+    """SELECT l_orderkey * 10 + l_linenumber AS port_id, CASE WHEN l_returnflag = 'R' THEN 'RATED' END AS port_connector_type,
+  CAST(l_quantity AS DOUBLE) AS port_power_kw, 'S' || l_linestatus AS port_status, l_linenumber % 2 = 0 AS port_payment_required,
+  o_orderkey AS port_station_id, CAST(o_custkey AS BIGINT) AS port_station_location_id,
+  CAST(c_nationkey AS VARCHAR) AS loc_address_postal_code, lpad(CAST(c_custkey % 24 AS VARCHAR), 2, '0') || ':00' AS loc_opening_hours_hour_begin,
+  CASE WHEN c_custkey % 3 = 2 THEN 'only here ' || c_custkey END AS loc_remark
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
+)
+def _snapshot_chain(spark, sf_dir):
+    """Nested documents to locations, stations and ports: customers hold orders, orders hold line items.
+
+    Each nation's customers are three documents: an envelope, a list, and a list whose records have a field of their own.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.struct(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+            F.when(F.col("l_returnflag") == "R", F.lit("RATED")).alias("connector_type"),
+            F.col("l_quantity").cast("double").alias("power_kw"),
+            F.array(F.struct(F.concat(F.lit("S"), F.col("l_linestatus")).alias("status"))).alias("port_status"),
+            F.struct((F.col("l_linenumber") % 2 == 0).alias("payment_required")).alias("authentications"),
+        ).alias("port"),
+    )
+    ports = lines.groupBy("o_orderkey").agg(F.collect_list("port").alias("ports"))
+    orders = table(spark, sf_dir, "orders").join(ports, "o_orderkey")
+    station = F.struct(F.col("o_orderkey").alias("id"), F.lit("s").alias("label"), "ports")
+    stations = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.collect_list(station).alias("stations"))
+    kind = F.col("c_custkey") % 3
+    hours = F.array(F.struct(F.concat(F.lpad((F.col("c_custkey") % 24).cast("string"), 2, "0"), F.lit(":00")).alias("hour_begin")))
+    record = F.struct(
+        F.col("c_custkey").alias("id"),
+        F.lit("2024-01-01T00:00:00Z").alias("last_updated"),
+        F.struct(F.col("c_nationkey").cast("string").alias("postal_code")).alias("address"),
+        F.when(kind == 2, F.concat(F.lit("only here "), F.col("c_custkey").cast("string"))).alias("remark"),
+        hours.alias("opening_hours"),
+        "stations",
+    )
+    found = table(spark, sf_dir, "customer").join(stations, "c_custkey").groupBy("c_nationkey", kind.alias("kind"))
+    text = F.to_json("records")
+    shaped = F.when(F.col("kind") == 0, F.concat(F.lit('{"locations":'), text, F.lit(',"made":"now"}'))).otherwise(text)
+    path = f"{shared_folder(spark).rstrip('/')}/chain-{uuid.uuid4().hex}"
+    found.agg(F.collect_list(record).alias("records")).select(shaped.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    locations = materialize(ingest.locations_from_snapshots(spark, path, pattern="*.txt"), "chain-locations")
+    unnested = ingest.extract_ports(ingest.extract_stations(locations))
+    versions = locations.select(
+        F.col("loc_id").alias("port_station_location_id"), "loc_address_postal_code", "loc_opening_hours_hour_begin", "loc_remark"
+    )
+    return rows.lookup_join(unnested, versions, ["port_station_location_id"], "inner").select(
+        "port_id", "port_connector_type", "port_power_kw", "port_status", "port_payment_required", "port_station_id",
+        "port_station_location_id", "loc_address_postal_code", "loc_opening_hours_hour_begin", "loc_remark",
+    )
+
+
 CHILD = T.StructType(
     [
         T.StructField("id", T.LongType()),

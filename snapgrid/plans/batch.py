@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapgrid.operators import classify, encode, grid, labels, quality, rows, state
-from snapgrid.plans.ingest import extract_ports, extract_stations, locations_from_snapshots
+from snapgrid.plans.ingest import extract_ports, extract_stations, locations
 from snapgrid.schema import HORIZON_MINUTES, STATE_COLUMNS, STATIC_COLUMNS, StagePaths
 from snapgrid.session import use_utc
 from snapgrid.sources.sinks import save_model, write_counted, write_metrics, write_table
@@ -19,8 +19,9 @@ SERIES_COLUMNS = ["snapshot_ts", "st_id", *STATE_COLUMNS, *STATIC_COLUMNS]
 
 
 def ingest(spark: SparkSession, paths: StagePaths) -> None:
-    locations = write_table(locations_from_snapshots(spark, paths.path("raw_json")), paths.path("locations"))
-    stations = write_table(extract_stations(locations), paths.path("stations"))
+    """Documents converted, opening hours derived, all location tables consolidated, stations and ports unnested."""
+    versions = write_table(locations(spark, paths), paths.path("locations"))
+    stations = write_table(extract_stations(versions), paths.path("stations"))
     write_table(extract_ports(stations), paths.path("ports"))
 
 

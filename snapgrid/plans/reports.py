@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapgrid.functions.time import int_list
-from snapgrid.functions.values import file_tag
+from snapgrid.functions.values import file_tag, safe_name
 from snapgrid.operators import gaps, profile, rows, studies
 from snapgrid.schema import StagePaths
 from snapgrid.sources.sinks import write_csv
 from snapgrid.sources.tables import read_stage
 
+# The attributes of a port that a study compares.
 PORT_ATTRIBUTES = ["port_connector_type", "port_power_kw", "port_charging_mechanism"]
 
 
@@ -63,6 +64,22 @@ def table_profile(df: DataFrame, exclude: tuple[str, ...] = ()) -> dict[str, Dat
     }
 
 
+def export_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Each table of a report as CSV in a folder of its own, whose name is safe for any file system; the paths by name.
+
+    Names that become the same that way get a number.
+    """
+    taken: dict[str, str] = {}
+    for name, table in tables.items():
+        safe = safe_name(name)
+        path = f"{folder.rstrip('/')}/{safe}"
+        while path in taken.values():
+            path += "_2"
+        write_csv(table, path)
+        taken[name] = path
+    return taken
+
+
 # Nested columns that a profile of a stage table leaves out.
 NOT_PROFILED = {"locations": ("loc_stations",), "stations": ("st_ports",)}
 

@@ -97,6 +97,18 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*", prefixes: t
     return paths
 
 
+def tables_in(spark: SparkSession, folder: str) -> list[str]:
+    """The CSV files of a folder, sorted; none if there is no such folder."""
+    try:
+        return list_files(spark, folder, "*.csv")
+    except FileNotFoundError:
+        return []
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def union_checked(frames: list[DataFrame], reference: list[str] | None = None) -> DataFrame:
     """Union all by name of frames with equal column sets, in the reference order (default: the first's)."""
     reference = reference or frames[0].columns

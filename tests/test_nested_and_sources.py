@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from snapgrid.operators import clean, nested
 from snapgrid.plans import ingest, reports
-from snapgrid.schema import LOCATION_RECORD, STATION_ITEM, PORT_ITEM
+from snapgrid.schema import LOCATION_RECORD, PORT_ITEM, STATION_ITEM, StagePaths
 from snapgrid.sources import sinks, tables
 from snapgrid.sources.snapshots import infer_record, read_snapshots
 
@@ -313,6 +313,33 @@ def test_last_record_in_document_order(spark, tmp_path):
     assert {(r["loc_id"], r["loc_address_postal_code"]) for r in got} == {(1, "a"), (2, "c"), (3, "k")}
 
 
+def test_locations_of_documents_and_tables(spark, tmp_path):
+    """Documents are converted, nested hours derived, all tables consolidated; without tables the types stay."""
+    paths = StagePaths(str(tmp_path))
+    (tmp_path / "raw").mkdir()
+    stations = [{"id": 11, "ports": [{"id": 5}]}]
+    record = {"id": 1, "last_updated": "2024-01-01T00:00:00Z", "opening_hours": [{"hour_begin": "8:00"}], "stations": stations}
+    write(tmp_path / "raw" / "json", "2025_01.json", {"locations": [record, {**record, "id": 2}, record]})
+    typed = ingest.locations(spark, paths)
+    assert dict(typed.dtypes)["loc_id"] == "bigint" and dict(typed.dtypes)["loc_stations"].startswith("array")
+    assert [(r["loc_id"], r["loc_opening_hours_hour_begin"]) for r in typed.orderBy("loc_place").collect()] == [(1, "8:00"), (2, "8:00")]
+    assert spark.read.parquet(paths.path("converted")).count() == 3
+    before = {r["st_id"] for r in ingest.extract_stations(typed).collect()}
+    # The same columns as CSV: one table of an early year, one whose hours are still nested.
+    columns = [c.removeprefix("loc_") for c in typed.columns if c != "loc_place"]
+    plain = [c for c in columns if not c.startswith("opening_hours")]
+    cell = {"id": "3", "stations": '"[{""id"": 12}]"', "opening_hours_hour_begin": "9:00", "opening_hours": '"[{""hour_begin"": ""7:00""}]"'}
+    csv(tmp_path / "raw" / "tables", "2022_01.csv", ",".join(columns), ",".join(cell.get(c, "") for c in columns))
+    nested_columns = [*plain, "opening_hours"]
+    csv(tmp_path / "raw" / "tables", "2024_01.csv", ",".join(nested_columns), ",".join({**cell, "id": "4"}.get(c, "") for c in nested_columns))
+    csv(tmp_path / "raw" / "tables", "2019_01.csv", "other", "1")
+    got = ingest.locations(spark, paths).orderBy("loc_place").collect()
+    assert [(r["loc_id"], r["loc_opening_hours_hour_begin"]) for r in got] == [("3", "9:00"), ("4", "7:00"), ("1", "8:00"), ("2", "8:00")]
+    locations = sinks.write_table(ingest.locations(spark, paths), paths.path("locations"))
+    assert {r["st_id"] for r in ingest.extract_stations(locations).collect()} == before | {12}
+    assert {r["port_id"] for r in ingest.extract_ports(ingest.extract_stations(locations)).collect()} == {5}
+
+
 def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
     """A plain file is split into tasks; one whose cells hold line breaks, or a stray quote, is read in one piece."""
     raw = tmp_path / "raw"
@@ -376,3 +403,10 @@ def test_sinks(spark, tmp_path):
 def test_default_schemas_match(spark):
     assert {f.name for f in LOCATION_RECORD.fields} >= {"id", "stations", "opening_hours", "last_updated"}
     assert {f.name for f in PORT_ITEM.fields} >= {"port_status", "authentications", "power_kw"}
+
+
+def test_exported_names_are_safe(spark, tmp_path):
+    df = spark.range(3)
+    found = reports.export_tables({"a/b c": df, "a:b c": df.limit(1), "plain-1": df}, str(tmp_path))
+    assert sorted(p.rsplit("/", 1)[1] for p in found.values()) == ["a_b_c", "a_b_c_2", "plain-1"]
+    assert [tables.read_csv(spark, found[n]).count() for n in ("a/b c", "a:b c", "plain-1")] == [3, 1, 3]
