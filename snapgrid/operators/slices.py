@@ -102,15 +102,28 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return found.select(*kept, (F.col("_before") + inside).alias(name))
 
 
+#: A table of at most so many narrow rows is summed up in one task, sooner done than ranges of it.
+ONE_TASK = 250_000
+
+
 def ranked_sums(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
     """Inclusive running sums of the whole table along ``order``, whose values are distinct.
 
-    Adds ``<c>_run`` and ``<c>_total``. Slices are ranges with sampled borders, so they hold like numbers of
-    rows wherever the values lie; the sliced table is written once, so that every reader sees the same borders.
-    What travels between slices is one row for each, as many as shuffle partitions, summed up by one window.
+    Adds ``<c>_run`` and ``<c>_total``. The table is written first, so its rows are computed once and can be counted.
+    Beyond ``ONE_TASK`` rows it is cut into ranges with sampled borders, which hold like numbers of rows wherever the
+    values lie; the sliced table is written too, so that every reader sees the same borders. What travels between
+    slices is one row for each, as many as shuffle partitions, summed up by one window.
     """
+    stored = materialize(df, "ranked")
+    if stored.count() <= ONE_TASK:
+        along, whole = Window.orderBy(order).rowsBetween(*SO_FAR), Window.partitionBy()
+        return stored.select(
+            "*",
+            *[F.sum(c).over(along).alias(f"{c}_run") for c in columns],
+            *[F.sum(c).over(whole).alias(f"{c}_total") for c in columns],
+        )
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.repartitionByRange(parts, order).withColumn(SLICE, F.spark_partition_id())
+    sliced = stored.repartitionByRange(parts, order).withColumn(SLICE, F.spark_partition_id())
     sliced = materialize(sliced, "slices")
     edges = sliced.groupBy(SLICE).agg(*[F.sum(c).alias(c) for c in columns])
     along, whole = Window.orderBy(SLICE).rowsBetween(*BEFORE), Window.partitionBy()

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,15 +164,31 @@ def test_session_zone_does_not_matter(spark):
     assert results[0] == results[1] and len(results[0]) == 4 and results[0][0][1] == 1735689000000000
 
 
-def test_ranked_sums_in_even_slices(spark):
+@pytest.mark.parametrize("one_task", [True, False])
+def test_ranked_sums_either_way(spark, monkeypatch, one_task):
+    from snapgrid.operators import slices
+
+    monkeypatch.setattr(slices, "ONE_TASK", 10**6 if one_task else 0)
+    df = spark.range(3_000).select((F.col("id") * 7 % 3_000).alias("v"), (F.col("id") % 5).alias("n"), F.lit(0.5).alias("w"))
+    rows = sorted(slices.ranked_sums(df, "v", ["n", "w"]).collect(), key=lambda r: r["v"])
+    total = 0
+    for i, r in enumerate(rows):
+        total += r["n"]
+        assert (r["v"], r["n_run"], r["w_run"], r["n_total"], r["w_total"]) == (i, total, (i + 1) / 2, 6_000, 1_500)
+
+
+def test_ranked_sums_in_even_slices(spark, monkeypatch):
     """Slices follow the data: ids close together, far from zero, spread over all of them."""
+    from snapgrid.operators import slices
     from snapgrid.operators.slices import SLICE, ranked_sums
 
+    monkeypatch.setattr(slices, "ONE_TASK", 0)
     df = spark.range(10**9, 10**9 + 20_000, 1, 4).select(F.col("id").alias("v"), (F.col("id") % 7).alias("n"))
     got = ranked_sums(df, "v", ["n"])
-    # What meets in one place is the array of slices, one element each; the only window is inside a slice.
+    # What meets in one place is one row for each slice; the rows' own window is inside a slice.
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SinglePartition") == 1 and "partial_collect_list" in plan.split("SinglePartition")[1]
+    assert plan.count("SinglePartition") == 1
+    assert re.match(r"[^\n]*\n[ +-]*HashAggregate\(keys=\[_slice", plan.split("SinglePartition")[1])
     rows = got.orderBy("v").collect()
     total, run = sum(r["n"] for r in rows), 0
     for r in rows:
