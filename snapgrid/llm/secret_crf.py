@@ -2,7 +2,9 @@
 
 Tokens are runs of letters, digits and the signs of keys. The field tags each as begin, inside or outside of a
 secret from its shape, the words before it, the shapes beside it, what separates them, and features of the whole
-text; Viterbi finds the best tags. It is fitted on a bounded sample whose pattern spans serve as labels.
+text; Viterbi finds the best tags. It is fitted on a bounded sample whose pattern spans serve as labels, and on copies of
+these texts in which keyword and value are replaced by random ones, so that shapes and surroundings have to do: it finds
+secrets that no pattern names.
 
 Decoding is exact but short: a token whose lead for "outside" exceeds anything the transitions could pay
 back is outside on the best path whatever its neighbours are, so only the stretches between such tokens are
@@ -14,6 +16,7 @@ At scale: one pass over all texts without a shuffle; the model is a few tables o
 from __future__ import annotations
 
 import pickle
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -208,11 +211,12 @@ class Model:
         return out
 
 
-def labels(texts: list[str], data: np.ndarray, offsets: np.ndarray, found: Tokens) -> np.ndarray:
-    """Tags from the pattern spans: tokens that the secret itself covers."""
+def labels(texts: list[str], data: np.ndarray, offsets: np.ndarray, found: Tokens, places: list | None = None) -> np.ndarray:
+    """Tags from the places of secrets, or else from the pattern spans: tokens that the secret itself covers."""
     out = np.zeros(len(found.starts), np.int8)
     for i, text in enumerate(texts):
-        for _, _, end, secret in pattern_spans(text):
+        known = places[i] if places else None
+        for secret, end in [(a, b) for _, _, b, a in pattern_spans(text)] if known is None else known:
             a = offsets[i] + len(text[:secret].encode())
             b = offsets[i] + len(text[:end].encode())
             x, y = np.searchsorted(found.ends, a, "right"), np.searchsorted(found.starts, b, "left")
@@ -222,14 +226,114 @@ def labels(texts: list[str], data: np.ndarray, offsets: np.ndarray, found: Token
     return out
 
 
-def fit(texts: list[str], steps: int = 80, ridge: float = 2e-3, rate: float = 0.15) -> Model | None:
-    """Weights that maximise the likelihood of the pattern tags, by Adam; none if no text has a pattern span."""
-    parts, tagged = [], []
+# ---------------------------------------------------------------- hidden forms
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_ALPHABETS = [
+    _LETTERS + _LETTERS.upper() + "0123456789",
+    "0123456789ABCDEF",
+    "0123456789abcdef",
+    _LETTERS + "0123456789",
+    _LETTERS + _LETTERS.upper() + "0123456789+/",
+    _LETTERS + _LETTERS.upper() + "0123456789_-",
+]
+#: Code points of text kept on either side of a secret in a copy that hides it.
+AROUND = 300
+#: Such copies for each text with a secret.
+COPIES = 8
+
+
+def _made_up(rng: random.Random) -> str:
+    """A string of random signs as keys are, some with a short prefix; no pattern finds it by itself."""
+    signs = rng.choice(_ALPHABETS)
+    size = rng.randint(12, 23) if set(signs) <= set("0123456789abcdef") else rng.randint(12, 44)
+    found = "".join(rng.choice(signs) for _ in range(size))
+    if not any(c.isdigit() for c in found):
+        found = found[:-2] + rng.choice("0123456789") + found[-1]
+    if rng.random() < 0.3:
+        found = "".join(rng.choice(_LETTERS) for _ in range(rng.randint(2, 4))) + rng.choice("_-") + found
+    return found + rng.choice(["", "", "", "="] if "+" in signs else [""])
+
+
+def _word(rng: random.Random) -> str:
+    return "".join(rng.choice(_LETTERS) for _ in range(rng.randint(3, 10)))
+
+
+def hidden(text: str, rng: random.Random) -> tuple[str, list[tuple[int, int]]] | None:
+    """The surroundings of a text's first secret with keyword and value replaced, and where the secret is now.
+
+    The keyword becomes a random word, or nothing; the value a random string. So the field has to learn from shapes and
+    surroundings what the patterns know by name.
+    """
+    found = pattern_spans(text)
+    if not found:
+        return None
+    start, _, end, _ = found[0]
+    # The quotes around the old value go with it.
+    before, after = text[max(0, start - AROUND) : start].rstrip("\"'`"), text[end : end + AROUND].lstrip("\"'`")
+    quote = rng.choice(["", "", '"', "'"])
+    lead = rng.choice(["", "", "", f"{_word(rng)} ", f"{_word(rng)}=", f"{_word(rng)}: ", f"{_word(rng)} = ", f"{_word(rng).title()} ", f"{_word(rng)}_{_word(rng)}: "])
+    if before and not before[-1].isspace():
+        before += " "
+    before += lead + quote
+    value = _made_up(rng)
+    whole = before + value + quote + (after if after[:1].isspace() else " " + after)
+    spans = [(a, b) for _, _, b, a in pattern_spans(whole)]
+    at = (len(before), len(before) + len(value))
+    return whole, sorted([*[(a, b) for a, b in spans if b <= at[0] or a >= at[1]], at])
+
+
+def decoy(text: str, rng: random.Random) -> str:
+    """A piece of the text with something in it that looks odd and is no secret."""
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    made = rng.choice(
+        [
+            f"https://www.{_word(rng)}.com/{_word(rng)}/{_word(rng)}-{digits(2)}/{_word(rng)}.html",
+            f"{_word(rng)}.{_word(rng)}{digits(2)}@{_word(rng)}.org",
+            f"20{digits(2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}",
+            f"{_word(rng)}_{_word(rng)}_{_word(rng)}{rng.randint(0, 9)}",
+            f"{_word(rng)}{_word(rng).title()}{_word(rng).title()}",
+            f"/{_word(rng)}/{_word(rng)}/{_word(rng)}_{digits(1)}.txt",
+            f"+{digits(2)} {digits(3)} {digits(7)}",
+            f"v{digits(1)}.{digits(2)}.{digits(1)}-{_word(rng)}",
+            digits(rng.randint(5, 12)),
+            _word(rng) + _word(rng) + _word(rng),
+            f"{_word(rng).upper()}-{digits(4)}",
+            f"{_word(rng)}={_word(rng)}&{_word(rng)}={digits(2)}",
+        ]
+    )
+    at = rng.randrange(len(text) + 1)
+    return f"{text[max(0, at - AROUND) : at]} {made} {text[at : at + AROUND]}"
+
+
+def with_copies(texts: list[str], seed: int = 7) -> tuple[list[str], list[list[tuple[int, int]] | None]]:
+    """The texts, copies that hide their secrets and copies with decoys; and for copies with a hidden secret all secrets'
+    places (None: the patterns say)."""
+    rng = random.Random(seed)
+    out, places = list(texts), [None] * len(texts)
+    for text in texts:
+        for copy in filter(None, (hidden(text, rng) for _ in range(COPIES))):
+            out.append(copy[0])
+            places.append(copy[1])
+        out.append(decoy(text, rng))
+        places.append(None)
+    return out, places
+
+
+def fit(texts: list[str], steps: int = 80, ridge: float = 5e-5, rate: float = 0.15) -> Model | None:
+    """Weights that maximise the likelihood of the tags, by Adam; none if no text has a pattern span.
+
+    Pattern spans are secrets, and so are the values in copies of their surroundings that no pattern finds.
+    """
+    texts, places = with_copies(texts)
+    parts, tagged, done = [], [], 0
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
     for part in tk.slices(batch, "text", SLICE_BYTES):
         data, offsets = tk.texts(part.column("text"))
         parts.append(tokens(data, offsets))
-        tagged.append(labels(part.column("text").to_pylist(), data, offsets, parts[-1]))
+        held = part.column("text").to_pylist()
+        tagged.append(labels(held, data, offsets, parts[-1], places[done : done + len(held)]))
+        done += len(held)
     if not parts:
         return None
     tags = np.concatenate(tagged)
@@ -307,7 +411,8 @@ def train(documents: DataFrame, text: str = "text", sample: int = SAMPLE) -> Mod
     total = rows.count()
     low = F.pmod("place", F.lit(1 << 40))
     searched = rows.where(low < int((1 << 40) * min(1.0, SEARCHED * half / max(total, 1))))
-    marked = searched.where(likely).select("text").limit(sample)
+    # The least hashes of all marked rows: neither files nor their order decide.
+    marked = searched.where(likely).orderBy("place").limit(sample).select("text")
     plain = bounded_sample(rows, half, ["place"]).where("text is not null").select("text")
     chosen = marked.unionAll(plain).repartition(1)
 

@@ -243,11 +243,91 @@ def test_viterbi_equals_the_full_search():
             assert value == pytest.approx(best.max(), abs=1e-3)
 
 
-def test_field_finds_what_patterns_name_otherwise():
-    model = sc.fit(secret_texts())
+#: Secrets that no pattern finds; none of these words, prefixes or forms is in a training copy by name.
+HIDDEN = {
+    "pwd": 'and set pwd = "{}" for it',
+    "bearer": "send Authorization: Bearer {} with it",
+    "prefix": "then use ghp_{} there",
+    "credential": "the credential: {} was given",
+    "bare": "you will need {} for this",
+}
+
+
+def key(rng, n=32):
+    return "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(n))
+
+
+def varied_texts(n=400):
+    """Prose of random words; a third of the texts has a secret that a pattern finds, somewhere."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9)))
+    texts = []
+    for i in range(n):
+        words = [rng.choice([word(), word().title(), word() + rng.choice(",.;:"), str(rng.randrange(3_000))]) for _ in range(rng.randint(15, 60))]
+        secret = rng.choice(["password={}", 'api_key: "{}"', "token = {}", "{}"])
+        if i % 3 == 0:
+            words[rng.randrange(len(words))] = secret.format("".join(rng.choice("0123456789abcdef") for _ in range(28)))
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_field_finds_secrets_that_no_pattern_names():
+    model = sc.fit(varied_texts())
     got = sc.all_spans(pa.array(["plain prose without any", "x password=123456789abcdef000fedc y", None, ""]), model)
     assert got[0] == [] and got[2] == [] and got[3] == []
-    assert got[1] == [(2, 0, 33)]
+    assert got[1] == [(2, 0, 33)]  # a pattern's own span stays as it is
+    rng = random.Random(9)
+    caught = dict.fromkeys(HIDDEN, 0)
+    for name, form in HIDDEN.items():
+        for _ in range(40):
+            value = key(rng)
+            text = "some words here " + form.format(value) + " and more words after that"
+            assert sc.pattern_spans(text) == []
+            spans = sc.all_spans(pa.array([text]), model)[0]
+            at = text.index(value)
+            caught[name] += any(kind == 3 and a <= at and at + len(value) <= b for a, kind, b in spans)
+    assert min(caught.values()) >= 36, caught
+
+
+def test_field_leaves_ordinary_text_alone():
+    model = sc.fit(varied_texts())
+    plain = [
+        "See https://www.example.com/some/long-path_to/page.html and mail first.last@example.org today.",
+        "Call +49 30 1234567 on 2024-05-17, order 20394857, room B-204, version 3.11.2 of the file.",
+        "Donaudampfschifffahrtsgesellschaft and internationalization, snake_case_name2 and camelCaseName.",
+        "/usr/local/share/doc/readme_1.txt holds 1,234,567 rows; x=1&y=2 is a query.",
+        "The quick brown fox jumps over the lazy dog near the old mill by the river.",
+    ]
+    assert [len(s) for s in sc.all_spans(pa.array(plain), model)] == [0] * len(plain)
+
+
+@needs_data
+def test_field_on_held_out_documents():
+    """Fitted on two thirds of the documents, with secrets that patterns find planted in some: forms that no pattern
+    names are found in the others, and nothing in their own text."""
+    import pyarrow.parquet as pq
+
+    docs = [d for d in pq.read_table(f"{DATA}/documents.parquet", columns=["doc_id", "text"]).to_pylist() if d["text"]]
+    rng = random.Random(2)
+
+    def planted(text, piece):
+        at = text.find(" ", len(text) // 2) + 1
+        return f"{text[:at]}{piece} {text[at:]}"
+
+    known = ["password={}", 'api_key: "{}"', "token = {}", "secret: '{}'"]
+    value = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(28))
+    train = [d["text"] for d in docs if d["doc_id"] % 3]
+    train = [planted(t, rng.choice(known).format(value())) if i % 2 else t for i, t in enumerate(train)]
+    model = sc.fit(train)
+    rest = [d["text"][:2_000] for d in docs if not d["doc_id"] % 3] * 3
+    hits = extra = 0
+    for text in rest:
+        extra += len(sc.all_spans(pa.array([text]), model)[0]) - len(sc.pattern_spans(text))
+        secret = key(rng, rng.choice([20, 32, 40]))
+        text = planted(text, rng.choice(list(HIDDEN.values())).format(secret))
+        spans = sc.all_spans(pa.array([text]), model)[0]
+        hits += any(a <= text.index(secret) and text.index(secret) + len(secret) <= b for a, _, b in spans)
+    assert len(rest) > 150 and hits >= 0.8 * len(rest) and extra <= 0.01 * len(rest), (hits, extra, len(rest))
 
 
 def test_pattern_spans():
