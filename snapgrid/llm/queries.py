@@ -198,6 +198,24 @@ def _quality_rules(spark, sf_dir):
     )
 
 
+def _crc_table() -> str:
+    """The 256 values of the byte-wise checksum, as a list in a table ``t``."""
+    step = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+    inner = "(SELECT n, CAST(n AS BIGINT) AS v0 FROM range(256) s(n))"
+    for i in range(1, 8):
+        inner = f"(SELECT n, {step.format(f'v{i - 1}')} AS v{i} FROM {inner})"
+    return f"t AS (SELECT list(v8 ORDER BY n) AS tab FROM (SELECT n, {step.format('v7')} AS v8 FROM {inner}))"
+
+
+_CRC_TABLE = _crc_table()
+
+
+def _crc(text: str) -> str:
+    """The checksum of an ASCII text, where the table ``t`` is at hand."""
+    signs = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {signs}), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
 def _manifest_sql(levels: int = 12, fan: int = 3) -> str:
     """The tree of every source, then the tree over the sources, level by level, for up to 3 ** levels rows each."""
 
@@ -233,16 +251,9 @@ def _manifest_sql(levels: int = 12, fan: int = 3) -> str:
             f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END" for c in columns
         ) + ")"
 
-    crc = f"""SELECT doc_id, CAST(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
-        lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])) AS BIGINT) AS c FROM (SELECT DISTINCT doc_id FROM documents), t"""
-    eighth = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
-    table_sql = "SELECT list(v8 ORDER BY n) AS tab FROM (SELECT n, v7, " + eighth.format("v7") + " AS v8 FROM "
-    inner = "(SELECT n, CAST(n AS BIGINT) AS v0 FROM range(256) s(n))"
-    for i in range(1, 8):
-        inner = f"(SELECT n, {eighth.format(f'v{i - 1}')} AS v{i} FROM {inner})"
-    return f"""WITH t AS ({table_sql}{inner})),
-crc AS ({crc}),
-d AS (SELECT documents.*, replace(text, chr(10), '') AS cut, xor(c, 4294967295) AS c FROM documents LEFT JOIN crc USING (doc_id)),
+    return f"""WITH {_CRC_TABLE},
+crc AS (SELECT doc_id, {_crc("CAST(doc_id AS VARCHAR)")} AS c FROM (SELECT DISTINCT doc_id FROM documents), t),
+d AS (SELECT documents.*, replace(text, chr(10), '') AS cut, c FROM documents LEFT JOIN crc USING (doc_id)),
 e AS (SELECT doc_id, source, {leaf("text")} AS h, CASE WHEN c % 2 = 0 THEN {leaf("cut")} ELSE {leaf("text")} END AS f FROM d),
 l AS (SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS s,
              row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS r FROM e),
@@ -288,7 +299,61 @@ def damaged(conversations: DataFrame) -> DataFrame:
     ).drop("_copy")
 
 
-@query("op13_conversation_repair")
+def _repair_sql() -> str:
+    """Cheapest edits by recursion over a conversation's rows: for each way the repaired part can end (0 empty, 1 system,
+    2 user, 3 assistant) the least (cost, audit), and the turns made so far."""
+    after, names = {0: 2, 1: 2, 2: 3, 3: 2}, {2: "user", 3: "assistant"}
+    keeps = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (3, "u"): 2, (2, "a"): 3}
+    base = [(w, "D", "-", w, 2, None) for w in range(4)] + [(w, "R", "-", after[w], 1, names[after[w]]) for w in range(4)]
+    base += [(w, "K", initial, to, 0, "") for (w, initial), to in keeps.items()]
+    moves, starts = [], []
+    for w, edit, initial, to, cost, role in base:
+        added = []
+        for k in range(3):
+            turns = "[" + ", ".join(f"'{a}'" for a in added) + "]::VARCHAR[]"
+            own = "NULL" if role is None else f"'{role}'"
+            moves.append(f"({w}, '{edit}', '{initial}', {to}, {cost + 5 * k}, '{edit + 'I' * k}', {own}, {turns})")
+            if w == 0 and edit == "D":
+                starts.append(f"SELECT conv_id, 0, {to}, {5 * k}, '{'I' * k}', {turns} FROM (SELECT DISTINCT conv_id FROM r)")
+            to = after[to]
+            added.append(f"{names[to]}:")
+    return rf"""WITH RECURSIVE {_CRC_TABLE},
+k AS (SELECT *, {_crc("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS f FROM conversations, t),
+d AS (SELECT conv_id, turn, coalesce(CASE WHEN f = 4 THEN 'user' ELSE role END, ' ') AS role,
+             coalesce(CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END, ' ') AS text,
+             unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM k WHERE f <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+q AS (SELECT *, left(role, 1) AS c, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+             regexp_matches(text, '[^.!?\x20\x09-\x0D][\x20\x09-\x0D]*\z') AS cut FROM o),
+r AS (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND cut AS stump,
+             lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair FROM q),
+m(w, edit, c, too, price, audit, own, added) AS (VALUES {", ".join(moves)}),
+st(conv_id, i, w, best) AS (
+  SELECT conv_id, 0, w, struct_pack(cost := cost, audit := audit, turns := turns)
+  FROM ({" UNION ALL ".join(starts)}) AS s(conv_id, i0, w, cost, audit, turns)
+  UNION ALL
+  SELECT conv_id, i, w, min(best) FROM (
+    SELECT r.conv_id, r.i, m.too AS w, struct_pack(cost := st.best.cost + m.price + CASE WHEN m.edit <> 'D' AND r.stump THEN 5 ELSE 0 END,
+           audit := st.best.audit || m.audit,
+           turns := list_concat(st.best.turns, CASE WHEN m.own IS NULL THEN []::VARCHAR[]
+             WHEN m.own = '' THEN [r.role || ':' || r.text] ELSE [m.own || ':' || r.text] END, m.added)) AS best
+    FROM st JOIN r ON r.conv_id IS NOT DISTINCT FROM st.conv_id AND r.i = st.i + 1
+    JOIN m ON m.w = st.w AND (m.c = '-' OR m.c = r.c) AND (m.edit = 'D' OR NOT r.gone)) AS options
+  GROUP BY conv_id, i, w),
+n AS (SELECT conv_id, count(*) AS n, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+             count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate, count(*) FILTER (stump) AS truncated,
+             count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+e AS (SELECT st.conv_id, min(best) AS best FROM st JOIN n ON n.conv_id IS NOT DISTINCT FROM st.conv_id AND st.i = n.n WHERE w IN (0, 3) GROUP BY st.conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(n.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(best.turns, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+@query("op13_conversation_repair", _repair_sql())
 def _conversation_repair(spark, sf_dir):
     from snapgrid.llm.turn_repair import repairs
 
