@@ -150,9 +150,23 @@ class Model:
         return out
 
 
-def train(documents: DataFrame) -> Model:
-    """Counts over all rows of ``documents`` (``text`` and ``lang``, both not null) and the frozen costs."""
-    rows = documents.select("lang", "text").where("lang is not null and text is not null")
+#: Labelled rows of each language that a fit reads, about: the model grows with the languages, not with the rows.
+ROWS_PER_LANGUAGE = 20_000
+
+
+def train(documents: DataFrame, most: int = ROWS_PER_LANGUAGE) -> Model:
+    """Counts over ``documents`` (``text`` and ``lang``, both not null) and the frozen costs.
+
+    All rows of a language with up to ``most`` rows count; of others a share by a hash of id and text.
+    """
+    place = F.xxhash64(*[c for c in ("doc_id", "text") if c in documents.columns]).alias("place")
+    rows = documents.select("lang", "text", place).where("lang is not null and text is not null")
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = {lang: most / n for lang, n in sizes.items() if n > most}
+    if shares:
+        share = F.create_map(*[F.lit(x) for pair in sorted(shares.items()) for x in pair])[F.col("lang")]
+        rows = rows.where(F.pmod("place", F.lit(1 << 40)) < F.coalesce(share, F.lit(1.0)) * F.lit(float(1 << 40)))
+    rows = rows.drop("place")
     grams = rows.mapInArrow(tidy(_count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     grams = materialize(grams, "ppm-grams")
     languages = [r.lang for r in grams.select("lang").distinct().orderBy("lang").collect()]

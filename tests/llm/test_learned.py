@@ -176,6 +176,22 @@ def test_rare_languages_keep_their_contexts(spark):
     assert (bits.argmin(1) == np.arange(30)).mean() > 0.95
 
 
+def test_rows_of_a_language_are_bounded(spark):
+    """A language with many rows is fitted on a share of them, by hash; small ones on all of theirs."""
+    rng = random.Random(5)
+    word = lambda signs: "".join(rng.choice(signs) for _ in range(rng.randint(2, 8)))
+    text = {"aa": lambda: " ".join(word("abcde") for _ in range(9)), "bb": lambda: " ".join(word("cdefg") for _ in range(9))}
+    rows = [(i, text["aa"](), "aa", None, None) for i in range(2_000)] + [(5_000 + i, text["bb"](), "bb", None, None) for i in range(60)]
+    docs = frame(spark, rows).repartition(7)
+    whole, part = ppm.train(docs), ppm.train(docs, most=100)
+    sizes = [[sum(len(level.grams) for level in levels) for levels in m.levels] for m in (whole, part)]
+    assert sizes[1][0] < sizes[0][0] and sizes[1][1] == sizes[0][1]
+    assert [len(level.grams) for level in ppm.train(docs.repartition(3), most=100).levels[0]] == [len(level.grams) for level in part.levels[0]]
+    held = [(lang, text[lang]()) for lang in ("aa", "bb") for _ in range(100)]
+    found = part.bits(pa.array([t for _, t in held])).argmin(1)
+    assert sum(part.languages[f] == lang for f, (lang, _) in zip(found, held)) >= 196
+
+
 def test_long_texts_are_summed_in_pieces(spark, monkeypatch):
     model = ppm.train(frame(spark, [(1, "abc abd abe", "en", None, None), (2, "xyz xyw", "de", None, None)]))
     texts = pa.array(["abc xyz " * 40, "", None, "xyw " * 33, "é"])
