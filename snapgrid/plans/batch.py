@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapgrid.operators import classify, encode, grid, labels, quality, rows, state
+from snapgrid.operators import classify, encode, grid, labels, quality, rows, state, trees
 from snapgrid.plans.ingest import extract_ports, extract_stations, locations
 from snapgrid.schema import HORIZON_MINUTES, STATE_COLUMNS, STATIC_COLUMNS, StagePaths
 from snapgrid.session import use_utc
@@ -69,7 +69,10 @@ def dense(spark: SparkSession, paths: StagePaths, static_until=None) -> tuple[in
 
 
 def train(spark: SparkSession, paths: StagePaths, settings: classify.TrainSettings = classify.TrainSettings()) -> DataFrame:
-    """One model and one metrics record per horizon; returns all metrics records."""
+    """One model and one metrics record per horizon; returns all metrics records.
+
+    Beside each model stands the table of its nodes up to the best round, which is what scores rows (``trees.with_scores``).
+    """
     columns = labels.label_inputs(settings.features)
     grid_table = read_stage(spark, paths.path("dense"), columns=columns, ts="ts")
     table = classify.training_table(grid_table, HORIZON_MINUTES, settings)
@@ -77,6 +80,8 @@ def train(spark: SparkSession, paths: StagePaths, settings: classify.TrainSettin
         model, _, metrics = classify.train_labelled(table, horizon, settings)
         save_model(model, f"{paths.path('models')}/horizon_{horizon}m")
         write_metrics(metrics, f"{paths.path('metrics')}/horizon={horizon}")
+        rounds = metrics.first()["best_iteration"] + 1
+        write_table(trees.first_rounds(classify.model_nodes(model), rounds), f"{paths.path('nodes')}/horizon_{horizon}m")
     return spark.read.json(paths.path("metrics"))
 
 

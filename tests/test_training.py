@@ -134,6 +134,8 @@ def test_whole_chain(spark, tmp_path):
     assert dense_table.agg(F.sum("is_stale")).first()[0] == 0
     assert dense_table.filter("is_observed = 0").count() > 0
     PipelineModel.load(f"{paths.path('models')}/horizon_10m")
+    nodes = spark.read.parquet(f"{paths.path('nodes')}/horizon_10m")
+    assert nodes.agg(F.max("tree")).first()[0] == metrics.filter("horizon = 10").first()["best_iteration"]
     tables = reports.gap_report(spark, paths.path("selected"), output_csv=str(tmp_path / "coverage"))
     assert {"gap_hours", "label_coverage", "occupied_rate"} <= set(tables)
     assert tables["gap_hours"].first()["p50"] == pytest.approx(1 / 3)
