@@ -195,7 +195,9 @@ def found_licenses(
 def license_summary(documents: DataFrame, settings: Settings | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: ``doc_id``, ``licenses`` (sorted, joined by commas), ``n_licenses``, ``containment``.
 
-    A document without any has an empty string, 0 and null. A null id stands for all documents without an id.
+    A document without any, a null or empty text too, has an empty string, 0 and null. A null id stands for all documents
+    without an id, rows of one id are one document. Texts of any length are searched whole; all licenses found
+    count; an empty table gives no rows; other columns are not read.
     """
     matches = found_licenses(documents, settings, doc_id, text)
     by_doc = matches.groupBy(F.col("doc_id").alias("found_id")).agg(

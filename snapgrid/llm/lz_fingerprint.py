@@ -127,7 +127,8 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     The next document is the one with the next greater id (null ids first, equal ids by text); after the last comes
     the first. A null text counts as empty; an empty text has an empty fingerprint and is like another empty one.
-    Equal texts have equal fingerprints. Repeated rows each give a row. Other columns are not read.
+    Equal texts have equal fingerprints. Repeated rows each give a row. Texts of any length are parsed whole; an empty
+    table gives no rows. Rows of one id, or without one, are one task. Other columns are not read.
     """
     spark = documents.sparkSession
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -96,7 +96,8 @@ def sharded(documents: DataFrame, shards: int = 8, doc_id: str = "doc_id", text:
 
     Equal texts share a shard, and no contiguous cut of the groups has a smaller largest shard. A null text counts
     as empty. Slots number the rows of a shard from 0 by cell of the hashed row, then by id; repeated rows take
-    neighbouring slots. A null id is sharded by its text like any other. Other columns are not read.
+    neighbouring slots. A null id is sharded by its text like any other. A text
+    larger than all others together has a shard to itself; an empty table gives no rows. Other columns are not read.
     """
     plain = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = documents.select(

@@ -209,7 +209,8 @@ def predictions(documents: DataFrame, model: Model, doc_id: str = "doc_id", text
 
     The score is the language's share when every language's code length counts as its probability. Null and
     letterless texts, and all texts under a model of no language, are ``und`` with score 0. Equal code lengths
-    go to the first language by name. Repeated rows get equal results; other columns are not read.
+    go to the first language by name. Long texts are summed up in pieces; an empty table gives no rows. Repeated rows
+    get equal results; other columns are not read.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 

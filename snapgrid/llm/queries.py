@@ -28,7 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_near_dedup")
+@query(
+    "op1_near_dedup",
+    r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, i, i + 4) END AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, e.y FROM reach JOIN e ON e.x = reach.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT documents.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, documents.doc_id = component_id AS kept
+FROM documents JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)""",
+)
 def _near_dedup(spark, sf_dir):
     from snapgrid.llm.near_dedup import Settings, near_duplicates
 
