@@ -689,6 +689,18 @@ def _first_per_key(spark, sf_dir):
     return finished(rows.first_per_key(items, ["l_suppkey"], ["l_shipdate"]))
 
 
+@query(
+    "first_copies",
+    'SELECT o_custkey, o_orderstatus, min(o_orderkey) AS "place", date_trunc(\'year\', o_orderdate) AS "year" FROM orders GROUP BY ALL',
+)
+def _first_copies(spark, sf_dir):
+    """One of each set of equal rows, numbered by the first of them; the number itself is not compared."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderstatus", F.col("o_orderkey").alias("place"), F.date_trunc("year", "o_orderdate").alias("year")
+    )
+    return naive(rows.first_copies(orders, "place"))
+
+
 @query("distinct_rows", "SELECT DISTINCT user_id, event_type FROM events")
 def _distinct_rows(spark, sf_dir):
     return table(spark, sf_dir, "events").select("user_id", "event_type").distinct()

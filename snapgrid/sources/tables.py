@@ -22,6 +22,8 @@ CSV_OPTIONS = {"header": True, "escape": '"'}
 #: Where a row comes from: file, start of its block, place in the task that read the block.
 ORIGIN = ["_file", "_block", "_row"]
 PLACE_BITS = 33
+#: A list of at most so many blocks, a path and two numbers each, is broadcast.
+BROADCAST_BLOCKS = 200_000
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -77,12 +79,15 @@ def with_origin(scan: DataFrame) -> DataFrame:
 def in_file_order(df: DataFrame, name: str) -> DataFrame:
     """The columns of ``ORIGIN`` as one number that grows in file order: files by path, then rows as they stand.
 
-    Only the list of blocks is sorted; a block is read by one task, in order.
+    Only the list of blocks is sorted; a block is read by one task, in order. The list goes to every task once its
+    count has proved it small, so rows do not move; a longer one is joined by shuffle.
     """
     blocks = numbered(df.select(*ORIGIN[:2]).distinct(), ORIGIN[:2], "_nth")
+    small = blocks.count() <= BROADCAST_BLOCKS
     inside = F.col(ORIGIN[2]).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     place = F.shiftleft("_nth", PLACE_BITS) + inside
-    return lookup_join(df, blocks, ORIGIN[:2], "inner").withColumn(name, place).drop(*ORIGIN, "_nth")
+    found = lookup_join(df, F.broadcast(blocks) if small else blocks, ORIGIN[:2], "inner")
+    return found.withColumn(name, place).drop(*ORIGIN, "_nth")
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*", prefixes: tuple[str, ...] = ()) -> list[str]:

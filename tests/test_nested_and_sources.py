@@ -283,8 +283,10 @@ def test_location_consolidation(spark, tmp_path):
         ingest.tables_with_hours(spark, str(tmp_path / "plain"))
 
 
-def test_last_in_file_order(spark, tmp_path):
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_last_in_file_order(spark, tmp_path, monkeypatch, broadcast):
     """The file's order decides between rows of one version, not their values; files go by name, copies count once."""
+    monkeypatch.setattr(tables, "BROADCAST_BLOCKS", broadcast)
     raw, hours = tmp_path / "raw", tmp_path / "hours"
     header = "id,last_updated,name"
     csv(raw, "2023_b.csv", header, "1,2024-01-01T00:00:00Z,a", "2,2024-01-01T00:00:00Z,y", "3,2024-01-01T00:00:00Z,q")
