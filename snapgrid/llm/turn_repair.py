@@ -226,16 +226,17 @@ class Conversation:
             way = whole[1]
         self.cost += costs[way]
         self.way = way
-        pieces, size = [], self.back.tell()
+        backwards, size = bytearray(), self.back.tell()
         block = 1 << 16
         for start in range((size - 1) // block * block, -1, -block):
             self.back.seek(start)
             held = self.back.read(min(block, size - start))
             for (number,) in reversed(list(struct.iter_unpack("<H", held))):
                 way, edits = self.steps.step[number][2][way]
-                pieces.append(edits[::-1])
+                backwards += edits[::-1].encode()
         self.back.close()
-        return "".join(pieces)[::-1]
+        backwards.reverse()
+        return backwards.decode()
 
     def result(self) -> dict:
         audit = self.audit()
