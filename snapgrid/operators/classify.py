@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from snapgrid.functions.time import grid_steps
 from snapgrid.operators.labels import eligible_rows, label_inputs, label_split, split_point, with_labels
 from snapgrid.operators.metrics import binary_metrics, exact_auc, split_counts
-from snapgrid.operators.trees import first_rounds, read_nodes, with_scores
+from snapgrid.operators.trees import BoostSettings, Node, boost, first_rounds, read_nodes, with_scores
 from snapgrid.schema import FEATURE_COLUMNS, GRID_MINUTES
 from snapgrid.session import materialize, shared_folder
 
@@ -238,6 +238,30 @@ def train_labelled(
     start = prepared(labelled, horizon_minutes, settings, key, state)
     model, rounds = fit_best(start, settings)
     nodes = read_nodes(first_rounds(model_nodes(model), rounds))
+    return model, *evaluated(start, nodes, rounds, horizon_minutes, settings, key)
+
+
+def train_trees(
+    labelled: DataFrame,
+    horizon_minutes: int,
+    settings: TrainSettings = TrainSettings(),
+    key: str = "st_id",
+    state: str = "available_ports",
+) -> tuple[list[Node], DataFrame, DataFrame]:
+    """The same with trees boosted by aggregations: the nodes up to the best round, scored rows and a metrics row.
+
+    Leaf values have an L2 term, each tree sees its own share of rows and features.
+    """
+    start = prepared(labelled, horizon_minutes, settings, key, state)
+    shared = {f.name for f in fields(BoostSettings)} & {f.name for f in fields(TrainSettings)}
+    nodes, _ = boost(start.ready, start.features, BoostSettings(**{name: getattr(settings, name) for name in shared}))
+    return nodes, *evaluated(start, nodes, max(n.tree for n in nodes) + 1, horizon_minutes, settings, key)
+
+
+def evaluated(
+    start: Prepared, nodes: list[Node], rounds: int, horizon_minutes: int, settings: TrainSettings, key: str
+) -> tuple[DataFrame, DataFrame]:
+    """The validation rows with their scores, and the metrics row."""
     scored = with_scores(start.ready.filter("is_valid"), nodes).select(key, "ts", "target", "score")
     measured = materialize(scored, f"scores-{horizon_minutes}")
     facts = start.facts | {"best_iteration": rounds - 1}
@@ -249,4 +273,4 @@ def train_labelled(
         F.lit(auc).cast("double").alias("auc"),
         *[c for c in rest.columns if c not in ("rows", "positive_rate")],
     )
-    return model, measured, metrics
+    return measured, metrics

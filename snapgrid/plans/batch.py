@@ -68,20 +68,30 @@ def dense(spark: SparkSession, paths: StagePaths, static_until=None) -> tuple[in
     return write_counted(table, paths.path("dense"), "st_id")
 
 
-def train(spark: SparkSession, paths: StagePaths, settings: classify.TrainSettings = classify.TrainSettings()) -> DataFrame:
+def train(
+    spark: SparkSession,
+    paths: StagePaths,
+    settings: classify.TrainSettings = classify.TrainSettings(),
+    by_aggregations: bool = False,
+) -> DataFrame:
     """One model and one metrics record per horizon; returns all metrics records.
 
     Beside each model stands the table of its nodes up to the best round, which is what scores rows (``trees.with_scores``).
+    With ``by_aggregations`` the trees are boosted by ``trees.boost``, and the nodes are the model.
     """
     columns = labels.label_inputs(settings.features)
     grid_table = read_stage(spark, paths.path("dense"), columns=columns, ts="ts")
     table = classify.training_table(grid_table, HORIZON_MINUTES, settings)
     for horizon in HORIZON_MINUTES:
-        model, _, metrics = classify.train_labelled(table, horizon, settings)
-        save_model(model, f"{paths.path('models')}/horizon_{horizon}m")
+        if by_aggregations:
+            found, _, metrics = classify.train_trees(table, horizon, settings)
+            nodes = trees.node_frame(spark, found)
+        else:
+            model, _, metrics = classify.train_labelled(table, horizon, settings)
+            save_model(model, f"{paths.path('models')}/horizon_{horizon}m")
+            nodes = trees.first_rounds(classify.model_nodes(model), metrics.first()["best_iteration"] + 1)
+        write_table(nodes, f"{paths.path('nodes')}/horizon_{horizon}m")
         write_metrics(metrics, f"{paths.path('metrics')}/horizon={horizon}")
-        rounds = metrics.first()["best_iteration"] + 1
-        write_table(trees.first_rounds(classify.model_nodes(model), rounds), f"{paths.path('nodes')}/horizon_{horizon}m")
     return spark.read.json(paths.path("metrics"))
 
 

@@ -53,6 +53,21 @@ def test_training_learns_the_clock(spark):
     assert scored.filter("score < 0 or score > 1").isEmpty()
 
 
+def test_trees_by_aggregations_learn_the_clock(spark, tmp_path):
+    table = dense(spark, 300, lambda s, i: 0 if (i // 6) % 24 < 8 else 2)
+    settings = classify.TrainSettings(rounds=4, depth=2, learning_rate=0.5, balance_classes=True, column_share=1.0)
+    labelled = classify.training_table(table, [20], settings)
+    nodes, scored, metrics = classify.train_trees(labelled, 20, settings)
+    row, other = metrics.first(), classify.train_labelled(labelled, 20, settings)[2].first()
+    assert metrics.columns == classify.train_labelled(labelled, 20, settings)[2].columns
+    assert row["rows_train"] == other["rows_train"] and row["best_iteration"] == max(n.tree for n in nodes)
+    assert row["auc"] > 0.9 and scored.count() == row["rows_valid"]
+    paths = StagePaths(str(tmp_path))
+    table.write.parquet(paths.path("dense"))
+    assert batch.train(spark, paths, classify.TrainSettings(rounds=1, depth=1), by_aggregations=True).count() == 3
+    assert spark.read.parquet(f"{paths.path('nodes')}/horizon_30m").count() in (1, 3)
+
+
 def test_stale_rows_are_dropped_at_the_scan(spark, tmp_path):
     path = str(tmp_path / "dense")
     dense(spark, 5, lambda s, i: i).withColumn("unused", F.lit("x")).write.parquet(path)
