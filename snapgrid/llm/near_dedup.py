@@ -382,7 +382,8 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable over links, ``kept`` marks the document that has it. Null,
     empty and blank texts have no shingles and are linked with nothing. Rows of one id are one document: copies
     of a row get equal results, and differing texts under one id count as linked. A null id is linked with
-    nothing: its component is null and it is kept. Other columns are not read.
+    nothing: its component is null and it is kept. Texts of any length count whole; an empty table gives no rows. Other
+    columns are not read.
     """
     settings = settings or Settings()
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

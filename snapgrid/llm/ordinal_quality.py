@@ -232,7 +232,8 @@ def graded(documents: DataFrame, model: Model, wanted: int = 2, text: str = "tex
     """All columns of ``documents`` with ``expected_grade`` and ``tail`` (P(grade >= ``wanted``)); and their names.
 
     A null text, and one without any word, has grade 0 and tail 0: there is nothing to train on. Added columns take
-    underscores where a name is taken. Repeated rows get equal results.
+    underscores where a name is taken. Repeated rows get equal results. Texts of any length are read whole; an empty table
+    stays empty.
     """
     names = {n: fresh_name(n, documents.columns) for n in ("expected_grade", "tail")}
     schema = T.StructType(

@@ -286,8 +286,9 @@ def packed(documents: DataFrame, settings: Settings, doc_id: str = "doc_id", tex
     ``doc_tokens``, ``sequence_id`` and ``offset`` there.
 
     Every document ends with ``end_id``; a null or empty text is that id alone. Only documents longer than a
-    window are cut, every ``size`` ids. Repeated rows are packed each for itself; a null doc_id stays null.
-    Other columns are not read.
+    window are cut, every ``size`` ids; texts may be of any length. Of windows that fit equally well the first opened is
+    taken. Repeated rows are packed each for itself; a null doc_id stays null; an empty table gives no rows. Other
+    columns are not read.
     """
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     first = materialize(source.mapInArrow(tidy(_pack(settings)), _PACKED), "packing-first")
