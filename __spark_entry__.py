@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -1043,6 +1043,14 @@ def _export_sorted(spark, sf_dir):
 
 # ---------------------------------------------------------------- nested data
 
+#: Rows that one document holds at most, if these are dealt evenly. The number of documents grows with the rows.
+DOCUMENT_ROWS = 500_000
+
+
+def document_part(rows: int) -> Column:
+    """The part of its group that a row's document holds, dealt by the row's place, so that copies spread too."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(1 + rows // DOCUMENT_ROWS))
+
 
 @query(
     "json_flatten",
@@ -1110,9 +1118,11 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey
 def _snapshot_chain(spark, sf_dir):
     """Nested documents to locations, stations and ports: customers hold orders, orders hold line items.
 
-    Each nation's customers are three documents: an envelope, a list, and a list whose records have a field of their own.
+    Each nation's customers are documents of three kinds: envelopes, lists, and lists whose records have a field of their
+    own. With more line items there are more documents, not larger ones.
     """
-    lines = table(spark, sf_dir, "lineitem").select(
+    items = table(spark, sf_dir, "lineitem")
+    lines = items.select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.struct(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
@@ -1136,7 +1146,8 @@ def _snapshot_chain(spark, sf_dir):
         hours.alias("opening_hours"),
         "stations",
     )
-    found = table(spark, sf_dir, "customer").join(stations, "c_custkey").groupBy("c_nationkey", kind.alias("kind"))
+    customer = table(spark, sf_dir, "customer").withColumn("part", document_part(items.count()))
+    found = customer.join(stations, "c_custkey").groupBy("c_nationkey", kind.alias("kind"), "part")
     text = F.to_json("records")
     shaped = F.when(F.col("kind") == 0, F.concat(F.lit('{"locations":'), text, F.lit(',"made":"now"}'))).otherwise(text)
     path = f"{shared_folder(spark).rstrip('/')}/chain-{uuid.uuid4().hex}"

@@ -19,6 +19,9 @@ from snapgrid.sources.tables import ORIGIN, in_file_order
 SOURCE = [("file_path", ORIGIN[0]), ("file_block_start", ORIGIN[1])]
 #: The files of a folder that are snapshot documents.
 PATTERN = "*.json"
+#: What ends a JSON text in a sequence of them (RFC 7464). No JSON text holds it, so a file read by it is one document.
+#: A document is in memory then: the ``multiLine`` reader goes back to the file for every number that is read as text.
+SEPARATOR = "\x1e"
 
 
 def records_of(document: Column, envelope: str = "locations") -> Column:
@@ -104,7 +107,7 @@ def read_snapshots(
     raw = (
         use_utc(spark)
         .read.schema(T.StructType([T.StructField(envelope, rows), *loose.fields]))
-        .option("multiLine", True)
+        .option("lineSep", SEPARATOR)
         .option("mode", "PERMISSIVE")
         .option("pathGlobFilter", pattern)
         .json(folder)
