@@ -1079,7 +1079,8 @@ UNION ALL SELECT n_nationkey, n_name, NULL, NULL, NULL, 'region ' || n_regionkey
 def _json_mixed_shapes(spark, sf_dir):
     """Documents of all shapes, written as files: envelopes of customers, lists of suppliers, one nation in each.
 
-    Only suppliers have phones, only nations (lone records) a region; the envelope's own fields are no columns.
+    Only suppliers have phones, only nations (lone records) a region; the envelope's own fields are no columns. With more
+    rows there are more documents, not larger ones.
     """
     customer, supplier, nation = (table(spark, sf_dir, name) for name in ("customer", "supplier", "nation"))
     of_customer = F.struct(
@@ -1093,10 +1094,11 @@ def _json_mixed_shapes(spark, sf_dir):
         F.col("n_nationkey").alias("id"), F.col("n_name").alias("label"), F.lit("nations").alias("shape"),
         F.concat(F.lit("region "), F.col("n_regionkey").cast("string")).alias("region"),
     )
-    enveloped = customer.groupBy("c_nationkey").agg(F.collect_list(of_customer).alias("locations"))
+    customer, supplier = (df.withColumn("part", document_part(df.count())) for df in (customer, supplier))
+    enveloped = customer.groupBy("c_nationkey", "part").agg(F.collect_list(of_customer).alias("locations"))
     documents = [
         enveloped.select(F.to_json(F.struct("locations", F.lit("now").alias("exported"))).alias("value")),
-        supplier.groupBy("s_nationkey").agg(F.to_json(F.collect_list(of_supplier)).alias("value")).select("value"),
+        supplier.groupBy("s_nationkey", "part").agg(F.to_json(F.collect_list(of_supplier)).alias("value")).select("value"),
         nation.select(F.to_json(of_nation).alias("value")),
     ]
     path = f"{shared_folder(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
