@@ -1027,18 +1027,23 @@ def _export_sorted(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("priority", F.nullif("o_orderpriority", F.lit("5-LOW")))
     path = f"{shared_folder(spark).rstrip('/')}/sorted-{uuid.uuid4().hex}"
     write_csv(orders.select("o_orderkey", "priority", "o_totalprice"), path, ["-priority", "o_totalprice", "o_orderkey"])
-    lines = spark.read.option("header", True).csv(path).select(
-        F.col("o_orderkey").cast("long").alias("o_orderkey"),
-        F.col("_metadata.file_name").alias("file"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    # Files are in order, and so are the lines of each.
-    counts = lines.groupBy("file").agg(F.count("*").alias("n"))
-    listed = counts.agg(F.sort_array(F.collect_list(F.struct("file", "n"))).alias("all"))
-    earlier = F.aggregate(F.filter("all", lambda x: x["file"] < F.col("file")), F.lit(0).cast("long"), lambda t, x: t + x["n"])
-    nth = F.row_number().over(Window.partitionBy("file").orderBy("line"))
-    # One row.
-    return lines.join(F.broadcast(listed)).select((earlier + nth).alias("place"), "o_orderkey")
+    return written_order(spark, path).select("place", F.col("o_orderkey").cast("long").alias("o_orderkey"))
+
+
+def written_order(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of written CSV files with their ``place`` from 1. Files are in order, and so are the blocks and lines of each.
+
+    A task reads a block in order, so its lines have numbers in a row; only the list of blocks is sorted and summed up.
+    """
+    scan = spark.read.option("header", True).csv(path)
+    block = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    lines = materialize(scan.select("*", *block, F.monotonically_increasing_id().alias("line")), "lines")
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("line").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file", "block").rowsBetween(*slices.BEFORE)), F.lit(0))
+    starts = blocks.select("file", "block", (before - F.col("first") + 1).alias("start"))
+    # One row for each block of a file.
+    found = lines.join(F.broadcast(starts), ["file", "block"])
+    return found.select(*scan.columns, (F.col("start") + F.col("line")).alias("place"))
 
 
 # ---------------------------------------------------------------- nested data
