@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapgrid.operators.rows import quoted, require_columns
-from snapgrid.session import use_utc
+from snapgrid.operators.rows import lookup_join, quoted, require_columns
+from snapgrid.session import materialize, use_utc
 
 MISSING = "<NA>"
+#: Pieces of tuples that one task counts: sizes before the tuples are taken apart say nothing about them.
+TASK_PIECES = 500_000
+#: At most so many names for each column are frequent.
+FREQUENT = 1000
 
 
 def column_inventory(df: DataFrame) -> DataFrame:
@@ -73,10 +77,15 @@ def daily_records(df: DataFrame, ts: str = "snapshot_ts") -> DataFrame:
     return spine.join(days, "day", "left").select("day", F.coalesce("records", F.lit(0)).alias("records"))
 
 
-def _held_names(columns: list[str]) -> Column:
-    """The names ``<column>_<value>`` that a row holds, and the empty name that every row holds."""
+def _names(columns: list[str]) -> Column:
+    """The names ``<column>_<value>`` that a row holds."""
     names = [F.concat(F.lit(f"{c}_"), F.col(quoted(c)).cast("string")) for c in columns]
-    return F.filter(F.array(F.lit(""), *names), lambda x: x.isNotNull())
+    return F.filter(F.array(*names), lambda x: x.isNotNull())
+
+
+def _held_names(columns: list[str]) -> Column:
+    """These names and the empty name, which every row holds."""
+    return F.concat(F.array(F.lit("")), _names(columns))
 
 
 def indicator_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -91,27 +100,37 @@ def one_hot_correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of category indicators that occur together, as (a, b, rows, corr).
 
     Pairs that never meet have no row: theirs follows from :func:`indicator_counts` alone, and there are as many
-    of them as the square of the number of values. Rows collapse to counts of distinct tuples; joint counts
-    come from the pieces of each tuple. A constant indicator has no correlation (null).
+    of them as the square of the number of values. Rows collapse to counts of distinct tuples, written once; joint counts
+    come from the pieces of each tuple, whose number is the same in every task. A constant indicator has no correlation (null).
     """
-    tuples = df.groupBy(*[F.col(quoted(c)) for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.groupBy(*[F.col(quoted(c)) for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+    tuples = materialize(counted, "tuples")
+    spread = tuples.repartition(1 + tuples.count() * len(columns) ** 2 // TASK_PIECES, *[F.col(quoted(c)) for c in columns])
+    held = spread.select("_n", _names(columns).alias("_h"))
+    single = held.select(F.explode("_h").alias("name"), "_n").groupBy("name").agg(F.sum("_n").cast("double").alias("held"))
     joint = (
-        tuples.select("_n", _held_names(columns).alias("_h"))
-        .select("_n", F.explode("_h").alias("a"), "_h")
+        held.select("_n", F.explode("_h").alias("a"), "_h")
         .select("_n", "a", F.explode("_h").alias("b"))
         .groupBy("a", "b")
         .agg(F.sum("_n").alias("rows"))
     )
-    total = joint.filter("a = '' and b = ''").select(F.col("rows").cast("double").alias("N"))
-    single = joint.filter("b = ''").select("a", F.col("rows").cast("double").alias("na"))
     # One row.
-    rows = (
-        joint.filter("a <> '' and b <> ''")
-        .join(F.broadcast(total))
-        .join(single, "a")
-        .join(single.select(F.col("a").alias("b"), F.col("na").alias("nb")), "b")
-    )
+    total = tuples.agg(F.sum("_n").cast("double").alias("N"))
+    rows = _with_count(_with_count(joint.join(F.broadcast(total)), single, total, "a", "b"), single, total, "b", "a")
     pa, pb = F.col("na") / F.col("N"), F.col("nb") / F.col("N")
     cov = F.col("rows") / F.col("N") - pa * pb
     scale = F.sqrt(pa * (1 - pa) * pb * (1 - pb))
     return rows.select("a", "b", "rows", F.when(scale > 0, cov / scale).alias("corr"))
+
+
+def _with_count(pairs: DataFrame, single: DataFrame, total: DataFrame, side: str, other: str) -> DataFrame:
+    """The pairs with the count of the name on one ``side`` as ``n<side>``.
+
+    Names that more than one row in ``FREQUENT`` holds are few, whatever the table: they go to every task. Their pairs would
+    be the hot keys of the join that finds the other counts, so they go along there by the name on the ``other`` side.
+    """
+    often = single.join(F.broadcast(total)).filter(F.col("held") * FREQUENT > F.col("N"))
+    known = pairs.join(F.broadcast(often.select(F.col("name").alias(side), F.col("held").alias("_often"))), side, "left")
+    keyed = known.withColumn("_key", F.when(F.col("_often").isNull(), F.col(side)).otherwise(F.col(other)))
+    found = lookup_join(keyed, single.select(F.col("name").alias("_key"), F.col("held").alias("_found")), ["_key"])
+    return found.withColumn(f"n{side}", F.coalesce("_often", "_found")).drop("_key", "_often", "_found")
