@@ -220,7 +220,9 @@ FROM (SELECT g.*, t.event_type,
       FROM grid g JOIN typical t ON t.st_id = g.st_id)""",
 )
 def _dense_grid(spark, sf_dir):
-    cells = finished(snap_grid(spark, sf_dir))
+    # Rounded before the expansion; ages are whole minutes.
+    buckets = rounded(grid.bucket_latest(snap(spark, sf_dir)))
+    cells = naive(bigints(grid.dense_grid(buckets, state=STATE, static=STATIC, clock_digits=6)))
     return cells.withColumns({c: F.col(c) + 0.0 for c in ("sin_hour", "cos_hour", "sin_dow", "cos_dow")})
 
 

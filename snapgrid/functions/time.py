@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 MINUTE_US = 60_000_000
 HOUR_US = 60 * MINUTE_US
+DAY_US = 24 * HOUR_US
 
 
 def floor_to(ts: Column, minutes: int) -> Column:
@@ -40,19 +41,27 @@ def minutes_of_day(text: Column) -> Column:
     return F.when(clean == "24:00", F.lit(1440)).when(in_day, hour * 60 + minute)
 
 
-def clock_features(ts: Column, zone: str) -> dict[str, Column]:
-    """Hour and weekday (Monday = 0) on the local clock of ``zone``, and their cyclic forms."""
-    local = F.from_utc_timestamp(ts, zone)
-    hour, dow = F.hour(local), F.weekday(local)
-    hour_angle = F.lit(2 * math.pi) * hour / F.lit(24.0)
-    dow_angle = F.lit(2 * math.pi) * dow / F.lit(7.0)
+def clock_features(ts: Column, zone: str, digits: int | None = None) -> dict[str, Column]:
+    """Hour and weekday (Monday = 0) on the local clock of ``zone``, and their cyclic forms, on request rounded.
+
+    The cyclic forms are looked up: there are as many as hours and weekdays.
+    """
+    local = F.unix_micros(F.from_utc_timestamp(ts, zone))
+    hour = F.floor(F.pmod(local, F.lit(DAY_US)) / F.lit(HOUR_US)).cast("int")
+    # The first day of 1970 was a Thursday.
+    dow = F.floor(F.pmod(local + F.lit(3 * DAY_US), F.lit(7 * DAY_US)) / F.lit(DAY_US)).cast("int")
+
+    def cyclic(form, place: Column, period: int) -> Column:
+        values = [form(F.lit(2 * math.pi) * F.lit(i) / F.lit(float(period))) for i in range(period)]
+        return F.get(F.array(*[v if digits is None else F.round(v, digits) for v in values]), place)
+
     return {
         "hour": hour,
         "dayofweek": dow,
-        "sin_hour": F.sin(hour_angle),
-        "cos_hour": F.cos(hour_angle),
-        "sin_dow": F.sin(dow_angle),
-        "cos_dow": F.cos(dow_angle),
+        "sin_hour": cyclic(F.sin, hour, 24),
+        "cos_hour": cyclic(F.cos, hour, 24),
+        "sin_dow": cyclic(F.sin, dow, 7),
+        "cos_dow": cyclic(F.cos, dow, 7),
     }
 
 

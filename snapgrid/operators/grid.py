@@ -105,11 +105,13 @@ def dense_grid(
     zone: str = LOCAL_ZONE,
     static_until=None,
     fresh_only: bool = False,
+    clock_digits: int | None = None,
 ) -> DataFrame:
     """The model table: grid rows, the key's typical static values and clock features.
 
     ``static_until`` limits the static values to buckets before an instant, so that they know nothing
-    of the validation period; by default they come from the whole history.
+    of the validation period; by default they come from the whole history. ``clock_digits`` rounds the cyclic
+    clock features.
     """
     use_utc(buckets.sparkSession)
     require_columns(buckets, [key, "ts", *state, *static])
@@ -121,7 +123,7 @@ def dense_grid(
         statics = modes(known, key, static)
     rows = grid_rows(buckets, key, state, minutes, stale_after, fresh_only, statics)
     freshness = ["is_observed", "is_stale", "age_minutes"]
-    clock = clock_features(F.col("ts"), zone)
+    clock = clock_features(F.col("ts"), zone, clock_digits)
     return rows.select(
         key, "ts", *state, *static, *freshness, *[value.alias(name) for name, value in clock.items()]
     )
