@@ -20,6 +20,8 @@ from snapgrid.schema import FEATURE_COLUMNS, GRID_MINUTES
 from snapgrid.session import materialize, shared_folder
 
 SENTINEL = -1.0
+#: Trees are grown on the rows themselves up to this number, on blocks of equal rows beyond it.
+FIT_ROWS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -175,14 +177,37 @@ def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
     return best, False
 
 
-def fit_best(start: Prepared, settings: TrainSettings) -> tuple[PipelineModel, int]:
+def fit_rows(start: Prepared, key: str = "st_id", most: int | None = None) -> DataFrame:
+    """The training rows as trees are grown on them: above ``most``, equal rows (features and label) are put together in
+    blocks that weigh as much as their rows.
+
+    Splits and leaves take sums of weights and gradients, and equal rows have equal gradients in every round, so blocks grow
+    the trees of their rows; all rows count. Only the share of rows that a round sees is drawn by blocks. Each kind of row
+    is therefore dealt by station and instant to as many blocks as ``most`` has room for; beyond that many kinds, each is
+    one block. Clock, freshness and flags have few values together, however long the table is.
+    """
+    most = FIT_ROWS if most is None else most
+    train = start.ready.filter("not is_valid")
+    if start.facts["rows_train"] <= most:
+        return train
+    kind = [*start.features, "label"]
+    kinds = train.agg(F.approx_count_distinct(F.xxhash64(*kind))).first()[0]
+    block = F.pmod(F.xxhash64(key, F.unix_micros("ts")), F.lit(max(1, most // kinds))).alias("_block")
+    blocks = train.groupBy(*kind, block).agg(F.sum("weight").alias("weight"))
+    # One part for each core, in a fixed order: rounds draw by place.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    dealt = blocks.repartition(cores, *kind, "_block").sortWithinPartitions(*kind, "_block")
+    return materialize(dealt.drop("_block"), "fit-rows")
+
+
+def fit_best(start: Prepared, settings: TrainSettings, key: str = "st_id") -> tuple[PipelineModel, int]:
     """Boosting until the loss on the validation side has not gained for ``patience`` rounds, and the number of rounds
     up to the best one.
 
     Rounds are tried in doubling numbers. The model keeps those beyond the best, nothing is fitted again: scoring takes
     the first rounds of its nodes.
     """
-    train, valid = start.ready.filter("not is_valid"), start.ready.filter("is_valid")
+    train, valid = fit_rows(start, key), start.ready.filter("is_valid")
     rounds = min(settings.rounds, 2 * settings.patience)
     while True:
         model = classifier(settings, start.features, rounds).fit(train)
@@ -236,7 +261,7 @@ def train_labelled(
     The model has the rounds beyond the best too; the scores are those of the best (``best_iteration``, from 0). No label or score is collected: all metrics come from two aggregations.
     """
     start = prepared(labelled, horizon_minutes, settings, key, state)
-    model, rounds = fit_best(start, settings)
+    model, rounds = fit_best(start, settings, key)
     nodes = read_nodes(first_rounds(model_nodes(model), rounds))
     return model, *evaluated(start, nodes, rounds, horizon_minutes, settings, key)
 

@@ -3,7 +3,7 @@ import json
 import random
 
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from snapgrid.operators import classify, labels, quality
@@ -171,3 +171,27 @@ def test_patience():
     assert classify.best_round(falling[:10] + [1.0] * 30, 30) == (9, True)
     assert classify.best_round(falling[:10] + [1.0] * 29 + [0.0], 30) == (39, False)
     assert classify.best_round([0.5, 0.5, 0.4, 0.6, 0.4], 2) == (2, True)
+
+
+def test_equal_rows_are_fitted_as_blocks(spark, monkeypatch):
+    table = dense(spark, 300, lambda s, i: 0 if (i // 6) % 24 < 8 or (s + i) % 11 == 0 else 2)
+    settings = classify.TrainSettings(rounds=3, depth=3, learning_rate=0.5, balance_classes=True, row_share=1.0, column_share=1.0)
+    labelled = classify.training_table(table, [20], settings)
+    start = classify.prepared(labelled, 20, settings)
+    kind, n = [*start.features, "label"], start.facts["rows_train"]
+    kinds = start.ready.filter("not is_valid").select(*kind).distinct().count()
+    fitted = []
+    plain = Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df, params=None: fitted.append(df) or plain(self, df, params))
+    scores = []
+    for most in (n, 3 * kinds, 1):
+        monkeypatch.setattr(classify, "FIT_ROWS", most)
+        _, scored, metrics = classify.train_labelled(labelled, 20, settings)
+        scores.append(({(r["st_id"], r["ts"]): r["score"] for r in scored.collect()}, metrics.first()["best_iteration"]))
+    rows, several, single = fitted
+    assert rows.count() == n > 5 * kinds and single.count() == kinds < several.count() < n / 2
+    sums = [{tuple(r)[:-1]: round(r["w"], 6) for r in df.groupBy(*kind).agg(F.sum("weight").alias("w")).collect()} for df in fitted]
+    assert sums[0] == sums[1] == sums[2] and len(sums[0]) == kinds
+    # Without draws the trees are those of the rows.
+    for found, best in scores[1:]:
+        assert best == scores[0][1] and found == pytest.approx(scores[0][0], abs=1e-9)
